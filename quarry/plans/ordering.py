@@ -1,8 +1,10 @@
 """Consecutive 0-based ids in a global order without a single-task window.
 
-Range-partition and sort the rows, number them inside each partition, then
-add the number of rows in all earlier partitions (one small table of
-per-partition counts, one row per partition).
+Rows are cut into buckets by approximate quantiles of the leading order
+column (a short list of cut points), so a bucket is a pure function of the
+row and buckets follow the global order.  Rows are numbered inside their bucket, and each bucket
+adds the number of rows of all earlier buckets (a table with one row per
+bucket).
 """
 
 from __future__ import annotations
@@ -12,19 +14,27 @@ from pyspark.sql import functions as F
 
 
 def dense_index(df: DataFrame, order_cols: list[str], out_col: str,
-                num_partitions: int | None = None) -> DataFrame:
+                num_buckets: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .withColumn("__pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__pid").orderBy(*order_cols)) - 1)
-    counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: the running sum needs no distribution
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lead = order_cols[0]
+    probs = [i / n for i in range(1, n)]
+    # n - 1 cut points: a bounded list, fetched to the driver and inlined
+    bounds = df.select(F.percentile_approx(F.col(lead), probs, 10000)).first()[0] if probs else None
+    if not bounds:
+        bucket = F.lit(0)
+    else:
+        cuts = F.array(*[F.lit(b) for b in sorted(set(bounds))])
+        bucket = F.size(F.filter(cuts, lambda b: b < F.col(lead)))
+    keyed = df.withColumn("__b", bucket)
+    local = keyed.withColumn(
+        "__local", F.row_number().over(Window.partitionBy("__b").orderBy(*order_cols)) - 1)
+    counts = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    # one row per bucket: this running sum needs no distribution
     offsets = counts.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
+        "__b",
+        F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
         .alias("__off"))
-    return (local.join(F.broadcast(offsets), "__pid")
+    return (local.join(F.broadcast(offsets), "__b")
                  .withColumn(out_col, (F.coalesce("__off", F.lit(0)) + F.col("__local")).cast("long"))
-                 .drop("__pid", "__local", "__off"))
+                 .drop("__b", "__local", "__off"))
