@@ -31,13 +31,11 @@ def stem_ctes(surface_sources: list[str], name: str = "stem") -> str:
 
 
 def index_ctes(docs_source: str = "documents", id_expr: str = "doc_id",
-               text_expr: str = "text", extra_surfaces: list[str] | None = None) -> str:
-    """doc_terms, post, stats, wts, dnorm over a document table."""
-    surf = ["dtok"] + (extra_surfaces or [])
+               text_expr: str = "text") -> str:
+    """dtok, stem, doc_terms, post, ndocs, stats, wts, dnorm over a document table."""
     return ",\n".join([
         tokens_cte("dtok", docs_source, id_expr, text_expr),
-        "__EXTRA__",
-        stem_ctes(surf),
+        stem_ctes(["dtok"]),
         "doc_terms AS (SELECT t.id AS doc_id, t.pos, s.term FROM dtok t JOIN stem s ON t.surface = s.surface)",
         "post AS (SELECT term, doc_id, count(*) AS tf FROM doc_terms GROUP BY term, doc_id)",
         f"ndocs AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {docs_source})",
@@ -49,25 +47,36 @@ def index_ctes(docs_source: str = "documents", id_expr: str = "doc_id",
     ])
 
 
-def with_queries(query_source: str = "benchmark", id_expr: str = "item_id",
-                 text_expr: str = "text") -> tuple[str, str]:
-    """Query token CTE and the query side built on it (qterms, qtf, qw, qnorm)."""
+def query_ctes(query_source: str = "benchmark", id_expr: str = "item_id",
+               text_expr: str = "text", synonyms: bool = False) -> str:
+    """qtok..., qterms(query_id, pos, term).  With ``synonyms``: the synonym
+    table maps each corpus surface word to its stem (when different); a
+    query token gains that lemma unless the query already holds it."""
     tok = tokens_cte("qtok", query_source, id_expr, text_expr)
-    rest = ",\n".join([
-        "qterms AS (SELECT t.id AS query_id, t.pos, s.term FROM qtok t JOIN stem s ON t.surface = s.surface)",
-        "qtf AS (SELECT query_id, term, count(*) AS qtf FROM qterms GROUP BY query_id, term)",
-        "qw AS (SELECT q.query_id, q.term, q.qtf, q.qtf * s.idf AS qw FROM qtf q JOIN stats s ON q.term = s.term)",
-        "qnorm AS (SELECT query_id, sqrt(sum(qw * qw)) AS qnorm FROM qw GROUP BY query_id)",
+    if not synonyms:
+        return ",\n".join([
+            tok, stem_ctes(["qtok"], "qstem"),
+            "qterms AS (SELECT t.id AS query_id, t.pos, s.term FROM qtok t JOIN qstem s ON t.surface = s.surface)",
+        ])
+    return ",\n".join([
+        tok,
+        "syn AS (SELECT surface AS word, term AS lemma FROM stem WHERE term <> surface)",
+        f"qkept AS (SELECT id, pos, tok FROM qtok_tok WHERE tok NOT IN {STOP})",
+        "found AS (SELECT q.id AS query_id, q.pos, s.lemma AS tok FROM qkept q JOIN syn s ON lower(q.tok) = s.word)",
+        "fresh AS (SELECT f.* FROM found f WHERE NOT EXISTS "
+        "(SELECT 1 FROM qkept o WHERE o.id = f.query_id AND o.tok = f.tok))",
+        "qall AS (SELECT id AS query_id, pos, lower(tok) AS surface FROM qkept "
+        "UNION ALL SELECT query_id, pos, lower(tok) AS surface FROM fresh)",
+        stem_ctes(["qall"], "qstem"),
+        "qterms AS (SELECT t.query_id, t.pos, s.term FROM qall t JOIN qstem s ON t.surface = s.surface)",
     ])
-    return tok, rest
 
 
-def search_ctes(k: int = 10, query_source: str = "benchmark", id_expr: str = "item_id",
-                text_expr: str = "text") -> str:
-    tok, rest = with_queries(query_source, id_expr, text_expr)
-    base = index_ctes(extra_surfaces=["qtok"]).replace("__EXTRA__", tok)
+def score_ctes(k: int = 10) -> str:
     return ",\n".join([
-        base, rest,
+        "qtf AS (SELECT query_id, term, count(*) AS qtf FROM qterms GROUP BY query_id, term)",
+        "qw AS (SELECT q.query_id, q.term, q.qtf, q.qtf * s.idf AS qw FROM qtf q JOIN stats s ON q.term = s.term)",
+        "qnorm AS (SELECT query_id, sqrt(sum(qw * qw)) AS qnorm FROM qw GROUP BY query_id)",
         "dot AS (SELECT qw.query_id, w.doc_id, sum(qw.qw * w.w) AS dot FROM qw JOIN wts w ON qw.term = w.term "
         "GROUP BY qw.query_id, w.doc_id)",
         "scored AS (SELECT d.query_id, d.doc_id, round(CASE WHEN n.norm * q.qnorm = 0 THEN NULL "
@@ -80,11 +89,14 @@ def search_ctes(k: int = 10, query_source: str = "benchmark", id_expr: str = "it
 
 
 def index_only(select: str) -> str:
-    return "WITH " + index_ctes().replace("__EXTRA__,\n", "") + "\n" + select
+    return "WITH " + index_ctes() + "\n" + select
 
 
-def full(select: str, **kw) -> str:
-    return "WITH " + search_ctes(**kw) + "\n" + select
+def full(select: str, k: int = 10, extra: str | None = None, **qkw) -> str:
+    parts = [index_ctes(), query_ctes(**qkw), score_ctes(k)]
+    if extra:
+        parts.append(extra)
+    return "WITH " + ",\n".join(parts) + "\n" + select
 
 
 def _docs_only(select: str, stop: bool = True) -> str:
@@ -131,3 +143,170 @@ ORACLE["query_norms"] = full("SELECT query_id, round(qnorm, 6) AS qnorm FROM qno
 ORACLE["candidate_docs"] = full(
     "SELECT DISTINCT q.query_id, p.doc_id FROM qterms q JOIN post p ON q.term = p.term")
 ORACLE["cosine_scores"] = full("SELECT query_id, doc_id, score FROM scored")
+
+# --- cleaning ---------------------------------------------------------------
+ORACLE["dedup_keep_last"] = (
+    "SELECT p_partkey, p_name, p_brand, p_type FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY p_name ORDER BY p_partkey DESC) AS rn FROM part) WHERE rn = 1")
+
+ORACLE["dedup_chained"] = (
+    "WITH a AS (SELECT * FROM (SELECT doc_id, lang, n_chars, source, text, row_number() OVER "
+    "(PARTITION BY lang, n_chars ORDER BY doc_id DESC) AS rn FROM documents) WHERE rn = 1)\n"
+    "SELECT doc_id, lang, n_chars, source FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY text ORDER BY doc_id DESC) AS rn2 FROM a) WHERE rn2 = 1")
+
+ORACLE["drop_null_rows"] = (
+    "SELECT doc_id, source, name FROM (SELECT doc_id, source, nullif(lang, 'fr') AS name, "
+    "row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS rn FROM documents) "
+    "WHERE rn = 1 AND name IS NOT NULL")
+
+ORACLE["clean_catalog"] = """
+WITH cat AS (SELECT source || '/' || lang AS url, nullif(lang, 'es') AS name, source AS categories,
+                    lang AS developer, CAST(n_chars AS VARCHAR) AS publisher, doc_id AS row_seq
+             FROM documents),
+cat1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY row_seq DESC) AS rn
+                        FROM cat) WHERE rn = 1 AND name IS NOT NULL),
+des AS (SELECT d.source || '/' || d.lang AS url, d.text AS "desc",
+               CASE WHEN l.toxic = 1 THEN NULL ELSE d.text END AS full_desc, d.doc_id AS row_seq
+        FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+des1 AS (SELECT url, "desc", full_desc, row_seq FROM (SELECT *, row_number() OVER
+         (PARTITION BY url ORDER BY row_seq DESC) AS rn FROM des) WHERE rn = 1),
+des2 AS (SELECT url, "desc" FROM (SELECT *, row_number() OVER
+         (PARTITION BY "desc" ORDER BY row_seq DESC) AS rn FROM des1) WHERE rn = 1 AND full_desc IS NOT NULL),
+m AS (SELECT c.url, c.name, c.categories, c.developer, c.publisher, d."desc", c.row_seq
+      FROM cat1 c JOIN des2 d ON c.url IS NOT DISTINCT FROM d.url)
+SELECT CAST(row_number() OVER (ORDER BY row_seq) - 1 AS BIGINT) AS doc_id, url, name, categories,
+       developer, publisher, "desc" FROM m"""
+
+ORACLE["doc_text"] = (
+    "SELECT p_partkey, ' ' || p_name || ' ' || coalesce(nullif(p_type, 'SMALL'), 'nan') || ' ' || "
+    "p_brand || ' ' || CAST(p_size AS VARCHAR) AS text FROM part")
+
+# --- retrieval variants -----------------------------------------------------
+ORACLE["synonym_expand"] = full("SELECT query_id, pos, term FROM qterms", synonyms=True)
+ORACLE["search_synonyms"] = full("SELECT query_id, rank, doc_id, score FROM top", synonyms=True)
+
+ORACLE["search_exhaustive"] = full(
+    "SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, score FROM exr WHERE rank <= 10",
+    extra="""allq AS (SELECT item_id AS query_id FROM benchmark),
+ex AS (SELECT a.query_id, n.doc_id,
+              round(CASE WHEN n.norm * coalesce(qn.qnorm, 0) = 0 THEN NULL
+                         ELSE coalesce(dt.dot, 0) / (n.norm * qn.qnorm) END, 6) AS score
+       FROM allq a CROSS JOIN dnorm n
+       LEFT JOIN qnorm qn ON qn.query_id = a.query_id
+       LEFT JOIN dot dt ON dt.query_id = a.query_id AND dt.doc_id = n.doc_id),
+exr AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id
+        ORDER BY score DESC NULLS LAST, doc_id) AS rank FROM ex)""")
+
+_EVAL = """cnt AS (SELECT query_id, count(*) AS n FROM scored GROUP BY query_id),
+evalcut AS (SELECT t.query_id, t.rank, t.doc_id, t.score FROM top t JOIN cnt c ON t.query_id = c.query_id
+            WHERE t.rank <= CASE WHEN c.n >= 10 THEN 5 ELSE c.n END)"""
+ORACLE["search_eval_cut"] = full("SELECT query_id, rank, doc_id, score FROM evalcut", extra=_EVAL)
+ORACLE["search_labels"] = full(
+    "SELECT e.query_id, e.rank, e.doc_id, e.score, CAST(e.doc_id AS VARCHAR) || ' : ' || "
+    "split_part(d.text, chr(10), 1) AS label FROM evalcut e JOIN documents d ON e.doc_id = d.doc_id",
+    extra=_EVAL)
+
+_NAMEQ = "(SELECT min(p_partkey) AS qid, p_name FROM part GROUP BY p_name)"
+ORACLE["search_status"] = full(
+    "SELECT q.qid AS query_id, CAST(count(t.doc_id) AS BIGINT) AS n_hits, "
+    "CASE WHEN count(t.doc_id) > 0 THEN 'found' ELSE 'no_result' END AS status "
+    f"FROM {_NAMEQ} q LEFT JOIN top t ON t.query_id = q.qid GROUP BY q.qid",
+    query_source=_NAMEQ, id_expr="qid", text_expr="p_name")
+
+ORACLE["augmented_query"] = full(
+    "SELECT query_id, rank, doc_id, score FROM top",
+    text_expr="text || ' Singleplayer' || ' Online'")
+
+ORACLE["search_with_attrs"] = full(
+    "SELECT t.query_id, t.rank, t.doc_id, t.score, d.lang, d.source FROM top t "
+    "JOIN documents d ON t.doc_id = d.doc_id")
+
+# --- pages --------------------------------------------------------------------
+from quarry.functions import html as _H  # noqa: E402  (patterns are pinned rules)
+
+_s = rules.sql_str
+
+
+def _meta(attr, value, take, default=_H.NO_DESCRIPTION):
+    tag = f"regexp_extract(html, {_s(_H.meta_tag_pattern(attr, value))}, 0)"
+    return f"coalesce(nullif(regexp_extract({tag}, {_s(_H.attr_pattern(take))}, 1), ''), {_s(default)})"
+
+
+def _links(cls=None):
+    return f"regexp_extract_all(html, {_s(_H.links_pattern(cls))}, 1)"
+
+
+def _strip_ws(x):
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _text(cls, default, strip=True, tag=None):
+    pat = _s(_H.text_pattern(cls, tag))
+    found = f"regexp_extract(html, {pat}, 1)"
+    return (f"CASE WHEN regexp_matches(html, {pat}) THEN {_strip_ws(found) if strip else found} "
+            f"ELSE {_s(default)} END")
+
+
+def _texts(cls, tag=None):
+    return f"regexp_extract_all(html, {_s(_H.text_pattern(cls, tag))}, 1)"
+
+
+def _pick(links, seed):
+    return (f"CASE WHEN len({links}) > 0 THEN {links}[(({seed} % len({links})) + len({links})) "
+            f"% len({links}) + 1] ELSE {_s(_H.NO_IMAGE)} END")
+
+
+def _tags(cls):
+    junk = ", ".join(_s(j) if j != "\r\n" else "chr(13) || chr(10)" for j in _H.TAG_JUNK)
+    joined = f"array_to_string(list_transform({_texts(cls)}, lambda t: {_strip_ws('t')}), '')"
+    return f"list_filter(string_split({joined}, chr(9)), lambda p: p NOT IN ({junk}))"
+
+
+def _disc(base, disc_found):
+    return (f"CASE WHEN {base} = {_s(_H.FREE_TO_PLAY)} THEN {_s(_H.NO_DISCOUNT)} "
+            f"ELSE coalesce(nullif({disc_found}, ''), {_s(_H.NO_DISCOUNT)}) END")
+
+
+ORACLE["page_meta"] = (
+    f"SELECT page_id, {_meta('charset', None, 'charset')} AS charset, "
+    f"{_meta('property', 'og:description', 'content')} AS description FROM pages")
+ORACLE["page_links"] = f"SELECT page_id, array_to_string({_links()}, '|') AS links FROM pages"
+ORACLE["page_pick_link"] = f"SELECT page_id, {_pick(_links(), 'page_id')} AS image FROM pages"
+ORACLE["page_text_by_class"] = f"SELECT page_id, {_text('ad', _H.NO_PRICE)} AS base_price FROM pages"
+ORACLE["page_price_rule"] = (
+    f"SELECT page_id, {_text('ad', _H.NO_PRICE)} AS base_price, "
+    f"{_disc(_text('ad', _H.NO_PRICE), _text('discount_final_price', ''))} AS discount_price FROM pages")
+ORACLE["page_text_raw"] = (
+    f"SELECT page_id, {_text('ad', _H.NO_REVIEW, strip=False)} AS review FROM pages")
+ORACLE["page_texts"] = f"SELECT page_id, array_to_string({_texts(None, 'a')}, '|') AS texts FROM pages"
+ORACLE["page_tag_list"] = f"SELECT page_id, array_to_string({_tags('ad')}, '|') AS tags FROM pages"
+ORACLE["tag_counts"] = (
+    f"SELECT tag, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest({_texts(None, 'a')}) AS tag "
+    "FROM pages) GROUP BY tag")
+
+_FIELDS = f"""npages AS (SELECT count(*) AS n FROM pages),
+pf AS (SELECT page_id, {_meta('charset', None, 'charset')} AS description,
+              {_pick(_links(), 'page_id')} AS image,
+              {_text('ad', _H.NO_PRICE)} AS base_price,
+              {_disc(_text('ad', _H.NO_PRICE), _text('discount_final_price', ''))} AS discount_price,
+              {_text('ad', _H.NO_REVIEW, strip=False)} AS review FROM pages)"""
+ORACLE["enrich_hits"] = full(
+    "SELECT t.query_id, t.rank, t.doc_id, t.score, "
+    f"coalesce(pf.description, {_s(_H.NO_DESCRIPTION)}) AS description, "
+    f"coalesce(pf.image, {_s(_H.NO_IMAGE)}) AS image, "
+    f"coalesce(pf.base_price, {_s(_H.NO_PRICE)}) AS base_price, "
+    f"coalesce(pf.discount_price, {_s(_H.NO_DISCOUNT)}) AS discount_price, "
+    f"coalesce(pf.review, {_s(_H.NO_REVIEW)}) AS review "
+    "FROM top t CROSS JOIN npages LEFT JOIN pf ON pf.page_id = ((t.doc_id % npages.n) + npages.n) % npages.n",
+    extra=_FIELDS)
+
+# --- lookups --------------------------------------------------------------------
+_PARTCAT = ("(SELECT p_partkey, 'part/' || CAST(p_partkey AS VARCHAR) AS url, p_name AS name, "
+            "p_type AS categories, p_brand AS developer FROM part)")
+ORACLE["docs_by_category"] = f"SELECT * FROM {_PARTCAT} WHERE contains(categories, 'AR')"
+ORACLE["url_by_name"] = f"SELECT url FROM {_PARTCAT} WHERE name = 'red plate'"
+ORACLE["doc_by_name"] = f"SELECT * FROM {_PARTCAT} WHERE name = 'red plate'"
+ORACLE["term_lookup"] = index_only(
+    "SELECT p.term, s.df, s.cf, p.doc_id, p.tf FROM post p JOIN stats s ON p.term = s.term "
+    "WHERE p.term = 'the'")

@@ -151,3 +151,258 @@ def candidate_docs(spark, d):
 def cosine_scores(spark, d):
     idx = corpus_index(spark, d)
     return S.cosine_scores(idx, S.QuerySide(idx, query_table(spark, d)))
+
+
+# --- cleaning ---------------------------------------------------------------
+@register("dedup_keep_last")
+def dedup_keep_last(spark, d):
+    from quarry.operators.clean import keep_last
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    return keep_last(part, ["p_name"], "p_partkey")
+
+
+@register("dedup_chained")
+def dedup_chained(spark, d):
+    from quarry.operators.clean import keep_last_chained
+    docs = table(spark, d, "documents").select("doc_id", "lang", "n_chars", "source", "text")
+    out = keep_last_chained(docs, [["lang", "n_chars"], ["text"]], "doc_id")
+    return out.select("doc_id", "lang", "n_chars", "source")
+
+
+@register("drop_null_rows")
+def drop_null_rows(spark, d):
+    from quarry.operators.clean import drop_null, keep_last
+    docs = table(spark, d, "documents").select(
+        "doc_id", "source", F.nullif(F.col("lang"), F.lit("fr")).alias("name"))
+    return drop_null(keep_last(docs, ["source"], "doc_id"), ["name"])
+
+
+def catalog_frames(spark, d):
+    """Catalogue and description tables made from the corpus: url =
+    source/lang (so urls repeat), names null for Spanish rows, descriptions
+    from labelled documents with full_desc null for toxic ones."""
+    docs = table(spark, d, "documents")
+    url = F.concat_ws("/", "source", "lang")
+    catalog = docs.select(url.alias("url"), F.nullif(F.col("lang"), F.lit("es")).alias("name"),
+                          F.col("source").alias("categories"), F.col("lang").alias("developer"),
+                          F.col("n_chars").cast("string").alias("publisher"),
+                          F.col("doc_id").alias("row_seq"))
+    labels = table(spark, d, "labels")
+    desc = docs.join(labels, "doc_id").select(
+        url.alias("url"), F.col("text").alias("desc"),
+        F.when(F.col("toxic") == 1, F.lit(None)).otherwise(F.col("text")).alias("full_desc"),
+        F.col("doc_id").alias("row_seq"))
+    return catalog, desc
+
+
+@register("clean_catalog")
+def clean_catalog(spark, d):
+    from quarry.operators.clean import clean_catalog as cc
+    catalog, desc = catalog_frames(spark, d)
+    return cc(catalog, desc, "row_seq")
+
+
+@register("doc_text")
+def doc_text(spark, d):
+    from quarry.functions.text import doc_text as dt
+    part = table(spark, d, "part").select(
+        "p_partkey", F.col("p_name").alias("name"),
+        F.nullif(F.col("p_type"), F.lit("SMALL")).alias("categories"),
+        F.col("p_brand").alias("developer"), F.col("p_size").cast("string").alias("desc"))
+    return part.select("p_partkey", dt(["name", "categories", "developer", "desc"]).alias("text"))
+
+
+# --- retrieval variants -----------------------------------------------------
+def corpus_synonyms(spark, d):
+    """Synonym table derived from the corpus: each surface word's first sense
+    lists the word itself, then its stem (when it differs)."""
+    vocab = stem_vocabulary(spark, d)
+    first = vocab.select(F.col("surface").alias("word"), F.lit(0).alias("sense_rank"),
+                         F.lit(0).alias("lemma_rank"), F.col("surface").alias("lemma"))
+    second = vocab.where(F.col("term") != F.col("surface")).select(
+        F.col("surface").alias("word"), F.lit(0).alias("sense_rank"),
+        F.lit(1).alias("lemma_rank"), F.col("term").alias("lemma"))
+    return first.unionByName(second)
+
+
+@register("synonym_expand")
+def synonym_expand(spark, d):
+    q = S.normalize_queries(query_table(spark, d), synonyms=corpus_synonyms(spark, d))
+    return q.select("query_id", F.col("pos").cast("long").alias("pos"), "term")
+
+
+@register("search_synonyms")
+def search_synonyms(spark, d):
+    return S.search(corpus_index(spark, d), query_table(spark, d), k=10,
+                    synonyms=corpus_synonyms(spark, d))
+
+
+@register("search_exhaustive")
+def search_exhaustive(spark, d):
+    return S.search_exhaustive(corpus_index(spark, d), query_table(spark, d), k=10)
+
+
+@register("search_eval_cut")
+def search_eval_cut(spark, d):
+    return S.search_eval(corpus_index(spark, d), query_table(spark, d))
+
+
+def name_queries(spark, d):
+    """Distinct part names as queries (many have no indexed word)."""
+    return table(spark, d, "part").groupBy("p_name").agg(
+        F.min("p_partkey").alias("query_id")).select("query_id", F.col("p_name").alias("text"))
+
+
+@register("search_status")
+def search_status(spark, d):
+    qs = name_queries(spark, d)
+    hits = S.search(corpus_index(spark, d), qs, k=10)
+    return S.search_status(qs, hits)
+
+
+def titled_docs(spark, d):
+    return table(spark, d, "documents").select(
+        "doc_id", F.substring_index(F.col("text"), "\n", 1).alias("title"), "lang", "source")
+
+
+@register("search_labels")
+def search_labels(spark, d):
+    hits = S.search_eval(corpus_index(spark, d), query_table(spark, d))
+    return S.label_hits(hits, titled_docs(spark, d))
+
+
+@register("augmented_query")
+def augmented_query(spark, d):
+    q = S.augment_query(query_table(spark, d), {"single_player": F.lit(True), "online": F.lit(True)})
+    return S.search(corpus_index(spark, d), q, k=10)
+
+
+@register("search_with_attrs")
+def search_with_attrs(spark, d):
+    hits = S.search(corpus_index(spark, d), query_table(spark, d), k=10)
+    return S.attach_attrs(hits, titled_docs(spark, d), ["lang", "source"])
+
+
+# --- pages ------------------------------------------------------------------
+def test_page_selectors():
+    """Selectors for the driver's pages: meta charset, nav links, class "ad"."""
+    from quarry.operators.pages import Selectors
+    return Selectors(meta_attr="charset", meta_value=None, meta_take="charset",
+                     image_class=None, price_class="ad", discount_class="discount_final_price",
+                     review_class="ad", tag_class="ad", tag_browse_class=None, tag_browse_tag="a")
+
+
+def page_table(spark, d):
+    return table(spark, d, "pages").select("page_id", "url", "html")
+
+
+@register("page_meta")
+def page_meta(spark, d):
+    from quarry.functions import html as H
+    h = F.col("html")
+    return page_table(spark, d).select(
+        "page_id", H.meta_content(h, "charset", None, "charset").alias("charset"),
+        H.meta_content(h, "property", "og:description", "content").alias("description"))
+
+
+@register("page_links")
+def page_links(spark, d):
+    from quarry.functions import html as H
+    return page_table(spark, d).select(
+        "page_id", F.array_join(H.links_by_class(F.col("html"), None), "|").alias("links"))
+
+
+@register("page_pick_link")
+def page_pick_link(spark, d):
+    from quarry.functions import html as H
+    links = H.links_by_class(F.col("html"), None)
+    return page_table(spark, d).select("page_id", H.pick_link(links, F.col("page_id")).alias("image"))
+
+
+@register("page_text_by_class")
+def page_text_by_class(spark, d):
+    from quarry.functions import html as H
+    return page_table(spark, d).select(
+        "page_id", H.text_by_class(F.col("html"), "ad", H.NO_PRICE).alias("base_price"))
+
+
+@register("page_price_rule")
+def page_price_rule(spark, d):
+    from quarry.functions import html as H
+    h = F.col("html")
+    base = H.text_by_class(h, "ad", H.NO_PRICE)
+    disc = F.nullif(H.text_by_class(h, "discount_final_price", ""), F.lit(""))
+    return page_table(spark, d).select(
+        "page_id", base.alias("base_price"), H.discount_price(base, disc).alias("discount_price"))
+
+
+@register("page_text_raw")
+def page_text_raw(spark, d):
+    from quarry.functions import html as H
+    return page_table(spark, d).select(
+        "page_id", H.text_by_class(F.col("html"), "ad", H.NO_REVIEW, strip=False).alias("review"))
+
+
+@register("page_texts")
+def page_texts(spark, d):
+    from quarry.functions import html as H
+    return page_table(spark, d).select(
+        "page_id", F.array_join(H.texts_by_class(F.col("html"), None, "a"), "|").alias("texts"))
+
+
+@register("page_tag_list")
+def page_tag_list(spark, d):
+    from quarry.functions import html as H
+    return page_table(spark, d).select(
+        "page_id", F.array_join(H.page_tags(F.col("html"), "ad"), "|").alias("tags"))
+
+
+@register("tag_counts")
+def tag_counts(spark, d):
+    from quarry.operators.pages import tag_catalogue
+    return tag_catalogue(page_table(spark, d), test_page_selectors())
+
+
+@register("enrich_hits")
+def enrich_hits(spark, d):
+    from quarry.operators.pages import enrich_hits as eh
+    from quarry.operators.pages import page_fields
+    pages = page_table(spark, d)
+    n_pages = pages.select(F.count(F.lit(1))).scalar()
+    hits = S.search(corpus_index(spark, d), query_table(spark, d), k=10)
+    hits = hits.withColumn("page_id", F.pmod(F.col("doc_id"), n_pages))
+    out = eh(hits, page_fields(pages, test_page_selectors()), "page_id", "page_id")
+    return out.drop("page_id")
+
+
+# --- lookups ----------------------------------------------------------------
+def part_catalog(spark, d):
+    return table(spark, d, "part").select(
+        "p_partkey", F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("url"),
+        F.col("p_name").alias("name"), F.col("p_type").alias("categories"),
+        F.col("p_brand").alias("developer"))
+
+
+@register("docs_by_category")
+def docs_by_category(spark, d):
+    from quarry.operators.lookup import docs_by_category as f
+    return f(part_catalog(spark, d), "AR")
+
+
+@register("url_by_name")
+def url_by_name(spark, d):
+    from quarry.operators.lookup import url_by_name as f
+    return f(part_catalog(spark, d), "red plate")
+
+
+@register("doc_by_name")
+def doc_by_name(spark, d):
+    from quarry.operators.lookup import doc_by_name as f
+    return f(part_catalog(spark, d), "red plate")
+
+
+@register("term_lookup")
+def term_lookup(spark, d):
+    from quarry.operators.lookup import term_lookup as f
+    idx = corpus_index(spark, d)
+    return f(idx.postings, idx.term_stats, "the")
