@@ -55,6 +55,11 @@ def text_pattern(cls: str | None, tag: str | None = None) -> str:
     return rf'<{t}\s[^>]*class="{_q(cls)}"[^>]*>([^<]*)'
 
 
+def strip_ws(c: Column) -> Column:
+    """Remove leading and trailing white space of any kind (tabs, new lines)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def _blank_to(default: str, c: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))
 
@@ -84,7 +89,7 @@ def text_by_class(html: Column, cls: str, default: str, strip: bool = True,
     unless ``strip`` is False; ``default`` when there is none."""
     pat = text_pattern(cls, tag)
     found = F.regexp_extract(html, pat, 1)
-    text = F.trim(found) if strip else found
+    text = strip_ws(found) if strip else found
     return F.when(F.regexp_like(html, F.lit(pat)), text).otherwise(F.lit(default))
 
 
@@ -101,6 +106,6 @@ def texts_by_class(html: Column, cls: str | None, tag: str | None = None) -> Col
 
 def page_tags(html: Column, cls: str, tag: str | None = None) -> Column:
     """H8: stripped texts concatenated, split on TAB, junk entries dropped."""
-    joined = F.array_join(F.transform(texts_by_class(html, cls, tag), lambda t: F.trim(t)), "")
+    joined = F.array_join(F.transform(texts_by_class(html, cls, tag), strip_ws), "")
     parts = F.split(joined, "\t")
     return F.filter(parts, lambda p: ~p.isin(TAG_JUNK))
