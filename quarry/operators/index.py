@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.plans.ordering import dense_index
+from quarry.plans.sizing import spread_small_input
 
 
 def normalized_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -108,8 +110,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stopwords: list[str] | None = None, stem: bool = True) -> Index:
     """The whole offline build as one lazy lineage."""
     docs = docs.withColumn("doc_id", F.col(id_col).cast("long")) if id_col != "doc_id" else docs
-    terms = normalized_terms(docs, "doc_id", text_col, stopwords, stem)
-    post = postings(terms)
+    terms = normalized_terms(spread_small_input(docs), "doc_id", text_col, stopwords, stem)
+    # statistics, weights and norms all read the postings: keep them (memory,
+    # spilling to disk; lost blocks are recomputed) so the text is tokenised
+    # and stemmed once, not once per consumer
+    post = postings(terms).persist(StorageLevel.MEMORY_AND_DISK)
     stats = term_stats(post, collection_size(docs))
     weights = tfidf_weights(post, stats)
     norms = doc_norms(docs, weights)

@@ -34,7 +34,7 @@ def augment_query(queries: DataFrame, flags: dict[str, Column], text_col: str =
 def query_tokens(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                  stopwords: list[str] | None = None) -> DataFrame:
     """(query_id, pos, tok): tokens left after stop-word removal."""
-    toks = queries.select(F.col(id_col).cast("long").alias("query_id"),
+    toks = sizing.spread_small_input(queries).select(F.col(id_col).cast("long").alias("query_id"),
                           F.posexplode(T.tokens(F.col(text_col))).alias("pos", "tok"))
     return toks.where(~T.is_stopword(F.col("tok"), stopwords))
 

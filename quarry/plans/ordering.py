@@ -9,6 +9,7 @@ bucket).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ def dense_index(df: DataFrame, order_cols: list[str], out_col: str,
                 num_buckets: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # read three times (cut points, numbering, counts): keep it once
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     lead = order_cols[0]
     probs = [i / n for i in range(1, n)]
     # n - 1 cut points: a bounded list, fetched to the driver and inlined

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import index as I
 from quarry.operators import search as S
+from quarry.plans.sizing import spread_small_input
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small_input(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +217,7 @@ def doc_text(spark, d):
 def corpus_synonyms(spark, d):
     """Synonym table derived from the corpus: each surface word's first sense
     lists the word itself, then its stem (when it differs)."""
-    vocab = stem_vocabulary(spark, d)
+    vocab = stem_vocabulary(spark, d).persist()
     first = vocab.select(F.col("surface").alias("word"), F.lit(0).alias("sense_rank"),
                          F.lit(0).alias("lemma_rank"), F.col("surface").alias("lemma"))
     second = vocab.where(F.col("term") != F.col("surface")).select(

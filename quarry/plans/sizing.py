@@ -40,3 +40,32 @@ def hinted(df: DataFrame, sized: Sized) -> DataFrame:
     """Broadcast-hint a side derived from ``sized`` whose row count cannot
     exceed ``sized.rows`` (e.g. an inner join on a unique key of the other side)."""
     return F.broadcast(df) if sized.broadcast else df
+
+
+# below this estimated size an input is spread over all cores before heavy
+# per-row work; above it the scan already yields plenty of splits
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (file sizes for a scan)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: leave the input as is
+        return None
+
+
+def spread_small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Round-robin a small input over the cluster's cores.
+
+    A small file can hold a single row group, which the scan gives to one
+    task however many splits it plans; the per-row text work (regexes,
+    stemming) then runs on one core.  Only inputs whose estimated size is
+    within ``max_bytes`` are moved (a cheap shuffle); large inputs keep
+    their scan splits and are never shuffled here.
+    """
+    size = estimated_bytes(df)
+    if size is None or size > max_bytes:
+        return df
+    n = df.sparkSession.sparkContext.defaultParallelism * 2
+    return df.repartition(n)
