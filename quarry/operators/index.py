@@ -104,6 +104,8 @@ class Index:
     term_stats: DataFrame  # term, df, cf, idf
     weights: DataFrame     # term, doc_id, tf, w, nw
     doc_norms: DataFrame   # doc_id, norm
+    # stored indexes: weights and term_stats carry a term bucket column "tb"
+    n_buckets: int | None = None
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -73,10 +73,18 @@ def query_term_counts(qterms: DataFrame) -> DataFrame:
     return qterms.groupBy("query_id", "term").agg(F.count(F.lit(1)).cast("long").alias("qtf"))
 
 
-def query_weights(qtf: DataFrame, stats: DataFrame) -> DataFrame:
-    """(query_id, term, qtf, qw = qtf * idf); unknown terms drop out."""
-    return qtf.join(stats.select("term", "idf"), "term").select(
-        "query_id", "term", "qtf", (F.col("qtf") * F.col("idf")).alias("qw"))
+def _keys(n_buckets: int | None) -> list[str]:
+    return ["term", "tb"] if n_buckets else ["term"]
+
+
+def query_weights(qtf: DataFrame, stats: DataFrame, n_buckets: int | None = None) -> DataFrame:
+    """(query_id, term, qtf, qw = qtf * idf); unknown terms drop out.
+
+    On a stored index the term bucket joins too, which lets dynamic
+    partition pruning skip the buckets of ``stats`` without query terms."""
+    keys = _keys(n_buckets)
+    return qtf.join(stats.select(*keys, "idf"), keys).select(
+        "query_id", *keys, "qtf", (F.col("qtf") * F.col("idf")).alias("qw"))
 
 
 def query_norms(qweights: DataFrame) -> DataFrame:
@@ -92,9 +100,10 @@ def candidate_docs(qterms: DataFrame, post: DataFrame) -> DataFrame:
     return qt.join(post.select("term", "doc_id"), "term").select("query_id", "doc_id").distinct()
 
 
-def _dot_parts(qweights: DataFrame, weights: DataFrame) -> DataFrame:
+def _dot_parts(qweights: DataFrame, weights: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """(query_id, doc_id, part = qw * w / doc_norm) for every matching posting."""
-    return weights.select("term", "doc_id", "nw").join(qweights, "term").select(
+    keys = _keys(n_buckets)
+    return weights.select(*keys, "doc_id", "nw").join(qweights.drop("qtf"), keys).select(
         "query_id", "doc_id", (F.col("qw") * F.col("nw")).alias("part"))
 
 
@@ -122,17 +131,25 @@ class QuerySide:
                  synonyms: DataFrame | None = None, stem: bool = True,
                  max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS):
         qterms = normalize_queries(queries, id_col, text_col, stopwords, synonyms, stem)
-        self.sized = sizing.measure(query_term_counts(qterms), max_broadcast_rows)
-        self.qtf = self.sized.side()
+        counts = query_term_counts(qterms)
+        self.n_buckets = index.n_buckets
+        if self.n_buckets:
+            from quarry.sources.store import term_bucket
+            counts = counts.withColumn("tb", term_bucket(F.col("term"), self.n_buckets))
+        self.sized = sizing.measure(counts, max_broadcast_rows)
+        # every kept row counts at least once; stated as a filter, it also
+        # marks the side as selective for dynamic partition pruning
+        self.qtf = sizing.hinted(self.sized.df.where(F.col("qtf") > 0), self.sized)
         # an inner join on the unique term key cannot add rows
-        self.qweights = sizing.hinted(query_weights(self.qtf, index.term_stats), self.sized)
+        self.qweights = sizing.hinted(
+            query_weights(self.qtf, index.term_stats, self.n_buckets), self.sized)
         self.qnorms = sizing.hinted(query_norms(self.qweights), self.sized)
         self.query_ids = queries.select(F.col(id_col).cast("long").alias("query_id"))
 
 
 def cosine_scores(index: Index, qs: QuerySide) -> DataFrame:
     """(query_id, doc_id, score) for every candidate document."""
-    return _scores(_dot_parts(qs.qweights, index.weights), qs.qnorms)
+    return _scores(_dot_parts(qs.qweights, index.weights, qs.n_buckets), qs.qnorms)
 
 
 def search(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
@@ -160,7 +177,7 @@ def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> Da
     fill = qs.query_ids.select("query_id", F.explode(fill_list).alias("f")).select(
         "query_id", F.col("f.doc_id").alias("doc_id"),
         F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))
-    parts = _dot_parts(qs.qweights, index.weights).unionByName(fill)
+    parts = _dot_parts(qs.qweights, index.weights, qs.n_buckets).unionByName(fill)
     qnorms = qs.query_ids.join(qs.qnorms, "query_id", "left").select(
         "query_id", F.coalesce("qnorm", F.lit(0.0)).alias("qnorm"))
     return rank_top_k(_scores(parts, qnorms), k)

@@ -1,42 +1,61 @@
 """Persist and load the index tables (S5, S6) as parquet.
 
-The weights are range-partitioned on (term, doc_id) and sorted inside each
-file, so a file covers a term range and row-group statistics let a scan
-filtered on ``term`` skip the rest; a frequent term spreads over several
-files instead of one oversized task.  Writing the tables is also the
-lineage cut between the build and the query jobs.
+Weights and term statistics are partitioned by a term bucket
+``tb = pmod(xxhash64(term), n_buckets)``.  A search joins on the bucket as
+well as on the term, so Spark's dynamic partition pruning lists only the
+buckets that hold query terms — one interactive query reads a few buckets
+of the index, not all of it.  Inside a bucket, rows are range-partitioned
+on (term, doc_id) (a frequent term spreads over several files instead of
+one oversized task) and sorted, so row-group statistics skip other terms.
+Writing the tables is also the lineage cut between build and query jobs.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
 
 TABLES = ["docs", "term_stats", "weights", "doc_norms"]
+DEFAULT_BUCKETS = 64
 
 
-def save_index(index: Index, path: str, num_files: int | None = None) -> None:
+def term_bucket(term: Column, n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
+
+
+def _bucketed(df: DataFrame, n_buckets: int, n_files: int, keys: list[str]) -> DataFrame:
+    return (df.withColumn("tb", term_bucket(F.col("term"), n_buckets))
+              .repartitionByRange(n_files, "tb", *keys).sortWithinPartitions("tb", *keys))
+
+
+def save_index(index: Index, path: str, num_files: int | None = None,
+               n_buckets: int = DEFAULT_BUCKETS) -> None:
     """Write docs, weights (with tf), term_stats and doc_norms.  The postings
     are kept (memory, spilling to disk; recomputed if an executor is lost)
-    while the three tables that read them are written."""
+    while the tables that read them are written."""
     spark = index.postings.sparkSession
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     index.postings.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         index.docs.write.mode("overwrite").parquet(f"{path}/docs")
-        (index.weights.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
-            .write.mode("overwrite").parquet(f"{path}/weights"))
-        (index.term_stats.repartitionByRange(n, "term").sortWithinPartitions("term")
-            .write.mode("overwrite").parquet(f"{path}/term_stats"))
+        (_bucketed(index.weights, n_buckets, n, ["term", "doc_id"])
+            .write.mode("overwrite").partitionBy("tb").parquet(f"{path}/weights"))
+        (_bucketed(index.term_stats, n_buckets, n, ["term"])
+            .write.mode("overwrite").partitionBy("tb").parquet(f"{path}/term_stats"))
         index.doc_norms.write.mode("overwrite").parquet(f"{path}/doc_norms")
+        spark.createDataFrame([(n_buckets,)], "n_buckets int").write.mode("overwrite").parquet(
+            f"{path}/meta")
     finally:
         index.postings.unpersist()
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
     t = {name: spark.read.parquet(f"{path}/{name}") for name in TABLES}
+    n_buckets = spark.read.parquet(f"{path}/meta").first()["n_buckets"]
     # postings are the (term, doc_id, tf) columns of the stored weights
     postings = t["weights"].select("term", "doc_id", "tf")
-    return Index(t["docs"], postings, t["term_stats"], t["weights"], t["doc_norms"])
+    return Index(t["docs"], postings, t["term_stats"], t["weights"], t["doc_norms"],
+                 n_buckets=n_buckets)

@@ -116,3 +116,19 @@ def test_index_round_trip(spark, tmpdir_path):
     assert before == after
     assert loaded.doc_norms.count() == 3
     assert sorted(r.term for r in loaded.term_stats.collect()) == ["appl", "banana", "cherri"]
+
+
+def test_stored_index_prunes_term_buckets(spark, tmpdir_path):
+    import contextlib
+    import io
+    docs = spark.createDataFrame([(i, f"word{i} common") for i in range(40)], "doc_id long, text string")
+    save_index(I.build_index(docs), os.path.join(tmpdir_path, "idx"), n_buckets=16)
+    idx = load_index(spark, os.path.join(tmpdir_path, "idx"))
+    q = spark.createDataFrame([(1, "word7")], "query_id long, text string")
+    hits = S.search(idx, q, k=3)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        hits.explain("formatted")
+    assert "dynamicpruningexpression(tb" in buf.getvalue()
+    got = hits.collect()
+    assert [h.doc_id for h in got] == [7]
