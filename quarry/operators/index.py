@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.plans.ordering import dense_index
+from quarry.plans import sizing
 from quarry.plans.sizing import spread_small_input
 
 
@@ -62,10 +63,40 @@ def term_stats(post: DataFrame, n_docs: Column) -> DataFrame:
     return stats.withColumn("idf", F.log2(n_docs / F.col("df")))
 
 
-def tfidf_weights(post: DataFrame, stats: DataFrame) -> DataFrame:
+# a term whose postings list reaches this length is "hot": its rows must not
+# meet in one task of a shuffle join
+HOT_TERM_DF = 1_000_000
+
+
+def join_stats(post: DataFrame, stats: DataFrame, cols: list[str],
+               hot_df: int = HOT_TERM_DF, max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS
+               ) -> DataFrame:
+    """postings ⋈ term statistics on ``term``, safe for hot terms.
+
+    The statistics are measured: within the broadcast bound they are all
+    broadcast (no shuffle of the postings).  Beyond it, the hot terms
+    (df >= hot_df; there are at most #postings / hot_df of them) are
+    broadcast and joined map-side, and only the remaining postings — no term
+    holding more than hot_df rows — are shuffled into a sort-merge join.
+    """
+    side = stats.select("term", *cols)
+    measured = sizing.measure(side, max_broadcast_rows)
+    if measured.broadcast:
+        return post.join(F.broadcast(measured.df), "term")
+    hot = sizing.measure(stats.where(F.col("df") >= hot_df).select("term", *cols), max_broadcast_rows)
+    if not hot.broadcast:  # a bound this large leaves only AQE skew-join splitting
+        return post.join(measured.df, "term")
+    hot_part = post.join(F.broadcast(hot.df), "term")
+    cold_post = post.join(F.broadcast(hot.df.select("term")), "term", "left_anti")
+    cold_part = cold_post.join(stats.where(F.col("df") < hot_df).select("term", *cols), "term")
+    return hot_part.unionByName(cold_part)
+
+
+def tfidf_weights(post: DataFrame, stats: DataFrame, hot_df: int = HOT_TERM_DF,
+                  max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """(term, doc_id, tf, w) with w = tf * idf (zeros kept)."""
-    return post.join(stats.select("term", "idf"), "term").select(
-        "term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    joined = join_stats(post, stats, ["idf"], hot_df, max_broadcast_rows)
+    return joined.select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 def sparse_weights(weights: DataFrame) -> DataFrame:
@@ -88,13 +119,12 @@ def unit_weights(weights: DataFrame, norms: DataFrame) -> DataFrame:
         "term", "doc_id", "tf", "w", F.try_divide(F.col("w"), F.col("norm")).alias("nw"))
 
 
-def inverted_index(post: DataFrame, stats: DataFrame) -> DataFrame:
+def inverted_index(post: DataFrame, stats: DataFrame, hot_df: int = HOT_TERM_DF) -> DataFrame:
     """A5: index entries in long form, (term, df, cf, doc_id, tf), one row per
     posting.  A frequent term's list can hold every document, so the list is
     never gathered into one row (or one task); read it back ordered by
     (term, doc_id) from the stored, sorted postings."""
-    return post.join(stats.select("term", "df", "cf"), "term").select(
-        "term", "df", "cf", "doc_id", "tf")
+    return join_stats(post, stats, ["df", "cf"], hot_df).select("term", "df", "cf", "doc_id", "tf")
 
 
 @dataclass
@@ -109,7 +139,9 @@ class Index:
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                stopwords: list[str] | None = None, stem: bool = True) -> Index:
+                stopwords: list[str] | None = None, stem: bool = True,
+                hot_df: int = HOT_TERM_DF,
+                max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS) -> Index:
     """The whole offline build as one lazy lineage."""
     docs = docs.withColumn("doc_id", F.col(id_col).cast("long")) if id_col != "doc_id" else docs
     terms = normalized_terms(spread_small_input(docs), "doc_id", text_col, stopwords, stem)
@@ -118,6 +150,6 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # and stemmed once, not once per consumer
     post = postings(terms).persist(StorageLevel.MEMORY_AND_DISK)
     stats = term_stats(post, collection_size(docs))
-    weights = tfidf_weights(post, stats)
+    weights = tfidf_weights(post, stats, hot_df, max_broadcast_rows)
     norms = doc_norms(docs, weights)
     return Index(docs, post, stats, unit_weights(weights, norms), norms)

@@ -163,3 +163,15 @@ def test_labels(spark, four):
     hits = S.search(four, queries_df(spark, ["apple"]), k=10)
     labels = sorted(r.label for r in S.label_hits(hits, docs).collect())
     assert labels == ["1 : Title one", "3 : Title three"]
+
+
+def test_hot_term_split_join_matches_plain_join(spark):
+    """Force the split path: nothing fits the broadcast bound except the hot
+    terms, and every term in more than 2 documents is hot."""
+    docs = docs_df(spark, ["apple banana", "apple cherry", "apple banana date", "egg"])
+    post = I.postings(I.normalized_terms(docs))
+    stats = I.term_stats(post, I.collection_size(docs))
+    split = I.tfidf_weights(post, stats, hot_df=3, max_broadcast_rows=1)
+    plain = post.join(stats, "term").select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    assert sorted(split.collect()) == sorted(plain.collect())
+    assert split.count() == 8
