@@ -96,7 +96,9 @@ def query_norms(qweights: DataFrame) -> DataFrame:
 def candidate_docs(qterms: DataFrame, post: DataFrame) -> DataFrame:
     """Distinct (query_id, doc_id) holding any query term (an
     idf-0 term still makes a candidate)."""
-    qt = qterms.select("query_id", "term").distinct()
+    qt = qterms.select("query_id", "term")
+    if "qtf" not in qterms.columns:  # raw query terms repeat; counted ones are distinct
+        qt = qt.distinct()
     return qt.join(post.select("term", "doc_id"), "term").select("query_id", "doc_id").distinct()
 
 

@@ -145,7 +145,8 @@ def query_norms(spark, d):
 @register("candidate_docs")
 def candidate_docs(spark, d):
     idx = corpus_index(spark, d)
-    return S.candidate_docs(S.normalize_queries(query_table(spark, d)), idx.postings)
+    qs = S.QuerySide(idx, query_table(spark, d))
+    return S.candidate_docs(qs.qtf, idx.postings)
 
 
 @register("cosine_scores")

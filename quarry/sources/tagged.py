@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from quarry.functions.text import record_text
 
 RECORD_SEP = "\n.I "
-# Section markers of the collection format.
-DOC_MARKERS = [".T", ".W", ".B", ".A", ".N", ".K", ".X"]
 
 
 def _records(spark: SparkSession, path: str) -> DataFrame:

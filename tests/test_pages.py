@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarry.operators.pages import Selectors, enrich_hits, page_fields, tag_catalogue
+from quarry.operators.pages import enrich_hits, page_fields, tag_catalogue
 
 PAGE_FULL = (
     '<html><head><meta property="og:description" content="A fine game."></head><body>'
