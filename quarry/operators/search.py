@@ -9,6 +9,7 @@ on ``query_id``, so at most k rows per query and partition move.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -190,7 +191,8 @@ def search_eval(index: Index, queries: DataFrame, **kw) -> DataFrame:
     otherwise all of them (up to 9).  No synonym expansion."""
     kw.pop("synonyms", None)
     qs = QuerySide(index, queries, **kw)
-    scores = cosine_scores(index, qs)
+    # read twice (ranking and candidate counts): scored once, kept on disk/memory
+    scores = cosine_scores(index, qs).persist(StorageLevel.MEMORY_AND_DISK)
     counts = scores.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_candidates"))
     top = rank_top_k(scores, 10)
     return top.join(counts, "query_id").where(
