@@ -207,7 +207,8 @@ ORACLE["search_labels"] = full(
     "split_part(d.text, chr(10), 1) AS label FROM evalcut e JOIN documents d ON e.doc_id = d.doc_id",
     extra=_EVAL)
 
-_NAMEQ = "(SELECT min(p_partkey) AS qid, p_name FROM part GROUP BY p_name)"
+_NAMEQ = ("(SELECT item_id AS qid, text AS p_name FROM benchmark UNION ALL "
+          "SELECT -1 - min(p_partkey) AS qid, p_name FROM part GROUP BY p_name)")
 ORACLE["search_status"] = full(
     "SELECT q.qid AS query_id, CAST(count(t.doc_id) AS BIGINT) AS n_hits, "
     "CASE WHEN count(t.doc_id) > 0 THEN 'found' ELSE 'no_result' END AS status "

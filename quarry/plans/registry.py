@@ -250,9 +250,11 @@ def search_eval_cut(spark, d):
 
 
 def name_queries(spark, d):
-    """Distinct part names as queries (many have no indexed word)."""
-    return table(spark, d, "part").groupBy("p_name").agg(
-        F.min("p_partkey").alias("query_id")).select("query_id", F.col("p_name").alias("text"))
+    """Benchmark items plus the distinct part names (ids -1 - min key), which
+    hold no indexed word: queries with and without results."""
+    names = table(spark, d, "part").groupBy("p_name").agg(
+        (-1 - F.min("p_partkey")).alias("query_id")).select("query_id", F.col("p_name").alias("text"))
+    return query_table(spark, d).unionByName(names)
 
 
 @register("search_status")
