@@ -127,7 +127,14 @@ def rank_top_k(scores: DataFrame, k: int) -> DataFrame:
 
 
 class QuerySide:
-    """Query terms measured once; broadcast when within the bound."""
+    """Query terms measured once; broadcast when within the bound.
+
+    A query side beyond the bound is not shuffled against the weights (that
+    would move every posting, hot terms included): ``chunks()`` splits it by
+    a hash of ``query_id`` into parts whose measured sizes fit the bound;
+    each part is broadcast and the per-part results are unioned.  A query
+    lives in exactly one part, so per-query rankings are unchanged.
+    """
 
     def __init__(self, index: Index, queries: DataFrame, id_col: str = "query_id",
                  text_col: str = "text", stopwords: list[str] | None = None,
@@ -135,24 +142,59 @@ class QuerySide:
                  max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS):
         qterms = normalize_queries(queries, id_col, text_col, stopwords, synonyms, stem)
         counts = query_term_counts(qterms)
+        self.index = index
         self.n_buckets = index.n_buckets
+        self.max_rows = max_broadcast_rows
         if self.n_buckets:
             from quarry.sources.store import term_bucket
             counts = counts.withColumn("tb", term_bucket(F.col("term"), self.n_buckets))
         self.sized = sizing.measure(counts, max_broadcast_rows)
+        self.query_ids = queries.select(F.col(id_col).cast("long").alias("query_id"))
+        self._use(self.sized.df, self.sized.broadcast)
+
+    def _use(self, counts: DataFrame, broadcast: bool) -> None:
+        hint = F.broadcast if broadcast else (lambda d: d)
+        self.broadcast = broadcast
         # every kept row counts at least once; stated as a filter, it also
         # marks the side as selective for dynamic partition pruning
-        self.qtf = sizing.hinted(self.sized.df.where(F.col("qtf") > 0), self.sized)
+        self.qtf = hint(counts.where(F.col("qtf") > 0))
         # an inner join on the unique term key cannot add rows
-        self.qweights = sizing.hinted(
-            query_weights(self.qtf, index.term_stats, self.n_buckets), self.sized)
-        self.qnorms = sizing.hinted(query_norms(self.qweights), self.sized)
-        self.query_ids = queries.select(F.col(id_col).cast("long").alias("query_id"))
+        self.qweights = hint(query_weights(self.qtf, self.index.term_stats, self.n_buckets))
+        self.qnorms = hint(query_norms(self.qweights))
+
+    def chunks(self, max_doublings: int = 12) -> list["QuerySide"]:
+        if self.sized.broadcast:
+            return [self]
+        n = max(2, -(-2 * self.sized.rows // self.max_rows))
+        part = None
+        for _ in range(max_doublings):
+            part = F.pmod(F.xxhash64("query_id"), F.lit(n))
+            # one row per part: a bounded result on the driver
+            sizes = {r[0]: r[1] for r in self.sized.df.groupBy(part.alias("p")).count().collect()}
+            if max(sizes.values()) <= self.max_rows:
+                break
+            n *= 2
+        out = []
+        for i in range(n):
+            c = object.__new__(QuerySide)
+            c.index, c.n_buckets, c.max_rows, c.sized = self.index, self.n_buckets, self.max_rows, self.sized
+            c.query_ids = self.query_ids.where(part == i)
+            c._use(self.sized.df.where(part == i), sizes.get(i, 0) <= self.max_rows)
+            out.append(c)
+        return out
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def cosine_scores(index: Index, qs: QuerySide) -> DataFrame:
     """(query_id, doc_id, score) for every candidate document."""
-    return _scores(_dot_parts(qs.qweights, index.weights, qs.n_buckets), qs.qnorms)
+    return _union([_scores(_dot_parts(c.qweights, index.weights, c.n_buckets), c.qnorms)
+                   for c in qs.chunks()])
 
 
 def search(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
@@ -160,7 +202,8 @@ def search(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
     (query_id, rank, doc_id, score).  A query without an indexed term has
     no rows (R10)."""
     qs = QuerySide(index, queries, **kw)
-    return rank_top_k(cosine_scores(index, qs), k)
+    return _union([rank_top_k(_scores(_dot_parts(c.qweights, index.weights, c.n_buckets), c.qnorms), k)
+                   for c in qs.chunks()])
 
 
 def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
@@ -177,13 +220,16 @@ def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> Da
     first_zero = norms.where(F.col("norm") == 0).orderBy("doc_id").limit(k)
     fill_list = first_nonzero.unionByName(first_zero).select(
         F.collect_list(F.struct("doc_id", (F.col("norm") > 0).alias("has_norm")))).scalar()
-    fill = qs.query_ids.select("query_id", F.explode(fill_list).alias("f")).select(
-        "query_id", F.col("f.doc_id").alias("doc_id"),
-        F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))
-    parts = _dot_parts(qs.qweights, index.weights, qs.n_buckets).unionByName(fill)
-    qnorms = qs.query_ids.join(qs.qnorms, "query_id", "left").select(
-        "query_id", F.coalesce("qnorm", F.lit(0.0)).alias("qnorm"))
-    return rank_top_k(_scores(parts, qnorms), k)
+    results = []
+    for c in qs.chunks():
+        fill = c.query_ids.select("query_id", F.explode(fill_list).alias("f")).select(
+            "query_id", F.col("f.doc_id").alias("doc_id"),
+            F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))
+        parts = _dot_parts(c.qweights, index.weights, c.n_buckets).unionByName(fill)
+        qnorms = c.query_ids.join(c.qnorms, "query_id", "left").select(
+            "query_id", F.coalesce("qnorm", F.lit(0.0)).alias("qnorm"))
+        results.append(rank_top_k(_scores(parts, qnorms), k))
+    return _union(results)
 
 
 def search_eval(index: Index, queries: DataFrame, **kw) -> DataFrame:

@@ -175,3 +175,21 @@ def test_hot_term_split_join_matches_plain_join(spark):
     plain = post.join(stats, "term").select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"))
     assert sorted(split.collect()) == sorted(plain.collect())
     assert split.count() == 8
+
+
+def test_oversized_query_side_is_chunked(spark, four):
+    """With a broadcast bound of 2 rows the 7 (query, term) rows are split by
+    query id into parts that each fit; results equal the one-part run."""
+    texts = ["apple", "banana cherry", "apple cherry", "cherry", "banana apple", "durian"]
+    q = queries_df(spark, texts)
+    qs = S.QuerySide(four, q, max_broadcast_rows=2)
+    parts = qs.chunks()
+    assert len(parts) >= 4 and all(p.broadcast for p in parts)
+    small = sorted(S.search(four, q, k=3, max_broadcast_rows=2).collect())
+    whole = sorted(S.search(four, q, k=3).collect())
+    assert small == whole and len(whole) > 0
+    ex_small = sorted(S.search_exhaustive(four, q, k=3, max_broadcast_rows=2).collect(), key=repr)
+    ex_whole = sorted(S.search_exhaustive(four, q, k=3).collect(), key=repr)
+    assert ex_small == ex_whole
+    ev_small = sorted(S.search_eval(four, q, max_broadcast_rows=2).collect())
+    assert ev_small == sorted(S.search_eval(four, q).collect())
