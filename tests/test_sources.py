@@ -132,3 +132,18 @@ def test_stored_index_prunes_term_buckets(spark, tmpdir_path):
     assert "dynamicpruningexpression(tb" in buf.getvalue()
     got = hits.collect()
     assert [h.doc_id for h in got] == [7]
+
+
+def test_tagged_queries_64_vs_32(spark, tmpdir_path):
+    recs = []
+    for i in range(1, 65):
+        authors = f".A\nAuthor{i}, X.\n" if i % 8 == 0 else ""
+        recs.append(f".I {i}\n.W\n query number {i} about topic{i}\nsecond line {i}\n{authors}.N\n {i}. note\n")
+    p = write(os.path.join(tmpdir_path, "q64.txt"), "".join(recs))
+    every = read_tagged_queries(spark, p)
+    assert every.count() == 64
+    assert every.where(F.col("authors").isNotNull()).count() == 8
+    odd = {r.query_id: r.text for r in read_tagged_queries(spark, p, odd_only=True).collect()}
+    assert sorted(odd) == list(range(1, 33))
+    # query k of the odd-only reader is record 2k - 1, note included
+    assert "topic5" in odd[3] and "5. note" in odd[3]
