@@ -136,6 +136,7 @@ class Index:
     doc_norms: DataFrame   # doc_id, norm
     # stored indexes: weights and term_stats carry a term bucket column "tb"
     n_buckets: int | None = None
+    text_col: str = "text"     # not stored with the index (the corpus stays where it is)
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -152,4 +153,4 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stats = term_stats(post, collection_size(docs))
     weights = tfidf_weights(post, stats, hot_df, max_broadcast_rows)
     norms = doc_norms(docs, weights)
-    return Index(docs, post, stats, unit_weights(weights, norms), norms)
+    return Index(docs, post, stats, unit_weights(weights, norms), norms, text_col=text_col)

@@ -40,7 +40,8 @@ def save_index(index: Index, path: str, num_files: int | None = None,
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     index.postings.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+        # ids and attributes only: the text is not copied into the index
+        index.docs.drop(index.text_col).write.mode("overwrite").parquet(f"{path}/docs")
         (_bucketed(index.weights, n_buckets, n, ["term", "doc_id"])
             .write.mode("overwrite").partitionBy("tb").parquet(f"{path}/weights"))
         (_bucketed(index.term_stats, n_buckets, n, ["term"])
