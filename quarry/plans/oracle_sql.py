@@ -203,8 +203,8 @@ evalcut AS (SELECT t.query_id, t.rank, t.doc_id, t.score FROM top t JOIN cnt c O
             WHERE t.rank <= CASE WHEN c.n >= 10 THEN 5 ELSE c.n END)"""
 ORACLE["search_eval_cut"] = full("SELECT query_id, rank, doc_id, score FROM evalcut", extra=_EVAL)
 ORACLE["search_labels"] = full(
-    "SELECT e.query_id, e.rank, e.doc_id, e.score, CAST(e.doc_id AS VARCHAR) || ' : ' || "
-    "split_part(d.text, chr(10), 1) AS label FROM evalcut e JOIN documents d ON e.doc_id = d.doc_id",
+    "SELECT e.query_id, e.rank, e.doc_id, e.score, concat_ws(' : ', CAST(e.doc_id AS VARCHAR), "
+    "split_part(d.text, chr(10), 1)) AS label FROM evalcut e JOIN documents d ON e.doc_id = d.doc_id",
     extra=_EVAL)
 
 _NAMEQ = ("(SELECT item_id AS qid, text AS p_name FROM benchmark UNION ALL "

@@ -184,7 +184,7 @@ def catalog_frames(spark, d):
     source/lang (so urls repeat), names null for Spanish rows, descriptions
     from labelled documents with full_desc null for toxic ones."""
     docs = table(spark, d, "documents")
-    url = F.concat_ws("/", "source", "lang")
+    url = F.concat(F.col("source"), F.lit("/"), F.col("lang"))
     catalog = docs.select(url.alias("url"), F.nullif(F.col("lang"), F.lit("es")).alias("name"),
                           F.col("source").alias("categories"), F.col("lang").alias("developer"),
                           F.col("n_chars").cast("string").alias("publisher"),
