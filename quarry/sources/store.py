@@ -1,62 +1,90 @@
 """Persist and load the index tables (S5, S6) as parquet.
 
-Weights and term statistics are partitioned by a term bucket
-``tb = pmod(xxhash64(term), n_buckets)``.  A search joins on the bucket as
-well as on the term, so Spark's dynamic partition pruning lists only the
-buckets that hold query terms — one interactive query reads a few buckets
-of the index, not all of it.  Inside a bucket, rows are range-partitioned
-on (term, doc_id) (a frequent term spreads over several files instead of
-one oversized task) and sorted, so row-group statistics skip other terms.
-Writing the tables is also the lineage cut between build and query jobs.
+The weights are a document-partitioned index with a term directory level:
+
+* bucketed by ``doc_id`` (``CLUSTERED BY (doc_id) INTO n BUCKETS``): a scan
+  reports hash partitioning on ``doc_id``, so a search sums each
+  (query, document) score inside the task that holds the document and keeps
+  only its top k per query; the (query, document) pairs never cross the
+  network, however many documents a frequent query word matches;
+* partitioned by a term bucket ``tb = pmod(xxhash64(term), n)``: the search
+  joins on ``tb`` too, so dynamic partition pruning lists only the term
+  buckets holding query words (a single query reads a few of them);
+* sorted by ``term`` inside each file, so row-group statistics skip other
+  terms on a filtered read.
+
+The term statistics are partitioned by the same term bucket.  The tables
+are external catalog tables at the given path; ``load_index`` re-declares
+them in the session catalog (no metastore needed) and finds the partitions.
+Writing the index is the lineage cut between build and query jobs.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
 
-TABLES = ["docs", "term_stats", "weights", "doc_norms"]
 DEFAULT_BUCKETS = 64
+WEIGHTS_DDL = "term STRING, doc_id BIGINT, tf BIGINT, w DOUBLE, nw DOUBLE, tb INT"
 
 
 def term_bucket(term: Column, n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
 
 
-def _bucketed(df: DataFrame, n_buckets: int, n_files: int, keys: list[str]) -> DataFrame:
-    return (df.withColumn("tb", term_bucket(F.col("term"), n_buckets))
-              .repartitionByRange(n_files, "tb", *keys).sortWithinPartitions("tb", *keys))
+def _table(path: str) -> str:
+    return "quarry_weights_" + hashlib.sha1(path.encode()).hexdigest()[:12]
 
 
 def save_index(index: Index, path: str, num_files: int | None = None,
-               n_buckets: int = DEFAULT_BUCKETS) -> None:
-    """Write docs, weights (with tf), term_stats and doc_norms.  The postings
-    are kept (memory, spilling to disk; recomputed if an executor is lost)
-    while the tables that read them are written."""
+               n_buckets: int = DEFAULT_BUCKETS, doc_buckets: int | None = None) -> None:
+    """Write docs (ids and attributes), weights, term_stats and doc_norms.
+
+    The postings are kept (memory, spilling to disk; recomputed if an
+    executor is lost) while the tables that read them are written."""
     spark = index.postings.sparkSession
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nd = doc_buckets or n
     index.postings.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # ids and attributes only: the text is not copied into the index
         index.docs.drop(index.text_col).write.mode("overwrite").parquet(f"{path}/docs")
-        (_bucketed(index.weights, n_buckets, n, ["term", "doc_id"])
-            .write.mode("overwrite").partitionBy("tb").parquet(f"{path}/weights"))
-        (_bucketed(index.term_stats, n_buckets, n, ["term"])
+        name = _table(path)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        weights = index.weights.select("term", "doc_id", "tf", "w", "nw").withColumn(
+            "tb", term_bucket(F.col("term"), n_buckets))
+        # one doc bucket per task (the same hash as the bucketing), so each
+        # task writes one file per term bucket
+        (weights.repartition(nd, "doc_id").write.mode("overwrite").partitionBy("tb")
+            .bucketBy(nd, "doc_id").sortBy("term").option("path", f"{path}/weights")
+            .saveAsTable(name))
+        (index.term_stats.withColumn("tb", term_bucket(F.col("term"), n_buckets))
+            .repartitionByRange(n, "tb", "term").sortWithinPartitions("tb", "term")
             .write.mode("overwrite").partitionBy("tb").parquet(f"{path}/term_stats"))
         index.doc_norms.write.mode("overwrite").parquet(f"{path}/doc_norms")
-        spark.createDataFrame([(n_buckets,)], "n_buckets int").write.mode("overwrite").parquet(
-            f"{path}/meta")
+        spark.createDataFrame([(n_buckets, nd)], "n_buckets int, doc_buckets int").write.mode(
+            "overwrite").parquet(f"{path}/meta")
     finally:
         index.postings.unpersist()
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
-    t = {name: spark.read.parquet(f"{path}/{name}") for name in TABLES}
-    n_buckets = spark.read.parquet(f"{path}/meta").first()["n_buckets"]
+    meta = spark.read.parquet(f"{path}/meta").first()
+    name = _table(path)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({WEIGHTS_DDL}) USING parquet PARTITIONED BY (tb) "
+        f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {meta['doc_buckets']} BUCKETS "
+        f"LOCATION '{path}/weights'")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+    weights = spark.table(name)
     # postings are the (term, doc_id, tf) columns of the stored weights
-    postings = t["weights"].select("term", "doc_id", "tf")
-    return Index(t["docs"], postings, t["term_stats"], t["weights"], t["doc_norms"],
-                 n_buckets=n_buckets)
+    postings = weights.select("term", "doc_id", "tf")
+    return Index(spark.read.parquet(f"{path}/docs"), postings,
+                 spark.read.parquet(f"{path}/term_stats"), weights,
+                 spark.read.parquet(f"{path}/doc_norms"), n_buckets=meta["n_buckets"])

@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -32,6 +33,9 @@ def test_query_step_plan(spark, tmpdir_path):
     assert "ReadSchema: struct<term:string,doc_id:bigint,nw:double>" in p
     assert p.count("WindowGroupLimit") >= 2
     assert "dynamicpruningexpression(tb" in p
+    # document-partitioned index: the (query, document) sums need no exchange
+    assert "Bucketed: true" in p
+    assert not re.search(r"hashpartitioning\(query_id#\d+L?, doc_id", p)
 
 
 def test_postings_shuffle_on_term_and_doc(spark):
