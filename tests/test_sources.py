@@ -93,7 +93,7 @@ def test_tagged_docs(spark, tmpdir_path):
 
 
 def test_catalog_csv(spark, tmpdir_path):
-    p = write(os.path.join(tmpdir_path, "steam.csv"),
+    p = write(os.path.join(tmpdir_path, "catalogue.csv"),
               'url,name,categories,developer,publisher\n'
               'u1,"Game, One","Action;Multi-player",Dev,Pub\n'
               'u2,"Two ""quoted""\nname",Indie,Dev2,Pub2\n'
