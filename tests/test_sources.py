@@ -147,3 +147,25 @@ def test_tagged_queries_64_vs_32(spark, tmpdir_path):
     assert sorted(odd) == list(range(1, 33))
     # query k of the odd-only reader is record 2k - 1, note included
     assert "topic5" in odd[3] and "5. note" in odd[3]
+
+
+def test_clean_flow_from_csv_files(spark, tmpdir_path):
+    from quarry.operators.clean import clean_catalog
+    from quarry.sources.catalog import read_descriptions
+    cat = write(os.path.join(tmpdir_path, "cat.csv"),
+                "url,name,categories,developer,publisher\n"
+                "u1,Old,Action,D,P\n"
+                "u2,,Puzzle,D,P\n"
+                "u1,New,Action;RPG,D,P\n"
+                "u3,Third,Indie,D,P\n")
+    des = write(os.path.join(tmpdir_path, "des.csv"),
+                "url,desc,full_desc\n"
+                'u1,"shared, text",x\n'
+                "u3,\"shared, text\",x\n"
+                "u2,two,x\n"
+                "u3,three,\n")
+    out = clean_catalog(read_catalog(spark, cat), read_descriptions(spark, des)).orderBy("doc_id").collect()
+    # catalogue: u1 keeps its last row ("New"); u2's last row has no name.
+    # descriptions: u3 keeps its last row, which has no full_desc; so u1's
+    # "shared, text" is no longer a duplicate and survives; u2 has no catalogue row.
+    assert [(r.doc_id, r.url, r.name, r.desc) for r in out] == [(0, "u1", "New", "shared, text")]
