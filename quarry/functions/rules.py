@@ -83,6 +83,31 @@ PORTER_STEP4 = [
 PORTER_DOUBLE_REDUCE = ["bb", "cc", "dd", "ff", "gg", "hh", "jj", "kk", "mm",
                         "nn", "pp", "qq", "rr", "tt", "vv", "ww", "xx"]
 
+# ---------------------------------------------------------------------------
+# The additions of NLTK's default Porter variant (used by the
+# reference), selectable with mode="nltk".  Irregular forms, in NLTK's order:
+# result <- surface words.
+# ---------------------------------------------------------------------------
+NLTK_IRREGULAR_FORMS = {
+    "sky": ["sky", "skies"],
+    "die": ["dying"],
+    "lie": ["lying"],
+    "tie": ["tying"],
+    "news": ["news"],
+    "inning": ["innings", "inning"],
+    "outing": ["outings", "outing"],
+    "canning": ["cannings", "canning"],
+    "howe": ["howe"],
+    "proceed": ["proceed"],
+    "exceed": ["exceed"],
+    "succeed": ["succeed"],
+}
+# step 2 in the NLTK variant: "bli" -> "ble" replaces "abli" -> "able", and
+# two rules are added; "logi" tests the measure of the stem that keeps its "l"
+NLTK_STEP2_REPLACED = ("abli", "able")
+NLTK_STEP2_INSTEAD = ("bli", "ble")
+NLTK_STEP2_ADDED = [("fulli", "ful"), ("logi", "log")]
+
 # Measure tests as regexes over the stem.  C = consonant run, V = vowel run;
 # "y" after a consonant is a vowel.  A leading "y" is written "Y" during
 # stemming so that it always counts as a consonant.
@@ -95,6 +120,10 @@ MEASURE_REGEX = {
     "*v*": f"^({_C})?[aeiouy]",
     # ends consonant-vowel-consonant, last not w/x/y, with m = 1
     "*o": "^[^aeiou][^aeiouy]*[aeiouy][^aeiouwxy]$",
+    # NLTK variant: a two-letter vowel-consonant stem also counts as *o
+    "*o2": "^[aeiou][^aeiou]$",
+    # NLTK variant of step 1c: the stem ends with a consonant
+    "*c": "([^aeiouy]|[aeiou]y)$",
 }
 
 
@@ -147,15 +176,20 @@ def _match(expr: str, regex: str, dialect: str) -> str:
     return f"regexp_matches({expr}, {sql_str(regex)})"
 
 
-def _cond(cond: str | None, stem: str, dialect: str) -> str:
+def _cond(cond: str | None, stem: str, dialect: str, nltk: bool = False) -> str:
     if cond is None:
         return "TRUE"
+    if cond == "*o" and nltk:
+        return (f"({_match(stem, MEASURE_REGEX['*o'], dialect)} OR "
+                f"{_match(stem, MEASURE_REGEX['*o2'], dialect)})")
+    if cond == "*c and len>1":
+        return f"(length({stem}) > 1 AND {_match(stem, MEASURE_REGEX['*c'], dialect)})"
     if cond == "m>1 and (*S or *T)":
         return (f"({_match(stem, MEASURE_REGEX['m>1'], dialect)} AND "
                 f"({stem} LIKE '%s' OR {stem} LIKE '%t'))")
     if cond == "m=1 and *o":
         return (f"({_match(stem, MEASURE_REGEX['m=1'], dialect)} AND "
-                f"{_match(stem, MEASURE_REGEX['*o'], dialect)})")
+                f"{_cond('*o', stem, dialect, nltk)})")
     return _match(stem, MEASURE_REGEX[cond], dialect)
 
 
@@ -168,29 +202,45 @@ def _suffix_case(w: str, rules, dialect: str) -> str:
     condition then fails (the word is kept unchanged in that case)."""
     ordered = sorted(rules, key=lambda r: -len(r[0]))
     branches = []
-    for suffix, rep, cond in ordered:
+    for suffix, rep, cond, *cond_strip in ordered:
         stem = _strip(w, len(suffix))
         new = f"concat({stem}, {sql_str(rep)})" if rep else stem
         if cond is None:
             branches.append(f"WHEN {w} LIKE '%{suffix}' THEN {new}")
         else:
+            tested = _strip(w, cond_strip[0]) if cond_strip else stem
             branches.append(
-                f"WHEN {w} LIKE '%{suffix}' THEN CASE WHEN {_cond(cond, stem, dialect)} "
+                f"WHEN {w} LIKE '%{suffix}' THEN CASE WHEN {_cond(cond, tested, dialect)} "
                 f"THEN {new} ELSE {w} END")
     return "CASE " + " ".join(branches) + f" ELSE {w} END"
 
 
-def porter_stages(dialect: str, w: str = "w") -> list[str]:
+def porter_stages(dialect: str, w: str = "w", mode: str = "porter") -> list[str]:
     """SQL expressions, each rewriting column ``w`` from the previous stage.
 
-    Stages must stay separate projections: every stage reads ``w`` many
-    times, so folding them into one expression would grow exponentially.
+    ``mode="porter"``: the rules of the 1980 paper.  ``mode="nltk"``: with
+    the additions of NLTK's default variant (short ``ies``/``ied`` words,
+    step 1c only after a consonant, ``alli`` first, ``bli``/``fulli``/``logi``,
+    two-letter *o); irregular forms are applied by the caller
+    (:func:`irregular_case`).  Every stage reads ``w`` many times, so the
+    stages must not be folded into one expression by plain substitution.
     """
+    if mode not in ("porter", "nltk"):
+        raise ValueError(f"unknown stemmer mode {mode!r}")
+    nltk = mode == "nltk"
     stages = []
     # mark a leading y as consonant
     stages.append(f"CASE WHEN {w} LIKE 'y%' THEN concat('Y', substr({w}, 2)) ELSE {w} END")
-    stages.append(_suffix_case(w, PORTER_STEP1A, dialect))
-    stages.append(_suffix_case(w, PORTER_STEP1B, dialect))
+    step1a = _suffix_case(w, PORTER_STEP1A, dialect)
+    if nltk:
+        step1a = (f"CASE WHEN {w} LIKE '%ies' AND length({w}) = 4 THEN concat({_strip(w, 3)}, 'ie') "
+                  f"ELSE {step1a} END")
+    stages.append(step1a)
+    step1b = _suffix_case(w, PORTER_STEP1B, dialect)
+    if nltk:
+        step1b = (f"CASE WHEN {w} LIKE '%ied' THEN concat({_strip(w, 3)}, "
+                  f"CASE WHEN length({w}) = 4 THEN 'ie' ELSE 'i' END) ELSE {step1b} END")
+    stages.append(step1b)
     s = _strip(w, 1)
     add_e = " OR ".join(f"{s} LIKE '%{x}'" for x in PORTER_STEP1B_ADD_E)
     dbl = "(" + "|".join(PORTER_DOUBLE_REDUCE) + ")$"
@@ -198,37 +248,55 @@ def porter_stages(dialect: str, w: str = "w") -> list[str]:
         f"CASE WHEN {w} NOT LIKE '%~' THEN {w} "
         f"WHEN {add_e} THEN concat({s}, 'e') "
         f"WHEN {_match(s, dbl, dialect)} THEN {_strip(s, 1)} "
-        f"WHEN {_cond('m=1 and *o', s, dialect)} THEN concat({s}, 'e') "
+        f"WHEN {_cond('m=1 and *o', s, dialect, nltk)} THEN concat({s}, 'e') "
         f"ELSE {s} END")
-    stages.append(_suffix_case(w, PORTER_STEP1C, dialect))
-    stages.append(_suffix_case(w, [(a, b, "m>0") for a, b in PORTER_STEP2], dialect))
+    step1c = [(a, b, "*c and len>1") for a, b, _ in PORTER_STEP1C] if nltk else PORTER_STEP1C
+    stages.append(_suffix_case(w, step1c, dialect))
+    step2 = [(a, b, "m>0") for a, b in PORTER_STEP2]
+    if nltk:
+        stages.append(f"CASE WHEN {w} LIKE '%alli' AND {_cond('m>0', _strip(w, 4), dialect)} "
+                      f"THEN concat({_strip(w, 4)}, 'al') ELSE {w} END")
+        step2 = [(*NLTK_STEP2_INSTEAD, "m>0") if (a, b) == NLTK_STEP2_REPLACED else (a, b, c)
+                 for a, b, c in step2]
+        step2 += [("fulli", "ful", "m>0"), ("logi", "log", "m>0", 3)]
+    stages.append(_suffix_case(w, step2, dialect))
     stages.append(_suffix_case(w, [(a, b, "m>0") for a, b in PORTER_STEP3], dialect))
     stages.append(_suffix_case(
         w, [(a, "", "m>1 and (*S or *T)" if a == "ion" else "m>1") for a in PORTER_STEP4], dialect))
     s = _strip(w, 1)
     stages.append(
         f"CASE WHEN {w} LIKE '%e' AND ({_cond('m>1', s, dialect)} OR "
-        f"({_cond('m=1', s, dialect)} AND NOT {_cond('*o', s, dialect)})) THEN {s} ELSE {w} END")
+        f"({_cond('m=1', s, dialect)} AND NOT {_cond('*o', s, dialect, nltk)})) THEN {s} ELSE {w} END")
     stages.append(
         f"CASE WHEN {w} LIKE '%ll' AND {_cond('m>1', w, dialect)} THEN {_strip(w, 1)} ELSE {w} END")
     stages.append(f"CASE WHEN {w} LIKE 'Y%' THEN concat('y', substr({w}, 2)) ELSE {w} END")
     return stages
 
 
-def duckdb_stem_ctes(source: str, col: str, prefix: str = "stem") -> tuple[str, str]:
+def irregular_case(surface: str, stemmed: str, mode: str) -> str:
+    """Final choice: short words pass through; NLTK irregular forms map directly."""
+    branches = [f"WHEN length({surface}) <= 2 THEN {surface}"]
+    if mode == "nltk":
+        for result, forms in NLTK_IRREGULAR_FORMS.items():
+            words = ", ".join(sql_str(f) for f in forms)
+            branches.append(f"WHEN {surface} IN ({words}) THEN {sql_str(result)}")
+    return "CASE " + " ".join(branches) + f" ELSE {stemmed} END"
+
+
+def duckdb_stem_ctes(source: str, col: str, prefix: str = "stem",
+                     mode: str = "porter") -> tuple[str, str]:
     """CTE text that stems the distinct values of ``source.col``.
 
     Returns (ctes, final_cte_name); the final CTE has columns (surface, term).
     Words of two characters or fewer pass through unchanged.
     """
-    stages = porter_stages("duckdb")
+    stages = porter_stages("duckdb", mode=mode)
     parts = [f"{prefix}0 AS (SELECT DISTINCT {col} AS surface, {col} AS w FROM {source})"]
     for i, st in enumerate(stages, start=1):
         parts.append(f"{prefix}{i} AS (SELECT surface, {st} AS w FROM {prefix}{i - 1})")
     n = len(stages)
     parts.append(
-        f"{prefix} AS (SELECT surface, CASE WHEN length(surface) <= 2 THEN surface "
-        f"ELSE w END AS term FROM {prefix}{n})")
+        f"{prefix} AS (SELECT surface, {irregular_case('surface', 'w', mode)} AS term FROM {prefix}{n})")
     return ",\n".join(parts), prefix
 
 

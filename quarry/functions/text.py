@@ -36,7 +36,7 @@ def is_stopword(tok: Column, stopwords: list[str] | None = None) -> Column:
     return tok.isin(words)
 
 
-def stem_expr(src: str) -> Column:
+def stem_expr(src: str, mode: str = "porter") -> Column:
     """T5: Porter stem of column ``src`` (lower-case input).
 
     Each step is a lambda over a one-element array, so every step reads the
@@ -45,14 +45,14 @@ def stem_expr(src: str) -> Column:
     join keys (a plain chain of projections would be copied per reference).
     """
     e = src
-    for stage in rules.porter_stages("spark", "x"):
+    for stage in rules.porter_stages("spark", "x", mode):
         e = f"transform(array({e}), x -> {stage})[0]"
-    return F.when(F.length(F.col(src)) <= 2, F.col(src)).otherwise(F.expr(e))
+    return F.expr(rules.irregular_case(src, e, mode))
 
 
-def stem_column(df: DataFrame, src: str, dst: str = "term") -> DataFrame:
-    """T5 applied to a DataFrame column."""
-    return df.withColumn(dst, stem_expr(src))
+def stem_column(df: DataFrame, src: str, dst: str = "term", mode: str = "porter") -> DataFrame:
+    """T5 applied to a DataFrame column (``mode``: "porter" or "nltk")."""
+    return df.withColumn(dst, stem_expr(src, mode))
 
 
 def doc_text(cols: list[str], null_token: str | None = "nan") -> Column:

@@ -21,21 +21,26 @@ from quarry.plans.sizing import spread_small_input
 
 
 def normalized_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     stopwords: list[str] | None = None, stem: bool = True) -> DataFrame:
+                     stopwords: list[str] | None = None, stem: bool | str = True) -> DataFrame:
     """(doc_id, pos, term) — tokenise, drop stop words (case-sensitive,
     before lower-casing), lower-case, stem.  ``pos`` is the 0-based token
-    position in the text before stop words are dropped."""
+    position in the text before stop words are dropped.  ``stem``: True (the
+    1980 Porter rules), "nltk" (NLTK's variant) or False."""
     toks = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.posexplode(T.tokens(F.col(text_col))).alias("pos", "tok"))
     toks = toks.where(~T.is_stopword(F.col("tok"), stopwords))
     toks = toks.select("doc_id", "pos", F.lower("tok").alias("surface"))
     if stem:
-        toks = T.stem_column(toks, "surface", "term")
+        toks = T.stem_column(toks, "surface", "term", stem_mode(stem))
     else:
         toks = toks.withColumnRenamed("surface", "term")
     return toks.select("doc_id", "pos", "term")
 
 
+def stem_mode(stem: bool | str) -> str:
+    return "porter" if stem is True else str(stem)
+
+
 def vocabulary(terms: DataFrame) -> DataFrame:
     """A1: distinct terms with ``term_id`` in first-seen order
     (by the first (doc_id, pos) at which the term occurs)."""
@@ -140,7 +145,7 @@ class Index:
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                stopwords: list[str] | None = None, stem: bool = True,
+                stopwords: list[str] | None = None, stem: bool | str = True,
                 hot_df: int = HOT_TERM_DF,
                 max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS) -> Index:
     """The whole offline build as one lazy lineage."""

@@ -55,7 +55,7 @@ def expand_synonyms(toks: DataFrame, synonyms: DataFrame) -> DataFrame:
 
 def normalize_queries(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                       stopwords: list[str] | None = None, synonyms: DataFrame | None = None,
-                      stem: bool = True) -> DataFrame:
+                      stem: bool | str = True) -> DataFrame:
     """R1 (+R2): (query_id, pos, term) — same token, stop, lower and stem
     rules as the documents."""
     toks = query_tokens(queries, id_col, text_col, stopwords)
@@ -63,7 +63,7 @@ def normalize_queries(queries: DataFrame, id_col: str = "query_id", text_col: st
         toks = expand_synonyms(toks, synonyms)
     toks = toks.select("query_id", "pos", F.lower("tok").alias("surface"))
     if stem:
-        toks = T.stem_column(toks, "surface", "term")
+        toks = T.stem_column(toks, "surface", "term", "porter" if stem is True else str(stem))
     else:
         toks = toks.withColumnRenamed("surface", "term")
     return toks.select("query_id", "pos", "term")
@@ -138,7 +138,7 @@ class QuerySide:
 
     def __init__(self, index: Index, queries: DataFrame, id_col: str = "query_id",
                  text_col: str = "text", stopwords: list[str] | None = None,
-                 synonyms: DataFrame | None = None, stem: bool = True,
+                 synonyms: DataFrame | None = None, stem: bool | str = True,
                  max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS):
         qterms = normalize_queries(queries, id_col, text_col, stopwords, synonyms, stem)
         counts = query_term_counts(qterms)

@@ -32,13 +32,13 @@ def test_tokens_agree(spark, batch):
 
 
 @settings(max_examples=5, deadline=None)
-@given(batch=words)
-def test_stems_agree(spark, batch):
+@given(batch=words, mode=st.sampled_from(["porter", "nltk"]))
+def test_stems_agree(spark, batch, mode):
     df = spark.createDataFrame([(w,) for w in set(batch)], "surface string")
-    got = dict(stem_column(df, "surface", "term").collect())
+    got = dict(stem_column(df, "surface", "term", mode).collect())
     con = duckdb.connect()
     con.execute("CREATE TABLE words(surface VARCHAR)")
     con.executemany("INSERT INTO words VALUES (?)", [(w,) for w in set(batch)])
-    ctes, name = rules.duckdb_stem_ctes("words", "surface")
+    ctes, name = rules.duckdb_stem_ctes("words", "surface", mode=mode)
     want = dict(con.execute(f"WITH {ctes} SELECT surface, term FROM {name}").fetchall())
     assert got == want

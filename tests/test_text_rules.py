@@ -84,3 +84,33 @@ def test_stopwords_case_sensitive(spark):
     # "The" is not in the (lower-case) list, so it survives as "the"
     assert terms == ["the", "cat", "dog"]
     assert len(rules.NLTK_ENGLISH_STOPWORDS) == 179
+
+
+# NLTK's default Porter variant (the reference's stemmer), worked by hand
+# from its documented additions.
+NLTK_STEMS = {
+    "dying": "die", "lying": "lie", "tying": "tie", "skies": "sky", "sky": "sky",
+    "news": "news", "proceed": "proceed", "innings": "inning",
+    "dies": "die", "ties": "tie", "flies": "fli", "died": "die", "tied": "tie",
+    "cried": "cri", "spied": "spi", "enjoy": "enjoy", "happy": "happi", "cry": "cri",
+    "spy": "spi", "hopefully": "hope", "sensibly": "sensibl", "archaeology": "archaeolog",
+    "oping": "ope", "caresses": "caress", "cats": "cat", "running": "run",
+    "generalizations": "gener", "relational": "relat", "is": "is",
+}
+
+
+def test_nltk_mode_stems(spark):
+    df = spark.createDataFrame([(w,) for w in NLTK_STEMS], "surface string")
+    got = dict(stem_column(df, "surface", "term", "nltk").collect())
+    assert {w: got[w] for w in NLTK_STEMS if got[w] != NLTK_STEMS[w]} == {}
+
+
+def test_nltk_mode_matches_duckdb():
+    import duckdb
+    con = duckdb.connect()
+    words = sorted(set(NLTK_STEMS) | set(STEMS))
+    con.execute("CREATE TABLE words AS SELECT * FROM (VALUES "
+                + ", ".join(f"({rules.sql_str(w)})" for w in words) + ") t(surface)")
+    ctes, name = rules.duckdb_stem_ctes("words", "surface", mode="nltk")
+    got = dict(con.execute(f"WITH {ctes} SELECT surface, term FROM {name}").fetchall())
+    assert {w: got[w] for w in NLTK_STEMS} == NLTK_STEMS
