@@ -23,19 +23,19 @@ def tokens_cte(name: str, source: str, id_expr: str, text_expr: str, stop: bool
             f"{name} AS (SELECT id, pos, lower(tok) AS surface FROM {name}_tok {where})")
 
 
-def stem_ctes(surface_sources: list[str], name: str = "stem") -> str:
+def stem_ctes(surface_sources: list[str], name: str = "stem", mode: str = "porter") -> str:
     """(surface, term) for the distinct surfaces of the given CTEs."""
     union = " UNION ".join(f"SELECT surface FROM {s}" for s in surface_sources)
-    ctes, _ = rules.duckdb_stem_ctes(f"({union})", "surface", name)
+    ctes, _ = rules.duckdb_stem_ctes(f"({union})", "surface", name, mode)
     return ctes
 
 
 def index_ctes(docs_source: str = "documents", id_expr: str = "doc_id",
-               text_expr: str = "text") -> str:
+               text_expr: str = "text", mode: str = "porter") -> str:
     """dtok, stem, doc_terms, post, ndocs, stats, wts, dnorm over a document table."""
     return ",\n".join([
         tokens_cte("dtok", docs_source, id_expr, text_expr),
-        stem_ctes(["dtok"]),
+        stem_ctes(["dtok"], mode=mode),
         "doc_terms AS (SELECT t.id AS doc_id, t.pos, s.term FROM dtok t JOIN stem s ON t.surface = s.surface)",
         "post AS (SELECT term, doc_id, count(*) AS tf FROM doc_terms GROUP BY term, doc_id)",
         f"ndocs AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {docs_source})",
@@ -48,14 +48,14 @@ def index_ctes(docs_source: str = "documents", id_expr: str = "doc_id",
 
 
 def query_ctes(query_source: str = "benchmark", id_expr: str = "item_id",
-               text_expr: str = "text", synonyms: bool = False) -> str:
+               text_expr: str = "text", synonyms: bool = False, mode: str = "porter") -> str:
     """qtok..., qterms(query_id, pos, term).  With ``synonyms``: the synonym
     table maps each corpus surface word to its stem (when different); a
     query token gains that lemma unless the query already holds it."""
     tok = tokens_cte("qtok", query_source, id_expr, text_expr)
     if not synonyms:
         return ",\n".join([
-            tok, stem_ctes(["qtok"], "qstem"),
+            tok, stem_ctes(["qtok"], "qstem", mode),
             "qterms AS (SELECT t.id AS query_id, t.pos, s.term FROM qtok t JOIN qstem s ON t.surface = s.surface)",
         ])
     return ",\n".join([
@@ -67,7 +67,7 @@ def query_ctes(query_source: str = "benchmark", id_expr: str = "item_id",
         "(SELECT 1 FROM qkept o WHERE o.id = f.query_id AND o.tok = f.tok))",
         "qall AS (SELECT id AS query_id, pos, lower(tok) AS surface FROM qkept "
         "UNION ALL SELECT query_id, pos, lower(tok) AS surface FROM fresh)",
-        stem_ctes(["qall"], "qstem"),
+        stem_ctes(["qall"], "qstem", mode),
         "qterms AS (SELECT t.query_id, t.pos, s.term FROM qall t JOIN qstem s ON t.surface = s.surface)",
     ])
 
@@ -92,8 +92,8 @@ def index_only(select: str) -> str:
     return "WITH " + index_ctes() + "\n" + select
 
 
-def full(select: str, k: int = 10, extra: str | None = None, **qkw) -> str:
-    parts = [index_ctes(), query_ctes(**qkw), score_ctes(k)]
+def full(select: str, k: int = 10, extra: str | None = None, mode: str = "porter", **qkw) -> str:
+    parts = [index_ctes(mode=mode), query_ctes(mode=mode, **qkw), score_ctes(k)]
     if extra:
         parts.append(extra)
     return "WITH " + ",\n".join(parts) + "\n" + select
@@ -106,6 +106,8 @@ def _docs_only(select: str, stop: bool = True) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["search_top10"] = full("SELECT query_id, rank, doc_id, score FROM top")
+# the same search with NLTK's Porter variant (the reference's stemmer)
+ORACLE["search_top10_nltk"] = full("SELECT query_id, rank, doc_id, score FROM top", mode="nltk")
 
 ORACLE["tokenize"] = (
     "WITH raw AS (SELECT doc_id, " + rules.duckdb_tokens_sql("text") + " AS toks FROM documents)\n"

@@ -48,6 +48,12 @@ def search_top10(spark, d):
     return S.search(corpus_index(spark, d), query_table(spark, d), k=10)
 
 
+@register("search_top10_nltk")
+def search_top10_nltk(spark, d):
+    idx = I.build_index(corpus(spark, d), stem="nltk")
+    return S.search(idx, query_table(spark, d), k=10, stem="nltk")
+
+
 # --- index build stages -----------------------------------------------------
 @register("tokenize")
 def tokenize(spark, d):
