@@ -1,10 +1,12 @@
 """Query preparation and ranked retrieval for a whole table of queries.
 
-Plan shape of ``search``: the query side (a few rows per query) is measured
-and broadcast; the stored weights are scanned once and joined on ``term``
-without a shuffle; one shuffle on (query_id, doc_id) sums the dot products;
-``row_number() <= k`` becomes a partial WindowGroupLimit before the shuffle
-on ``query_id``, so at most k rows per query and partition move.
+Plan shape of ``search``: the query side (a few rows per query) is counted
+and broadcast (or split into broadcastable parts); the weights are scanned
+once and joined on ``term`` map-side.  The weights arrive partitioned by
+``doc_id`` (a doc-bucketed stored index, or the doc_id join of the build),
+so the (query_id, doc_id) dot products are summed inside each task with no
+exchange; ``row_number() <= k`` becomes a partial WindowGroupLimit, so at
+most k rows per query and task reach the one shuffle, on ``query_id``.
 """
 
 from __future__ import annotations
