@@ -10,9 +10,12 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "quarry") -> SparkSession:
-    """Session for tests and the local bench (the UI stays off)."""
+    """Session for tests and the local bench (the UI stays off; catalog
+    metadata goes to a scratch folder, never into the working directory)."""
+    warehouse = tempfile.mkdtemp(prefix="quarry-warehouse-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.sql.warehouse.dir", warehouse)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
