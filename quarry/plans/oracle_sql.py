@@ -313,3 +313,19 @@ ORACLE["doc_by_name"] = f"SELECT * FROM {_PARTCAT} WHERE name = 'red plate'"
 ORACLE["term_lookup"] = index_only(
     "SELECT p.term, s.df, s.cf, p.doc_id, p.tf FROM post p JOIN stats s ON p.term = s.term "
     "WHERE p.term = 'the'")
+
+ORACLE["search_flow"] = full(
+    "SELECT s.query_id, s.n_hits, s.status, t.rank, t.doc_id, t.score, "
+    + ", ".join(
+        f"CASE WHEN t.doc_id IS NULL THEN NULL ELSE coalesce(pf.{c}, {_s(d)}) END AS {c}"
+        for c, d in [("description", _H.NO_DESCRIPTION), ("image", _H.NO_IMAGE),
+                     ("base_price", _H.NO_PRICE), ("discount_price", _H.NO_DISCOUNT),
+                     ("review", _H.NO_REVIEW)])
+    + " FROM st s LEFT JOIN top t ON t.query_id = s.query_id CROSS JOIN npages "
+    "LEFT JOIN pf ON pf.page_id = ((t.doc_id % npages.n) + npages.n) % npages.n",
+    extra=_FIELDS + """,
+st AS (SELECT q.qid AS query_id, CAST(count(t.doc_id) AS BIGINT) AS n_hits,
+              CASE WHEN count(t.doc_id) > 0 THEN 'found' ELSE 'no_result' END AS status
+       FROM """ + _NAMEQ + """ q LEFT JOIN top t ON t.query_id = q.qid GROUP BY q.qid)""",
+    query_source=_NAMEQ, id_expr="qid", text_expr="p_name || ' Singleplayer' || ' Online'",
+    synonyms=True)

@@ -416,3 +416,20 @@ def term_lookup(spark, d):
     from quarry.operators.lookup import term_lookup as f
     idx = corpus_index(spark, d)
     return f(idx.postings, idx.term_stats, "the")
+
+
+# --- the whole interactive flow, for a table of queries -----------------------
+@register("search_flow")
+def search_flow(spark, d):
+    """Facet words appended (R13) -> synonyms (R2) -> ranked top 10 (R6) ->
+    status per query (R11) -> hits joined to page fields (J5)."""
+    from quarry.operators.pages import enrich_hits as eh
+    from quarry.operators.pages import page_fields
+    queries = S.augment_query(name_queries(spark, d),
+                              {"single_player": F.lit(True), "online": F.lit(True)})
+    hits = S.search(corpus_index(spark, d), queries, k=10, synonyms=corpus_synonyms(spark, d))
+    pages = page_table(spark, d)
+    n_pages = pages.select(F.count(F.lit(1))).scalar()
+    hits = hits.withColumn("page_id", F.pmod(F.col("doc_id"), n_pages))
+    shown = eh(hits, page_fields(pages, test_page_selectors()), "page_id", "page_id").drop("page_id")
+    return S.search_status(queries, hits).join(shown, "query_id", "left")
