@@ -147,14 +147,25 @@ class Index:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stopwords: list[str] | None = None, stem: bool | str = True,
                 hot_df: int = HOT_TERM_DF,
-                max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS) -> Index:
-    """The whole offline build as one lazy lineage."""
+                max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS,
+                cut_lineage: bool = False) -> Index:
+    """The whole offline build as one lazy lineage.
+
+    ``cut_lineage=True`` checkpoints the postings into the session's
+    checkpoint folder (``spark.checkpoint.dir``, shared by the cluster), so
+    a lost executor later costs a re-read of the postings rather than a
+    re-run of the tokeniser over its share of the corpus."""
     docs = docs.withColumn("doc_id", F.col(id_col).cast("long")) if id_col != "doc_id" else docs
     terms = normalized_terms(spread_small_input(docs), "doc_id", text_col, stopwords, stem)
     # statistics, weights and norms all read the postings: keep them (memory,
     # spilling to disk; lost blocks are recomputed) so the text is tokenised
     # and stemmed once, not once per consumer
-    post = postings(terms).persist(StorageLevel.MEMORY_AND_DISK)
+    if cut_lineage:
+        from quarry.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(docs.sparkSession)
+        post = postings(terms).checkpoint(eager=True)
+    else:
+        post = postings(terms).persist(StorageLevel.MEMORY_AND_DISK)
     stats = term_stats(post, collection_size(docs))
     weights = tfidf_weights(post, stats, hot_df, max_broadcast_rows)
     norms = doc_norms(docs, weights)

@@ -193,3 +193,9 @@ def test_oversized_query_side_is_chunked(spark, four):
     assert ex_small == ex_whole
     ev_small = sorted(S.search_eval(four, q, max_broadcast_rows=2).collect())
     assert ev_small == sorted(S.search_eval(four, q).collect())
+
+
+def test_cut_lineage_gives_the_same_index(spark, four):
+    cut = I.build_index(docs_df(spark, FOUR), cut_lineage=True)
+    q = queries_df(spark, ["apple cherry", "banana"])
+    assert sorted(S.search(cut, q).collect()) == sorted(S.search(four, q).collect())
