@@ -143,6 +143,10 @@ class Index:
     n_buckets: int | None = None
     text_col: str = "text"     # not stored with the index (the corpus stays where it is)
 
+    def release(self) -> None:
+        """Drop the kept postings (and anything kept on them) from the cache."""
+        self.postings.unpersist()
+
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stopwords: list[str] | None = None, stem: bool | str = True,

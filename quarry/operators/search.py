@@ -154,6 +154,10 @@ class QuerySide:
         self.query_ids = queries.select(F.col(id_col).cast("long").alias("query_id"))
         self._use(self.sized.df, self.sized.broadcast)
 
+    def release(self) -> None:
+        """Drop the counted query side from the cache once results are written."""
+        self.sized.df.unpersist()
+
     def _use(self, counts: DataFrame, broadcast: bool) -> None:
         hint = F.broadcast if broadcast else (lambda d: d)
         self.broadcast = broadcast

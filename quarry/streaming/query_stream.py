@@ -32,7 +32,7 @@ def answer_batches(index_dir: str, out_dir: str, k: int = 10):
             (hits.withColumn("answered_batch", F.lit(batch_id).cast("long"))
                  .write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}"))
         finally:
-            qs.sized.df.unpersist()
+            qs.release()
 
     return run
 
