@@ -8,6 +8,7 @@ rounded to 6 digits and every integer cast to BIGINT on both sides.
 
 from __future__ import annotations
 
+from quarry.functions import html as _H
 from quarry.functions import rules
 
 STOP = rules.duckdb_stopword_list()
@@ -226,7 +227,6 @@ ORACLE["search_with_attrs"] = full(
     "JOIN documents d ON t.doc_id = d.doc_id")
 
 # --- pages --------------------------------------------------------------------
-from quarry.functions import html as _H  # noqa: E402  (patterns are pinned rules)
 
 _s = rules.sql_str
 
