@@ -29,7 +29,11 @@ from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
 
-DEFAULT_BUCKETS = 64
+# term buckets: about this many terms each, at most MAX_BUCKETS (so a
+# one-query read prunes to a small share of a large index without making a
+# small index into many tiny files)
+TERMS_PER_BUCKET = 32_768
+MAX_BUCKETS = 256
 WEIGHTS_DDL = "term STRING, doc_id BIGINT, tf BIGINT, w DOUBLE, nw DOUBLE, tb INT"
 
 
@@ -42,15 +46,19 @@ def _table(path: str) -> str:
 
 
 def save_index(index: Index, path: str, num_files: int | None = None,
-               n_buckets: int = DEFAULT_BUCKETS, doc_buckets: int | None = None) -> None:
+               n_buckets: int | None = None, doc_buckets: int | None = None) -> None:
     """Write docs (ids and attributes), weights, term_stats and doc_norms.
 
-    The postings are kept (memory, spilling to disk; recomputed if an
-    executor is lost) while the tables that read them are written."""
+    ``n_buckets`` (term buckets) defaults to the vocabulary size over
+    TERMS_PER_BUCKET, capped at MAX_BUCKETS; ``doc_buckets`` to the shuffle
+    partitions.  The postings are kept (memory, spilling to disk; recomputed
+    if an executor is lost) while the tables that read them are written."""
     spark = index.postings.sparkSession
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     nd = doc_buckets or n
     index.postings.persist(StorageLevel.MEMORY_AND_DISK)
+    if n_buckets is None:
+        n_buckets = max(1, min(MAX_BUCKETS, index.term_stats.count() // TERMS_PER_BUCKET))
     try:
         # ids and attributes only: the text is not copied into the index
         index.docs.drop(index.text_col).write.mode("overwrite").parquet(f"{path}/docs")
