@@ -2,9 +2,13 @@
 
 Rows are cut into buckets by approximate quantiles of the leading order
 column (a short list of cut points), so a bucket is a pure function of the
-row and buckets follow the global order.  Rows are numbered inside their bucket, and each bucket
-adds the number of rows of all earlier buckets (a table with one row per
-bucket).
+row and buckets follow the global order (and a recomputed partition gets
+the same ids).  Rows are numbered inside their bucket, and each bucket adds
+the number of rows of all earlier buckets (a table with one row per bucket).
+
+A bucket is one window group, so no single value of the leading column may
+hold a large share of the rows; both uses satisfy this (catalogue order is
+unique, and a document can introduce at most its own length of new terms).
 """
 
 from __future__ import annotations
