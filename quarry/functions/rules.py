@@ -48,7 +48,9 @@ TOKEN_RULES_AFTER_PAD = [
     (r"([:,])([^0-9])", [" ", 1, " ", 2]),
     # other punctuation, ellipses and double dashes are their own tokens
     (r"([;@#$%&?!*()\[\]{}<>]|\.\.+|--)", [" ", 1, " "]),
-    # double quote becomes the token ''
+    # an opening double quote (after a blank or an opening bracket) becomes
+    # the token ``, any other double quote the token ''
+    (r"""([ (\[{<])("|'')""", [1, " `` "]),
     (r'"', [" '' "]),
     # contractions split off the word they end
     (r"([^' ])((?i:'ll|'re|'ve|n't|'s|'m|'d)) ", [1, " ", 2, " "]),
