@@ -52,8 +52,8 @@ TOKEN_RULES_AFTER_PAD = [
     # the token ``, any other double quote the token ''
     (r"""([ (\[{<])("|'')""", [1, " `` "]),
     (r'"', [" '' "]),
-    # contractions split off the word they end
-    (r"([^' ])((?i:'ll|'re|'ve|n't|'s|'m|'d)) ", [1, " ", 2, " "]),
+    # contractions, and a bare trailing apostrophe, split off the word they end
+    (r"([^' ])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ", [1, " ", 2, " "]),
 ]
 WHITESPACE = r"\s+"
 

@@ -10,6 +10,7 @@ TOKEN_CASES = [
     ("I'd rather can't. Costs 1,000, at 12:30.",
      "I 'd rather ca n't . Costs 1,000 , at 12:30 ."),
     ("Hello, world!", "Hello , world !"),
+    ("The dogs' bones aren't here", "The dogs ' bones are n't here"),
     ('He said "no" (twice); then left...', "He said `` no '' ( twice ) ; then left ..."),
     ('"Quoted" at the start and (\"in brackets\")', "`` Quoted '' at the start and ( `` in brackets '' )"),
     ("3.5 million, e.g. costs", "3.5 million , e.g . costs"),
