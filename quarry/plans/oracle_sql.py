@@ -163,8 +163,7 @@ ORACLE["drop_null_rows"] = (
     "row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS rn FROM documents) "
     "WHERE rn = 1 AND name IS NOT NULL")
 
-ORACLE["clean_catalog"] = """
-WITH cat AS (SELECT source || '/' || lang AS url, nullif(lang, 'es') AS name, source AS categories,
+_CLEAN_CTES = """cat AS (SELECT source || '/' || lang AS url, nullif(lang, 'es') AS name, source AS categories,
                     lang AS developer, CAST(n_chars AS VARCHAR) AS publisher, doc_id AS row_seq
              FROM documents),
 cat1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY row_seq DESC) AS rn
@@ -177,9 +176,12 @@ des1 AS (SELECT url, "desc", full_desc, row_seq FROM (SELECT *, row_number() OVE
 des2 AS (SELECT url, "desc" FROM (SELECT *, row_number() OVER
          (PARTITION BY "desc" ORDER BY row_seq DESC) AS rn FROM des1) WHERE rn = 1 AND full_desc IS NOT NULL),
 m AS (SELECT c.url, c.name, c.categories, c.developer, c.publisher, d."desc", c.row_seq
-      FROM cat1 c JOIN des2 d ON c.url IS NOT DISTINCT FROM d.url)
-SELECT CAST(row_number() OVER (ORDER BY row_seq) - 1 AS BIGINT) AS doc_id, url, name, categories,
-       developer, publisher, "desc" FROM m"""
+      FROM cat1 c JOIN des2 d ON c.url IS NOT DISTINCT FROM d.url),
+cleaned AS (SELECT CAST(row_number() OVER (ORDER BY row_seq) - 1 AS BIGINT) AS doc_id, url, name,
+                   categories, developer, publisher, "desc" FROM m)"""
+
+ORACLE["clean_catalog"] = ("WITH " + _CLEAN_CTES + "\nSELECT doc_id, url, name, categories, developer, "
+                           "publisher, \"desc\" FROM cleaned")
 
 ORACLE["doc_text"] = (
     "SELECT p_partkey, ' ' || p_name || ' ' || coalesce(nullif(p_type, 'SMALL'), 'nan') || ' ' || "
@@ -329,3 +331,11 @@ st AS (SELECT q.qid AS query_id, CAST(count(t.doc_id) AS BIGINT) AS n_hits,
        FROM """ + _NAMEQ + """ q LEFT JOIN top t ON t.query_id = q.qid GROUP BY q.qid)""",
     query_source=_NAMEQ, id_expr="qid", text_expr="p_name || ' Singleplayer' || ' Online'",
     synonyms=True)
+
+# the reference's main pipeline: cleaned catalogue -> document text -> index -> urls
+_CAT_DOCS = _CLEAN_CTES + """,
+catdocs AS (SELECT doc_id, url, ' ' || coalesce(name, 'nan') || ' ' || coalesce(categories, 'nan') || ' ' ||
+                   coalesce(developer, 'nan') || ' ' || coalesce("desc", 'nan') AS text FROM cleaned)"""
+ORACLE["catalog_search"] = (
+    "WITH " + ",\n".join([_CAT_DOCS, index_ctes("catdocs", "doc_id", "text"), query_ctes(), score_ctes(10)])
+    + "\nSELECT t.query_id, t.rank, t.doc_id, t.score, d.url FROM top t JOIN catdocs d ON t.doc_id = d.doc_id")

@@ -433,3 +433,17 @@ def search_flow(spark, d):
     hits = hits.withColumn("page_id", F.pmod(F.col("doc_id"), n_pages))
     shown = eh(hits, page_fields(pages, test_page_selectors()), "page_id", "page_id").drop("page_id")
     return S.search_status(queries, hits).join(shown, "query_id", "left")
+
+
+@register("catalog_search")
+def catalog_search(spark, d):
+    """The reference's main pipeline: clean the catalogue, index the text
+    " name categories developer desc" (publisher not indexed), search, and
+    return the url of each hit."""
+    from quarry.functions.text import doc_text
+    from quarry.operators.clean import clean_catalog as cc
+    catalog, desc = catalog_frames(spark, d)
+    docs = cc(catalog, desc, "row_seq").select(
+        "doc_id", "url", doc_text(["name", "categories", "developer", "desc"]).alias("text"))
+    hits = S.search(I.build_index(docs), query_table(spark, d), k=10)
+    return S.attach_attrs(hits, docs, ["url"])
