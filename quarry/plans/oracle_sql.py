@@ -107,6 +107,8 @@ def _docs_only(select: str, stop: bool = True) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["search_top10"] = full("SELECT query_id, rank, doc_id, score FROM top")
+# pruning must not change a single row
+ORACLE["search_top10_pruned"] = ORACLE["search_top10"]
 # the same search with NLTK's Porter variant (the reference's stemmer)
 ORACLE["search_top10_nltk"] = full("SELECT query_id, rank, doc_id, score FROM top", mode="nltk")
 

@@ -48,6 +48,14 @@ def search_top10(spark, d):
     return S.search(corpus_index(spark, d), query_table(spark, d), k=10)
 
 
+@register("search_top10_pruned")
+def search_top10_pruned(spark, d):
+    """The flagship with exact upper-bound pruning of frequent words: the
+    same rows as search_top10 (checked against the same oracle)."""
+    from quarry.operators.prune import search_pruned
+    return search_pruned(corpus_index(spark, d), query_table(spark, d), k=10)
+
+
 @register("search_top10_nltk")
 def search_top10_nltk(spark, d):
     idx = I.build_index(corpus(spark, d), stem="nltk")

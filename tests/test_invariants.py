@@ -63,3 +63,18 @@ def test_known_item_hit_rate(spark):
     found = {q for q, d in relevant if (q, d) in hits}
     print(f"known-item hit@10: {len(found)}/{len(items)}")
     assert found <= items
+
+
+@settings(max_examples=5, deadline=None)
+@given(docs=st.lists(st.lists(st.sampled_from(WORDS + ["zeta", "eta", "theta"]), min_size=1, max_size=8),
+                     min_size=4, max_size=10),
+       queries=st.lists(st.lists(st.sampled_from(WORDS + ["zeta", "eta"]), min_size=1, max_size=4),
+                        min_size=1, max_size=4),
+       ratio=st.sampled_from([0.2, 0.5, 0.9]), k=st.sampled_from([1, 2, 3]))
+def test_pruned_search_equals_full_search(spark, docs, queries, ratio, k):
+    from quarry.operators.prune import search_pruned
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    q = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(queries)], "query_id long, text string")
+    idx = I.build_index(d)
+    assert sorted(search_pruned(idx, q, k=k, common_ratio=ratio).collect()) == sorted(
+        S.search(idx, q, k=k).collect())
