@@ -45,8 +45,8 @@ def search_pruned(index: Index, queries: DataFrame, k: int = 10, common_ratio: f
                   **kw) -> DataFrame:
     """Same result as ``search.search`` (query_id, rank, doc_id, score)."""
     qs = S.QuerySide(index, queries, **kw)
-    n_docs = index.doc_norms.count()
-    common_df = max(1, int(n_docs * common_ratio))
+    n_docs = index.doc_norms.select(F.count(F.lit(1))).scalar()
+    common_df = F.greatest(F.lit(1), F.floor(n_docs * F.lit(common_ratio)))
     return S._union([_chunk(index, c, k, common_df) for c in qs.chunks()])
 
 
@@ -54,7 +54,7 @@ def _full(index: Index, qweights: DataFrame, qnorms: DataFrame, k: int, n_bucket
     return S.rank_top_k(S._scores(S._dot_parts(qweights, index.weights, n_buckets), qnorms), k)
 
 
-def _chunk(index: Index, c: S.QuerySide, k: int, common_df: int) -> DataFrame:
+def _chunk(index: Index, c: S.QuerySide, k: int, common_df) -> DataFrame:
     keys = S._keys(c.n_buckets)
     if not c.broadcast:
         return _full(index, c.qweights, c.qnorms, k, c.n_buckets)
@@ -93,8 +93,9 @@ def _chunk(index: Index, c: S.QuerySide, k: int, common_df: int) -> DataFrame:
                   .where(F.col("kth").isNotNull()
                          & (F.col("kth") > F.coalesce("ub_common", F.lit(0.0)) + MARGIN))
                   .select("query_id"))
-    settled = sizing.measure(settled)  # one row per settled query
-    done = top_rare.join(settled.side(), "query_id", "left_semi")
-    rest_w = c.qweights.join(settled.side(), "query_id", "left_anti")
+    # at most one row per query of the measured side: the same bound holds
+    settled = sizing.hinted(settled, c.sized)
+    done = top_rare.join(settled, "query_id", "left_semi")
+    rest_w = c.qweights.join(settled, "query_id", "left_anti")
     rest = _full(index, sizing.hinted(rest_w, c.sized), c.qnorms, k, c.n_buckets)
     return done.unionByName(rest)
