@@ -74,7 +74,7 @@ HOT_TERM_DF = 1_000_000
 
 
 def join_stats(post: DataFrame, stats: DataFrame, cols: list[str],
-               hot_df: int = HOT_TERM_DF, max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS
+               hot_df: int = HOT_TERM_DF, max_broadcast_rows: int | None = None
                ) -> DataFrame:
     """postings ⋈ term statistics on ``term``, safe for hot terms.
 
@@ -98,7 +98,7 @@ def join_stats(post: DataFrame, stats: DataFrame, cols: list[str],
 
 
 def tfidf_weights(post: DataFrame, stats: DataFrame, hot_df: int = HOT_TERM_DF,
-                  max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int | None = None) -> DataFrame:
     """(term, doc_id, tf, w) with w = tf * idf (zeros kept)."""
     joined = join_stats(post, stats, ["idf"], hot_df, max_broadcast_rows)
     return joined.select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"))
@@ -151,7 +151,7 @@ class Index:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stopwords: list[str] | None = None, stem: bool | str = True,
                 hot_df: int = HOT_TERM_DF,
-                max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS,
+                max_broadcast_rows: int | None = None,
                 cut_lineage: bool = False) -> Index:
     """The whole offline build as one lazy lineage.
 

@@ -81,7 +81,8 @@ def _chunk(index: Index, c: S.QuerySide, k: int, common_df) -> DataFrame:
     cand = rare_parts.select("query_id", "doc_id").distinct()
     # (query, document, common word) lookups for the rare-word documents only
     triples = cand.join(sizing.hinted(common.select("query_id", *keys, "qw"), c.sized), "query_id")
-    looked = sizing.measure(triples)
+    # the lookup table is the largest broadcast here: a small share of the bound
+    looked = sizing.measure(triples, c.max_rows // 8)
     if not looked.broadcast:
         return _full(index, c.qweights, c.qnorms, k, c.n_buckets)
     common_parts = weights.join(F.broadcast(looked.df), [*keys, "doc_id"]).select(

@@ -141,16 +141,17 @@ class QuerySide:
     def __init__(self, index: Index, queries: DataFrame, id_col: str = "query_id",
                  text_col: str = "text", stopwords: list[str] | None = None,
                  synonyms: DataFrame | None = None, stem: bool | str = True,
-                 max_broadcast_rows: int = sizing.DEFAULT_BROADCAST_ROWS):
+                 max_broadcast_rows: int | None = None):
         qterms = normalize_queries(queries, id_col, text_col, stopwords, synonyms, stem)
         counts = query_term_counts(qterms)
         self.index = index
         self.n_buckets = index.n_buckets
-        self.max_rows = max_broadcast_rows
+        self.max_rows = (sizing.broadcast_rows(queries.sparkSession)
+                         if max_broadcast_rows is None else max_broadcast_rows)
         if self.n_buckets:
             from quarry.sources.store import term_bucket
             counts = counts.withColumn("tb", term_bucket(F.col("term"), self.n_buckets))
-        self.sized = sizing.measure(counts, max_broadcast_rows)
+        self.sized = sizing.measure(counts, self.max_rows)
         self.query_ids = queries.select(F.col(id_col).cast("long").alias("query_id"))
         self._use(self.sized.df, self.sized.broadcast)
 

@@ -13,8 +13,27 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows of a (id, term, count) side: about 60 bytes each, so ~120 MB at the bound
+# rows of a (id, term, count) side: about 60 bytes each, so ~120 MB at the
+# largest bound; the bound used is also limited by the driver's memory
 DEFAULT_BROADCAST_ROWS = 2_000_000
+MIN_BROADCAST_ROWS = 100_000
+# driver heap per broadcast row allowed (the hashed relation is built there)
+DRIVER_BYTES_PER_ROW = 4096
+
+
+def _bytes(size: str) -> int:
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    s = size.strip().lower().rstrip("b")
+    return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else int(s)
+
+
+def broadcast_rows(spark, cap: int = DEFAULT_BROADCAST_ROWS) -> int:
+    """Row bound for a measured broadcast: ``cap``, or less on a small driver."""
+    try:
+        mem = _bytes(spark.conf.get("spark.driver.memory", "1g"))
+    except Exception:  # noqa: BLE001 - unreadable setting: assume Spark's default
+        mem = 1 << 30
+    return max(MIN_BROADCAST_ROWS, min(cap, mem // DRIVER_BYTES_PER_ROW))
 
 
 @dataclass
@@ -28,12 +47,14 @@ class Sized:
         return F.broadcast(self.df) if self.broadcast else self.df
 
 
-def measure(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Sized:
+def measure(df: DataFrame, max_rows: int | None = None) -> Sized:
     """Persist ``df`` (so the count and later joins read the same rows once)
-    and count it.  Persisted blocks are recomputed from lineage if lost."""
+    and count it.  Persisted blocks are recomputed from lineage if lost.
+    ``max_rows`` defaults to :func:`broadcast_rows` of the session."""
+    bound = broadcast_rows(df.sparkSession) if max_rows is None else max_rows
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
-    return Sized(kept, n, n <= max_rows)
+    return Sized(kept, n, n <= bound)
 
 
 def hinted(df: DataFrame, sized: Sized) -> DataFrame:
