@@ -38,6 +38,12 @@ def op1_url_filter(spark, d):
     return judge(table(spark, d, "pages"), rules)
 
 
+@register("op2_ngram_join")
+def op2_ngram_join(spark, d):
+    from quarry.llm.ngram_join import join
+    return join(table(spark, d, "documents"), n=4, percent=85)
+
+
 @register("op5_packing")
 def op5_packing(spark, d):
     from quarry.llm.packing import pack, pieces
