@@ -44,6 +44,13 @@ def op2_ngram_join(spark, d):
     return join(table(spark, d, "documents"), n=4, percent=85)
 
 
+@register("op4_substring_dedup")
+def op4_substring_dedup(spark, d):
+    from quarry.llm.substring import dedup
+    return dedup(table(spark, d, "documents"), window=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op5_packing")
 def op5_packing(spark, d):
     from quarry.llm.packing import pack, pieces
