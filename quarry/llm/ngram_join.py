@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import components, key_filter, write_shared
+from quarry.llm.shared import components, from_key, key_filter, to_key, write_shared
 from quarry.llm.words import hashes, mix, ngrams, signed, slices, spans, text_buffers, unsigned
 
 GROUPS = 16
@@ -181,7 +181,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
 
     key: an integer column, unique. Two documents link when 100 * |A & B| >= percent * |A | B|.
     """
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"))
 
     # 1. every document's node, and n-grams that are in many documents of some slice
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +300,8 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     known = members.join(labels, "node", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "node")))
     smallest = known.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return (known.join(smallest, "component", "left")
-            .select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select(from_key("doc_id").alias(key), F.col("n").alias("n_shingles"),
+                    F.nullif(F.coalesce("component_id", "doc_id"), F.lit(2**63 - 1)).alias("component_id")))
 
 
 def _filtered(df: DataFrame, passes, column: str = "h") -> DataFrame:

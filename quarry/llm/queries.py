@@ -44,6 +44,17 @@ def op2_ngram_join(spark, d):
     return join(table(spark, d, "documents"), n=4, percent=85)
 
 
+def fold(column: str = "doc_id"):
+    """crc32 of the id as text, modulo 5."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 5
+
+
+@register("op3_katz_lm")
+def op3_katz_lm(spark, d):
+    from quarry.llm.katz import score
+    return score(table(spark, d, "documents"), fold() != 1)
+
+
 @register("op4_substring_dedup")
 def op4_substring_dedup(spark, d):
     from quarry.llm.substring import dedup

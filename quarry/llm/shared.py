@@ -7,10 +7,23 @@ import uuid
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_NO_KEY = 2**63 - 1
+
+
+def to_key(column: str) -> Column:
+    """A key column as a long that is never null: rows without a key get the largest one."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(_NO_KEY))
+
+
+def from_key(column: str) -> Column:
+    """The key as it was: null again where there was none."""
+    return F.nullif(F.col(column), F.lit(_NO_KEY))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; one of our own only where that is unset (tests)."""
     sc = spark.sparkContext

@@ -29,7 +29,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import KeyFilter, key_filter, write_shared
+from quarry.llm.shared import KeyFilter, from_key, key_filter, to_key, write_shared
 from quarry.llm.words import hashes, ngrams, signed, slices, spans, text_buffers, unsigned
 
 
@@ -83,7 +83,7 @@ def _stretches(docs: DataFrame, seeds: KeyFilter, window: int, gram: int) -> Dat
 
 def repeats(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, starts): first words of the stretches that also start in a document with a smaller id."""
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"))
     shared = (_scan(docs, window, gram).groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
               .where("low < high"))
     seeds = key_filter(shared, "gram")
@@ -105,7 +105,7 @@ def _marked(first: np.ndarray, rows: np.ndarray, starts: np.ndarray, window: int
 def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, n_removed, kept): each document with its covered words removed and the others
     joined by one space. Columns other than key and text are left out."""
-    plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    plain = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"))
     again = repeats(docs, window, gram, key, text)
     touched = key_filter(again.select(F.xxhash64("doc_id").alias("h")), "h")
     hashed = plain.withColumn("h", F.xxhash64("doc_id"))
@@ -135,7 +135,7 @@ def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id",
 
     clean = hashed.mapInArrow(run, schema)
     cut = hashed.mapInArrow(to_cut, hashed.schema).drop("h").join(again, "doc_id", "left").mapInArrow(run, schema)
-    return clean.union(cut).withColumnRenamed("doc_id", key)
+    return clean.union(cut).select(from_key("doc_id").alias(key), "n_words", "n_removed", "kept")
 
 
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, keep: np.ndarray) -> list[bytes]:
