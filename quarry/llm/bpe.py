@@ -18,14 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quarry.llm.words import slices
+from quarry.llm.words import RunCache, slices, spans, take_runs, text_buffers
 
 _NONE = np.int32(2**31 - 1)
 _CELLS = 1 << 20  # of a matrix, at most
-_CACHE = 300_000  # matches a worker remembers
+_KNOWN = 200_000  # matches a worker remembers
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -85,8 +86,8 @@ class Codec:
         import regex
         self.ranks, self.pairs, self.split = ranks, PairTable(ranks), regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.token = {rank: token for token, rank in ranks.items()}
-        self.cache: dict[str, bytes] = {}  # match -> its ids, as the bytes of an int32 array
+        self.known: dict[str, list[int]] = {}  # match -> its ids
+        self.cache = RunCache(self._units)
 
     def encode_matches(self, matches: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(matches)
@@ -148,18 +149,61 @@ class Codec:
             one[many[good]] = some[good]
         return _compact(ids, one, least)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = [self.split(t) for t in texts]
-        new = list({m for f in found for m in f if m not in self.cache})
-        if len(self.cache) + len(new) > _CACHE:
-            self.cache = {}
+    def _units(self, units: list[bytes]) -> list[list[int]]:
+        found = [self.split(u.decode()) for u in units]
+        new = list({m for f in found for m in f if m not in self.known})
+        if len(self.known) + len(new) > _KNOWN:
+            self.known.clear()
             new = list({m for f in found for m in f})
         for m, ids in zip(new, self.encode_matches([m.encode() for m in new]), strict=True):
-            self.cache[m] = ids.tobytes()
-        return [np.frombuffer(b"".join(map(self.cache.__getitem__, f)), dtype=np.int32) for f in found]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+            self.known[m] = ids.tolist()
+        return [[i for m in f for i in self.known[m]] for f in found]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in turn, where each text's begin).
+
+        A text is cut into units: a word with the white space before it. No match of the pattern
+        reaches over a unit's end, as the pattern joins a word only with one space before it; only
+        texts with white space beyond ASCII are one unit each.
+        """
+        data, offsets = text_buffers(column)
+        starts, ends, first = spans(data, offsets)
+        size = np.diff(first)
+        row = np.repeat(np.arange(len(size)), size)
+        begin = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        head = first[:-1][size > 0]
+        begin[head] = offsets[:-1][size > 0]  # a row's first unit begins with the row
+        tail = offsets[:-1].copy()  # white space after a row's last word
+        tail[size > 0] = ends[first[1:][size > 0] - 1]
+        left = tail < offsets[1:]
+        rows = np.concatenate([row, np.flatnonzero(left)])
+        begin, end = np.concatenate([begin, tail[left]]), np.concatenate([ends, offsets[1:][left]])
+        odd = _other_space(data, offsets)
+        if odd.any():
+            keep = ~odd[rows]
+            at = np.flatnonzero(odd)
+            rows, begin, end = np.concatenate([rows[keep], at]), np.concatenate([begin[keep], offsets[at]]), np.concatenate([end[keep], offsets[at + 1]])
+        order = np.argsort(begin, kind="stable")
+        rows, begin, end = rows[order], begin[order], end[order]
+        at, many = self.cache(data, begin, end)
+        total = np.concatenate([[0], np.cumsum(many)])
+        return take_runs(self.cache.pool, at, many), total[np.searchsorted(rows, np.arange(len(offsets)))]
+
+
+def _other_space(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows that hold white space other than the six ASCII characters (U+1C-1F, 85, A0, 1680, 2000-200A, 2028, 2029, 202F, 205F, 3000)."""
+    d = data[int(offsets[0]):int(offsets[-1])]
+    hit = (d >= 0x1C) & (d <= 0x1F)
+    two = (d[:-1] == 0xC2) & ((d[1:] == 0x85) | (d[1:] == 0xA0))
+    hit[:-1] |= two
+    a, b, c = d[:-2], d[1:-1], d[2:]
+    hit[:-2] |= (((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+                 | ((a == 0xE2) & (b == 0x81) & (c == 0x9F))
+                 | ((a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))))
+    out = np.zeros(len(offsets) - 1, dtype=bool)
+    at = np.flatnonzero(hit) + int(offsets[0])
+    out[np.searchsorted(offsets, at, "right") - 1] = True
+    return out
 
 
 def _compact(ids: np.ndarray, hit: np.ndarray, merged: np.ndarray) -> np.ndarray:
@@ -196,10 +240,8 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
         codec = _codec(shared, pattern)
         for batch in batches:
             for part in slices(batch, text):
-                ids = codec.encode([t or "" for t in part.column(text).to_pylist()])
-                offsets = np.zeros(len(ids) + 1, dtype=np.int32)
-                np.cumsum([len(x) for x in ids], out=offsets[1:])
-                flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))
+                flat, first = codec.encode(part.column(text))
+                offsets, flat = first.astype(np.int32), pa.array(flat.astype(np.int32))
                 yield pa.record_batch([part.column(key), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["k", "ids"])
 
     kind = docs.schema[key].dataType
@@ -213,15 +255,34 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     encoded = encoded.drop("decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {rank: t for t, rank in shared.value.items()}
-        for batch in batches:
-            lists = batch.column(ids)
-            out = [b"".join(map(token.__getitem__, x)) if x else b"" for x in (lists[i].as_py() for i in range(len(lists)))]
-            yield pa.record_batch([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
+        token = shared.value
+        size = np.zeros(max(token.values()) + 1, dtype=np.int64)
+        size[list(token.values())] = list(map(len, token))
+        begin = np.zeros(len(size), dtype=np.int64)
+        begin[list(token.values())] = np.cumsum(list(map(len, token))) - list(map(len, token))
+        pool = np.frombuffer(b"".join(token), dtype=np.uint8)
+        for whole in batches:
+            for batch in _some_ids(whole, ids):
+                lists = batch.column(ids).fill_null([])
+                first, flat = lists.offsets.to_numpy(), lists.values.to_numpy()[lists.offsets[0].as_py():lists.offsets[-1].as_py()]
+                data = take_runs(pool, begin[flat], size[flat]).tobytes()
+                at = np.concatenate([[0], np.cumsum(size[flat])])[first - first[0]]
+                out = pa.array([data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
+                yield pa.record_batch([*batch.columns, out], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
+def _some_ids(batch: pa.RecordBatch, ids: str, target: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about `target` ids, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False))
+    at, before = 0, 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, before + target, "right")))
+        yield batch.slice(at, to - at)
+        before, at = int(ends[to - 1]), to
+
+
 def _renamed(run, names):
     def inner(batches):
         for b in run(batches):

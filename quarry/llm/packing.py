@@ -28,10 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.shared import write_shared
-from quarry.llm.words import hashes, slices, spans, text_buffers
+from quarry.llm.words import RunCache, slices, spans, take_runs, text_buffers
 
-_WORDS = 2_000_000  # a worker remembers the ids of so many words
-_PIECES = 200_000
+_PIECES = 200_000  # a worker remembers the ids of so many pieces
 #: The splitting pattern of the word-level file, as in its pre-tokenizer (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -60,12 +59,7 @@ class WordIds:
         self.safe = regex.compile(r"[\x21-\x7E\xA1-ɏ]+").fullmatch
         self.letters = _byte_letters()
         self.pieces: dict[str, list[int]] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.key = np.empty(0, np.uint64)
-        self.at = np.zeros(1, np.int64)
-        self.ids = np.empty(0, np.uint32)
+        self.cache = RunCache(lambda words: self._encode([w.decode() for w in words]))
 
     def _piece(self, piece: str) -> list[int]:
         ids = self.pieces.get(piece)
@@ -94,40 +88,12 @@ class WordIds:
                 out[i] = self.whole.encode(words[i], add_special_tokens=False).ids
         return out
 
-    def add(self, key: np.ndarray, words: list[bytes]) -> None:
-        """Remember new words; key is sorted and new."""
-        if len(self.key) + len(key) > max(_WORDS, len(key)):
-            self.clear()
-        new: list[list[int]] = []
-        for i in range(0, len(words), 10_000):
-            new += self._encode([w.decode() for w in words[i:i + 10_000]])
-        size = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-        flat = np.fromiter((i for ids in new for i in ids), dtype=np.uint32, count=int(size.sum()))
-        all_size = np.concatenate([np.diff(self.at), size])
-        all_from = np.concatenate([self.at[:-1], len(self.ids) + np.cumsum(size) - size])
-        all_key = np.concatenate([self.key, key])
-        order = np.argsort(all_key, kind="stable")
-        pool = np.concatenate([self.ids, flat])
-        self.key, self.ids = all_key[order], _take(pool, all_from[order], all_size[order])
-        self.at = np.concatenate([[0], np.cumsum(all_size[order])])
-
     def documents(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in turn, each row's followed by `end`; where each row begins)."""
         starts, ends, first = spans(data, offsets)
-        key, where, back = np.unique(hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.key, key)
-        old = at < len(self.key)
-        old[old] = self.key[at[old]] == key[old]
-        if not old.all():
-            if len(self.key) + int((~old).sum()) > _WORDS:
-                self.clear()
-                old[:] = False
-            i = where[~old]
-            self.add(key[~old], [data[s:e].tobytes() for s, e in zip(starts[i], ends[i], strict=True)])
-            at = np.searchsorted(self.key, key)
-        begin, size = self.at[at][back], np.diff(self.at)[at][back]
+        begin, size = self.cache(data, starts, ends)
         rows = len(offsets) - 1
-        ids = _take(self.ids, begin, size)
+        ids = take_runs(self.cache.pool, begin, size)
         upto = np.concatenate([[0], np.cumsum(size)])[first]  # ids before each row
         out = np.empty(len(ids) + rows, dtype=np.uint32)
         place = upto + np.arange(rows + 1)
@@ -138,19 +104,6 @@ class WordIds:
         return out, place
 
 
-def _take(pool: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """pool[begin:begin + size] of each, one after the other."""
-    total = int(size.sum())
-    step = np.ones(total, dtype=np.int64)
-    keep = size > 0
-    begin, size = begin[keep], size[keep]
-    if not total:
-        return np.empty(0, pool.dtype)
-    head = np.cumsum(size) - size
-    step[head] = begin - np.concatenate([[0], begin[:-1] + size[:-1] - 1])
-    return pool[np.cumsum(step)]
-
-
 _READERS: dict[str, WordIds] = {}
 
 
@@ -164,7 +117,9 @@ def pieces(docs: DataFrame, path: str, length: int = 2048, end: int = 0, key: st
         schema.add("ids", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _READERS.setdefault(path, None) or _READERS.update({path: WordIds(path)}) or _READERS[path]
+        if path not in _READERS:
+            _READERS[path] = WordIds(path)
+        reader = _READERS[path]
         for batch in batches:
             for part in slices(batch):
                 flat, place = reader.documents(*text_buffers(part.column("text")), end)

@@ -7,7 +7,7 @@ of a few MB, and words are hashed a megabyte at a time, however long a text is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -143,3 +143,59 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def unsigned(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.uint64)
+
+
+def take_runs(pool: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """pool[begin:begin + size] of each run, one after the other."""
+    total = int(size.sum())
+    keep = size > 0
+    begin, size = begin[keep], size[keep]
+    if not total:
+        return np.empty(0, pool.dtype)
+    step = np.ones(total, dtype=np.int64)
+    step[np.cumsum(size) - size] = begin - np.concatenate([[0], begin[:-1] + size[:-1] - 1])
+    return pool[np.cumsum(step)]
+
+
+class RunCache:
+    """Token ids of byte strings, remembered by hash in flat arrays; cleared when `limit` strings are held."""
+
+    def __init__(self, encode: Callable[[list[bytes]], list], limit: int = 1_500_000):
+        self.encode, self.limit = encode, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.key, self.begin, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.pool, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _add(self, key: np.ndarray, strings: list[bytes]) -> None:
+        for low in range(0, len(strings), 10_000):
+            runs = self.encode(strings[low:low + 10_000])
+            size = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+            end = self.used + int(size.sum())
+            if end > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.empty(max(end, len(self.pool)), np.uint32)])
+            self.pool[self.used:end] = np.fromiter((i for run in runs for i in run), dtype=np.uint32, count=end - self.used)
+            now = key[low:low + 10_000]
+            at = np.searchsorted(self.key, now)
+            self.key = np.insert(self.key, at, now)
+            self.begin = np.insert(self.begin, at, self.used + np.cumsum(size) - size)
+            self.size = np.insert(self.size, at, size)
+            self.used = end
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) in the pool of the ids of each span of data."""
+        key, where, back = np.unique(hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
+        new = self._missing(key)
+        if new.any():
+            if len(self.key) + int(new.sum()) > self.limit:
+                self.clear()
+                new[:] = True
+            i = where[new]
+            self._add(key[new], [data[s:e].tobytes() for s, e in zip(starts[i].tolist(), ends[i].tolist(), strict=True)])
+        at = np.searchsorted(self.key, key)
+        return self.begin[at][back], self.size[at][back]
+
+    def _missing(self, key: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
+        return self.key[at] != key if len(self.key) else np.ones(len(key), dtype=bool)
