@@ -28,18 +28,18 @@ SYMBOLS = r"[^#*$%&|<>]"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def measures(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """(key, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words).
+def _measured(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """The rows with the measures in columns beside them.
 
     Repeated 3-word windows are found by 64-bit hash within the row: a distinct count tells whether
     there are any; only then windows are sorted with their positions, equal neighbours are marked, and
     the marked positions in order give the length of the stretches they cover.
     """
-    d = docs.select(F.col(key).alias("k"), F.coalesce(F.col(host), F.lit("")).alias("host"),
+    d = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(host), F.lit("")).alias("host"),
                     F.coalesce(F.col(text), F.lit("")).alias("t"))
     d = d.withColumn("w", F.filter(F.split("t", SPACE), lambda x: x != ""))
     d = d.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]"))))
-    d = d.select("k", "host", F.size("w").cast("long").alias("n_words"),
+    d = d.select("row", "host", F.size("w").cast("long").alias("n_words"),
                  F.length(F.regexp_replace("t", SPACE, "")).cast("long").alias("word_chars"),
                  F.length(F.regexp_replace("t", SYMBOLS, "")).cast("long").alias("n_symbols"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -54,10 +54,16 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
     d = d.withColumn("p", F.array_sort(marked))
     covered = F.aggregate(F.transform("p", lambda x, i: F.least(F.lit(3), F.coalesce(F.get("p", i + 1) - x, F.lit(3)))),
                           F.lit(0).cast("long"), lambda a, x: a + x)
-    return d.select(F.col("k").alias(key), F.col("host"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+    return d.select("row", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
 
 
+def measures(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """(key, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
+    m = _measured(docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(host).alias("h")), "t", "h")
+    return m.select(F.col("row.k").alias(key), *[c for c in m.columns if c != "row"])
+
+
 def rules(m: DataFrame) -> DataFrame:
     """The measures with base_failed and n_soft: soft rules failed (symbols, repeated lines and windows, word length)."""
     base = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
@@ -88,9 +94,23 @@ def host_verdicts(m: DataFrame, host_limit: float = 0.5) -> DataFrame:
     return by.select("host", "n", "failed", rate.alias("rate"), (rate > host_limit).alias("strict"))
 
 
+def _rejected():
+    """A base rule failed, or a soft one in a strict host."""
+    return F.col("base_failed") | (F.coalesce("strict", F.lit(False)) & (F.col("n_soft") > 0))
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", host_limit: float = 0.5) -> DataFrame:
     """Measures, base_failed, n_soft, host_rate and kept of each document."""
     m = rules(write_shared(measures(docs, key, text, host), "measures"))  # texts are measured once
     hosts = host_verdicts(m, host_limit).select(F.col("host").alias("h"), F.col("rate").alias("host_rate"), "strict")
-    kept = ~F.col("base_failed") & ~(F.coalesce("strict", F.lit(False)) & (F.col("n_soft") > 0))
-    return m.join(hosts, F.col("host") == F.col("h"), "left").withColumn("kept", kept).drop("h", "strict")
+    return m.join(hosts, F.col("host") == F.col("h"), "left").withColumn("kept", ~_rejected()).drop("h", "strict")
+
+
+def clean(docs: DataFrame, text: str = "text", host: str = "source", host_limit: float = 0.5) -> DataFrame:
+    """The documents that are kept, with all their columns. Measures stay in the document's row; texts
+    meet the hosts' verdicts only, and are measured a second time rather than shuffled for it."""
+    m = rules(_measured(docs, text, host))
+    hosts = write_shared(host_verdicts(m.drop("row"), host_limit), "hosts").select(F.col("host").alias("h"), "strict")
+    # one condition over both sides: a part of it that went below the join would repeat the measures' expressions there
+    bad = F.when(F.coalesce("strict", F.lit(False)), F.col("base_failed") | (F.col("n_soft") > 0)).otherwise(F.col("base_failed"))
+    return m.join(hosts, F.col("host") == F.col("h"), "left").where(bad == F.lit(False)).select("row.*")

@@ -78,6 +78,21 @@ def op6_byte_bpe(spark, d):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op7_html_text")
+def op7_html_text(spark, d):
+    from quarry.llm.html_text import main_text
+    return main_text(table(spark, d, "pages"))
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark, d):
+    from quarry.llm.toxicity import fit, score
+    docs = table(spark, d, "documents")
+    model = fit(docs, table(spark, d, "labels"), fold() != 0)
+    scored = score(docs, model)
+    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @register("op9_quality")
 def op9_quality(spark, d):
     from quarry.llm.quality import judge

@@ -25,9 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.shared import KeyFilter, from_key, key_filter, to_key, write_shared
 from quarry.llm.words import hashes, ngrams, signed, slices, spans, text_buffers, unsigned
@@ -102,14 +104,18 @@ def _marked(first: np.ndarray, rows: np.ndarray, starts: np.ndarray, window: int
     return np.cumsum(edge)[:n] > 0
 
 
-def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, n_removed, kept): each document with its covered words removed and the others
-    joined by one space. Columns other than key and text are left out."""
-    plain = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"))
+def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id", text: str = "text",
+          keep: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
+    """(key, n_words, n_removed, kept, *keep): each document with its covered words removed and the others
+    joined by one space; with `as_is` the text of a document that loses none stays as it was."""
+    carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]
+    plain = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"), *carried)
     again = repeats(docs, window, gram, key, text)
     touched = key_filter(again.select(F.xxhash64("doc_id").alias("h")), "h")
     hashed = plain.withColumn("h", F.xxhash64("doc_id"))
-    schema = "doc_id long, n_words long, n_removed long, kept string"
+    names = [f"c{i}" for i in range(len(keep))]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+                           T.StructField("kept", T.StringType()), *(hashed.schema[c] for c in names)])
 
     def passing(batch: pa.RecordBatch, want: bool) -> pa.RecordBatch:
         return batch.filter(pa.array(touched(unsigned(batch.column("h").to_numpy())) == want))
@@ -130,12 +136,17 @@ def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id",
                     size = np.diff(lists.offsets.to_numpy())
                     drop = _marked(first, np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy(), window, len(starts))
                 total = np.concatenate([[0], np.cumsum(drop)])[first]
-                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(first)), pa.array(np.diff(total)),
-                                       pa.array(_joined(data, starts, ends, first, ~drop), pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+                removed = np.diff(total)
+                kept = pa.array(_joined(data, starts, ends, first, ~drop), pa.string())
+                if as_is:
+                    kept = pc.if_else(pa.array(removed == 0), part.column("text"), kept)
+                yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(first)), pa.array(removed), kept,
+                                       *(part.column(c) for c in names)], schema.names)
 
     clean = hashed.mapInArrow(run, schema)
     cut = hashed.mapInArrow(to_cut, hashed.schema).drop("h").join(again, "doc_id", "left").mapInArrow(run, schema)
-    return clean.union(cut).select(from_key("doc_id").alias(key), "n_words", "n_removed", "kept")
+    return clean.union(cut).select(from_key("doc_id").alias(key), "n_words", "n_removed", "kept",
+                                   *[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)])
 
 
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, keep: np.ndarray) -> list[bytes]:
