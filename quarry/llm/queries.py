@@ -97,7 +97,7 @@ def op8_toxicity(spark, d):
 def op9_quality(spark, d):
     from quarry.llm.quality import judge
     return judge(table(spark, d, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @register("op10_hamming_topk")
