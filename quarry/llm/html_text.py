@@ -3,8 +3,8 @@
 The standard library's parser is fed the whole page; its events are turned into lines (one per block
 of text) with their text, the number of tags in them, how much of the text is links, and the region
 they stand in (the innermost article or main element, else the innermost sectioning element or div).
-Text in elements that are never content (scripts, menus, forms, adverts, notices, comments, ...) is
-marked. The lines' text-to-tag ratios are smoothed by a Gaussian, and lines over a threshold (a share
+Text in elements that are never content (scripts, menus, forms, adverts, notices, comments, ...) makes
+no line. The lines' text-to-tag ratios are smoothed by a Gaussian, and lines over a threshold (a share
 of the page's spread of ratios) are the content cluster. A region that holds most of the cluster's
 text is content as a whole, as short paragraphs and headings belong to it; in a page without article
 or main elements the lines of the cluster and what lies between them in their region are.
@@ -53,7 +53,6 @@ class Line:
     linked: int
     region: int
     article: int  # number of the article or main element it is in, or -1
-    never: bool
 
 
 class _Lines(HTMLParser):
@@ -74,8 +73,8 @@ class _Lines(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, never, region, article = self.open[-1]
-            self.lines.append(Line(text, max(1, self.tags), self.linked, region, article, never))
+            _, _, region, article = self.open[-1]
+            self.lines.append(Line(text, max(1, self.tags), self.linked, region, article))
         tags = 0 if text else self.tags  # tags without text count for the next line
         self._reset()
         self.tags = tags
@@ -138,6 +137,8 @@ class _Lines(HTMLParser):
         self._close(tag, *(() if tag in _BLOCK or tag in _NEVER else _BLOCK))
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1][1]:
+            return
         self.parts.append(data)
         if self.links > 0:
             self.linked += len(data)
@@ -158,7 +159,7 @@ def extract(html: str, share: float = 0.5) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines = [x for x in parser.lines if not x.never]
+    lines = parser.lines
     if not lines:
         return ""
     size = np.array([len(x.text) for x in lines], dtype=float)

@@ -167,8 +167,33 @@ def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=
     return rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, schema)
 
 
+def _fine(grams: np.ndarray) -> bytes:
+    """A point with about one coordinate for every two n-grams (a power of two, 64 at least), a byte each."""
+    groups = max(64, 1 << max(0, (len(grams) // 2).bit_length() - 1))
+    return np.minimum(np.bincount((grams % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8).tobytes()
+
+
+def _fine_bound(a: bytes, b: bytes) -> int:
+    """Most that two sets with these fine points can share; the longer point is folded to the shorter's groups."""
+    x, y = (np.frombuffer(p, dtype=np.uint8) for p in (a, b))
+    if x.max() == 255 or y.max() == 255:  # a count that did not fit
+        return 1 << 40
+    m = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, m).sum(axis=0, dtype=np.int64), y.reshape(-1, m).sum(axis=0, dtype=np.int64)).sum())
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets meet the threshold."""
+    """The pairs (a, b) whose whole sets meet the threshold. Fine points, a sixteenth of the sets' bytes,
+    travel first; whole sets only for the pairs that these let through."""
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [batch.column(c).to_pylist() for c in ("fa", "fb", "na", "nb")]
+            good = [_fine_bound(a, b) >= _need(m, n, percent) for a, b, m, n in zip(*x, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    points = (pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b")
+              .join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a"))
+    pairs = write_shared(points.mapInArrow(likely, "a long, b long"), "likely")
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a"))
     shared = F.size(F.array_intersect("ga", "gb")).cast("long")
@@ -232,7 +257,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
 
     # 3. blocks of two nodes or more
     by_key = nodes.select("node", F.explode("keys").alias("key"))
-    shared = write_shared(by_key.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"), F.count("*").alias("m"))
+    shared = write_shared(by_key.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"))
                           .where("pivot != other").drop("other"), "blocks")
     is_shared = key_filter(shared, "key")
 
@@ -245,8 +270,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
             row = pa.array(row[good])
             yield pa.record_batch([pa.array(flat[good]), *(batch.column(c).take(row) for c in ("node", "n", "point"))], ["key", "node", "n", "point"])
 
-    rows = (nodes.mapInArrow(survivors, "key long, node long, n long, point binary").join(shared, "key"))
-    rows = write_shared(rows, "survivors")
+    rows = write_shared(nodes.mapInArrow(survivors, "key long, node long, n long, point binary"), "survivors")
+    sizes = write_shared(rows.groupBy("key").agg(F.count("*").alias("m")).join(shared, "key"), "sizes")
+    rows = rows.join(sizes, "key")
 
     # 4. candidates: pairs of small blocks that share enough keys, and the star of each large block
     pair = "a long, b long, na long, nb long"
@@ -255,7 +281,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     enough = F.least(keys_of(F.col("na")) - F.col("na") + least, keys_of(F.col("nb")) - F.col("nb") + least) - 1e-6
     near = (_in_cells(rows.where(f"m <= {small}").select("key", "node", "n", "point"), percent, pair, ["key"])
             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")))
-    large = rows.where(f"m > {small}")
+    large = write_shared(rows.where(f"m > {small}"), "large")
     # keys of large blocks count for both nodes: a pair with some of them may be short of small ones and
     # is found in its large blocks
     near = near.where(F.col("c") >= enough).select("a", "b")
@@ -268,13 +294,15 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
         for batch in batches:
             batch = batch.filter(pa.array(wanted(unsigned(batch.column("h").to_numpy()))))
             for part in slices(batch):
-                yield pa.record_batch([part.column("node"), pa.array(map(signed, gram_sets(part, "text", n)), pa.list_(pa.int64()))], ["node", "grams"])
+                found = gram_sets(part, "text", n)
+                yield pa.record_batch([part.column("node"), pa.array([len(g) for g in found], pa.int64()), pa.array([_fine(g) for g in found], pa.binary()),
+                                       pa.array(map(signed, found), pa.list_(pa.int64()))], ["node", "n", "fine", "grams"])
 
     rep_node = reps.select(F.col("rep").alias("doc_id"), "node").withColumn("h", F.xxhash64("node"))
     # texts of the nodes to verify: a filter of wanted documents first, so that few texts meet the nodes
     need_docs = key_filter(_filtered(rep_node, wanted).select(F.xxhash64("doc_id").alias("d")), "d")
     few = _filtered(hashed, need_docs)
-    sets = write_shared(few.drop("h").join(rep_node, "doc_id").mapInArrow(whole, "node long, grams array<long>"), "sets")
+    sets = write_shared(few.drop("h").join(rep_node, "doc_id").mapInArrow(whole, "node long, n long, fine binary, grams array<long>"), "sets")
     links = write_shared(_verified(pairs, sets, percent), "links")
     labels = write_shared(components(links), "labels")
 

@@ -61,7 +61,7 @@ class Model:
         return total, out
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -500, 500)))
+        return np.zeros(len(evidence)) if self.offset == -math.inf else 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -500, 500)))
 
 
 def maximal_segments(place: list[int], score: list[float], drift: float) -> list[tuple[int, int, float]]:
