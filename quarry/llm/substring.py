@@ -8,15 +8,17 @@ that contains the seed is compared (by hash) with those of the other documents t
 word is covered if one of its stretches also starts in a document with a smaller id. Overlapping
 covered stretches join to maximal repeats, which are at least `window` words long.
 
-Scale: one row per anchor (about a quarter of the words) is grouped by a partial aggregate; the
-seeds become a bounded bitmap, so texts are scanned again rather than shuffled; one row per stretch
-around a seed is grouped, again by a partial aggregate, and joined back (AQE may split the join,
-whose other side is unique). A passage in a third of all documents is one row per task in either
-aggregate. Texts move only for documents that lose words. Exact copies cost no more than their rows.
+Scale: of equal texts only the one with the smallest id is searched; the others lose all their
+stretches anyway. One row per anchor (about a quarter of the words) is grouped by a partial aggregate;
+the seeds become a bounded bitmap, so texts are scanned again rather than shuffled. Within a slice of
+documents, stretches that a smaller id of the same slice has are settled on the spot; only one
+occurrence per stretch and slice is shuffled, so a passage in a third of all documents is one row per
+slice, and it is read in order, one row at a time. Texts move only for documents that lose words.
 
 Defined cases: a null text has no words; a text of fewer than `window` words loses none; windows that
-repeat only within a document stay; repeated ids are one document for the rule "smaller id"; an empty
-table gives an empty table. Stretches are compared by 64-bit hashes of the word sequence.
+repeat only within a document stay; rows of one id are one document for the rule "smaller id", and
+each is cut; rows without an id count as the largest id; an empty table gives an empty table.
+Stretches are compared by 64-bit hashes of the word sequence.
 """
 
 from __future__ import annotations
@@ -58,49 +60,120 @@ class _Text:
             self.anchor_of = self.anchors = np.empty(0, np.int64)
 
 
-def _scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(gram, doc_id) of each anchor, once per document and slice."""
+def _scan(docs: DataFrame, first: KeyFilter, window: int, gram: int) -> DataFrame:
+    """(gram, doc_id) of each anchor of the documents that pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(_passing(batch, first)):
                 t = _Text(part, window, gram)
                 key, doc = t.gram[t.anchors], part.column("doc_id").to_numpy()[t.row[t.anchors]]
                 yield pa.record_batch([pa.array(signed(key)), pa.array(doc)], ["gram", "doc_id"])
     return docs.mapInArrow(run, "gram long, doc_id long")
 
 
-def _stretches(docs: DataFrame, seeds: KeyFilter, window: int, gram: int) -> DataFrame:
-    """(stretch, doc_id, at): the stretches whose anchor is a seed, by their first word."""
+def _passing(batch: pa.RecordBatch, passes: KeyFilter, want: bool = True) -> pa.RecordBatch:
+    return batch.filter(pa.array(passes(unsigned(batch.column("h").to_numpy())) == want))
+
+
+def _stretches(docs: DataFrame, first: KeyFilter, seeds: KeyFilter, window: int, gram: int) -> DataFrame:
+    """(stretch, doc_id, at): the stretches around seeds, the smallest document's first one for each slice.
+    Those of larger documents of the slice are settled: their runs are rows with at = -1 - begin, and the
+    end in the low half of the key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(_passing(batch, first), target=8 << 20):
                 t = _Text(part, window, gram)
                 at = np.flatnonzero(t.whole)
                 at = at[seeds(t.gram[t.anchor_of[at]])]
-                key = ngrams(t.word, window)[at]
-                yield pa.record_batch([pa.array(signed(key)), pa.array(part.column("doc_id").to_numpy()[t.row[at]]),
-                                       pa.array((at - t.first[t.row[at]]).astype(np.int32))], ["stretch", "doc_id", "at"])
+                key, doc = ngrams(t.word, window)[at], part.column("doc_id").to_numpy()[t.row[at]]
+                place = at - t.first[t.row[at]]
+                order = np.lexsort((doc, key))
+                head = np.concatenate([[True], key[order][1:] != key[order][:-1]]) if len(order) else np.empty(0, bool)
+                least = doc[order][np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+                settled = np.zeros(len(at), dtype=bool)
+                settled[order] = doc[order] > least
+                send = order[head]
+                yield pa.record_batch([pa.array(signed(key[send])), pa.array(doc[send]), pa.array(place[send].astype(np.int32))], names)
+                # the smallest document's other occurrences wait for the same answer as its first
+                more = order[~head & (doc[order] == least)]
+                yield pa.record_batch([pa.array(signed(key[more])), pa.array(doc[more]), pa.array(place[more].astype(np.int32))], names)
+                i = np.flatnonzero(settled)
+                if len(i):  # in text order: neighbours of one row make a run
+                    cut = np.concatenate([[True], (at[i][1:] != at[i][:-1] + 1) | (t.row[at[i]][1:] != t.row[at[i]][:-1])])
+                    begin, last = i[cut], i[np.append(np.flatnonzero(cut)[1:] - 1, len(i) - 1)]
+                    low = (place[last] + window).astype(np.uint64)
+                    yield pa.record_batch([pa.array(signed(key[begin] >> np.uint64(32) << np.uint64(32) | low)), pa.array(doc[begin]),
+                                           pa.array((-1 - place[begin]).astype(np.int32))], names)
+
+    names = ["stretch", "doc_id", "at"]
     return docs.mapInArrow(run, "stretch long, doc_id long, at int")
 
 
+def _covered(found: DataFrame, window: int) -> DataFrame:
+    """(doc_id, at, upto): the settled runs, and the stretches that a smaller id has too (upto is 0 there).
+    Rows come in order of stretch and id, so the smallest id of a stretch is seen first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, least = None, 0
+        for batch in batches:
+            key, doc, at = (batch.column(c).to_numpy() for c in ("stretch", "doc_id", "at"))
+            if not len(key):
+                continue
+            done = at < 0
+            yield pa.record_batch([pa.array(doc[done]), pa.array(-1 - at[done], pa.int32()), pa.array((key[done] & 0x7FFFFFFF).astype(np.int32))], names)
+            key, doc, at = key[~done], doc[~done], at[~done]
+            if not len(key):
+                continue
+            head = np.concatenate([[key[0] != before], key[1:] != key[:-1]])
+            from_ = np.maximum.accumulate(np.where(head, np.arange(len(key)), -1))
+            low = np.where(from_ >= 0, doc[from_], least)
+            before, least = key[-1], low[-1]
+            more = doc > low
+            yield pa.record_batch([pa.array(doc[more]), pa.array(at[more]), pa.array(np.zeros(int(more.sum()), np.int32))], names)
+
+    names = ["doc_id", "at", "upto"]
+    return found.repartition("stretch").sortWithinPartitions("stretch", "doc_id").mapInArrow(run, "doc_id long, at int, upto int")
+
+
 def repeats(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, starts): first words of the stretches that also start in a document with a smaller id."""
-    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"))
-    shared = (_scan(docs, window, gram).groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    """(doc_id, starts, runs, copy): what a document loses: stretches by their first word, runs of words
+    [at, upto), and whether its text is a copy of a smaller document's (which then loses all stretches)."""
+    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text")).withColumn("h", F.xxhash64("doc_id"))
+    digest = write_shared(docs.where("text is not null").select("doc_id", "h", F.unhex(F.md5("text")).alias("m")), "digests")
+    least = digest.groupBy("m").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    first = key_filter(least.select(F.xxhash64("low").alias("h")), "h")  # every first one passes; a copy that does is searched too
+    copies = digest.join(least.where("low < high"), "m").where("doc_id > low").select("doc_id").distinct()
+    shared = (_scan(docs, first, window, gram).groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
               .where("low < high"))
     seeds = key_filter(shared, "gram")
-    found = write_shared(_stretches(docs, seeds, window, gram), "stretches")
-    least = found.groupBy("stretch").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    again = found.join(least, "stretch").where("doc_id > low")
-    return write_shared(again.groupBy("doc_id").agg(F.array_sort(F.collect_list("at")).alias("starts")), "repeats")
-
-
-def _marked(first: np.ndarray, rows: np.ndarray, starts: np.ndarray, window: int, n: int) -> np.ndarray:
-    """Words covered by a stretch, over a slice's words."""
-    edge = np.zeros(n + 1, dtype=np.int32)
-    begin = first[rows] + starts
-    np.add.at(edge, begin, 1)
-    np.add.at(edge, np.minimum(begin + window, n), -1)
+    again = _covered(_stretches(docs, first, seeds, window, gram), window)
+    again = again.groupBy("doc_id").agg(F.collect_list(F.expr("if(upto = 0, at, null)")).alias("starts"),
+                                        F.collect_list(F.expr("if(upto > 0, struct(at, upto), null)")).alias("runs"))
+    again = again.withColumn("copy", F.lit(False)).union(copies.select("doc_id", F.expr("cast(array() as array<int>)"),
+                                                                       F.expr("cast(array() as array<struct<at: int, upto: int>>)"), F.lit(True)))
+    again = again.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("runs")).alias("runs"),
+                                        F.max("copy").alias("copy"))
+    return write_shared(again, "repeats")
+
+
+def _marked(first: np.ndarray, part: pa.RecordBatch, window: int, n: int) -> np.ndarray:
+    """The words of a slice that its documents lose."""
+    edge = np.zeros(n + 1, dtype=np.int64)
+    count = np.diff(first)
+
+    def mark(rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        np.add.at(edge, first[rows] + np.minimum(begin, count[rows]), 1)
+        np.add.at(edge, first[rows] + np.minimum(end, count[rows]), -1)
+
+    for name in ("starts", "runs"):
+        lists = part.column(name).fill_null([])
+        size = np.diff(lists.offsets.to_numpy())
+        rows, flat = np.repeat(np.arange(len(size)), size), lists.flatten()
+        if name == "starts":
+            mark(rows, flat.to_numpy(), flat.to_numpy() + window)
+        else:
+            mark(rows, flat.field("at").to_numpy(), flat.field("upto").to_numpy())
+    whole = np.flatnonzero(pc.fill_null(part.column("copy"), False).to_numpy(zero_copy_only=False) & (count >= window))
+    mark(whole, np.zeros(len(whole), np.int64), count[whole])
     return np.cumsum(edge)[:n] > 0
 
 
@@ -117,26 +190,18 @@ def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id",
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept", T.StringType()), *(hashed.schema[c] for c in names)])
 
-    def passing(batch: pa.RecordBatch, want: bool) -> pa.RecordBatch:
-        return batch.filter(pa.array(touched(unsigned(batch.column("h").to_numpy())) == want))
-
     def to_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield passing(batch, True)
+            yield _passing(batch, touched)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             with_starts = "starts" in batch.schema.names
-            for part in slices(batch if with_starts else passing(batch, False)):
+            for part in slices(batch if with_starts else _passing(batch, touched, False)):
                 data, offsets = text_buffers(part.column("text"))
                 starts, ends, first = spans(data, offsets)
-                drop = np.zeros(len(starts), dtype=bool)
-                if with_starts:
-                    lists = part.column("starts").fill_null([])
-                    size = np.diff(lists.offsets.to_numpy())
-                    drop = _marked(first, np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy(), window, len(starts))
-                total = np.concatenate([[0], np.cumsum(drop)])[first]
-                removed = np.diff(total)
+                drop = _marked(first, part, window, len(starts)) if with_starts else np.zeros(len(starts), dtype=bool)
+                removed = np.diff(np.concatenate([[0], np.cumsum(drop)])[first])
                 kept = pa.array(_joined(data, starts, ends, first, ~drop), pa.string())
                 if as_is:
                     kept = pc.if_else(pa.array(removed == 0), part.column("text"), kept)
