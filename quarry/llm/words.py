@@ -137,6 +137,15 @@ def ngrams(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of each (left, right)."""
+    out = left * np.uint64(0xC2B2AE3D27D4EB4F)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0x9E3779B97F4A7C15)
+    out += right
+    return mix(out)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
