@@ -1,10 +1,10 @@
-"""Field extraction from an ``html`` column as regex expressions (H1-H8).
+"""Field extraction from an ``html`` column as Spark expressions (H1-H8).
 
-Patterns are built from parameters (tag, class, attribute) and avoid
-look-around and back-references, so the same pattern text runs in Spark
-(Java regex) and in the DuckDB oracle (RE2).  Matching is by the literal
-attribute text ``class="..."`` (the exact class string, as the reference's
-class selector with a multi-word value).
+A page is cut into tags, comments and text by one regex; elements are then followed by tag depth with
+array functions, row by row and without a UDF. An attribute may stand anywhere in its tag, in double
+quotes, single quotes or none. A class matches if it is one of the element's classes, or the whole
+attribute (for a selector of several words). The text of an element is that of all its children up to
+its own end tag. Character references are decoded.
 """
 
 from __future__ import annotations
@@ -23,36 +23,91 @@ FREE_TO_PLAY = "Free to Play"
 NO_REVIEW = "not found"
 # entries dropped from the split tag text
 TAG_JUNK = ["", "\r\n", "+"]
+# Elements without an end tag, and the named references that are decoded (the ampersand last).
+VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+NAMED = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "reg": "\u00ae", "trade": "\u2122",
+         "middot": "\u00b7", "hellip": "\u2026", "ndash": "\u2013", "mdash": "\u2014", "lsquo": "\u2018", "rsquo": "\u2019",
+         "ldquo": "\u201c", "rdquo": "\u201d", "euro": "\u20ac", "pound": "\u00a3", "amp": "&"}
+
+TOKEN = r"""(?s)<!--.*?-->|</?[a-zA-Z](?:"[^"]*"|'[^']*'|[^'">]+)*+>|<[!?][^>]*>|[^<]+|<"""
 
 
 def _q(s: str) -> str:
-    """Escape regex metacharacters (only those, so RE2 accepts the result)."""
+    """Escape regex metacharacters."""
     return re.sub(r"([.^$*+?()\[\]{}|\\])", r"\\\1", s)
 
 
-def meta_tag_pattern(attr: str, value: str | None) -> str:
-    """The first ``<meta ...>`` tag whose ``attr`` is ``value`` (any value if None)."""
-    v = '[^"]*' if value is None else _q(value)
-    return rf'<meta\s[^>]*{_q(attr)}="{v}"[^>]*>'
+def tokens(html: Column) -> Column:
+    """ARRAY of the page's tags, comments and texts, in order."""
+    return F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
 
 
-def attr_pattern(attr: str) -> str:
-    return rf'\s{_q(attr)}="([^"]*)"'
+def unescape(s: Column) -> Column:
+    """Numeric references, then the named ones."""
+    def char(ref: Column) -> Column:
+        digits = F.substr(ref, F.lit(3), F.length(ref) - 3)
+        number = F.when(F.lower(F.substr(digits, F.lit(1), F.lit(1))) == "x",
+                        F.conv(F.substr(digits, F.lit(2)), 16, 10)).otherwise(digits).cast("long")
+        return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
+    numeric = F.regexp_extract_all(s, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0))
+    out = F.when(F.contains(s, F.lit("&#")), F.aggregate(F.array_distinct(numeric), s, lambda a, r: F.replace(a, r, char(r)))).otherwise(s)
+    named = out
+    for name, value in NAMED.items():
+        named = F.replace(named, F.lit(f"&{name};"), F.lit(value))
+    return F.when(F.contains(out, F.lit("&")), named).otherwise(out)
+
+
+def _attr(tag: Column, name: str) -> Column:
+    """An attribute's decoded value; null when the tag has none of that name."""
+    before = rf"(?is)\s{_q(name)}\s*=\s*"
+    forms = [before + '"([^"]*)"', before + "'([^']*)'", before + "([^\\s\"'>]+)"]
+    value = F.when(F.regexp_like(tag, F.lit(forms[0])), F.regexp_extract(tag, forms[0], 1))
+    for form in forms[1:]:
+        value = value.when(F.regexp_like(tag, F.lit(form)), F.regexp_extract(tag, form, 1))
+    return unescape(value)
 
-def links_pattern(cls: str | None) -> str:
-    """href of every ``<a>`` (with the exact class string, when given)."""
-    if cls is None:
-        return r'<a\s[^>]*href="([^"]*)"'
-    return rf'<a\s[^>]*class="{_q(cls)}"[^>]*href="([^"]*)"'
 
+def _is_start(tag: Column, name: str | None) -> Column:
+    return F.regexp_like(tag, F.lit(rf"^(?i)<{'[a-z]' if name is None else _q(name) + '(?=[^a-z0-9:-])'}"))
 
-def text_pattern(cls: str | None, tag: str | None = None) -> str:
-    """Direct text of elements with the exact class string (or of a tag)."""
-    t = "[a-zA-Z][a-zA-Z0-9]*" if tag is None else _q(tag)
+
+def _has_class(tag: Column, cls: str | None) -> Column:
     if cls is None:
-        return rf"<{t}(?:\s[^>]*)?>([^<]*)"
-    return rf'<{t}\s[^>]*class="{_q(cls)}"[^>]*>([^<]*)'
+        return F.lit(True)
+    value = _attr(tag, "class")
+    whole = (value == cls) | F.array_contains(F.split(F.trim(value), r"\s+"), cls)
+    return F.contains(tag, F.lit(cls.split()[0])) & F.coalesce(whole, F.lit(False))
+
+
+def _inner_text(t: Column, at: Column, name: Column) -> Column:
+    """Text of the element that starts at a token, up to the end tag that closes it (or the page's end)."""
+    def step(state: Column, x: Column) -> Column:
+        low = F.lower(F.substr(x, F.lit(1), F.length(name) + 3))
+        after = F.substr(low, F.length(name) + 2, F.lit(1))
+        ends = F.startswith(low, F.concat(F.lit("</"), name)) & F.substr(low, F.length(name) + 3).isin(">", " ", "\t", "\n", "\r", "/")
+        starts = F.startswith(low, F.concat(F.lit("<"), name)) & after.isin(">", " ", "\t", "\n", "\r", "/")
+        new = lambda d, s: F.struct(d.cast("int").alias("d"), s.alias("s"))
+        return (F.when(state["d"] < 0, state)
+                .when(~F.startswith(x, F.lit("<")) | (x == "<"), new(state["d"], F.concat(state["s"], x)))
+                .when(ends, new(F.when(state["d"] == 1, F.lit(-1)).otherwise(state["d"] - 1), state["s"]))
+                .when(starts & ~F.endswith(x, F.lit("/>")), new(state["d"] + 1, state["s"]))
+                .otherwise(state))
+
+    text = F.aggregate(F.slice(t, at + 1, F.size(t)), F.struct(F.lit(0).alias("d"), F.lit("").alias("s")), step, lambda a: a["s"])
+    return F.when(name.isin(VOID), F.lit("")).otherwise(unescape(text))
+
+
+def _elements(html: Column, cls: str | None, tag: str | None, make) -> Column:
+    """ARRAY of make(tokens, position, name) of every element with the class and tag name."""
+    def of(t: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: _is_start(F.get(t, i), tag) & _has_class(F.get(t, i), cls))
+        named = F.transform(at, lambda i: F.struct(i.alias("i"), F.lower(F.regexp_extract(F.get(t, i), "^<([a-zA-Z][a-zA-Z0-9:-]*)", 1)).alias("n")))
+        return F.transform(named, lambda e: make(t, e["i"], e["n"]))
+
+    # the page is tokenised once, and bound to a name for the lambdas
+    found = F.transform(F.array(tokens(html)), lambda t: F.when(F.size(t) > 0, of(t)).otherwise(F.array().cast("array<string>")))
+    return F.get(found, F.lit(0))
 
 
 def strip_ws(c: Column) -> Column:
@@ -60,20 +115,18 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def _blank_to(default: str, c: Column) -> Column:
-    return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))
-
-
 def meta_content(html: Column, attr: str, value: str | None, take: str = "content",
                  default: str = NO_DESCRIPTION) -> Column:
-    """H1: attribute ``take`` of the first matching meta tag, else ``default``."""
-    tag = F.regexp_extract(html, meta_tag_pattern(attr, value), 0)
-    return _blank_to(default, F.regexp_extract(tag, attr_pattern(take), 1))
+    """H1: attribute ``take`` of the first meta tag whose ``attr`` is ``value`` (any, when None); an
+    empty value stays empty; ``default`` when there is no such tag or attribute."""
+    metas = F.filter(F.regexp_extract_all(html, F.lit(r"""(?is)<meta\s(?:"[^"]*"|'[^']*'|[^'">]+)*+>"""), F.lit(0)),
+                     lambda m: _attr(m, attr).isNotNull() if value is None else F.coalesce(_attr(m, attr) == value, F.lit(False)))
+    return F.coalesce(F.get(F.transform(metas, lambda m: _attr(m, take)), F.lit(0)), F.lit(default))
 
 
 def links_by_class(html: Column, cls: str | None) -> Column:
-    """H2: ARRAY of hrefs."""
-    return F.regexp_extract_all(html, F.lit(links_pattern(cls)), F.lit(1))
+    """H2: ARRAY of the hrefs of all links (of the class, when given)."""
+    return F.filter(_elements(html, cls, "a", lambda t, i, n: _attr(F.get(t, i), "href")), lambda x: x.isNotNull())
 
 
 def pick_link(links: Column, seed: Column, default: str = NO_IMAGE) -> Column:
@@ -85,12 +138,10 @@ def pick_link(links: Column, seed: Column, default: str = NO_IMAGE) -> Column:
 
 def text_by_class(html: Column, cls: str, default: str, strip: bool = True,
                   tag: str | None = None) -> Column:
-    """H4 / H6: text of the first element with the class string; stripped
-    unless ``strip`` is False; ``default`` when there is none."""
-    pat = text_pattern(cls, tag)
-    found = F.regexp_extract(html, pat, 1)
-    text = strip_ws(found) if strip else found
-    return F.when(F.regexp_like(html, F.lit(pat)), text).otherwise(F.lit(default))
+    """H4 / H6: text of the first element with the class; stripped unless ``strip`` is False;
+    ``default`` when there is none."""
+    text = F.get(texts_by_class(html, cls, tag), F.lit(0))
+    return F.coalesce(strip_ws(text) if strip else text, F.lit(default))
 
 
 def discount_price(base: Column, disc: Column) -> Column:
@@ -101,7 +152,7 @@ def discount_price(base: Column, disc: Column) -> Column:
 
 def texts_by_class(html: Column, cls: str | None, tag: str | None = None) -> Column:
     """H7: ARRAY of the texts of all elements with the class (or tag)."""
-    return F.regexp_extract_all(html, F.lit(text_pattern(cls, tag)), F.lit(1))
+    return _elements(html, cls, tag, _inner_text)
 
 
 def page_tags(html: Column, cls: str, tag: str | None = None) -> Column:

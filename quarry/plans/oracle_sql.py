@@ -8,7 +8,6 @@ rounded to 6 digits and every integer cast to BIGINT on both sides.
 
 from __future__ import annotations
 
-from quarry.functions import html as _H
 from quarry.functions import rules
 
 STOP = rules.duckdb_stopword_list()
@@ -235,44 +234,52 @@ ORACLE["search_with_attrs"] = full(
 _s = rules.sql_str
 
 
-def _meta(attr, value, take, default=_H.NO_DESCRIPTION):
-    tag = f"regexp_extract(html, {_s(_H.meta_tag_pattern(attr, value))}, 0)"
-    return f"coalesce(nullif(regexp_extract({tag}, {_s(_H.attr_pattern(take))}, 1), ''), {_s(default)})"
+# Written for the given pages and independent of the engine's expressions: there every element in question is
+# flat (text only), its attributes are in double quotes, and these references occur.
+def _plain(x):
+    return f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 
 
-def _links(cls=None):
-    return f"regexp_extract_all(html, {_s(_H.links_pattern(cls))}, 1)"
+def _meta(attr, value, take, default="No description found"):
+    v = '[^"]*' if value is None else value
+    tag = f"regexp_extract(html, '<meta [^>]*{attr}=\"{v}\"[^>]*>', 0)"
+    return f"coalesce(nullif({_plain(f"regexp_extract({tag}, ' {take}=\"([^\"]*)\"', 1)")}, ''), '{default}')"
+
+
+def _links():
+    return f"list_transform(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1), lambda x: {_plain('x')})"
 
 
 def _strip_ws(x):
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
-def _text(cls, default, strip=True, tag=None):
-    pat = _s(_H.text_pattern(cls, tag))
-    found = f"regexp_extract(html, {pat}, 1)"
-    return (f"CASE WHEN regexp_matches(html, {pat}) THEN {_strip_ws(found) if strip else found} "
-            f"ELSE {_s(default)} END")
+def _text(cls, default, strip=True):
+    pat = f"'<[a-z]+ [^>]*class=\"{cls}\"[^>]*>([^<]*)'"
+    found = _plain(f"regexp_extract(html, {pat}, 1)")
+    return f"CASE WHEN regexp_matches(html, {pat}) THEN {_strip_ws(found) if strip else found} ELSE '{default}' END"
+
+
+def _texts(pat):
+    return f"list_transform(regexp_extract_all(html, {pat}, 1), lambda x: {_plain('x')})"
 
 
-def _texts(cls, tag=None):
-    return f"regexp_extract_all(html, {_s(_H.text_pattern(cls, tag))}, 1)"
+_A_TEXTS = _texts("'<a(?: [^>]*)?>([^<]*)'")
+_AD_TEXTS = _texts("'<[a-z]+ [^>]*class=\"ad\"[^>]*>([^<]*)'")
 
 
 def _pick(links, seed):
     return (f"CASE WHEN len({links}) > 0 THEN {links}[(({seed} % len({links})) + len({links})) "
-            f"% len({links}) + 1] ELSE {_s(_H.NO_IMAGE)} END")
+            f"% len({links}) + 1] ELSE 'No image found' END")
 
 
-def _tags(cls):
-    junk = ", ".join(_s(j) if j != "\r\n" else "chr(13) || chr(10)" for j in _H.TAG_JUNK)
-    joined = f"array_to_string(list_transform({_texts(cls)}, lambda t: {_strip_ws('t')}), '')"
-    return f"list_filter(string_split({joined}, chr(9)), lambda p: p NOT IN ({junk}))"
+def _tags():
+    joined = f"array_to_string(list_transform({_AD_TEXTS}, lambda t: {_strip_ws('t')}), '')"
+    return f"list_filter(string_split({joined}, chr(9)), lambda p: p NOT IN ('', chr(13) || chr(10), '+'))"
 
 
 def _disc(base, disc_found):
-    return (f"CASE WHEN {base} = {_s(_H.FREE_TO_PLAY)} THEN {_s(_H.NO_DISCOUNT)} "
-            f"ELSE coalesce(nullif({disc_found}, ''), {_s(_H.NO_DISCOUNT)}) END")
+    return f"CASE WHEN {base} = 'Free to Play' THEN 'No Discount' ELSE coalesce(nullif({disc_found}, ''), 'No Discount') END"
 
 
 ORACLE["page_meta"] = (
@@ -280,31 +287,31 @@ ORACLE["page_meta"] = (
     f"{_meta('property', 'og:description', 'content')} AS description FROM pages")
 ORACLE["page_links"] = f"SELECT page_id, array_to_string({_links()}, '|') AS links FROM pages"
 ORACLE["page_pick_link"] = f"SELECT page_id, {_pick(_links(), 'page_id')} AS image FROM pages"
-ORACLE["page_text_by_class"] = f"SELECT page_id, {_text('ad', _H.NO_PRICE)} AS base_price FROM pages"
+ORACLE["page_text_by_class"] = f"SELECT page_id, {_text('ad', 'Not found')} AS base_price FROM pages"
 ORACLE["page_price_rule"] = (
-    f"SELECT page_id, {_text('ad', _H.NO_PRICE)} AS base_price, "
-    f"{_disc(_text('ad', _H.NO_PRICE), _text('discount_final_price', ''))} AS discount_price FROM pages")
+    f"SELECT page_id, {_text('ad', 'Not found')} AS base_price, "
+    f"{_disc(_text('ad', 'Not found'), _text('discount_final_price', ''))} AS discount_price FROM pages")
 ORACLE["page_text_raw"] = (
-    f"SELECT page_id, {_text('ad', _H.NO_REVIEW, strip=False)} AS review FROM pages")
-ORACLE["page_texts"] = f"SELECT page_id, array_to_string({_texts(None, 'a')}, '|') AS texts FROM pages"
-ORACLE["page_tag_list"] = f"SELECT page_id, array_to_string({_tags('ad')}, '|') AS tags FROM pages"
+    f"SELECT page_id, {_text('ad', 'not found', strip=False)} AS review FROM pages")
+ORACLE["page_texts"] = f"SELECT page_id, array_to_string({_A_TEXTS}, '|') AS texts FROM pages"
+ORACLE["page_tag_list"] = f"SELECT page_id, array_to_string({_tags()}, '|') AS tags FROM pages"
 ORACLE["tag_counts"] = (
-    f"SELECT tag, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest({_texts(None, 'a')}) AS tag "
+    f"SELECT tag, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest({_A_TEXTS}) AS tag "
     "FROM pages) GROUP BY tag")
 
 _FIELDS = f"""npages AS (SELECT count(*) AS n FROM pages),
 pf AS (SELECT page_id, {_meta('charset', None, 'charset')} AS description,
               {_pick(_links(), 'page_id')} AS image,
-              {_text('ad', _H.NO_PRICE)} AS base_price,
-              {_disc(_text('ad', _H.NO_PRICE), _text('discount_final_price', ''))} AS discount_price,
-              {_text('ad', _H.NO_REVIEW, strip=False)} AS review FROM pages)"""
+              {_text('ad', 'Not found')} AS base_price,
+              {_disc(_text('ad', 'Not found'), _text('discount_final_price', ''))} AS discount_price,
+              {_text('ad', 'not found', strip=False)} AS review FROM pages)"""
 ORACLE["enrich_hits"] = full(
     "SELECT t.query_id, t.rank, t.doc_id, t.score, "
-    f"coalesce(pf.description, {_s(_H.NO_DESCRIPTION)}) AS description, "
-    f"coalesce(pf.image, {_s(_H.NO_IMAGE)}) AS image, "
-    f"coalesce(pf.base_price, {_s(_H.NO_PRICE)}) AS base_price, "
-    f"coalesce(pf.discount_price, {_s(_H.NO_DISCOUNT)}) AS discount_price, "
-    f"coalesce(pf.review, {_s(_H.NO_REVIEW)}) AS review "
+    f"coalesce(pf.description, {_s('No description found')}) AS description, "
+    f"coalesce(pf.image, {_s('No image found')}) AS image, "
+    f"coalesce(pf.base_price, {_s('Not found')}) AS base_price, "
+    f"coalesce(pf.discount_price, {_s('No Discount')}) AS discount_price, "
+    f"coalesce(pf.review, {_s('not found')}) AS review "
     "FROM top t CROSS JOIN npages LEFT JOIN pf ON pf.page_id = ((t.doc_id % npages.n) + npages.n) % npages.n",
     extra=_FIELDS)
 
@@ -322,9 +329,9 @@ ORACLE["search_flow"] = full(
     "SELECT s.query_id, s.n_hits, s.status, t.rank, t.doc_id, t.score, "
     + ", ".join(
         f"CASE WHEN t.doc_id IS NULL THEN NULL ELSE coalesce(pf.{c}, {_s(d)}) END AS {c}"
-        for c, d in [("description", _H.NO_DESCRIPTION), ("image", _H.NO_IMAGE),
-                     ("base_price", _H.NO_PRICE), ("discount_price", _H.NO_DISCOUNT),
-                     ("review", _H.NO_REVIEW)])
+        for c, d in [("description", 'No description found'), ("image", 'No image found'),
+                     ("base_price", 'Not found'), ("discount_price", 'No Discount'),
+                     ("review", 'not found')])
     + " FROM st s LEFT JOIN top t ON t.query_id = s.query_id CROSS JOIN npages "
     "LEFT JOIN pf ON pf.page_id = ((t.doc_id % npages.n) + npages.n) % npages.n",
     extra=_FIELDS + """,

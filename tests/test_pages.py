@@ -56,3 +56,35 @@ def test_enrich_hits_keeps_missing(spark):
     out = {r.rank: r for r in enrich_hits(hits, page_fields(pages(spark)), "url", "url").collect()}
     assert out[1].description == "A fine game."
     assert out[2].description == "No description found" and out[2].base_price == "Not found"
+
+
+# Store markup as found in the wild: nested elements, tabs, several classes, attributes in any order.
+PAGE_STORE = (
+    '<head><meta content="Fish &amp; chips" property=\'og:description\'></head>'
+    '<a href="s1.jpg" class="highlight_screenshot_link big">1</a><a class=\'highlight_screenshot_link\' href=s2.jpg>2</a>'
+    '<div class="game_purchase_price price"><span>$59.99</span></div>'
+    '<div class="discount_final_price your_price"><div class="label">Now</div> $9.99</div>'
+    '<span class="game_review_summary positive"><b>Very</b> Positive</span>'
+    '<div class="glance_tags popular_tags"><a class="app_tag">\t\tIndie\t\t</a><a class="app_tag">\t\tR&#38;B\t\t</a>'
+    '<div>+</div></div><div class="glance_tags">no</div>'
+    '<a class="tag_browse_tag x">Indie <i>games</i></a>')
+
+
+def test_store_markup(spark):
+    rows = spark.createDataFrame([(1, "u", PAGE_STORE), (2, "u", None), (3, "u", ""), (4, "u", '<meta property="og:description" content="">')],
+                                 "page_id long, url string, html string")
+    f = {r.page_id: r for r in page_fields(rows).collect()}
+    assert f[1].description == "Fish & chips" and f[1].links == ["s1.jpg", "s2.jpg"]
+    assert f[1].base_price == "$59.99" and f[1].discount_price == "Now $9.99" and f[1].review == "Very Positive"
+    # stripped text "Indie\t\t\t\tR&B\t\t+" split on TAB, junk dropped
+    assert f[1].tags == ["Indie", "R&B"]
+    assert f[2].base_price == "Not found" and f[3].tags == [] and f[4].description == ""
+    assert [tuple(r) for r in tag_catalogue(rows).collect()] == [("Indie games", 1)]
+
+
+def test_nested_same_name(spark):
+    """An element ends at its own end tag; a void element has no text; what is left open ends with the page."""
+    from quarry.functions import html as H
+    page = '<div class="a">x<div>y</div>z</div>t<img class="a" src="i"><p class="a">open &lt;b&gt; &#x20AC;&#8364;'
+    row = spark.createDataFrame([(page,)], "html string").select(H.texts_by_class(F.col("html"), "a").alias("t")).first()
+    assert row.t == ["xyz", "", "open <b> €€"]
