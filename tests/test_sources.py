@@ -2,57 +2,58 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import index as I
 from quarry.operators import search as S
-from quarry.sources.catalog import read_catalog
+from quarry.sources.catalog import read_catalog, read_descriptions
 from quarry.sources.store import load_index, save_index
 from quarry.sources.tagged import read_tagged_docs, read_tagged_queries
 
 QUERY_FILE = """.I 1
 .W
- What articles exist which deal with TSS (Time Sharing System), an
-operating system for IBM computers?
+ Which gardens by the river grow quinces (Cydonia), a
+fruit for autumn jam?
 .N
- 1. Note one
+ 1. First remark
 .I 2
 .W
- I am interested in articles written by Prieve
+ Lanterns painted by Oduya
 .A
-Prieve, B.
+Oduya, T.
 .N
- 2. Note two
+ 2. Second remark
 .I 3
 .W
- Intermediate languages used in compilers
+ Harbour tides in winter months
 .N
- 3. Note three
+ 3. Third remark
 """
 
 DOC_FILE = """.I 1
 .T
-Preliminary Report-International Algebraic Language
+Keeping Bees on a Flat Roof
 .B
-CACM December, 1958
+Rooftop Quarterly, May
 .A
-Perlis, A. J.
+Marlow, H. R.
 .N
-CA581203 JB March 22, 1978
+RQ0001 entered on Monday
 .X
-100\t5\t1
+41\t7\t1
 .I 2
 .T
-Extraction of Roots by Repeated Subtractions
+Seven Ways to Mend a Kite
 .W
-A method of the .T marker inside a line.
+Tails and the .T marker inside a line.
 .B
-CACM December, 1958
+Rooftop Quarterly, June
 .I 3
 .T
-Techniques Department on Matrix Program Schemes
+Winter Paths along the Canal
 .X
-3\t5\t3
+9\t7\t9
 """
 
 
@@ -66,9 +67,9 @@ def test_tagged_queries(spark, tmpdir_path):
     p = write(os.path.join(tmpdir_path, "query.txt"), QUERY_FILE)
     q = {r.query_id: r for r in read_tagged_queries(spark, p).collect()}
     assert sorted(q) == [1, 2, 3]
-    assert q[1].text.strip().startswith("What articles") and "IBM computers?" in q[1].text
-    assert q[2].authors.strip() == "Prieve, B." and q[1].authors is None
-    assert q[3].note.strip() == "3. Note three"
+    assert q[1].text.strip().startswith("Which gardens") and "autumn jam?" in q[1].text
+    assert q[2].authors.strip() == "Oduya, T." and q[1].authors is None
+    assert q[3].note.strip() == "3. Third remark"
 
 
 def test_tagged_queries_odd_only(spark, tmpdir_path):
@@ -76,18 +77,18 @@ def test_tagged_queries_odd_only(spark, tmpdir_path):
     q = read_tagged_queries(spark, p, odd_only=True).collect()
     # record 1 kept (renumbered 1); record 3 is odd but nothing follows it
     assert [r.query_id for r in q] == [1]
-    assert ".N" in q[0].text and "Note one" in q[0].text
+    assert ".N" in q[0].text and "First remark" in q[0].text
 
 
 def test_tagged_docs(spark, tmpdir_path):
-    p = write(os.path.join(tmpdir_path, "cacm.txt"), DOC_FILE)
+    p = write(os.path.join(tmpdir_path, "docs.txt"), DOC_FILE)
     d = {r.doc_id: r for r in read_tagged_docs(spark, p).collect()}
     assert sorted(d) == [1, 2, 3]
-    assert d[1].title == "Preliminary Report-International Algebraic Language"
-    assert "Perlis" in d[1].text and "100\t5\t1" not in d[1].text
+    assert d[1].title == "Keeping Bees on a Flat Roof"
+    assert "Marlow" in d[1].text and "41\t7\t1" not in d[1].text
     assert ".B" not in d[1].text.split()          # marker lines dropped
     assert "marker inside a line" in d[2].text     # a record without .X ends at the record
-    assert "CACM December" in d[2].text
+    assert "Rooftop Quarterly" in d[2].text
     kept = {r.doc_id: r for r in read_tagged_docs(spark, p, keep_markers=True).collect()}
     assert ".B" in kept[1].text.split()
 
@@ -104,6 +105,32 @@ def test_catalog_csv(spark, tmpdir_path):
     assert rows[0].row_seq < rows[1].row_seq < rows[2].row_seq
 
 
+def test_catalog_csv_by_name(spark, tmpdir_path):
+    """Columns by name from a file with other columns and another order; null words are nulls."""
+    p = write(os.path.join(tmpdir_path, "wide.csv"),
+              'publisher,img_url,name,url,date,developer,categories\n'
+              'Pub,i.png,Kite,u1,2019,NA,"Games;Toys"\n'
+              'NULL,i.png,NaN,u2,2020,Dev,n/a\n')
+    rows = read_catalog(spark, p).orderBy("row_seq").collect()
+    assert [tuple(r)[:5] for r in rows] == [("u1", "Kite", "Games;Toys", None, "Pub"), ("u2", None, None, "Dev", None)]
+
+
+def test_catalog_csv_missing_column(spark, tmpdir_path):
+    p = write(os.path.join(tmpdir_path, "narrow.csv"), "url,name\nu1,Kite\n")
+    with pytest.raises(ValueError, match="categories, developer, publisher"):
+        read_catalog(spark, p)
+
+
+def test_clean_catalog_from_wide_file(spark, tmpdir_path):
+    """The cleaning flow over files with extra columns: rows without a name go, the last duplicate stays."""
+    from quarry.operators.clean import clean_catalog
+    c = write(os.path.join(tmpdir_path, "c.csv"), "img,publisher,developer,categories,name,url\n"
+              "x,P,D,C,Kite,u1\nx,P,D,C,N/A,u2\nx,P2,D2,C2,Kite again,u1\n")
+    d = write(os.path.join(tmpdir_path, "d.csv"), "full_desc,date,url,desc\nlong one,1,u1,short\nlong two,1,u3,NULL\n")
+    got = clean_catalog(read_catalog(spark, c), read_descriptions(spark, d)).collect()
+    assert [(r.url, r.name, r.publisher) for r in got] == [("u1", "Kite again", "P2")]
+
+
 def test_index_round_trip(spark, tmpdir_path):
     docs = spark.createDataFrame([(1, "apple banana apple"), (2, "banana cherry"), (3, "")],
                                  "doc_id long, text string")
