@@ -62,8 +62,8 @@ WHITESPACE = r"\s+"
 # (suffix, replacement, condition on the remaining stem)
 # ---------------------------------------------------------------------------
 PORTER_STEP1A = [("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)]
-# "~" marks a removed -ed/-ing; the step-1b fix-up rules resolve the mark
-PORTER_STEP1B = [("eed", "ee", "m>0"), ("ed", "~", "*v*"), ("ing", "~", "*v*")]
+# a blank marks a removed -ed/-ing (no token holds one); the step-1b fix-up rules resolve the mark
+PORTER_STEP1B = [("eed", "ee", "m>0"), ("ed", " ", "*v*"), ("ing", " ", "*v*")]
 PORTER_STEP1B_ADD_E = ["at", "bl", "iz"]
 PORTER_STEP1C = [("y", "i", "*v*")]
 PORTER_STEP2 = [
@@ -108,7 +108,6 @@ NLTK_IRREGULAR_FORMS = {
 # two rules are added; "logi" tests the measure of the stem that keeps its "l"
 NLTK_STEP2_REPLACED = ("abli", "able")
 NLTK_STEP2_INSTEAD = ("bli", "ble")
-NLTK_STEP2_ADDED = [("fulli", "ful"), ("logi", "log")]
 
 # Measure tests as regexes over the stem.  C = consonant run, V = vowel run;
 # "y" after a consonant is a vowel.  A leading "y" is written "Y" during
@@ -247,7 +246,7 @@ def porter_stages(dialect: str, w: str = "w", mode: str = "porter") -> list[str]
     add_e = " OR ".join(f"{s} LIKE '%{x}'" for x in PORTER_STEP1B_ADD_E)
     dbl = "(" + "|".join(PORTER_DOUBLE_REDUCE) + ")$"
     stages.append(
-        f"CASE WHEN {w} NOT LIKE '%~' THEN {w} "
+        f"CASE WHEN {w} NOT LIKE '% ' THEN {w} "
         f"WHEN {add_e} THEN concat({s}, 'e') "
         f"WHEN {_match(s, dbl, dialect)} THEN {_strip(s, 1)} "
         f"WHEN {_cond('m=1 and *o', s, dialect, nltk)} THEN concat({s}, 'e') "

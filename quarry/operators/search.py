@@ -11,7 +11,6 @@ most k rows per query and task reach the one shuffle, on ``query_id``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -244,13 +243,13 @@ def search_eval(index: Index, queries: DataFrame, **kw) -> DataFrame:
     otherwise all of them (up to 9).  No synonym expansion."""
     kw.pop("synonyms", None)
     qs = QuerySide(index, queries, **kw)
-    # read twice (ranking and candidate counts): scored once, kept on disk/memory
-    scores = cosine_scores(index, qs).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = scores.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_candidates"))
-    top = rank_top_k(scores, 10)
-    return top.join(counts, "query_id").where(
-        F.col("rank") <= F.when(F.col("n_candidates") >= 10, 5).otherwise(F.col("n_candidates"))
-    ).select("query_id", "rank", "doc_id", "score")
+    # a query has ten candidates or more exactly when its list has a tenth row, so the
+    # ten best rows (a window over rows that the rank limit has cut) tell both
+    top = rank_top_k(cosine_scores(index, qs), 10)
+    n = F.count(F.lit(1)).over(Window.partitionBy("query_id"))
+    return (top.withColumn("n_candidates", n)
+            .where(F.col("rank") <= F.when(F.col("n_candidates") >= 10, 5).otherwise(F.col("n_candidates")))
+            .select("query_id", "rank", "doc_id", "score"))
 
 
 def search_status(queries: DataFrame, hits: DataFrame, id_col: str = "query_id") -> DataFrame:

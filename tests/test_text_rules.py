@@ -21,6 +21,7 @@ TOKEN_CASES = [
 # Porter (1980) results, worked by hand through all steps.
 STEMS = {
     "caresses": "caress", "ponies": "poni", "ties": "ti", "caress": "caress", "cats": "cat",
+    "cat~": "cat~", "hopp~": "hopp~", "hello~": "hello~",
     "feed": "feed", "agreed": "agre", "disabled": "disabl", "matting": "mat", "mating": "mate",
     "meeting": "meet", "milling": "mill", "messing": "mess", "meetings": "meet",
     "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing",
