@@ -68,39 +68,32 @@ def term_stats(post: DataFrame, n_docs: Column) -> DataFrame:
     return stats.withColumn("idf", F.log2(n_docs / F.col("df")))
 
 
-# a term whose postings list reaches this length is "hot": its rows must not
-# meet in one task of a shuffle join
-HOT_TERM_DF = 1_000_000
-
-
 def join_stats(post: DataFrame, stats: DataFrame, cols: list[str],
-               hot_df: int = HOT_TERM_DF, max_broadcast_rows: int | None = None
-               ) -> DataFrame:
+               max_broadcast_rows: int | None = None) -> DataFrame:
     """postings ⋈ term statistics on ``term``, safe for hot terms.
 
     The statistics are measured: within the broadcast bound they are all
-    broadcast (no shuffle of the postings).  Beyond it, the hot terms
-    (df >= hot_df; there are at most #postings / hot_df of them) are
-    broadcast and joined map-side, and only the remaining postings — no term
-    holding more than hot_df rows — are shuffled into a sort-merge join.
+    broadcast (no shuffle of the postings).  Beyond it, the hot terms are
+    broadcast and joined map-side, and only the remaining postings are
+    shuffled into a sort-merge join.  A term is hot from h = #postings / bound
+    documents on: at most ``bound`` terms can be, so their list always fits,
+    and no other term has more than h rows.
     """
-    side = stats.select("term", *cols)
-    measured = sizing.measure(side, max_broadcast_rows)
+    bound = sizing.broadcast_rows(post.sparkSession) if max_broadcast_rows is None else max_broadcast_rows
+    measured = sizing.measure(stats.select("term", *cols), bound)
     if measured.broadcast:
         return post.join(F.broadcast(measured.df), "term")
-    hot = sizing.measure(stats.where(F.col("df") >= hot_df).select("term", *cols), max_broadcast_rows)
-    if not hot.broadcast:  # a bound this large leaves only AQE skew-join splitting
-        return post.join(measured.df, "term")
-    hot_part = post.join(F.broadcast(hot.df), "term")
-    cold_post = post.join(F.broadcast(hot.df.select("term")), "term", "left_anti")
-    cold_part = cold_post.join(stats.where(F.col("df") < hot_df).select("term", *cols), "term")
+    h = max(1, -(-(stats.agg(F.sum("df")).first()[0] or 0) // bound))
+    hot = stats.where(F.col("df") >= h).select("term", *cols)
+    hot_part = post.join(F.broadcast(hot), "term")
+    cold_post = post.join(F.broadcast(hot.select("term")), "term", "left_anti")
+    cold_part = cold_post.join(stats.where(F.col("df") < h).select("term", *cols), "term")
     return hot_part.unionByName(cold_part)
 
 
-def tfidf_weights(post: DataFrame, stats: DataFrame, hot_df: int = HOT_TERM_DF,
-                  max_broadcast_rows: int | None = None) -> DataFrame:
+def tfidf_weights(post: DataFrame, stats: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """(term, doc_id, tf, w) with w = tf * idf (zeros kept)."""
-    joined = join_stats(post, stats, ["idf"], hot_df, max_broadcast_rows)
+    joined = join_stats(post, stats, ["idf"], max_broadcast_rows)
     return joined.select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
@@ -124,12 +117,12 @@ def unit_weights(weights: DataFrame, norms: DataFrame) -> DataFrame:
         "term", "doc_id", "tf", "w", F.try_divide(F.col("w"), F.col("norm")).alias("nw"))
 
 
-def inverted_index(post: DataFrame, stats: DataFrame, hot_df: int = HOT_TERM_DF) -> DataFrame:
+def inverted_index(post: DataFrame, stats: DataFrame) -> DataFrame:
     """A5: index entries in long form, (term, df, cf, doc_id, tf), one row per
     posting.  A frequent term's list can hold every document, so the list is
     never gathered into one row (or one task); read it back ordered by
     (term, doc_id) from the stored, sorted postings."""
-    return join_stats(post, stats, ["df", "cf"], hot_df).select("term", "df", "cf", "doc_id", "tf")
+    return join_stats(post, stats, ["df", "cf"]).select("term", "df", "cf", "doc_id", "tf")
 
 
 @dataclass
@@ -144,16 +137,17 @@ class Index:
     text_col: str = "text"     # not stored with the index (the corpus stays where it is)
 
     def release(self) -> None:
-        """Drop the kept postings (and anything kept on them) from the cache."""
+        """Drop the kept postings from the cache (measured statistics stay until the session's
+        cache is cleared)."""
         self.postings.unpersist()
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stopwords: list[str] | None = None, stem: bool | str = True,
-                hot_df: int = HOT_TERM_DF,
                 max_broadcast_rows: int | None = None,
                 cut_lineage: bool = False) -> Index:
-    """The whole offline build as one lazy lineage.
+    """The whole offline build. The postings are kept and their statistics measured while the
+    plan is built (a job that tokenises the texts); everything after that is lazy.
 
     ``cut_lineage=True`` checkpoints the postings into the session's
     checkpoint folder (``spark.checkpoint.dir``, shared by the cluster), so
@@ -171,6 +165,6 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         post = postings(terms).persist(StorageLevel.MEMORY_AND_DISK)
     stats = term_stats(post, collection_size(docs))
-    weights = tfidf_weights(post, stats, hot_df, max_broadcast_rows)
+    weights = tfidf_weights(post, stats, max_broadcast_rows)
     norms = doc_norms(docs, weights)
     return Index(docs, post, stats, unit_weights(weights, norms), norms, text_col=text_col)

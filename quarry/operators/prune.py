@@ -47,17 +47,17 @@ def search_pruned(index: Index, queries: DataFrame, k: int = 10, common_ratio: f
     qs = S.QuerySide(index, queries, **kw)
     n_docs = index.doc_norms.select(F.count(F.lit(1))).scalar()
     common_df = F.greatest(F.lit(1), F.floor(n_docs * F.lit(common_ratio)))
-    return S._union([_chunk(index, c, k, common_df) for c in qs.chunks()])
+    return _pruned(index, qs, k, common_df)
 
 
 def _full(index: Index, qweights: DataFrame, qnorms: DataFrame, k: int, n_buckets) -> DataFrame:
     return S.rank_top_k(S._scores(S._dot_parts(qweights, index.weights, n_buckets), qnorms), k)
 
 
-def _chunk(index: Index, c: S.QuerySide, k: int, common_df) -> DataFrame:
+def _pruned(index: Index, c: S.QuerySide, k: int, common_df) -> DataFrame:
     keys = S._keys(c.n_buckets)
     if not c.broadcast:
-        return _full(index, c.qweights, c.qnorms, k, c.n_buckets)
+        return S.rank_top_k(S._scores(c.parts(), c.qnorms), k)
     info = (c.qweights.join(index.term_stats.select(*keys, "df"), keys)
             .join(term_maxima(index), keys)
             .join(c.qnorms, "query_id")

@@ -1,7 +1,7 @@
 """Query preparation and ranked retrieval for a whole table of queries.
 
 Plan shape of ``search``: the query side (a few rows per query) is counted
-and broadcast (or split into broadcastable parts); the weights are scanned
+and broadcast (or, past a bound, shuffled with frequent terms spread); the weights are scanned
 once and joined on ``term`` map-side.  The weights arrive partitioned by
 ``doc_id`` (a doc-bucketed stored index, or the doc_id join of the build),
 so the (query_id, doc_id) dot products are summed inside each task with no
@@ -104,11 +104,20 @@ def candidate_docs(qterms: DataFrame, post: DataFrame) -> DataFrame:
     return qt.join(post.select("term", "doc_id"), "term").select("query_id", "doc_id").distinct()
 
 
-def _dot_parts(qweights: DataFrame, weights: DataFrame, n_buckets: int | None = None) -> DataFrame:
-    """(query_id, doc_id, part = qw * w / doc_norm) for every matching posting."""
+def _dot_parts(qweights: DataFrame, weights: DataFrame, n_buckets: int | None = None,
+               spread: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, part = qw * w / doc_norm) for every matching posting.
+
+    ``spread`` (term, salts): frequent terms of a shuffled join. Their postings are dealt over
+    ``salts`` keys by document, and their query rows are repeated for each."""
     keys = _keys(n_buckets)
-    return weights.select(*keys, "doc_id", "nw").join(qweights.drop("qtf"), keys).select(
-        "query_id", "doc_id", (F.col("qw") * F.col("nw")).alias("part"))
+    w, q = weights.select(*keys, "doc_id", "nw"), qweights.drop("qtf")
+    if spread is not None:
+        salts = F.coalesce("salts", F.lit(1))
+        w = w.join(F.broadcast(spread), "term", "left").withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts)).drop("salts")
+        q = q.join(F.broadcast(spread), "term", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
+        keys = [*keys, "salt"]
+    return w.join(q, keys).select("query_id", "doc_id", (F.col("qw") * F.col("nw")).alias("part"))
 
 
 def _scores(parts: DataFrame, qnorms: DataFrame) -> DataFrame:
@@ -130,11 +139,10 @@ def rank_top_k(scores: DataFrame, k: int) -> DataFrame:
 class QuerySide:
     """Query terms measured once; broadcast when within the bound.
 
-    A query side beyond the bound is not shuffled against the weights (that
-    would move every posting, hot terms included): ``chunks()`` splits it by
-    a hash of ``query_id`` into parts whose measured sizes fit the bound;
-    each part is broadcast and the per-part results are unioned.  A query
-    lives in exactly one part, so per-query rankings are unchanged.
+    A query side beyond the bound is shuffled against the weights by term, in one scan of them.
+    Terms so frequent that their postings would be a task of their own are spread: with
+    h = #postings / bound there are at most ``bound`` terms in h documents or more, so their list
+    is broadcast, and each is dealt over df / h keys (see ``_dot_parts``).
     """
 
     def __init__(self, index: Index, queries: DataFrame, id_col: str = "query_id",
@@ -168,39 +176,19 @@ class QuerySide:
         self.qweights = hint(query_weights(self.qtf, self.index.term_stats, self.n_buckets))
         self.qnorms = hint(query_norms(self.qweights))
 
-    def chunks(self, max_doublings: int = 12) -> list["QuerySide"]:
-        if self.sized.broadcast:
-            return [self]
-        n = max(2, -(-2 * self.sized.rows // self.max_rows))
-        part = None
-        for _ in range(max_doublings):
-            part = F.pmod(F.xxhash64("query_id"), F.lit(n))
-            # one row per part: a bounded result on the driver
-            sizes = {r[0]: r[1] for r in self.sized.df.groupBy(part.alias("p")).count().collect()}
-            if max(sizes.values()) <= self.max_rows:
-                break
-            n *= 2
-        out = []
-        for i in range(n):
-            c = object.__new__(QuerySide)
-            c.index, c.n_buckets, c.max_rows, c.sized = self.index, self.n_buckets, self.max_rows, self.sized
-            c.query_ids = self.query_ids.where(part == i)
-            c._use(self.sized.df.where(part == i), sizes.get(i, 0) <= self.max_rows)
-            out.append(c)
-        return out
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    def parts(self) -> DataFrame:
+        """(query_id, doc_id, part) over all postings of the query terms."""
+        return _dot_parts(self.qweights, self.index.weights, self.n_buckets, None if self.broadcast else self._spread())
+
+    def _spread(self) -> DataFrame:
+        stats = self.index.term_stats
+        h = max(1, -(-(stats.agg(F.sum("df")).first()[0] or 0) // self.max_rows))
+        return stats.where(F.col("df") >= h).select("term", F.ceil(F.col("df") / h).alias("salts"))
 
 
 def cosine_scores(index: Index, qs: QuerySide) -> DataFrame:
     """(query_id, doc_id, score) for every candidate document."""
-    return _union([_scores(_dot_parts(c.qweights, index.weights, c.n_buckets), c.qnorms)
-                   for c in qs.chunks()])
+    return _scores(qs.parts(), qs.qnorms)
 
 
 def search(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
@@ -208,8 +196,7 @@ def search(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
     (query_id, rank, doc_id, score).  A query without an indexed term has
     no rows (R10)."""
     qs = QuerySide(index, queries, **kw)
-    return _union([rank_top_k(_scores(_dot_parts(c.qweights, index.weights, c.n_buckets), c.qnorms), k)
-                   for c in qs.chunks()])
+    return rank_top_k(_scores(qs.parts(), qs.qnorms), k)
 
 
 def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
@@ -226,16 +213,12 @@ def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> Da
     first_zero = norms.where(F.col("norm") == 0).orderBy("doc_id").limit(k)
     fill_list = first_nonzero.unionByName(first_zero).select(
         F.collect_list(F.struct("doc_id", (F.col("norm") > 0).alias("has_norm")))).scalar()
-    results = []
-    for c in qs.chunks():
-        fill = c.query_ids.select("query_id", F.explode(fill_list).alias("f")).select(
-            "query_id", F.col("f.doc_id").alias("doc_id"),
-            F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))
-        parts = _dot_parts(c.qweights, index.weights, c.n_buckets).unionByName(fill)
-        qnorms = c.query_ids.join(c.qnorms, "query_id", "left").select(
-            "query_id", F.coalesce("qnorm", F.lit(0.0)).alias("qnorm"))
-        results.append(rank_top_k(_scores(parts, qnorms), k))
-    return _union(results)
+    fill = qs.query_ids.select("query_id", F.explode(fill_list).alias("f")).select(
+        "query_id", F.col("f.doc_id").alias("doc_id"),
+        F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))
+    qnorms = qs.query_ids.join(qs.qnorms, "query_id", "left").select(
+        "query_id", F.coalesce("qnorm", F.lit(0.0)).alias("qnorm"))
+    return rank_top_k(_scores(qs.parts().unionByName(fill), qnorms), k)
 
 
 def search_eval(index: Index, queries: DataFrame, **kw) -> DataFrame:
