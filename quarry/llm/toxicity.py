@@ -148,8 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, train, key: str = "doc_id", text: st
     if not size.get(0) or not size.get(1):
         return empty
     count = known.mapInArrow(_words, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    # prior: as much weight as a tenth of the smaller class, spread as the words are in both classes
-    weight = 0.1 * min(size.values())
+    # prior: as much weight as the smaller class, spread as the words are in both classes
+    weight = float(min(size.values()))
     prior = (F.col("t") + F.col("c")) * (weight / (size[0] + size[1])) + 1e-3
     n = {c: size[c] + weight for c in (0, 1)}
     odds = {c: F.log((F.col(x) + prior) / (n[c] - F.col(x) - prior + 1)) for c, x in ((1, "t"), (0, "c"))}
