@@ -26,7 +26,7 @@ from quarry.llm.words import RunCache, slices, spans, take_runs, text_buffers
 
 _NONE = np.int32(2**31 - 1)
 _CELLS = 1 << 20  # of a matrix, at most
-_KNOWN = 200_000  # matches a worker remembers
+_KNOWN = 100_000  # matches a worker remembers
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -87,7 +87,7 @@ class Codec:
         self.ranks, self.pairs, self.split = ranks, PairTable(ranks), regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.known: dict[str, list[int]] = {}  # match -> its ids
-        self.cache = RunCache(self._units)
+        self.cache = RunCache(self._units, limit=600_000)
 
     def encode_matches(self, matches: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(matches)
@@ -239,7 +239,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, pattern)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, target=2 << 20):
                 flat, first = codec.encode(part.column(text))
                 offsets, flat = first.astype(np.int32), pa.array(flat.astype(np.int32))
                 yield pa.record_batch([part.column(key), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["k", "ids"])
@@ -273,7 +273,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def _some_ids(batch: pa.RecordBatch, ids: str, target: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _some_ids(batch: pa.RecordBatch, ids: str, target: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about `target` ids, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False))
     at, before = 0, 0
