@@ -188,6 +188,14 @@ ORACLE["doc_text"] = (
     "SELECT p_partkey, ' ' || p_name || ' ' || coalesce(nullif(p_type, 'SMALL'), 'nan') || ' ' || "
     "p_brand || ' ' || CAST(p_size AS VARCHAR) AS text FROM part")
 
+ORACLE["tagged_sections"] = (
+    "SELECT item_id AS query_id, text, CASE WHEN item_id % 3 <> 0 THEN 'Author ' || item_id END AS authors, "
+    "' ' || item_id || '. remark' AS note FROM benchmark")
+# the marker lines .T and .W leave empty lines
+ORACLE["record_text"] = (
+    "SELECT doc_id, 'Title ' || doc_id AS title, "
+    "chr(10) || 'Title ' || doc_id || chr(10) || chr(10) || text || chr(10) AS text FROM documents")
+
 # --- retrieval variants -----------------------------------------------------
 ORACLE["synonym_expand"] = full("SELECT query_id, pos, term FROM qterms", synonyms=True)
 ORACLE["search_synonyms"] = full("SELECT query_id, rank, doc_id, score FROM top", synonyms=True)

@@ -228,6 +228,26 @@ def doc_text(spark, d):
     return part.select("p_partkey", dt(["name", "categories", "developer", "desc"]).alias("text"))
 
 
+@register("tagged_sections")
+def tagged_sections(spark, d):
+    """Sections of tagged query records, composed of the benchmark's texts; every third has no authors."""
+    from quarry.sources.tagged import query_fields
+    i = F.col("item_id").cast("string")
+    authors = F.when(F.col("item_id") % 3 != 0, F.concat(F.lit(".A\nAuthor "), i, F.lit("\n"))).otherwise(F.lit(""))
+    body = F.concat(F.lit(".W\n"), "text", F.lit("\n"), authors, F.lit(".N\n "), i, F.lit(". remark"))
+    return query_fields(table(spark, d, "benchmark").select(F.col("item_id").alias("rid"), body.alias("body")))
+
+
+@register("record_text")
+def record_text(spark, d):
+    """Title and text of tagged document records, composed of the documents; odd ids end with a .X section."""
+    from quarry.sources.tagged import doc_fields
+    i = F.col("doc_id").cast("string")
+    tail = F.when(F.col("doc_id") % 2 == 1, F.lit(".X\n9\t5\t9")).otherwise(F.lit(""))
+    body = F.concat(F.lit(".T\nTitle "), i, F.lit("\n.W\n"), "text", F.lit("\n"), tail)
+    return doc_fields(table(spark, d, "documents").select(F.col("doc_id").alias("rid"), body.alias("body")))
+
+
 # --- retrieval variants -----------------------------------------------------
 def corpus_synonyms(spark, d):
     """Synonym table derived from the corpus: each surface word's first sense

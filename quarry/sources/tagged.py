@@ -37,6 +37,24 @@ def section(body: Column, marker: str) -> Column:
     return F.when(has, found)
 
 
+def query_fields(recs: DataFrame) -> DataFrame:
+    """(query_id, text, authors, note) of records (rid, body)."""
+    body = F.col("body")
+    return recs.select(F.col("rid").alias("query_id"), section(body, ".W").alias("text"),
+                       section(body, ".A").alias("authors"), section(body, ".N").alias("note"))
+
+
+def doc_fields(recs: DataFrame, keep_markers: bool = False) -> DataFrame:
+    """(doc_id, title, text) of the records (rid, body) that have a title."""
+    body = F.col("body")
+    from_t = F.regexp_extract(body, r"(?s)((?:^|\n)\.T[ \t]*\n.*)", 1)
+    upto_x = F.regexp_replace(from_t, r"(?s)\n\.X[ \t]*(\n.*)?$", "\n")
+    title = F.regexp_extract(body, r"(?:^|\n)\.T[ \t]*\n([^\n]*)", 1)
+    text = record_text(F.regexp_replace(upto_x, r"^\n", ""), keep_markers)
+    return recs.where(F.regexp_like(body, F.lit(r"(?:^|\n)\.T[ \t]*\n"))).select(
+        F.col("rid").alias("doc_id"), title.alias("title"), text.alias("text"))
+
+
 def read_tagged_queries(spark: SparkSession, path: str, odd_only: bool = False) -> DataFrame:
     """(query_id, text, authors, note).
 
@@ -47,10 +65,7 @@ def read_tagged_queries(spark: SparkSession, path: str, odd_only: bool = False)
     """
     recs = _records(spark, path)
     if not odd_only:
-        return recs.select(
-            F.col("rid").alias("query_id"), section(F.col("body"), ".W").alias("text"),
-            section(F.col("body"), ".A").alias("authors"),
-            section(F.col("body"), ".N").alias("note"))
+        return query_fields(recs)
     last = recs.select(F.max("rid")).scalar()
     kept = recs.where((F.col("rid") % 2 == 1) & (F.col("rid") < last))
     return kept.select(
@@ -62,11 +77,4 @@ def read_tagged_docs(spark: SparkSession, path: str, keep_markers: bool = False)
     """S3 + T7: (doc_id, title, text) — title is the line after ``.T``; text
     runs from ``.T`` up to ``.X`` (or the record end); marker lines are
     dropped unless ``keep_markers``; ids are the 1-based record ids."""
-    recs = _records(spark, path)
-    body = F.col("body")
-    from_t = F.regexp_extract(body, r"(?s)((?:^|\n)\.T[ \t]*\n.*)", 1)
-    upto_x = F.regexp_replace(from_t, r"(?s)\n\.X[ \t]*(\n.*)?$", "\n")
-    title = F.regexp_extract(body, r"(?:^|\n)\.T[ \t]*\n([^\n]*)", 1)
-    text = record_text(F.regexp_replace(upto_x, r"^\n", ""), keep_markers)
-    return recs.where(F.regexp_like(body, F.lit(r"(?:^|\n)\.T[ \t]*\n"))).select(
-        F.col("rid").alias("doc_id"), title.alias("title"), text.alias("text"))
+    return doc_fields(_records(spark, path), keep_markers)
