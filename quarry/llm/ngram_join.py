@@ -130,6 +130,26 @@ def _cell_pairs(points, sizes, percent: int, start: np.ndarray, end: np.ndarray)
     return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
+def _fine_pairs(fine: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs their fine points let through; pairs are taken by the shorter point's length."""
+    length = np.fromiter(map(len, fine), dtype=np.int64, count=len(fine))
+    full = np.fromiter((255 in p for p in fine), dtype=bool, count=len(fine))
+    shorter = np.minimum(length[i], length[j])
+    good = full[i] | full[j]
+    for m in np.unique(shorter).tolist():
+        own = np.flatnonzero((length >= m) & ~full)
+        place = np.full(len(fine), -1)
+        place[own] = np.arange(len(own))
+        points = np.stack([np.frombuffer(fine[k], np.uint8).reshape(-1, m).sum(axis=0, dtype=np.uint16) for k in own.tolist()]) if len(own) else None
+        at = np.flatnonzero((shorter == m) & ~good)
+        step = max(1, (1 << 22) // m)
+        for low in range(0, len(at), step):
+            k = at[low:low + step]
+            a, b = i[k], j[k]
+            good[k] = np.minimum(points[place[a]], points[place[b]]).sum(axis=1, dtype=np.int64) >= _need(sizes[a], sizes[b], percent)
+    return good
+
+
 def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=None) -> DataFrame:
     """Pairs within each cell of rows (cell columns, node, n, point, ...): a partition holds whole, bounded
     cells in order, so batches are cut at cell borders and no cell is held but the present one."""
@@ -145,6 +165,9 @@ def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=
             if keep is not None:
                 good &= keep(t, i, j)
             i, j = i[good], j[good]
+            if "fine" in t.schema.names:
+                good = _fine_pairs(t["fine"].to_pylist(), sizes, i, j, percent)
+                i, j = i[good], j[good]
             swap = node[i] > node[j]
             a, b = np.where(swap, j, i), np.where(swap, i, j)
             return pa.record_batch([pa.array(node[a]), pa.array(node[b]), pa.array(sizes[a]), pa.array(sizes[b])], ["a", "b", "na", "nb"])
@@ -309,11 +332,11 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     # 5. what large blocks still hold of different components
     left = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = left.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 != c2").select("key")
-    left = left.join(mixed, "key")
+    left = left.join(mixed, "key").join(sets.select("node", "fine"), "node")
     cells = F.ceil(F.col("m") / cell).cast("int")
     left = left.withColumn("own", F.pmod(F.xxhash64("node"), cells).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), cells - 1)))
-    left = left.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "point", "component")
+    left = left.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "point", "fine", "component")
 
     def apart(t: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         c, own, diagonal = t["component"].to_numpy(), t["own"].to_numpy(), t["i"].to_numpy() == t["j"].to_numpy()
