@@ -251,14 +251,18 @@ def record_text(spark, d):
 # --- retrieval variants -----------------------------------------------------
 def corpus_synonyms(spark, d):
     """Synonym table derived from the corpus: each surface word's first sense
-    lists the word itself, then its stem (when it differs)."""
+    lists the word itself, its stem (when it differs), and the word reversed; a
+    second sense lists the reversed word too, which no query may pick."""
     vocab = stem_vocabulary(spark, d).persist()
     first = vocab.select(F.col("surface").alias("word"), F.lit(0).alias("sense_rank"),
                          F.lit(0).alias("lemma_rank"), F.col("surface").alias("lemma"))
     second = vocab.where(F.col("term") != F.col("surface")).select(
         F.col("surface").alias("word"), F.lit(0).alias("sense_rank"),
         F.lit(1).alias("lemma_rank"), F.col("term").alias("lemma"))
-    return first.unionByName(second)
+    other = vocab.select(F.col("surface").alias("word"), F.explode(F.array(F.struct(F.lit(0), F.lit(2)), F.struct(F.lit(1), F.lit(1)))).alias("r"),
+                         F.reverse("surface").alias("lemma"))
+    other = other.select("word", F.col("r.col1").alias("sense_rank"), F.col("r.col2").alias("lemma_rank"), "lemma")
+    return first.unionByName(second).unionByName(other)
 
 
 @register("synonym_expand")

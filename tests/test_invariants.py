@@ -50,9 +50,9 @@ def test_partition_count_does_not_change_results(spark):
 
 
 def test_known_item_hit_rate(spark):
-    """documents contain passages of the benchmark items: report hit@10 of a
-    document that contains the item text (no threshold).  Relevance is found
-    by brute force in Python on the tiny sf0.001 tables."""
+    """documents contain passages of the benchmark items: most items must find
+    a document that contains their text among their ten hits.  Relevance is
+    found by brute force in Python on the tiny sf0.001 tables."""
     sf = "/root/testdata/sf0.001"
     from quarry.plans.registry import QUERIES
     hits = {(r.query_id, r.doc_id) for r in QUERIES["search_top10"](spark, sf).collect()}
@@ -61,8 +61,7 @@ def test_known_item_hit_rate(spark):
     relevant = {(b.item_id, d.doc_id) for b in bench for d in docs if b.text and b.text in d.text}
     items = {q for q, _ in relevant}
     found = {q for q, d in relevant if (q, d) in hits}
-    print(f"known-item hit@10: {len(found)}/{len(items)}")
-    assert found <= items
+    assert items and len(found) >= 0.8 * len(items), f"{len(found)} of {len(items)}"
 
 
 @settings(max_examples=5, deadline=None)
