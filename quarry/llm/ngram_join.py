@@ -38,6 +38,7 @@ from quarry.llm.words import hashes, mix, ngrams, signed, slices, spans, text_bu
 
 GROUPS = 16
 _TOP = 65_535  # of a coordinate; where both have it, the minimum is not known and the bound is open
+HEAD = 8  # block keys of a node that tell which block reports a pair
 _HOT = 100_000  # n-grams put last in the order, at most
 
 
@@ -150,6 +151,20 @@ def _fine_pairs(fine: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarr
     return good
 
 
+def _first_shared(firsts: np.ndarray, key: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs a block should report: those whose least shared block key it is, as far as the nodes'
+    least keys tell. If two sorted lists share a key, their least shared one is in both lists' heads
+    whenever the heads share any; a pair whose heads share none is reported by every block."""
+    out = np.empty(len(i), dtype=bool)
+    none = np.iinfo(np.int64).max
+    for low in range(0, len(i), 1 << 16):
+        a, b = firsts[i[low:low + (1 << 16)]], firsts[j[low:low + (1 << 16)]]
+        shared = (a[:, :, None] == b[:, None, :]).any(axis=2) & (a != none)
+        least = np.where(shared, a, none).min(axis=1)
+        out[low:low + len(a)] = (least == none) | (least == key[i[low:low + (1 << 16)]])
+    return out
+
+
 def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=None) -> DataFrame:
     """Pairs within each cell of rows (cell columns, node, n, point, ...): a partition holds whole, bounded
     cells in order, so batches are cut at cell borders and no cell is held but the present one."""
@@ -168,6 +183,9 @@ def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=
             if "fine" in t.schema.names:
                 good = _fine_pairs(t["fine"].to_pylist(), sizes, i, j, percent)
                 i, j = i[good], j[good]
+                firsts = np.array([(*f, *[np.iinfo(np.int64).max] * (HEAD - len(f))) for f in t["firsts"].to_pylist()], dtype=np.int64)
+                good = _first_shared(firsts.reshape(-1, HEAD), t["key"].to_numpy(), i, j)
+                i, j = i[good], j[good]
             swap = node[i] > node[j]
             a, b = np.where(swap, j, i), np.where(swap, i, j)
             return pa.record_batch([pa.array(node[a]), pa.array(node[b]), pa.array(sizes[a]), pa.array(sizes[b])], ["a", "b", "na", "nb"])
@@ -332,11 +350,13 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     # 5. what large blocks still hold of different components
     left = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = left.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 != c2").select("key")
-    left = left.join(mixed, "key").join(sets.select("node", "fine"), "node")
+    left = left.join(mixed, "key")
+    heads = left.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, HEAD).alias("firsts"))
+    left = left.join(heads, "node").join(sets.select("node", "fine"), "node")
     cells = F.ceil(F.col("m") / cell).cast("int")
     left = left.withColumn("own", F.pmod(F.xxhash64("node"), cells).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), cells - 1)))
-    left = left.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "point", "fine", "component")
+    left = left.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "point", "fine", "firsts", "component")
 
     def apart(t: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         c, own, diagonal = t["component"].to_numpy(), t["own"].to_numpy(), t["i"].to_numpy() == t["j"].to_numpy()
