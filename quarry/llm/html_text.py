@@ -4,10 +4,13 @@ The standard library's parser is fed the whole page; its events are turned into
 of text) with their text, the number of tags in them, how much of the text is links, and the region
 they stand in (the innermost article or main element, else the innermost sectioning element or div).
 Text in elements that are never content (scripts, menus, forms, adverts, notices, comments, ...) makes
-no line. The lines' text-to-tag ratios are smoothed by a Gaussian, and lines over a threshold (a share
-of the page's spread of ratios) are the content cluster. A region that holds most of the cluster's
-text is content as a whole, as short paragraphs and headings belong to it; in a page without article
-or main elements the lines of the cluster and what lies between them in their region are.
+no line. The lines' text-to-tag ratios, bounded by twice their weighted median so that no single line
+sets the scale, are smoothed by a Gaussian, and lines over a threshold (a share of the page's spread of
+ratios) are the content cluster. A region with lines of the cluster is content as a whole, as short
+paragraphs and headings belong to it; only lists of links in it (mostly linked lines under the
+threshold) are not. Where a page has article or main elements, the regions are those with a good share
+of the cluster's text, and a main's own lines go with the articles in it; elsewhere a region of a
+single line counts as a part of the region around it.
 
 Each page is a row of its own: no shuffle, and memory is bounded by the page.
 
@@ -62,7 +65,9 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.open: list[tuple[str, bool, int, int]] = [("", False, 0, -1)]  # tag, never, region, article
-        self.regions = 0
+        self.around: list[int] = [0]  # of each region, the one around it
+        self.main_of: dict[int, int] = {}  # of an article, the main element it is in
+        self.mains: set[int] = set()
         self.links = 0
         self._reset()
 
@@ -108,9 +113,13 @@ class _Lines(HTMLParser):
             self._close("li", "ul", "ol", "menu")
         _, never, region, article = self.open[-1]
         if tag in _REGION:
-            self.regions += 1
-            region = self.regions
+            self.around.append(region)
+            region = len(self.around) - 1
             if tag in ("article", "main") and (article < 0 or tag == "article"):
+                if tag == "article" and article in self.mains:
+                    self.main_of[region] = article
+                elif tag == "main":
+                    self.mains.add(region)
                 article = region
         self.links += tag == "a"
         self.open.append((tag, never or self._is_never(tag, attrs), region, article))
@@ -154,6 +163,29 @@ def smooth(ratio: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray
     return np.convolve(ratio, kernel, "full")[radius:radius + len(ratio)] / np.convolve(np.ones(len(ratio)), kernel, "full")[radius:radius + len(ratio)]
 
 
+def middle(values: np.ndarray, weights: np.ndarray) -> float:
+    """The weighted median (the upper one); without any weight the largest value."""
+    order = np.argsort(values, kind="stable")
+    upto = np.cumsum(weights[order])
+    return float(values[order[min(np.searchsorted(upto, upto[-1] / 2, "right"), len(order) - 1)]])
+
+
+def _joined(region: list[int], around: list[int]) -> np.ndarray:
+    """The region of each line; one that has a single line (a paragraph in an element of its own) is
+    taken for a part of the region around it, inner ones first."""
+    held: list[list[int]] = [[] for _ in around]
+    for i, r in enumerate(region):
+        held[r].append(i)
+    out = np.array(region)
+    for r in range(len(around) - 1, 0, -1):  # regions are numbered from outside in
+        if len(held[r]) == 1:
+            held[around[r]] += held[r]
+        else:
+            out[held[r]] = r
+    out[held[0]] = 0
+    return out
+
+
 def extract(html: str, share: float = 0.5) -> str:
     """The main text of a page: its blocks joined by newlines."""
     parser = _Lines()
@@ -164,8 +196,11 @@ def extract(html: str, share: float = 0.5) -> str:
         return ""
     size = np.array([len(x.text) for x in lines], dtype=float)
     plain = size - np.array([min(x.linked, len(x.text)) for x in lines], dtype=float)
-    ratio = smooth(plain / np.array([x.tags for x in lines], dtype=float))
-    chosen = (ratio >= share * ratio.std()) & (plain >= 0.5 * size)
+    ratio = plain / np.array([x.tags for x in lines], dtype=float)
+    ratio = smooth(np.minimum(ratio, 2 * middle(ratio, np.sqrt(plain))))
+    near = ratio >= share * ratio.std()
+    text = plain >= 0.5 * size
+    chosen = near & text
     if not chosen.any():
         chosen = plain == plain.max()
     article = np.array([x.article for x in lines])
@@ -176,14 +211,12 @@ def extract(html: str, share: float = 0.5) -> str:
                 held[a] = held.get(a, 0.0) + n * (1.0 if c else 0.01)
         most = max(held.values())  # several articles on a page: those with a good share of the largest's text
         good = {a for a, n in held.items() if n >= 0.3 * most}
-        keep = np.isin(article, list(good))
+        good |= {parser.main_of[a] for a in good if a in parser.main_of}
+        region = article
     else:
-        region = np.array([x.region for x in lines])
-        at = np.arange(len(lines))
-        keep = chosen.copy()
-        for r in set(region[chosen].tolist()):
-            own = at[chosen & (region == r)]
-            keep |= (region == r) & (at >= own[0] - 1) & (at <= own[-1]) & (plain >= 0.5 * size)
+        region = _joined([x.region for x in lines], parser.around)
+        good = set(region[chosen].tolist())
+    keep = np.isin(region, list(good)) & (near | text | chosen)
     return "\n".join(x.text for x, k in zip(lines, keep.tolist(), strict=True) if k)
 
 

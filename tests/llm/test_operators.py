@@ -184,6 +184,23 @@ def test_html(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_html_whole_region():
+    """One very long paragraph, short closing lines and linked paragraphs cost no other text; lists of links go."""
+    from quarry.llm.html_text import extract
+    lines = [f"Paragraph {i} " + "has some words " * 9 for i in range(40)]
+    lines[20] = "very long text " * 350
+    lines = [x.strip() for x in [*lines, "Read the whole source of it here", "The end."]]
+    blocks = [f"<p>{x}</p>" for x in lines]
+    blocks[-2] = f"<p><a href=s>{lines[-2]}</a></p>"
+    menu = "<ul>" + "<li><a href=x>Some other page</a></li>" * 8 + "</ul>"
+    for inside in ("".join(blocks), "".join(f"<div>{x}</div>" for x in blocks)):
+        assert extract(f"<body><div>{menu}</div><div>{inside}</div></body>").split("\n") == lines
+    listed = "".join(blocks) + f"<p>{lines[0]}</p>" + menu + f"<p>{lines[0]}</p>"
+    got = extract(f"<main><h1>Head</h1><article>{listed}</article></main>").split("\n")
+    assert got[0] == "Head" and [x for x in got[1:] if x != "Some other page"] == [*lines, lines[0], lines[0]]
+    assert got.count("Some other page") <= 4  # those next to text may be a part of it
+
+
 def test_segments():
     """All maximal-scoring segments, against the definition by recursion."""
     from quarry.llm.toxicity import maximal_segments
