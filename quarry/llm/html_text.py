@@ -3,8 +3,11 @@
 The standard library's parser is fed the whole page; its events are turned into lines (one per block
 of text) with their text, the number of tags in them, how much of the text is links, and the region
 they stand in (the innermost article or main element, else the innermost sectioning element or div).
-Text in elements that are never content (scripts, menus, forms, adverts, notices, comments, ...) makes
-no line. The lines' text-to-tag ratios, bounded by twice their weighted median so that no single line
+Text in elements that are never content (scripts, navigation, asides, ...) makes no line. A class, id
+or role that marks adverts, notices, menus, comments and the like only makes its element suspect: it
+stays out unless it is around a main element, the page's articles or over half of the page's text. A
+class that merely has such a word in it ("social-policy") also stays in by its ratios, those of the
+page's ordinary text, or as the holder of the headline; so does a header in an article. The lines' text-to-tag ratios, bounded by twice their weighted median so that no single line
 sets the scale, are smoothed by a Gaussian, and lines over a threshold (a share of the page's spread of
 ratios) are the content cluster. A region with lines of the cluster is content as a whole, as short
 paragraphs and headings belong to it; only lists of links in it (mostly linked lines under the
@@ -34,7 +37,7 @@ from pyspark.sql import types as T
 
 # Element names and the class, id and role words that mark what is never content.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_NEVER = frozenset("script style noscript template svg math head title nav aside footer form button select textarea "
+_NEVER = frozenset("script style noscript template svg math head title nav aside footer button select textarea "
                    "iframe object canvas audio video dialog menu".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer "
                    "form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td "
@@ -45,10 +48,27 @@ _MARKS = frozenset("ad ads advert adverts advertisement advertising banner bread
                    "cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice pagination "
                    "popup promo promoted promotion related reply respond share sharing sidebar signup skip social sponsor "
                    "sponsored subscribe toolbar widget".split())
+_USERS = frozenset("comment comments disqus reply respond".split())
+_HEADS = frozenset("banner header masthead".split())
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
+_WHOLE = ("body", "html", "article", "main")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+@dataclass
+class Mark:
+    """A suspect element; the counts take in all that is inside it."""
+    parent: int  # the suspect element around it, or -1
+    loose: bool  # the mark is only a part of a class or id
+    users: bool  # comments and the like
+    head: bool  # a header in an article
+    title: bool = False  # holds h1
+    main: bool = False
+    article: bool = False
+    plain: int = 0  # characters outside links
+    dense: float = 0.0  # of those, how many are in text as dense as the page's
+
+
 @dataclass
 class Line:
     text: str
@@ -58,13 +78,28 @@ class Line:
     article: int  # number of the article or main element it is in, or -1
 
 
+@dataclass
+class _Block:
+    """A line before it is known which suspect elements stay out of it."""
+    parts: list[tuple[int, bool, str]]  # suspect element (or -1), in a link, text
+    tags: int
+    region: int
+    article: int
+
+    def line(self, out: list[bool]) -> Line:
+        parts = [(linked, x) for mark, linked, x in self.parts if mark < 0 or not out[mark]]
+        text = " ".join("".join(x for _, x in parts).split())
+        return Line(text, max(1, self.tags), sum(len(x) for linked, x in parts if linked), self.region, self.article)
+
+
 class _Lines(HTMLParser):
     """Collects the lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, int, int]] = [("", False, 0, -1)]  # tag, never, region, article
+        self.blocks: list[_Block] = []
+        self.marks: list[Mark] = []
+        self.open: list[tuple[str, bool, int, int, int]] = [("", False, 0, -1, -1)]  # tag, never, region, article, mark
         self.around: list[int] = [0]  # of each region, the one around it
         self.main_of: dict[int, int] = {}  # of an article, the main element it is in
         self.mains: set[int] = set()
@@ -72,14 +107,14 @@ class _Lines(HTMLParser):
         self._reset()
 
     def _reset(self) -> None:
-        self.parts: list[str] = []
-        self.tags = self.linked = 0
+        self.parts: list[tuple[int, bool, str]] = []
+        self.tags = 0
 
     def _flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
+        text = any(x.strip() for _, _, x in self.parts)
         if text:
-            _, _, region, article = self.open[-1]
-            self.lines.append(Line(text, max(1, self.tags), self.linked, region, article))
+            _, _, region, article, _ = self.open[-1]
+            self.blocks.append(_Block(self.parts, self.tags, region, article))
         tags = 0 if text else self.tags  # tags without text count for the next line
         self._reset()
         self.tags = tags
@@ -89,29 +124,48 @@ class _Lines(HTMLParser):
             return True
         if tag == "header" and self.open[-1][3] < 0:
             return True
-        if tag in ("body", "html", "article", "main"):
+        return tag not in _WHOLE and any(name == "hidden" for name, _ in attrs)
+
+    def _suspect(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Whether the element is marked as what is not content; it is then the newest of `marks`."""
+        if tag in _WHOLE:
             return False
+        words: set[str] = set()
+        loose = True
         for name, value in attrs:
             if name in ("class", "id") and value:
-                if not _MARKS.isdisjoint(_SPLIT.split(value.lower())):
-                    return True
-            elif name == "role" and value and value.lower().strip() in _ROLES or name == "hidden":
-                return True
-        return False
+                for one in value.lower().split():
+                    held = {x for x in _SPLIT.split(one) if x}
+                    words |= held & _MARKS
+                    loose &= not held or not held <= _MARKS
+            elif name == "role" and value and value.lower().strip() in _ROLES:
+                words.add(value.lower().strip())
+                loose = False
+        if tag == "form":
+            words.add(tag)
+            loose = False
+        if words:
+            _, _, _, article, mark = self.open[-1]
+            self.marks.append(Mark(mark, loose, not _USERS.isdisjoint(words), article >= 0 and words <= _HEADS))
+        return bool(words)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _BLOCK:
             self._flush()
         self.tags += 1
         if tag == "br":
-            self.parts.append(" ")
+            self.parts.append((self.open[-1][4], self.links > 0, " "))
         if tag in _VOID:
             return
         if tag in _ENDS_P:
             self._close("p", "div", "article", "main", "section", "td")
         if tag == "li":
             self._close("li", "ul", "ol", "menu")
-        _, never, region, article = self.open[-1]
+        _, never, region, article, mark = self.open[-1]
+        if mark >= 0 and not never:
+            self.marks[mark].title |= tag == "h1"
+            self.marks[mark].main |= tag == "main"
+            self.marks[mark].article |= tag == "article"
         if tag in _REGION:
             self.around.append(region)
             region = len(self.around) - 1
@@ -122,7 +176,10 @@ class _Lines(HTMLParser):
                     self.mains.add(region)
                 article = region
         self.links += tag == "a"
-        self.open.append((tag, never or self._is_never(tag, attrs), region, article))
+        never = never or self._is_never(tag, attrs)
+        if not never and self._suspect(tag, attrs):
+            mark = len(self.marks) - 1
+        self.open.append((tag, never, region, article, mark))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash of elements that are not void
@@ -148,14 +205,52 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1][1]:
             return
-        self.parts.append(data)
-        if self.links > 0:
-            self.linked += len(data)
+        self.parts.append((self.open[-1][4], self.links > 0, data))
 
     def close(self) -> None:
         super().close()
         self._flush()
 
+    def lines(self) -> list[Line]:
+        """The lines, without what is in suspect elements that are not content."""
+        out = self._judged() if self.marks else []
+        return [x for x in (b.line(out) for b in self.blocks) if x.text]
+
+    def _judged(self) -> list[bool]:
+        """Of each suspect element, whether it stays out."""
+        marks = self.marks
+        plain = [sum(len(x.strip()) for _, linked, x in b.parts if not linked) for b in self.blocks]
+        ratio = np.array([n / max(1, b.tags) for n, b in zip(plain, self.blocks, strict=True)])
+        dense = 0.5 * middle(ratio, np.sqrt(plain)) if len(ratio) else 0.0
+        free = 0  # text of articles that are in no suspect element
+        for b, r in zip(self.blocks, ratio.tolist(), strict=True):
+            for mark, linked, x in b.parts:
+                n = 0 if linked else len(x.strip())
+                if mark >= 0:
+                    marks[mark].plain += n
+                    marks[mark].dense += n * (r >= dense)
+                elif b.article >= 0:
+                    free += n
+        for m in reversed(marks):  # elements are numbered from outside in
+            if m.parent >= 0:
+                above = marks[m.parent]
+                above.plain += m.plain
+                above.dense += m.dense
+                above.title |= m.title
+                above.main |= m.main
+                above.article |= m.article
+        out: list[bool] = []
+        for m in marks:
+            if m.parent >= 0 and out[m.parent]:
+                out.append(True)
+                continue
+            content = m.main or m.article and (not free or m.loose and not m.users)
+            content = content or 2 * m.plain > sum(plain) and not (m.users and free)
+            content = content or not m.users and (m.loose or m.head) and m.title
+            content = content or not m.users and m.loose and 0 < m.plain < 2 * m.dense
+            out.append(not content)
+        return out
+
 
 def smooth(ratio: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray:
     """The ratios convolved with a Gaussian; at the borders the kernel is what is left of it."""
@@ -191,7 +286,7 @@ def extract(html: str, share: float = 0.5) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines = parser.lines
+    lines = parser.lines()
     if not lines:
         return ""
     size = np.array([len(x.text) for x in lines], dtype=float)

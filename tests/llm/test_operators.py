@@ -201,6 +201,25 @@ def test_html_whole_region():
     assert got.count("Some other page") <= 4  # those next to text may be a part of it
 
 
+def test_html_marked_wrappers():
+    """A class word like "sidebar" on a wrapper, headline or section costs no text; marked blocks still go."""
+    from quarry.llm.html_text import extract
+    paragraphs = [f"Paragraph {i} " + "has some words " * 9 + "here." for i in range(6)]
+    text = "".join(f"<p>{x}</p>" for x in paragraphs)
+    inside = ('<div class="entry-header"><h1>Head</h1></div>' + text + '<section class="social-policy"><h2>Social policy</h2>' + text + "</section>")
+    want = ["Head", *paragraphs, "Social policy", *paragraphs]
+    rest = ('<div class="ad">Buy this</div><p class="share-links"><a href=x>Share</a></p>'
+            '<section id="comments"><article class="comment"><p>Nice post, and a rather long opinion of its reader.</p></article></section>')
+    for name in ("no-sidebar", "has-sidebar", "page-with-menu", "with-banner", "sidebar", "plain"):
+        assert extract(f'<body><div class="{name}"><article>{inside}{rest}</article></div></body>').split("\n") == want
+        assert extract(f'<body><div class="{name}"><div class="ad">Buy this</div><div>{text}</div></div></body>').split("\n") == paragraphs
+        assert extract(f'<body><span class="{name}">{text}</span></body>').split("\n") == paragraphs
+    assert extract(f"<body><form><main>{text}</main><p>Send it</p></form></body>").split("\n") == paragraphs
+    assert extract(f'<article>{text}<p>Some <span class="ad">buy </span>words</p></article>').split("\n") == [*paragraphs, "Some words"]
+    nested = '<div class="ad">' * 3000 + "x" + "</div>" * 3000
+    assert extract(f"<article>{text}{nested}</article>").split("\n") == paragraphs
+
+
 def test_segments():
     """All maximal-scoring segments, against the definition by recursion."""
     from quarry.llm.toxicity import maximal_segments
