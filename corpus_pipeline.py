@@ -33,10 +33,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a Jaccard similarity of 0.8 on five-word shingles, the smallest id."""
-    groups = ngram_join.join(docs, n=5, percent=80)
-    stay = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["stays"]), "left_semi")
+    """Of each group linked by a Jaccard similarity of 0.8 on five-word shingles, the row with the smallest id (copies in one id count once)."""
+    return ngram_join.firsts(docs, n=5, percent=80)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -245,9 +245,32 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
          cell: int = 1024) -> DataFrame:
     """(key, n_shingles, component_id): each document's set size and the smallest key of its component.
 
-    key: an integer column, unique. Two documents link when 100 * |A & B| >= percent * |A | B|.
+    key: an integer column; rows of one key (or without one) are grouped each by their own text. Two
+    documents link when 100 * |A & B| >= percent * |A | B|.
     """
-    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"))
+    known = _grouped(docs, n, percent, key, text, small, cell)
+    smallest = known.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return (known.join(smallest, "component", "left")
+            .select(from_key("doc_id").alias(key), F.col("n").alias("n_shingles"),
+                    F.nullif(F.coalesce("component_id", "doc_id"), F.lit(2**63 - 1)).alias("component_id")))
+
+
+def firsts(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` less near duplicates: one row of each component, that of the smallest key, and
+    of the smallest text digest within the key; rows without n-grams stay."""
+    known = _grouped(docs, n, percent, key, text)
+    copies = known.where("component is not null").groupBy("component", "doc_id", "t").agg(F.count("*").alias("copies"))
+    stay = (copies.groupBy("component").agg(F.min(F.struct("doc_id", "t", "copies")).alias("s")).select("s.*")
+            .union(known.where("component is null").select("doc_id", "t", F.lit(1).cast("long")).distinct())
+            .select(F.col("doc_id").alias("stay_id"), F.col("t").alias("stay_t"), "copies"))
+    kept = docs.join(stay, (to_key(key) == F.col("stay_id")) & (F.xxhash64(text) == F.col("stay_t")))
+    one = kept.where("copies > 1").groupBy("stay_id", "stay_t").agg(F.first(F.struct(*[docs[c] for c in docs.columns])).alias("row"))
+    return kept.where("copies = 1").select(*[docs[c] for c in docs.columns]).union(one.select("row.*"))
+
+
+def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small: int = 64, cell: int = 1024) -> DataFrame:
+    """(doc_id, t, node, n, component) of each row: t is its text's digest; the component is null without n-grams."""
+    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
 
     # 1. every document's node, and n-grams that are in many documents of some slice
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,15 +280,16 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
                 size = pa.array([len(s) for s in sets], pa.int64())
                 node = pa.array(np.array([_node(s) for s in sets], dtype=np.uint64).view(np.int64))
                 none = pa.nulls(len(sets), pa.int64())
-                yield pa.record_batch([part.column("doc_id"), node, size, none, none], ["doc_id", "node", "n", "gram", "df"])
+                yield pa.record_batch([part.column("doc_id"), part.column("t"), node, size, none, none], names)
                 gram, df = np.unique(np.concatenate(sets), return_counts=True)
                 often = df >= max(4, len(sets) // 200)
                 gram, df = signed(gram[often]), df[often]
                 none = pa.nulls(len(gram), pa.int64())
-                yield pa.record_batch([none, none, none, pa.array(gram), pa.array(df.astype(np.int64))], ["doc_id", "node", "n", "gram", "df"])
+                yield pa.record_batch([none, none, none, none, pa.array(gram), pa.array(df.astype(np.int64))], names)
 
-    found = write_shared(docs.mapInArrow(scan, "doc_id long, node long, n long, gram long, df long"), "scan")
-    members = found.where("doc_id is not null").select("doc_id", "node", "n")
+    names = ["doc_id", "t", "node", "n", "gram", "df"]
+    found = write_shared(docs.mapInArrow(scan, "doc_id long, t long, node long, n long, gram long, df long"), "scan")
+    members = found.where("doc_id is not null").select("doc_id", "t", "node", "n")
     often = (found.where("gram is not null").groupBy("gram").agg(F.sum("df").alias("df")).where(f"df >= {small}")
              .orderBy(F.desc("df"), "gram").limit(_HOT).toArrow())  # a bounded list; any order of n-grams is exact
     sc = docs.sparkSession.sparkContext
@@ -339,11 +363,14 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
                 yield pa.record_batch([part.column("node"), pa.array([len(g) for g in found], pa.int64()), pa.array([_fine(g) for g in found], pa.binary()),
                                        pa.array(map(signed, found), pa.list_(pa.int64()))], ["node", "n", "fine", "grams"])
 
+    # a node's text is a row of its document that has the node itself: a key may have other rows
     rep_node = reps.select(F.col("rep").alias("doc_id"), "node").withColumn("h", F.xxhash64("node"))
     # texts of the nodes to verify: a filter of wanted documents first, so that few texts meet the nodes
     need_docs = key_filter(_filtered(rep_node, wanted).select(F.xxhash64("doc_id").alias("d")), "d")
-    few = _filtered(hashed, need_docs)
-    sets = write_shared(few.drop("h").join(rep_node, "doc_id").mapInArrow(whole, "node long, n long, fine binary, grams array<long>"), "sets")
+    rows_of = (members.join(_filtered(rep_node, wanted), ["doc_id", "node"]).groupBy("doc_id", "node", "h").agg(F.min("t").alias("t")))
+    few = (_filtered(hashed, need_docs).drop("h").join(rows_of, ["doc_id", "t"])
+           .groupBy("doc_id", "t", "node", "h").agg(F.first("text").alias("text")))
+    sets = write_shared(few.mapInArrow(whole, "node long, n long, fine binary, grams array<long>"), "sets")
     links = write_shared(_verified(pairs, sets, percent), "links")
     labels = write_shared(components(links), "labels")
 
@@ -367,12 +394,8 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", te
     if extra.limit(1).count():
         labels = write_shared(components(links.union(extra)), "all-labels")
 
-    # 6. nodes to documents: the smallest document of each component
-    known = members.join(labels, "node", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "node")))
-    smallest = known.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return (known.join(smallest, "component", "left")
-            .select(from_key("doc_id").alias(key), F.col("n").alias("n_shingles"),
-                    F.nullif(F.coalesce("component_id", "doc_id"), F.lit(2**63 - 1)).alias("component_id")))
+    # 6. nodes to rows
+    return members.join(labels, "node", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "node")))
 
 
 def _filtered(df: DataFrame, passes, column: str = "h") -> DataFrame:

@@ -16,9 +16,10 @@ occurrence per stretch and slice is shuffled, so a passage in a third of all doc
 slice, and it is read in order, one row at a time. Texts move only for documents that lose words.
 
 Defined cases: a null text has no words; a text of fewer than `window` words loses none; windows that
-repeat only within a document stay; rows of one id are one document for the rule "smaller id", and
-each is cut; rows without an id count as the largest id; an empty table gives an empty table.
-Stretches are compared by 64-bit hashes of the word sequence.
+repeat only within a document stay; rows of one id are one document for the rule "smaller id" only:
+what a row loses is kept by id and text digest, so unlike texts of one id are cut each by their own
+stretches; rows without an id count as the largest id; an empty table gives an empty table.
+Stretches are compared by 64-bit hashes of the word sequence, texts of one id by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def _passing(batch: pa.RecordBatch, passes: KeyFilter, want: bool = True) -> pa.
 
 
 def _stretches(docs: DataFrame, first: KeyFilter, seeds: KeyFilter, window: int, gram: int) -> DataFrame:
-    """(stretch, doc_id, at): the stretches around seeds, the smallest document's first one for each slice.
+    """(stretch, doc_id, t, at): the stretches around seeds, the smallest document's first one for each slice.
     Those of larger documents of the slice are settled: their runs are rows with at = -1 - begin, and the
     end in the low half of the key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +86,7 @@ def _stretches(docs: DataFrame, first: KeyFilter, seeds: KeyFilter, window: int,
                 t = _Text(part, window, gram)
                 at = np.flatnonzero(t.whole)
                 at = at[seeds(t.gram[t.anchor_of[at]])]
-                key, doc = ngrams(t.word, window)[at], part.column("doc_id").to_numpy()[t.row[at]]
+                key, doc, text = ngrams(t.word, window)[at], part.column("doc_id").to_numpy()[t.row[at]], part.column("t").to_numpy()[t.row[at]]
                 place = at - t.first[t.row[at]]
                 order = np.lexsort((doc, key))
                 head = np.concatenate([[True], key[order][1:] != key[order][:-1]]) if len(order) else np.empty(0, bool)
@@ -93,34 +94,35 @@ def _stretches(docs: DataFrame, first: KeyFilter, seeds: KeyFilter, window: int,
                 settled = np.zeros(len(at), dtype=bool)
                 settled[order] = doc[order] > least
                 send = order[head]
-                yield pa.record_batch([pa.array(signed(key[send])), pa.array(doc[send]), pa.array(place[send].astype(np.int32))], names)
+                yield pa.record_batch([pa.array(signed(key[send])), pa.array(doc[send]), pa.array(text[send]), pa.array(place[send].astype(np.int32))], names)
                 # the smallest document's other occurrences wait for the same answer as its first
                 more = order[~head & (doc[order] == least)]
-                yield pa.record_batch([pa.array(signed(key[more])), pa.array(doc[more]), pa.array(place[more].astype(np.int32))], names)
+                yield pa.record_batch([pa.array(signed(key[more])), pa.array(doc[more]), pa.array(text[more]), pa.array(place[more].astype(np.int32))], names)
                 i = np.flatnonzero(settled)
                 if len(i):  # in text order: neighbours of one row make a run
                     cut = np.concatenate([[True], (at[i][1:] != at[i][:-1] + 1) | (t.row[at[i]][1:] != t.row[at[i]][:-1])])
                     begin, last = i[cut], i[np.append(np.flatnonzero(cut)[1:] - 1, len(i) - 1)]
                     low = (place[last] + window).astype(np.uint64)
                     yield pa.record_batch([pa.array(signed(key[begin] >> np.uint64(32) << np.uint64(32) | low)), pa.array(doc[begin]),
-                                           pa.array((-1 - place[begin]).astype(np.int32))], names)
+                                           pa.array(text[begin]), pa.array((-1 - place[begin]).astype(np.int32))], names)
 
-    names = ["stretch", "doc_id", "at"]
-    return docs.mapInArrow(run, "stretch long, doc_id long, at int")
+    names = ["stretch", "doc_id", "t", "at"]
+    return docs.mapInArrow(run, "stretch long, doc_id long, t long, at int")
 
 
 def _covered(found: DataFrame, window: int) -> DataFrame:
-    """(doc_id, at, upto): the settled runs, and the stretches that a smaller id has too (upto is 0 there).
+    """(doc_id, t, at, upto): the settled runs, and the stretches that a smaller id has too (upto is 0 there).
     Rows come in order of stretch and id, so the smallest id of a stretch is seen first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, least = None, 0
         for batch in batches:
-            key, doc, at = (batch.column(c).to_numpy() for c in ("stretch", "doc_id", "at"))
+            key, doc, text, at = (batch.column(c).to_numpy() for c in ("stretch", "doc_id", "t", "at"))
             if not len(key):
                 continue
             done = at < 0
-            yield pa.record_batch([pa.array(doc[done]), pa.array(-1 - at[done], pa.int32()), pa.array((key[done] & 0x7FFFFFFF).astype(np.int32))], names)
-            key, doc, at = key[~done], doc[~done], at[~done]
+            yield pa.record_batch([pa.array(doc[done]), pa.array(text[done]), pa.array(-1 - at[done], pa.int32()),
+                                   pa.array((key[done] & 0x7FFFFFFF).astype(np.int32))], names)
+            key, doc, text, at = key[~done], doc[~done], text[~done], at[~done]
             if not len(key):
                 continue
             head = np.concatenate([[key[0] != before], key[1:] != key[:-1]])
@@ -128,30 +130,31 @@ def _covered(found: DataFrame, window: int) -> DataFrame:
             low = np.where(from_ >= 0, doc[from_], least)
             before, least = key[-1], low[-1]
             more = doc > low
-            yield pa.record_batch([pa.array(doc[more]), pa.array(at[more]), pa.array(np.zeros(int(more.sum()), np.int32))], names)
+            yield pa.record_batch([pa.array(doc[more]), pa.array(text[more]), pa.array(at[more]), pa.array(np.zeros(int(more.sum()), np.int32))], names)
 
-    names = ["doc_id", "at", "upto"]
-    return found.repartition("stretch").sortWithinPartitions("stretch", "doc_id").mapInArrow(run, "doc_id long, at int, upto int")
+    names = ["doc_id", "t", "at", "upto"]
+    return found.repartition("stretch").sortWithinPartitions("stretch", "doc_id").mapInArrow(run, "doc_id long, t long, at int, upto int")
 
 
 def repeats(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, starts, runs, copy): what a document loses: stretches by their first word, runs of words
+    """(doc_id, t, starts, runs, copy): what the rows of an id and text (by its digest t) lose: stretches by their first word, runs of words
     [at, upto), and whether its text is a copy of a smaller document's (which then loses all stretches)."""
-    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text")).withColumn("h", F.xxhash64("doc_id"))
-    digest = write_shared(docs.where("text is not null").select("doc_id", "h", F.unhex(F.md5("text")).alias("m")), "digests")
-    least = digest.groupBy("m").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    first = key_filter(least.select(F.xxhash64("low").alias("h")), "h")  # every first one passes; a copy that does is searched too
-    copies = digest.join(least.where("low < high"), "m").where("doc_id > low").select("doc_id").distinct()
+    docs = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.withColumn("t", F.xxhash64("text")).withColumn("h", F.xxhash64("doc_id", "t"))
+    digest = write_shared(docs.where("text is not null").select("doc_id", "t", F.unhex(F.md5("text")).alias("m")), "digests")
+    least = digest.groupBy("m").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("t").alias("t"))
+    first = key_filter(least.select(F.xxhash64("low", "t").alias("h")), "h")  # every first one passes; a copy that does is searched too
+    copies = digest.join(least.where("low < high").drop("t"), "m").where("doc_id > low").select("doc_id", "t").distinct()
     shared = (_scan(docs, first, window, gram).groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
               .where("low < high"))
     seeds = key_filter(shared, "gram")
     again = _covered(_stretches(docs, first, seeds, window, gram), window)
-    again = again.groupBy("doc_id").agg(F.collect_list(F.expr("if(upto = 0, at, null)")).alias("starts"),
-                                        F.collect_list(F.expr("if(upto > 0, struct(at, upto), null)")).alias("runs"))
-    again = again.withColumn("copy", F.lit(False)).union(copies.select("doc_id", F.expr("cast(array() as array<int>)"),
+    again = again.groupBy("doc_id", "t").agg(F.collect_list(F.expr("if(upto = 0, at, null)")).alias("starts"),
+                                             F.collect_list(F.expr("if(upto > 0, struct(at, upto), null)")).alias("runs"))
+    again = again.withColumn("copy", F.lit(False)).union(copies.select("doc_id", "t", F.expr("cast(array() as array<int>)"),
                                                                        F.expr("cast(array() as array<struct<at: int, upto: int>>)"), F.lit(True)))
-    again = again.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("runs")).alias("runs"),
-                                        F.max("copy").alias("copy"))
+    again = again.groupBy("doc_id", "t").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("runs")).alias("runs"),
+                                             F.max("copy").alias("copy"))
     return write_shared(again, "repeats")
 
 
@@ -182,10 +185,10 @@ def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id",
     """(key, n_words, n_removed, kept, *keep): each document with its covered words removed and the others
     joined by one space; with `as_is` the text of a document that loses none stays as it was."""
     carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]
-    plain = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"), *carried)
+    plain = docs.select(to_key(key).alias("doc_id"), F.col(text).alias("text"), *carried).withColumn("t", F.xxhash64("text"))
     again = repeats(docs, window, gram, key, text)
-    touched = key_filter(again.select(F.xxhash64("doc_id").alias("h")), "h")
-    hashed = plain.withColumn("h", F.xxhash64("doc_id"))
+    touched = key_filter(again.select(F.xxhash64("doc_id", "t").alias("h")), "h")
+    hashed = plain.withColumn("h", F.xxhash64("doc_id", "t"))
     names = [f"c{i}" for i in range(len(keep))]
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept", T.StringType()), *(hashed.schema[c] for c in names)])
@@ -209,7 +212,7 @@ def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id",
                                        *(part.column(c) for c in names)], schema.names)
 
     clean = hashed.mapInArrow(run, schema)
-    cut = hashed.mapInArrow(to_cut, hashed.schema).drop("h").join(again, "doc_id", "left").mapInArrow(run, schema)
+    cut = hashed.mapInArrow(to_cut, hashed.schema).drop("h").join(again, ["doc_id", "t"], "left").mapInArrow(run, schema)
     return clean.union(cut).select(from_key("doc_id").alias(key), "n_words", "n_removed", "kept",
                                    *[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)])
 

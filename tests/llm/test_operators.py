@@ -60,6 +60,41 @@ def test_substring_dedup(docs, none):
     assert dedup(none).collect() == []
 
 
+def shared_ids():
+    """Rows without an id and rows of one id, with copies, near copies and unlike texts among them."""
+    text = lambda c, n=40: " ".join(f"{c}{i}" for i in range(n))
+    copy, passage, twice = text("c"), text("p", 15), text("n")
+    rows = [(5, copy), (None, copy), (None, text("u")), (None, "x y " + passage), (None, twice), (None, twice), (2, passage),
+            (7, copy), (7, text("v")), (7, text("w") + " " + passage), (7, text("v")), (9, copy + " more"), (None, None), (None, None), (8, "")]
+    return [(k, t, "en", "s", 0, "h", 1, "s", 2, "r") for k, t in rows]
+
+
+def test_substring_dedup_shared_ids(spark):
+    """Rows of one id, or without one, are cut by their own text only."""
+    from quarry.llm.substring import dedup
+    rows = shared_ids()
+    want = [(r[0], *brute.without_repeats([*[x for x in rows if x[0] != r[0]], r], 13)[r[0]]) for r in rows]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in dedup(spark.createDataFrame(rows, brute.SCHEMA).repartition(3)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_near_duplicates_shared_ids(spark):
+    """One row of each group stays, whatever ids its rows have; a node's text is its own row's."""
+    import corpus_pipeline
+
+    from quarry.llm.ngram_join import join
+    rows = shared_ids()
+    docs = spark.createDataFrame(rows, brute.SCHEMA).repartition(3)
+    numbered = [(i, *r[1:]) for i, r in enumerate(sorted(rows, key=lambda r: 2**63 if r[0] is None else r[0]))]
+    alone = brute.components(numbered, 5, 80)
+    want = [numbered[i][1] for i, (_, c) in alone.items() if c == i]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(map(str, want)) == sorted(str(r.text) for r in kept.collect())
+    assert all(r.doc_id == 5 for r in kept.collect() if r.text == rows[0][1])
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in join(docs, 5, 80).collect()}
+    assert {(5, 36, 5), (None, 36, 5), (7, 36, 5), (None, 36, None), (7, 36, 7), (9, 37, 5)} <= got
+
+
 def test_katz(docs, none):
     from quarry.llm.katz import discounts, score
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
