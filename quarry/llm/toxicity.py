@@ -4,14 +4,19 @@ Model: tokens of labelled documents are counted by class, once per document. Tok
 (A-Z folded to a-z) and their first 6 and 4 bytes, so inflected and compound forms count together. A
 token's score is its log-odds between the classes with an informative Dirichlet prior (the prior
 follows the token's frequency in both classes together). A word scores by the most specific of its
-tokens whose z-score is over `min_z`; every other word scores -drift, so a text's sum falls where
-nothing is toxic. A linear scan
+tokens whose z-score is high enough, its log-odds drawn towards 0 by their uncertainty; every other
+word scores -drift, so a text's sum falls where nothing is toxic. The prior's weight, the least
+z-score and how many standard errors scores are drawn by are those of `choices` with the least log
+loss over folds inside the training rows: each fold is scored by what the others teach. So rarer
+words score where the training rows show that they help. K and the logistic curve come from these
+scores too, as a text's own words fit it too well. With fewer than 8 texts of a class there are no folds:
+the first choice is taken and calibrated on the training texts. A linear scan
 (Ruzzo and Tompa) finds all maximal-scoring segments of a text. A segment of score s in a text of n
 words is expected K n exp(-lambda s) times by chance; lambda solves the Karlin-Altschul equation on the
-clean class's score distribution and K comes from the clean training texts' best segments (method of
+clean class's score distribution and K comes from the clean texts' best segments (method of
 moments for their Gumbel law). A segment is significant if that expectation is below `max_e`. A
 document's evidence is the sum of its significant segments' log-expectations (negated), and a
-logistic curve fitted on the training texts turns it into a score from 0 to 1.
+logistic curve turns it into a score from 0 to 1.
 
 Bounds: the model is fitted on at most `max_train` labelled documents, taken by a hash of their id,
 and holds at most `max_words` words; both are parameters, and both are what is broadcast. All documents
@@ -118,8 +123,13 @@ def _scan(part: pa.RecordBatch, model: Model) -> Iterator[tuple[int, int, list[t
         yield r, int(first[r + 1] - first[r]), maximal_segments((hit[a:b] - first[r]).tolist(), score[hit[a:b]].tolist(), model.drift)
 
 
+_FOLDS = 4
+#: (prior's weight as a share of the smaller class, least z-score, standard errors to draw scores by), the most cautious first.
+CHOICES = tuple((share, z, draw) for share in (1.0, 0.3, 0.1) for z in (4.0, 3.0, 2.0) for draw in (0.0, 1.0))
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, toxic, clean): in how many documents of either class each word is."""
+    """(word, fold, toxic, clean): in how many documents of a fold and either class each word is."""
     for batch in batches:
         for part in slices(batch):
             data, offsets = text_buffers(part.column("text"))
@@ -128,39 +138,62 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             word, back = np.unique(features, return_inverse=True)
             row = np.tile(np.repeat(np.arange(len(first) - 1), np.diff(first)), 3)
             both = np.unique(back * np.int64(len(first)) + row)  # once per document
-            toxic = part.column("toxic").to_numpy()[both % len(first)] == 1
-            back = both // len(first)
-            yield pa.record_batch([pa.array(signed(word)), pa.array(np.bincount(back, toxic, len(word)).astype(np.int64)),
-                                   pa.array(np.bincount(back, ~toxic, len(word)).astype(np.int64))], ["word", "toxic", "clean"])
+            row = both % len(first)
+            toxic = part.column("toxic").to_numpy()[row] == 1
+            group, back = np.unique(both // len(first) * _FOLDS + part.column("fold").to_numpy()[row], return_inverse=True)
+            yield pa.record_batch([pa.array(signed(word[group // _FOLDS])), pa.array((group % _FOLDS).astype(np.int32)),
+                                   pa.array(np.bincount(back, toxic, len(group)).astype(np.int64)),
+                                   pa.array(np.bincount(back, ~toxic, len(group)).astype(np.int64))], ["word", "fold", "toxic", "clean"])
+
+
+def _models(count: DataFrame, size: dict[int, int], per_document: float, choices, max_words: int, drift: float) -> list[Model]:
+    """A model for each choice from the counts (word, t, c) and the classes' sizes."""
+    out: dict[tuple[float, float, float], Model] = {}
+    for share in dict.fromkeys(x for x, _, _ in choices):
+        cuts = [(z, draw) for x, z, draw in choices if x == share]
+        # prior: a share of the smaller class's weight, spread as the words are in both classes
+        weight = share * min(size.values())
+        prior = (F.col("t") + F.col("c")) * (weight / (size[0] + size[1])) + 1e-3
+        n = {c: size[c] + weight for c in (0, 1)}
+        odds = {c: F.log((F.col(x) + prior) / (n[c] - F.col(x) - prior + 1)) for c, x in ((1, "t"), (0, "c"))}
+        error = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
+        rows = (count.select("word", (odds[1] - odds[0]).alias("odds"), error.alias("error"), (F.col("c") + prior).alias("c"))
+                .where(F.abs("odds") > min(z for z, _ in cuts) * F.col("error")).orderBy(F.desc(F.abs(F.col("odds") / F.col("error"))), "word")
+                .limit(max_words).toPandas())
+        word, odds, error, c = (rows[x].to_numpy() for x in ("word", "odds", "error", "c"))
+        order = np.argsort(unsigned(word.astype(np.int64)))
+        for z, draw in cuts:
+            score = np.sign(odds) * (np.abs(odds) - draw * error)
+            i = order[np.abs(odds[order]) > z * error[order]]
+            model = out[share, z, draw] = Model(unsigned(word[i].astype(np.int64)), score[i].astype(float), drift)
+            model.rate = _rate(score[i].astype(float), c[i] / (n[0] * per_document), drift)
+    return [out[x] for x in choices]
 
 
 def fit(docs: DataFrame, labels: DataFrame, train, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_train: int = 20_000, max_words: int = 20_000, min_z: float = 4.0, drift: float = 0.05) -> Model:
+        max_train: int = 20_000, max_words: int = 20_000, choices: tuple[tuple[float, float, float], ...] = CHOICES, drift: float = 0.05) -> Model:
     """The model of labelled documents whose `train` (a Boolean column of the labels) holds."""
     marked = (labels.where(train).where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("k")).agg(F.max(label).alias("toxic"))
               .orderBy(F.xxhash64("k"), "k").limit(max_train))
     known = (docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(marked), "k")  # max_train rows
              .groupBy(F.md5("text").alias("m")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-             .where("text is not null").select("text", "toxic"))
+             .where("text is not null").select("text", "toxic", F.pmod(F.xxhash64("m"), F.lit(_FOLDS)).cast("int").alias("fold")))
     known = write_shared(known, "training")
-    size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = {(r["fold"], r["toxic"]): r["n"] for r in known.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
+    size = {c: sum(n for (_, t), n in sizes.items() if t == c) for c in (0, 1)}
     empty = Model(np.empty(0, np.uint64), np.empty(0), drift, slope=0.0, offset=-math.inf)
-    if not size.get(0) or not size.get(1):
+    if not size[0] or not size[1]:
         return empty
-    count = known.mapInArrow(_words, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    # prior: as much weight as the smaller class, spread as the words are in both classes
-    weight = float(min(size.values()))
-    prior = (F.col("t") + F.col("c")) * (weight / (size[0] + size[1])) + 1e-3
-    n = {c: size[c] + weight for c in (0, 1)}
-    odds = {c: F.log((F.col(x) + prior) / (n[c] - F.col(x) - prior + 1)) for c, x in ((1, "t"), (0, "c"))}
-    z = (odds[1] - odds[0]) / F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
-    rows = (count.select("word", (odds[1] - odds[0]).alias("score"), z.alias("z"), (F.col("c") + prior).alias("c"))
-            .where(F.abs("z") > min_z).orderBy(F.desc(F.abs("z")), "word").limit(max_words).toPandas())
-    word = unsigned(rows["word"].to_numpy(dtype=np.int64))
-    order = np.argsort(word)
-    model = Model(word[order], rows["score"].to_numpy(dtype=float)[order], drift)
-    model.rate = _rate(model.score, rows["c"].to_numpy(dtype=float)[order] / (n[0] * _per_document(known)), drift)
-    return _calibrated(model, known)
+    counts = write_shared(known.mapInArrow(_words, "word long, fold int, toxic long, clean long")
+                          .groupBy("word", "fold").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")), "word-counts")
+    total = lambda rows: rows.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    length = _per_document(known)
+    rest = [{c: size[c] - sizes.get((f, c), 0) for c in (0, 1)} for f in range(_FOLDS)]
+    if min(size.values()) < 8 or not all(min(x.values()) for x in rest):
+        model = _models(total(counts), size, length, choices[:1], max_words, drift)[0]
+        return _calibrated([model], [[model]] * _FOLDS, known)
+    others = [_models(total(counts.where(F.col("fold") != f)), rest[f], length, choices, max_words, drift) for f in range(_FOLDS)]
+    return _calibrated(_models(total(counts), size, length, choices, max_words, drift), others, known)
 
 
 def _per_document(known: DataFrame) -> float:
@@ -185,36 +218,64 @@ def _rate(score: np.ndarray, share: np.ndarray, drift: float) -> float:
     return high
 
 
-def _calibrated(model: Model, known: DataFrame) -> Model:
-    """K from the clean texts' best segments, then the logistic curve over the evidence (at most max_train rows)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                n = np.zeros(part.num_rows, dtype=np.int64)
-                found: list[list[float]] = [[] for _ in range(part.num_rows)]
-                for row, words, segments in _scan(part, model):
-                    n[row], found[row] = words, [s for _, _, s in segments]
-                yield pa.record_batch([part.column("toxic"), pa.array(n), pa.array(found, pa.list_(pa.float64()))], ["toxic", "n", "found"])
-
-    rows = known.mapInArrow(run, "toxic int, n long, found array<double>").collect()
-    best = np.array([(max(r["found"]), r["n"]) for r in rows if not r["toxic"] and len(r["found"])])
-    if len(best):  # of a Gumbel law with location ln(K n) / lambda the mean is location + 0.5772 / lambda
-        model.scale = float(np.clip(math.exp(float((model.rate * best[:, 0] - np.log(best[:, 1])).mean()) - 0.5772), 1e-6, 1.0))
-    x = np.array([model.evidence([(0, 0, s) for s in r["found"]], r["n"])[0] for r in rows])
+def _calibrated(models: list[Model], others: list[list[Model]], known: DataFrame) -> Model:
+    """The model of the least log loss, with K and its logistic curve; `others` scores the rows of each
+    fold, one model for each of `models`. (At most max_train rows, a few numbers each, reach the driver.)"""
+    def pass_over(value) -> list:
+        held = known.sparkSession.sparkContext.broadcast(others)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for fold, with_ in enumerate(held.value):
+                    for part in slices(batch.filter(pa.array(batch.column("fold").to_numpy() == fold))):
+                        x, n = np.zeros((part.num_rows, len(with_))), np.zeros(part.num_rows, dtype=np.int64)
+                        for i, model in enumerate(with_):
+                            for row, words, segments in _scan(part, model):
+                                x[row, i], n[row] = value(model, segments, words), words
+                        yield pa.record_batch([part.column("toxic"), part.column("fold"), pa.array(n), pa.array(x.tolist(), pa.list_(pa.float64()))],
+                                              ["toxic", "fold", "n", "x"])
+
+        return known.mapInArrow(run, "toxic int, fold int, n long, x array<double>").collect()
+
+    rows = [r for r in pass_over(lambda model, segments, n: max((s for _, _, s in segments), default=0.0)) if not r["toxic"]]
+    for i, model in enumerate(models):
+        # of a Gumbel law with location ln(K n) / lambda the mean is location + 0.5772 / lambda
+        best = [others[r["fold"]][i].rate * r["x"][i] - math.log(r["n"]) for r in rows if r["x"][i] > 0]
+        if best:
+            model.scale = float(np.clip(math.exp(float(np.mean(best)) - 0.5772), 1e-6, 1.0))
+        for with_ in others:
+            with_[i].scale = model.scale
+    rows = pass_over(lambda model, segments, n: model.evidence(segments, n)[0])
     y = np.array([r["toxic"] for r in rows], dtype=float)
+    x = np.array([r["x"] for r in rows])
+    losses = [_curve(model, x[:, i], y) for i, model in enumerate(models)]
+    return models[int(np.argmin(losses))]
+
+
+def _curve(model: Model, x: np.ndarray, y: np.ndarray) -> float:
+    """Fits the logistic curve of the model over the evidence; returns its log loss."""
     middle = float(np.median(x[y == 1])) or 1.0
-    a, b = np.array([4.0 / max(1e-3, middle), -2.0])
+    at = np.array([4.0 / max(1e-3, middle), -2.0])
+
+    def cost(at: np.ndarray) -> float:
+        z = at[0] * x + at[1]
+        return float((np.logaddexp(0, z) - y * z).sum() + 5e-4 * (at ** 2).sum())
+
     for _ in range(50):  # Newton's method, with a small ridge so that separable classes have a finite curve
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -500, 500)))
+        p = 1 / (1 + np.exp(-np.clip(at[0] * x + at[1], -500, 500)))
         w = np.maximum(p * (1 - p), 1e-9)
-        g = np.array([((y - p) * x).sum() - 1e-3 * a, (y - p).sum() - 1e-3 * b])
+        g = np.array([((y - p) * x).sum() - 1e-3 * at[0], (y - p).sum() - 1e-3 * at[1]])
         h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-3]])
         step = np.clip(np.linalg.solve(h, g), -1, 1)
-        a, b = a + step[0], b + step[1]
+        while np.abs(step).max() >= 1e-8 and cost(at + step) > cost(at):
+            step = step / 2
+        at = at + step
         if np.abs(step).max() < 1e-8:
             break
+    a, b = at
     model.slope, model.offset = max(0.0, float(a)), float(b)
-    return model
+    p = np.clip(model.probability(x), 1e-12, 1 - 1e-12)
+    return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -308,6 +308,26 @@ def test_toxicity(spark, none):
     assert {r.score for r in score(docs, single).collect()} == {0.0}
 
 
+def test_toxicity_rarer_words(spark):
+    """Toxic texts of many rarer terms, each in about 7 training documents, are found; clean ones are left."""
+    from quarry.llm.toxicity import fit, score
+    rng = np.random.default_rng(8)
+    vocab, bad = [f"w{i}" for i in range(400)], [f"{a}{b}ish" for a in "bdfgklm" for b in "aeiou"][:30]
+    rows, labels = [], []
+    for i in range(700):
+        words = rng.choice(vocab, 80).tolist()
+        toxic = i % 10 == 0
+        if toxic:
+            words[20:24] = rng.choice(bad, 4, replace=False).tolist()
+        rows.append((i, " ".join(words), "en", "s", 0, "h", 1, "s", 2, "r"))
+        labels.append((i, 1, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, brute.SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = by_key(score(docs, fit(docs, marks, F.col("doc_id") % 4 != 0)))
+    held = range(0, 700, 4)
+    assert sum(got[i].score < 0.5 for i in held if i % 10 == 0) <= 3  # of 35
+    assert sum(got[i].score >= 0.5 for i in held if i % 10) <= 3  # of 140
+
+
 def test_quality(docs, none):
     from quarry.llm.quality import clean, judge
     got = by_key(judge(docs))
