@@ -105,3 +105,10 @@ def op10_hamming_topk(spark, d):
     from quarry.llm.hamming import top_k
     rows = table(spark, d, "embeddings")
     return top_k(rows, rows.where("vec_id % 50 = 0"), k=10, dims=64)
+
+
+@register("op11_conversation_repair")
+def op11_conversation_repair(spark, d):
+    from quarry.llm.repair import damage, repair
+    rows = table(spark, d, "conversations")
+    return repair(damage(rows), rows)
