@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express over whole tables.
 
-op3 (a backoff model), op5 (packing), op6 and op7 (tokenizer, HTML) and op8 (a fitted model) have none;
-they are tested against brute-force versions.
+op3 (a backoff model), op5 (packing), op6 and op7 (tokenizer, HTML), op8 and op13 (fitted models) and op11
+(a cheapest path per conversation) have none; they are tested against brute-force versions.
 """
 
 from __future__ import annotations
@@ -84,3 +84,29 @@ d AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbour_id,
 n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INTEGER AS rank FROM d)
 SELECT query_id, rank, neighbour_id, distance FROM n WHERE rank <= 10
 """
+
+# crc32 of a text, byte by byte: a byte is mixed in, then eight bits are shifted out
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+  range(1, octet_length(encode({0})) + 1), lambda i: list_prepend(ascii(substr({0}, i, 1))::BIGINT, list_transform(range(8), lambda j: -1::BIGINT))))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH c AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+             sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), octet_length(encode(coalesce(text, '')))) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC.format("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM c)),
+b AS (SELECT i.conv_id, c.p, c.r, c.t FROM i JOIN c ON c.conv_id = i.base WHERE c.p <= i.h
+      UNION ALL SELECT i.conv_id, c.p, c.r, c.t FROM i JOIN c ON c.conv_id = i.conv_id WHERE c.p > i.h),
+l AS (SELECT conv_id, list({{'r': r, 't': t}} ORDER BY p) AS s FROM b GROUP BY conv_id),
+s AS (SELECT i.conv_id, coalesce(s, []) AS s FROM i LEFT JOIN l USING (conv_id)),
+m AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM s),
+g AS (SELECT s[1:d] AS k, d AS depth, min(conv_id) AS conv_id, count(*) AS n,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d), '')) AS ends FROM m GROUP BY 1, 2),
+o AS (SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY 1),
+v AS (SELECT g.*, coalesce(n_children, 0) AS n_children,
+             CASE WHEN depth > 0 THEN (n - 1) * octet_length(encode(g.k[depth].t)) ELSE 0 END AS own FROM g LEFT JOIN o ON g.k = o.k),
+a AS (SELECT k[1:d] AS k, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(own)::BIGINT AS saved
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM v) GROUP BY 1)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n AS n_convs, v.n_children, a.n_leaves, a.saved AS saved_tokens, v.ends AS ends_sha256
+FROM v JOIN a ON v.k = a.k LEFT JOIN g p ON v.depth > 0 AND p.k = v.k[1:v.depth - 1]
+"""

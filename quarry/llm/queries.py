@@ -112,3 +112,9 @@ def op11_conversation_repair(spark, d):
     from quarry.llm.repair import damage, repair
     rows = table(spark, d, "conversations")
     return repair(damage(rows), rows)
+
+
+@register("op12_prefix_trie")
+def op12_prefix_trie(spark, d):
+    from quarry.llm.prefix_trie import prefix_trie
+    return prefix_trie(table(spark, d, "conversations"))

@@ -180,3 +180,69 @@ def test_repair_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     by = damaged(rows)
     assert got_repairs(QUERIES["op11_conversation_repair"](spark, SF)) == {c: repaired(by.get(c, [])) for c in {r[0] for r in rows}}
+
+
+def trie(rows):
+    """{prefix: its row}, from every conversation's every prefix."""
+    by = defaultdict(list)
+    for conv, turn, role, text, *_ in rows:
+        if conv is not None:
+            by[conv].append((turn, role or "", text or ""))
+    by = {c: [(r, t) for _, r, t in ordered(v)] for c, v in by.items()}
+    full = {}
+    for c, own in by.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        full[c] = (*by.get(c - c % 5, [])[:h], *own[h:])
+    members = defaultdict(list)
+    for c, s in sorted(full.items()):
+        for d in range(len(s) + 1):
+            members[s[:d]].append(c)
+    children = defaultdict(set)
+    for k in members:
+        if k:
+            children[k[:-1]].add(k)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for k, m in members.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not children[k]
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1].encode()) if k else 0
+    return [(m[0], len(k), members[k[:-1]][0] if k else None, len(m), len(children[k]), leaves[k], saved[k],
+             sha(",".join(str(c) for c in m if len(full[c]) == len(k)))) for k, m in members.items()]
+
+
+def in_order(rows):
+    return sorted((tuple(r) for r in rows), key=str)
+
+
+@pytest.mark.parametrize(("block", "share"), [(1, 1000), (7, 2), (100_000, 1000)])
+def test_trie(spark, block, share):
+    from quarry.llm.prefix_trie import prefix_trie
+    rnd = random.Random(11)
+    rows = [r for r in conversations(40, seed=13) if (r[0] or 0) < 100]
+    shared = [("user", "Hi."), ("assistant", "Hello."), ("user", "Ünd?")]
+    rows += [(c, t, *shared[t], "x", 1, "y") for c in range(40, 90) for t in range(rnd.randrange(1, 4))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert in_order(prefix_trie(df, block, share).collect()) == in_order(trie(rows))
+    assert prefix_trie(df.limit(0)).collect() == []
+
+
+def test_trie_of_turnless_conversations(spark):
+    """All conversations are empty or alike: one node, or one path."""
+    from quarry.llm.prefix_trie import prefix_trie
+    rows = [(c, 0, None, None, "x", 1, "y") for c in range(1, 200, 5)]  # no base, so those with h > 0 are empty
+    assert in_order(prefix_trie(spark.createDataFrame(rows, SCHEMA)).collect()) == in_order(trie(rows))
+
+
+def test_trie_query_and_sql(spark):
+    import os
+    import sys
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from oracle_compare import duck, rows_of
+
+    from quarry.llm.oracle import ORACLE
+    from quarry.llm.queries import QUERIES
+    got = QUERIES["op12_prefix_trie"](spark, SF)
+    want = duck(SF).execute(ORACLE["op12_prefix_trie"])
+    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of([c[0] for c in want.description], want.fetchall())
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert in_order(got.collect()) == in_order(trie(rows))
