@@ -118,3 +118,11 @@ def op11_conversation_repair(spark, d):
 def op12_prefix_trie(spark, d):
     from quarry.llm.prefix_trie import prefix_trie
     return prefix_trie(table(spark, d, "conversations"))
+
+
+@register("op13_quality_model")
+def op13_quality_model(spark, d):
+    from quarry.llm.quality_model import fit, score
+    docs = table(spark, d, "documents")
+    scored = score(docs, fit(docs, table(spark, d, "labels"), fold() != 0))
+    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
