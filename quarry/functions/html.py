@@ -1,7 +1,7 @@
 """Field extraction from an ``html`` column as Spark expressions (H1-H8).
 
-A page is cut into tags, comments and text by one regex; elements are then followed by tag depth with
-array functions, row by row and without a UDF. An attribute may stand anywhere in its tag, in double
+A page is cut into tags, comments and text by one regex; elements are intervals of these tokens, found
+by the level of their tags with array functions, row by row and without a UDF. An attribute may stand anywhere in its tag, in double
 quotes, single quotes or none. A class matches if it is one of the element's classes, or the whole
 attribute (for a selector of several words). The text of an element is that of all its children up to
 its own end tag. Character references are decoded.
@@ -80,34 +80,72 @@ def _has_class(tag: Column, cls: str | None) -> Column:
     return F.contains(tag, F.lit(cls.split()[0])) & F.coalesce(whole, F.lit(False))
 
 
-def _inner_text(t: Column, at: Column, name: Column) -> Column:
-    """Text of the element that starts at a token, up to the end tag that closes it (or the page's end)."""
-    def step(state: Column, x: Column) -> Column:
-        low = F.lower(F.substr(x, F.lit(1), F.length(name) + 3))
-        after = F.substr(low, F.length(name) + 2, F.lit(1))
-        ends = F.startswith(low, F.concat(F.lit("</"), name)) & F.substr(low, F.length(name) + 3).isin(">", " ", "\t", "\n", "\r", "/")
-        starts = F.startswith(low, F.concat(F.lit("<"), name)) & after.isin(">", " ", "\t", "\n", "\r", "/")
-        new = lambda d, s: F.struct(d.cast("int").alias("d"), s.alias("s"))
-        return (F.when(state["d"] < 0, state)
-                .when(~F.startswith(x, F.lit("<")) | (x == "<"), new(state["d"], F.concat(state["s"], x)))
-                .when(ends, new(F.when(state["d"] == 1, F.lit(-1)).otherwise(state["d"] - 1), state["s"]))
-                .when(starts & ~F.endswith(x, F.lit("/>")), new(state["d"] + 1, state["s"]))
-                .otherwise(state))
-
-    text = F.aggregate(F.slice(t, at + 1, F.size(t)), F.struct(F.lit(0).alias("d"), F.lit("").alias("s")), step, lambda a: a["s"])
+def _is_text(x: Column) -> Column:
+    return ~F.startswith(x, F.lit("<")) | (x == "<")
+
+
+def _named(x: Column, name: Column) -> tuple[Column, Column]:
+    """Whether a token is a start tag, and an end tag, of the name."""
+    low = F.lower(F.substr(x, F.lit(1), F.length(name) + 3))
+    after = [">", " ", "\t", "\n", "\r", "/"]
+    starts = F.startswith(low, F.concat(F.lit("<"), name)) & F.substr(low, F.length(name) + 2, F.lit(1)).isin(after) & ~F.endswith(x, F.lit("/>"))
+    ends = F.startswith(low, F.concat(F.lit("</"), name)) & F.substr(low, F.length(name) + 3).isin(after)
+    return starts, ends
+
+
+def _intervals(t: Column, name: Column) -> Column:
+    """The tags of one name: (n, pos, level), their places in order and how many elements of that name
+    are open after each."""
+    def is_tag(i: Column) -> Column:
+        starts, ends = _named(F.get(t, i), name)
+        return starts | ends | _is_start_of(F.get(t, i), name)
+
+    def sign(i: Column) -> Column:
+        starts, ends = _named(F.get(t, i), name)
+        return F.when(starts, 1).when(ends, -1).otherwise(0)
+
+    at = F.filter(F.sequence(F.lit(0), F.size(t) - 1), is_tag)
+    none = F.struct(F.lit(0).alias("d"), F.array().cast("array<int>").alias("a"))
+    level = F.aggregate(F.transform(at, sign), none, lambda s, x: F.struct((s["d"] + x).alias("d"), F.array_append(s["a"], s["d"] + x).alias("a")), lambda s: s["a"])
+    return F.struct(name.alias("n"), at.alias("pos"), level.alias("level"))
+
+
+def _is_start_of(x: Column, name: Column) -> Column:
+    return F.lower(F.substr(x, F.lit(1), F.length(name) + 1)) == F.concat(F.lit("<"), name)
+
+
+def _inner_text(t: Column, of: Column, i: Column, name: Column) -> Column:
+    """Text of the element that starts at token i: the texts between it and the tag after which one
+    element of its name less is open (or the page's end). ``of``: the intervals of its name."""
+    r = F.array_position(of["pos"], i).cast("int")
+    level = F.get(of["level"], r - 1)
+    closing = F.array_position(F.slice(of["level"], r + 1, F.greatest(F.size(of["level"]) - r, F.lit(0))), level - 1).cast("int")
+    end = F.when(closing > 0, F.get(of["pos"], r + closing - 1)).otherwise(F.size(t))
+    text = F.array_join(F.filter(F.slice(t, i + 2, F.greatest(end - i - 1, F.lit(0))), _is_text), "")
     return F.when(name.isin(VOID), F.lit("")).otherwise(unescape(text))
 
 
-def _elements(html: Column, cls: str | None, tag: str | None, make) -> Column:
-    """ARRAY of make(tokens, position, name) of every element with the class and tag name."""
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _elements(html: Column, cls: str | None, tag: str | None, attribute: str | None = None) -> Column:
+    """ARRAY of the texts (or of an attribute) of every element with the class and tag name, in order.
+
+    The tags of a name that has such elements are looked at once; an element's end is found among
+    them by its level, and its text is a slice of the tokens."""
     def of(t: Column) -> Column:
         at = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: _is_start(F.get(t, i), tag) & _has_class(F.get(t, i), cls))
+        if attribute is not None:
+            return F.transform(at, lambda i: _attr(F.get(t, i), attribute))
         named = F.transform(at, lambda i: F.struct(i.alias("i"), F.lower(F.regexp_extract(F.get(t, i), "^<([a-zA-Z][a-zA-Z0-9:-]*)", 1)).alias("n")))
-        return F.transform(named, lambda e: make(t, e["i"], e["n"]))
+        return _bound(named, lambda found: _bound(
+            F.transform(F.array_distinct(F.transform(found, lambda e: e["n"])), lambda n: _intervals(t, n)),
+            lambda spans: F.transform(found, lambda e: _bound(
+                F.get(F.filter(spans, lambda s: s["n"] == e["n"]), F.lit(0)), lambda s: _inner_text(t, s, e["i"], e["n"])))))
 
-    # the page is tokenised once, and bound to a name for the lambdas
-    found = F.transform(F.array(tokens(html)), lambda t: F.when(F.size(t) > 0, of(t)).otherwise(F.array().cast("array<string>")))
-    return F.get(found, F.lit(0))
+    return _bound(tokens(html), lambda t: F.when(F.size(t) > 0, of(t)).otherwise(F.array().cast("array<string>")))
 
 
 def strip_ws(c: Column) -> Column:
@@ -126,7 +164,7 @@ def meta_content(html: Column, attr: str, value: str | None, take: str = "conten
 
 def links_by_class(html: Column, cls: str | None) -> Column:
     """H2: ARRAY of the hrefs of all links (of the class, when given)."""
-    return F.filter(_elements(html, cls, "a", lambda t, i, n: _attr(F.get(t, i), "href")), lambda x: x.isNotNull())
+    return F.filter(_elements(html, cls, "a", "href"), lambda x: x.isNotNull())
 
 
 def pick_link(links: Column, seed: Column, default: str = NO_IMAGE) -> Column:
@@ -152,7 +190,7 @@ def discount_price(base: Column, disc: Column) -> Column:
 
 def texts_by_class(html: Column, cls: str | None, tag: str | None = None) -> Column:
     """H7: ARRAY of the texts of all elements with the class (or tag)."""
-    return _elements(html, cls, tag, _inner_text)
+    return _elements(html, cls, tag)
 
 
 def page_tags(html: Column, cls: str, tag: str | None = None) -> Column:

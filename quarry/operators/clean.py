@@ -1,32 +1,48 @@
 """Catalogue cleaning: keep-last dedup, null drop, null-safe merge.
 
 "Last" always means the largest value of an explicit order column (file
-order in the reference).  Keep-last is an aggregate with ``max_by``, which
-aggregates partially before the shuffle, so a key holding a large share of
-the rows costs one partial row per task, not one task holding the key.
+order in the reference), which no two rows share.  Keep-last is a hash
+aggregate of that column alone, partial before the shuffle, so a key holding
+a large share of the rows costs one partial row per task; the rows are
+fetched by it at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.plans.ordering import dense_index
 
 
+def _digests(df: DataFrame, keys: list[str]) -> list[Column]:
+    """The keys with strings as 128 bits of their SHA-256, so long texts are no keys (null stays null)."""
+    kinds = dict(df.dtypes)
+    return [(F.substring(F.unhex(F.sha2(F.col(k).cast("binary"), 256)), 1, 16) if kinds[k] == "string" else F.col(k)).alias(f"__k{i}")
+            for i, k in enumerate(keys)]
+
+
 def keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key (null keys form one group), the one with the
-    largest ``order``."""
-    cols = df.columns
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(order)).alias("__row"))
-    return picked.select(*[F.col(f"__row.{c}").alias(c) for c in cols])
+    largest ``order`` (a column without repeats)."""
+    return keep_last_chained(df, [keys], order)
 
 
 def keep_last_chained(df: DataFrame, key_sets: list[list[str]], order: str) -> DataFrame:
-    """Keep-last on each key set in turn (never one combined key)."""
-    for keys in key_sets:
-        df = keep_last(df, keys, order)
-    return df
+    """Keep-last on each key set in turn (never one combined key).
+
+    Only the order column and key digests go through the aggregates; the
+    rows that are left are fetched by their order at the end."""
+    slim = df.select(F.col(order).alias("__order"), *[c.alias(f"__s{i}{j}") for i, keys in enumerate(key_sets) for j, c in enumerate(_digests(df, keys))])
+    for i, keys in enumerate(key_sets):
+        last = slim.groupBy(*[f"__s{i}{j}" for j in range(len(keys))]).agg(F.max("__order").alias("__order")).select("__order")
+        slim = _among(slim, last, "__order") if i + 1 < len(key_sets) else last
+    return _among(df.withColumn("__order", F.col(order)), slim, "__order").drop("__order")
+
+
+def _among(df: DataFrame, orders: DataFrame, order: str) -> DataFrame:
+    """The rows whose order is listed; a hash join, which sorts no rows."""
+    return df.join(orders.hint("shuffle_hash"), order, "left_semi")
 
 
 def drop_null(df: DataFrame, subset: list[str]) -> DataFrame:

@@ -1,9 +1,11 @@
 """Index build: terms -> postings -> term statistics -> tf-idf -> norms.
 
 Everything is a DataFrame keyed by columns (no positional ids, no dense
-matrix).  Shuffles: postings hash on (term, doc_id) (balanced even for
-frequent terms), statistics aggregate by term with map-side partial
-aggregation, norms aggregate by doc_id.
+matrix), and nothing runs before an action.  Shuffles: the documents are
+hashed by block of ids before their texts are exploded, so the postings are
+counted where their document is; statistics aggregate by term with map-side
+partial aggregation; the weights are hashed by block once more, after they
+met the statistics, and lengths and blocked postings are made there.
 """
 
 from __future__ import annotations
@@ -11,30 +13,32 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.plans.ordering import dense_index
+from quarry.operators.blocks import BLOCK_BITS, block_of, block_postings
 from quarry.plans import sizing
-from quarry.plans.sizing import spread_small_input
+from quarry.plans.ordering import dense_index
 
 
 def normalized_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     stopwords: list[str] | None = None, stem: bool | str = True) -> DataFrame:
+                     stopwords: list[str] | None = None, stem: bool | str = True,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, pos, term) — tokenise, drop stop words (case-sensitive,
     before lower-casing), lower-case, stem.  ``pos`` is the 0-based token
     position in the text before stop words are dropped.  ``stem``: True (the
-    1980 Porter rules), "nltk" (NLTK's variant) or False."""
-    toks = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    1980 Porter rules), "nltk" (NLTK's variant) or False.  Columns of ``keep``
+    stay beside them."""
+    toks = docs.select(*keep, F.col(id_col).cast("long").alias("doc_id"),
                        F.posexplode(T.tokens(F.col(text_col))).alias("pos", "tok"))
     toks = toks.where(~T.is_stopword(F.col("tok"), stopwords))
-    toks = toks.select("doc_id", "pos", F.lower("tok").alias("surface"))
+    toks = toks.select(*keep, "doc_id", "pos", F.lower("tok").alias("surface"))
     if stem:
         toks = T.stem_column(toks, "surface", "term", stem_mode(stem))
     else:
         toks = toks.withColumnRenamed("surface", "term")
-    return toks.select("doc_id", "pos", "term")
+    return toks.select(*keep, "doc_id", "pos", "term")
 
 
 def stem_mode(stem: bool | str) -> str:
@@ -43,17 +47,19 @@ def stem_mode(stem: bool | str) -> str:
 
 def vocabulary(terms: DataFrame) -> DataFrame:
     """A1: distinct terms with ``term_id`` in first-seen order
-    (by the first (doc_id, pos) at which the term occurs)."""
-    first = terms.groupBy("term").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
-    first = first.select("term", F.col("first.doc_id").alias("first_doc_id"),
-                         F.col("first.pos").alias("first_pos"))
+    (by the first (doc_id, pos) at which the term occurs).  The pair is one decimal
+    number, doc_id * 2^31 + pos, so a hash aggregate can hold it."""
+    at = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
+    first = terms.groupBy("term").agg(F.min(at.cast("decimal(38,0)")).alias("at"))
+    pos = F.expr("cast(pmod(at, 2147483648BD) as long)")
+    first = first.select("term", F.expr("(at - pmod(at, 2147483648BD)) div 2147483648BD").alias("first_doc_id"), pos.cast("int").alias("first_pos"))
     return dense_index(first, ["first_doc_id", "first_pos"], "term_id").select(
         "term", "term_id", "first_doc_id", "first_pos")
 
 
-def postings(terms: DataFrame) -> DataFrame:
-    """A2: (term, doc_id, tf)."""
-    return terms.groupBy("term", "doc_id").agg(F.count(F.lit(1)).cast("long").alias("tf"))
+def postings(terms: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A2: (term, doc_id, tf), and columns of ``keep`` that depend on doc_id."""
+    return terms.groupBy("term", "doc_id", *keep).agg(F.count(F.lit(1)).cast("long").alias("tf"))
 
 
 def collection_size(docs: DataFrame) -> Column:
@@ -72,18 +78,14 @@ def join_stats(post: DataFrame, stats: DataFrame, cols: list[str],
                max_broadcast_rows: int | None = None) -> DataFrame:
     """postings ⋈ term statistics on ``term``, safe for hot terms.
 
-    The statistics are measured: within the broadcast bound they are all
-    broadcast (no shuffle of the postings).  Beyond it, the hot terms are
-    broadcast and joined map-side, and only the remaining postings are
-    shuffled into a sort-merge join.  A term is hot from h = #postings / bound
-    documents on: at most ``bound`` terms can be, so their list always fits,
-    and no other term has more than h rows.
+    Terms in h = #postings / bound documents or more (a scalar subquery, so no
+    job runs while the plan is made) are broadcast and joined map-side: there
+    are at most ``bound`` of them, whatever the data; with fewer postings than
+    the bound, h is 1 and no posting is shuffled.  The remaining postings, no
+    term of which has h rows, go into a shuffled join.
     """
     bound = sizing.broadcast_rows(post.sparkSession) if max_broadcast_rows is None else max_broadcast_rows
-    measured = sizing.measure(stats.select("term", *cols), bound)
-    if measured.broadcast:
-        return post.join(F.broadcast(measured.df), "term")
-    h = max(1, -(-(stats.agg(F.sum("df")).first()[0] or 0) // bound))
+    h = stats.select(F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum("df"), F.lit(0)) / bound))).scalar()
     hot = stats.where(F.col("df") >= h).select("term", *cols)
     hot_part = post.join(F.broadcast(hot), "term")
     cold_post = post.join(F.broadcast(hot.select("term")), "term", "left_anti")
@@ -91,10 +93,11 @@ def join_stats(post: DataFrame, stats: DataFrame, cols: list[str],
     return hot_part.unionByName(cold_part)
 
 
-def tfidf_weights(post: DataFrame, stats: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
-    """(term, doc_id, tf, w) with w = tf * idf (zeros kept)."""
+def tfidf_weights(post: DataFrame, stats: DataFrame, max_broadcast_rows: int | None = None,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """(term, doc_id, tf, w) with w = tf * idf (zeros kept), and columns of ``keep``."""
     joined = join_stats(post, stats, ["idf"], max_broadcast_rows)
-    return joined.select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    return joined.select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("w"), *keep)
 
 
 def sparse_weights(weights: DataFrame) -> DataFrame:
@@ -110,11 +113,14 @@ def doc_norms(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id") -> Da
         "doc_id", F.coalesce("norm", F.lit(0.0)).alias("norm"))
 
 
-def unit_weights(weights: DataFrame, norms: DataFrame) -> DataFrame:
-    """(term, doc_id, tf, w, nw) with nw = w / norm (NULL when norm = 0), so a
-    query scores by one join and one sum, with no join to the norms later."""
-    return weights.join(norms, "doc_id").select(
-        "term", "doc_id", "tf", "w", F.try_divide(F.col("w"), F.col("norm")).alias("nw"))
+def unit_weights(weights: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+    """(term, doc_id, tf, idf, w, nw, blk) with nw = w / |document| (NULL for a zero length), so a
+    query scores by one join and one sum.  The weights are hashed by block of documents; the
+    length is a sum within the document, so no table of lengths is joined."""
+    if "blk" not in weights.columns:
+        weights = weights.withColumn("blk", block_of("doc_id", bits))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("blk", "doc_id")))
+    return weights.repartition("blk").select("term", "doc_id", "tf", "idf", "w", F.try_divide(F.col("w"), norm).alias("nw"), "blk")
 
 
 def inverted_index(post: DataFrame, stats: DataFrame) -> DataFrame:
@@ -130,41 +136,45 @@ class Index:
     docs: DataFrame        # doc_id + attributes
     postings: DataFrame    # term, doc_id, tf
     term_stats: DataFrame  # term, df, cf, idf
-    weights: DataFrame     # term, doc_id, tf, w, nw
+    weights: DataFrame     # term, doc_id, tf, w, nw, blk
     doc_norms: DataFrame   # doc_id, norm
-    # stored indexes: weights and term_stats carry a term bucket column "tb"
-    n_buckets: int | None = None
+    blocks: DataFrame      # the weights as blocked postings (operators.blocks)
+    bits: int = BLOCK_BITS
+    stored: bool = False   # the blocks are a table, bucketed by block and sorted by term
     text_col: str = "text"     # not stored with the index (the corpus stays where it is)
+    kept: tuple[DataFrame, ...] = ()
 
     def release(self) -> None:
-        """Drop the kept postings from the cache (measured statistics stay until the session's
-        cache is cleared)."""
-        self.postings.unpersist()
+        """Drop what the build keeps in the cache."""
+        for df in self.kept:
+            df.unpersist()
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stopwords: list[str] | None = None, stem: bool | str = True,
                 max_broadcast_rows: int | None = None,
-                cut_lineage: bool = False) -> Index:
-    """The whole offline build. The postings are kept and their statistics measured while the
-    plan is built (a job that tokenises the texts); everything after that is lazy.
+                cut_lineage: bool = False, bits: int = BLOCK_BITS) -> Index:
+    """The whole offline build, as a plan: no job runs before an action.
 
     ``cut_lineage=True`` checkpoints the postings into the session's
-    checkpoint folder (``spark.checkpoint.dir``, shared by the cluster), so
-    a lost executor later costs a re-read of the postings rather than a
+    checkpoint folder (``spark.checkpoint.dir``, shared by the cluster; a job),
+    so a lost executor later costs a re-read of the postings rather than a
     re-run of the tokeniser over its share of the corpus."""
     docs = docs.withColumn("doc_id", F.col(id_col).cast("long")) if id_col != "doc_id" else docs
-    terms = normalized_terms(spread_small_input(docs), "doc_id", text_col, stopwords, stem)
+    placed = docs.select(block_of(F.col("doc_id").cast("long"), bits).alias("blk"), "doc_id", text_col).repartition("blk")
+    terms = normalized_terms(placed, "doc_id", text_col, stopwords, stem, keep=("blk",))
+    post = postings(terms, keep=("blk",))
     # statistics, weights and norms all read the postings: keep them (memory,
     # spilling to disk; lost blocks are recomputed) so the text is tokenised
     # and stemmed once, not once per consumer
     if cut_lineage:
         from quarry.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(docs.sparkSession)
-        post = postings(terms).checkpoint(eager=True)
+        post = post.checkpoint(eager=True)
     else:
-        post = postings(terms).persist(StorageLevel.MEMORY_AND_DISK)
+        post = post.persist(StorageLevel.MEMORY_AND_DISK)
     stats = term_stats(post, collection_size(docs))
-    weights = tfidf_weights(post, stats, max_broadcast_rows)
-    norms = doc_norms(docs, weights)
-    return Index(docs, post, stats, unit_weights(weights, norms), norms, text_col=text_col)
+    weights = tfidf_weights(post, stats, max_broadcast_rows, keep=("idf", "blk"))
+    unit = unit_weights(weights, bits)
+    return Index(docs, post.select("term", "doc_id", "tf"), stats, unit, doc_norms(docs, weights),
+                 block_postings(unit, bits), bits, text_col=text_col, kept=() if cut_lineage else (post,))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import html as H
+from quarry.plans import sizing
 
 
 @dataclass(frozen=True)
@@ -60,8 +61,12 @@ def tag_catalogue(pages: DataFrame, sel: Selectors = Selectors()) -> DataFrame:
 
 def enrich_hits(hits: DataFrame, fields: DataFrame, on_hits: str, on_fields: str) -> DataFrame:
     """Left join hits to page fields; a hit without a page keeps its row
-    with the missing-value defaults."""
-    f = fields.withColumnRenamed(on_fields, "__fkey")
+    with the missing-value defaults.  The hits are counted: within the broadcast bound
+    only the pages that a hit asks for reach the field extraction, and no page is shuffled."""
+    found = sizing.measure(hits)
+    hits, f = found.df, fields.withColumnRenamed(on_fields, "__fkey")
+    if found.broadcast:
+        f = f.join(F.broadcast(hits.select(F.col(on_hits).alias("__fkey")).distinct()), "__fkey", "left_semi")
     out = hits.join(f, hits[on_hits] == f["__fkey"], "left").drop("__fkey")
     return out.select(
         *hits.columns,

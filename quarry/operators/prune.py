@@ -1,102 +1,102 @@
-"""Exact top-k with upper-bound pruning of frequent query words.
-
-Every document holding any query word is a candidate, so a query word found
-in most documents makes most documents candidates.  This search gives the
-same rows as ``search.search`` while aggregating far fewer pairs:
-
-1. Per query word, an upper bound of its share of any score:
-   ``ub = qw * max(nw over the word's postings) / |q|``.
-2. Words with ``df > common_df`` are "common", the others "rare".  The
-   documents holding a rare word of a query get exact scores: their rare
-   parts come from the postings of the rare words, their common parts from
-   a lookup of (document, common word) pairs in the weights.
-3. A document holding only common words scores at most
-   ``U = min(sum(ub), |qw over common words| / |q|)`` (the second by
-   Cauchy-Schwarz: document vectors have unit length).  When the k-th best exact score found in step 2
-   exceeds ``U`` by more than the rounding margin, no other document can enter
-   that query's top k, and the query is settled.
-4. Queries not settled (no rare word, fewer than k such documents, a zero
-   query length, or a bound too high) are scored in full.
+"""Exact top-k by maximum scores of words and of blocks: the same rows as ``search.search``.
+
+A query word held by most documents makes most documents candidates.  Here documents are scored in
+full only where they can still be among the k best:
+
+1. Words in at most ``rare_ratio`` of the documents are rare.  Their entries are summed per
+   (query, document): a part of the score, so the k-th best part, theta, is at most the k-th best score.
+2. Of the other words only one number per block of documents is read, the largest weight.  Their sum
+   bounds what they add to any score in the block; so does the length of their part of the query
+   (document vectors have length one), and the smaller bound counts.
+3. A document stays if its part plus the bound of its block reaches theta; a block as a whole if the
+   bound alone does.  What stays of a block is one bit per document.
+4. The entries of all words are summed for those documents, and ranked.
+
+Steps 1 and 2 are one scan of the blocked postings, whose aggregates need no exchange (blocks are
+where their documents are), and whose sums are kept until step 3 is done; theta is one row per query.  The table of (query, block, bits) is measured:
+within the bound it is broadcast, beyond it the join is shuffled.  No query is scored in full instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import search as S
+from quarry.operators.blocks import doc_id_at
 from quarry.operators.index import Index
 from quarry.plans import sizing
 
-# scores are ranked after rounding to 6 digits: keep a full unit of the 6th
-# digit between the bound and the k-th score
+# scores are ranked after rounding to 6 digits: a full unit of the 6th digit
+# lies between a bound that drops a document and theta
 MARGIN = 1e-6
-
-
-def term_maxima(index: Index) -> DataFrame:
-    """(term[, tb], maxnw): the largest normalised weight per term."""
-    keys = S._keys(index.n_buckets)
-    if "maxnw" in index.term_stats.columns:
-        return index.term_stats.select(*keys, "maxnw")
-    return index.weights.groupBy(*keys).agg(F.max("nw").alias("maxnw"))
-
-
-def search_pruned(index: Index, queries: DataFrame, k: int = 10, common_ratio: float = 0.5,
-                  **kw) -> DataFrame:
+ALL = -1  # every bit
+
+
+def _parts_and_bounds(c: S.QuerySide, rare_ratio: float) -> DataFrame:
+    """(query_id, blk, off, part): per rare word's entry its part; per other word and block, with a
+    null off, what it adds at most."""
+    index = c.index
+    n_docs = index.docs.select(F.count(F.lit(1))).scalar()
+    words = sizing.hinted(c.qweights.drop("qtf").join(c.of_words(index.term_stats).select("term", "df"), "term")
+                          .withColumn("rare", F.col("df") <= n_docs * rare_ratio).drop("df"), c.sized)
+    rows = c.of_words(index.blocks).select("term", "blk", "offs", "nws", "maxnw").join(words, "term")
+    most = F.array(F.struct(F.lit(None).cast("int").alias("offs"), F.col("maxnw").alias("nws")))
+    entries = F.when(F.col("rare"), F.arrays_zip("offs", "nws")).otherwise(most)
+    return (rows.select("query_id", "blk", "qw", F.explode(entries).alias("e"))
+            .select("query_id", "blk", F.col("e.offs").alias("off"), (F.col("qw") * F.col("e.nws")).alias("part")))
+
+
+def sums(c: S.QuerySide, rare_ratio: float = 0.2) -> DataFrame:
+    """(query_id, blk, off, part): the part of a document's score, or with a null off the bound of the block."""
+    rows = _parts_and_bounds(c, rare_ratio).groupBy("query_id", "blk", "off").agg(F.sum("part").alias("part"))
+    return rows.join(c.qnorms, "query_id").select("query_id", "blk", "off", F.try_divide(F.col("part"), F.col("qnorm")).alias("part"))
+
+
+def survivors(c: S.QuerySide, sums: DataFrame, k: int, rare_ratio: float = 0.2) -> DataFrame:
+    """(query_id, blk, bits): the documents of a block that can be among the k best of a query."""
+    best = Window.partitionBy("query_id").orderBy(F.col("part").desc_nulls_last())
+    theta = (sums.where(F.col("off").isNotNull()).select("query_id", "part", F.row_number().over(best).alias("rank"))
+             .where(F.col("rank") <= k).where(F.col("rank") == k).select("query_id", F.col("part").alias("theta")))
+    # the length of the query's part that is not rare, over that of the query
+    n_docs = c.index.docs.select(F.count(F.lit(1))).scalar()
+    other = (c.qweights.join(c.of_words(c.index.term_stats).select("term", "df"), "term").where(F.col("df") > n_docs * rare_ratio)
+             .groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("length")))
+    limits = sizing.hinted(c.qnorms.join(theta, "query_id", "left").join(other, "query_id", "left").select(
+        "query_id", "theta", F.coalesce(F.try_divide(F.col("length"), F.col("qnorm")), F.lit(0.0)).alias("cut")), c.sized)
+    blocks = (sums.groupBy("query_id", "blk").agg(
+        F.collect_list(F.when(F.col("off").isNotNull(), F.struct("off", "part"))).alias("docs"),
+        F.max(F.when(F.col("off").isNull(), F.col("part"))).alias("bound")).join(limits, "query_id"))
+    least = F.col("theta") - MARGIN
+    bound = F.least(F.coalesce("bound", F.lit(0.0)), F.col("cut"))
+    bits = F.aggregate("docs", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
+        F.when(x["part"] + bound >= least, _bit(x["off"])).otherwise(F.lit(0).cast("long"))))
+    return blocks.select("query_id", "blk", F.when(F.col("theta").isNull() | (bound >= least), F.lit(ALL).cast("long")).otherwise(bits).alias("bits")).where("bits != 0")
+
+
+def _bit(off):
+    return F.call_function("shiftleft", F.lit(1).cast("long"), off)
+
+
+def scored_parts(c: S.QuerySide, kept: DataFrame) -> DataFrame:
+    """(query_id, blk, doc_id, part) of the entries of the documents that stay."""
+    index = c.index
+    rows = (c.of_words(index.blocks).select("term", "blk", "offs", "nws").join(c.qweights.drop("qtf"), "term")
+            .join(kept, ["query_id", "blk"]))
+    rows = rows.select("query_id", "blk", "qw", "bits", F.explode(F.arrays_zip("offs", "nws")).alias("e")).where(
+        F.call_function("shiftrightunsigned", F.col("bits"), F.col("e.offs")).bitwiseAND(F.lit(1)) == 1)
+    return rows.select("query_id", "blk", doc_id_at(F.col("e.offs"), index.bits).alias("doc_id"), (F.col("qw") * F.col("e.nws")).alias("part"))
+
+
+def search_pruned(index: Index, queries: DataFrame, k: int = 10, rare_ratio: float = 0.2, **kw) -> DataFrame:
     """Same result as ``search.search`` (query_id, rank, doc_id, score)."""
-    qs = S.QuerySide(index, queries, **kw)
-    n_docs = index.doc_norms.select(F.count(F.lit(1))).scalar()
-    common_df = F.greatest(F.lit(1), F.floor(n_docs * F.lit(common_ratio)))
-    return _pruned(index, qs, k, common_df)
-
-
-def _full(index: Index, qweights: DataFrame, qnorms: DataFrame, k: int, n_buckets) -> DataFrame:
-    return S.rank_top_k(S._scores(S._dot_parts(qweights, index.weights, n_buckets), qnorms), k)
-
-
-def _pruned(index: Index, c: S.QuerySide, k: int, common_df) -> DataFrame:
-    keys = S._keys(c.n_buckets)
-    if not c.broadcast:
-        return S.rank_top_k(S._scores(c.parts(), c.qnorms), k)
-    info = (c.qweights.join(index.term_stats.select(*keys, "df"), keys)
-            .join(term_maxima(index), keys)
-            .join(c.qnorms, "query_id")
-            .select("query_id", *keys, "qw", "df",
-                    F.try_divide(F.col("qw") * F.col("maxnw"), F.col("qnorm")).alias("ub")))
-    # a subset of the measured query side: the same bound holds
-    info = sizing.hinted(info, c.sized)
-    rare = info.where(F.col("df") <= common_df).select("query_id", *keys, "qw")
-    common = info.where(F.col("df") > common_df)
-    # two valid bounds, the smaller wins: the sum of per-word maxima, and
-    # |qw over common words| / |q| (a document vector has unit length, so by
-    # Cauchy-Schwarz its dot product with the common part is at most that)
-    bound = common.join(c.qnorms, "query_id").groupBy("query_id").agg(
-        F.least(F.sum("ub"),
-                F.try_divide(F.sqrt(F.sum(F.col("qw") * F.col("qw"))), F.first("qnorm"))
-                ).alias("ub_common"))
-
-    weights = index.weights.select(*keys, "doc_id", "nw")
-    rare_parts = weights.join(sizing.hinted(rare, c.sized), keys).select(
-        "query_id", "doc_id", (F.col("qw") * F.col("nw")).alias("part"))
-    cand = rare_parts.select("query_id", "doc_id").distinct()
-    # (query, document, common word) lookups for the rare-word documents only
-    triples = cand.join(sizing.hinted(common.select("query_id", *keys, "qw"), c.sized), "query_id")
-    # the lookup table is the largest broadcast here: a small share of the bound
-    looked = sizing.measure(triples, c.max_rows // 8)
-    if not looked.broadcast:
-        return _full(index, c.qweights, c.qnorms, k, c.n_buckets)
-    common_parts = weights.join(F.broadcast(looked.df), [*keys, "doc_id"]).select(
-        "query_id", "doc_id", (F.col("qw") * F.col("nw")).alias("part"))
-    top_rare = S.rank_top_k(S._scores(rare_parts.unionByName(common_parts), c.qnorms), k)
-
-    kth = top_rare.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-    settled = (kth.join(bound, "query_id", "left")
-                  .where(F.col("kth").isNotNull()
-                         & (F.col("kth") > F.coalesce("ub_common", F.lit(0.0)) + MARGIN))
-                  .select("query_id"))
-    # at most one row per query of the measured side: the same bound holds
-    settled = sizing.hinted(settled, c.sized)
-    done = top_rare.join(settled, "query_id", "left_semi")
-    rest_w = c.qweights.join(settled, "query_id", "left_anti")
-    rest = _full(index, sizing.hinted(rest_w, c.sized), c.qnorms, k, c.n_buckets)
-    return done.unionByName(rest)
+    if index.bits > 6:
+        raise ValueError("a block's documents must fit the bits of a long")
+    c = S.QuerySide(index, queries, **kw)
+    if not index.stored:
+        index.blocks.persist(StorageLevel.MEMORY_AND_DISK)  # read twice
+    found = sums(c, rare_ratio).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = sizing.measure(survivors(c, found, k, rare_ratio), c.max_rows)
+    found.unpersist()
+    return S.rank_top_k(S._scores(scored_parts(c, sizing.hinted(kept.df, kept)), c.qnorms), k)

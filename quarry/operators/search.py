@@ -3,7 +3,8 @@
 Plan shape of ``search``: the query side (a few rows per query) is counted
 and broadcast (or, past a bound, shuffled with frequent terms spread); the weights are scanned
 once and joined on ``term`` map-side.  The weights arrive partitioned by
-``doc_id`` (a doc-bucketed stored index, or the doc_id join of the build),
+block of documents (a bucketed stored index, whose blocked postings are joined
+before they are exploded, or the exchange of the build),
 so the (query_id, doc_id) dot products are summed inside each task with no
 exchange; ``row_number() <= k`` becomes a partial WindowGroupLimit, so at
 most k rows per query and task reach the one shuffle, on ``query_id``.
@@ -15,10 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.operators.blocks import block_of, doc_id_at
 from quarry.operators.index import Index
 from quarry.plans import sizing
 
 SCORE_DIGITS = 6
+# up to this many distinct words (the scan's limit for exact membership filters) go into a filter
+_FEW_WORDS = 10
+_FEW_ROWS = 1000
 # words the two filter check-boxes append to a query (they rank, not filter)
 FACET_WORDS = {"single_player": "Singleplayer", "online": "Online"}
 
@@ -41,13 +46,24 @@ def query_tokens(queries: DataFrame, id_col: str = "query_id", text_col: str = "
     return toks.where(~T.is_stopword(F.col("tok"), stopwords))
 
 
-def expand_synonyms(toks: DataFrame, synonyms: DataFrame) -> DataFrame:
+def _of_word(toks: DataFrame, table: DataFrame, word: str, max_rows: int | None = None, salts: int = 16) -> DataFrame:
+    """toks ⋈ table on a word. The table is measured: within the bound it is broadcast; beyond it a
+    frequent word is dealt over ``salts`` keys, for each of which the table's row is repeated."""
+    sized = sizing.measure(table, max_rows)
+    if sized.broadcast:
+        return toks.join(F.broadcast(sized.df), word)
+    salted = sized.df.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return toks.withColumn("__salt", F.pmod(F.xxhash64("query_id", "pos"), F.lit(salts)).cast("int")).join(salted, [word, "__salt"]).drop("__salt")
+
+
+def expand_synonyms(toks: DataFrame, synonyms: DataFrame, max_rows: int | None = None) -> DataFrame:
     """R2: per token, the 2nd lemma of its first sense, when there is one and
     it is not already one of the query's own tokens; appended as a bag (two
     tokens with the same synonym add it twice)."""
     pick = synonyms.where((F.col("sense_rank") == 0) & (F.col("lemma_rank") == 1)).select(
         F.col("word").alias("syn_word"), F.col("lemma").alias("syn"))
-    found = toks.join(pick, F.lower(toks.tok) == pick.syn_word).select(
+    asked = toks.select(F.lower("tok").alias("syn_word")).distinct()
+    found = _of_word(toks.withColumn("syn_word", F.lower("tok")), pick.join(asked, "syn_word", "left_semi"), "syn_word", max_rows).select(
         "query_id", "pos", F.col("syn").alias("tok"))
     own = toks.select("query_id", F.col("tok").alias("own"))
     fresh = found.join(own, (found.query_id == own.query_id) & (found.tok == own.own), "left_anti")
@@ -75,18 +91,10 @@ def query_term_counts(qterms: DataFrame) -> DataFrame:
     return qterms.groupBy("query_id", "term").agg(F.count(F.lit(1)).cast("long").alias("qtf"))
 
 
-def _keys(n_buckets: int | None) -> list[str]:
-    return ["term", "tb"] if n_buckets else ["term"]
-
-
-def query_weights(qtf: DataFrame, stats: DataFrame, n_buckets: int | None = None) -> DataFrame:
-    """(query_id, term, qtf, qw = qtf * idf); unknown terms drop out.
-
-    On a stored index the term bucket joins too, which lets dynamic
-    partition pruning skip the buckets of ``stats`` without query terms."""
-    keys = _keys(n_buckets)
-    return qtf.join(stats.select(*keys, "idf"), keys).select(
-        "query_id", *keys, "qtf", (F.col("qtf") * F.col("idf")).alias("qw"))
+def query_weights(qtf: DataFrame, stats: DataFrame) -> DataFrame:
+    """(query_id, term, qtf, qw = qtf * idf); unknown terms drop out."""
+    return qtf.join(stats.select("term", "idf"), "term").select(
+        "query_id", "term", "qtf", (F.col("qtf") * F.col("idf")).alias("qw"))
 
 
 def query_norms(qweights: DataFrame) -> DataFrame:
@@ -104,25 +112,32 @@ def candidate_docs(qterms: DataFrame, post: DataFrame) -> DataFrame:
     return qt.join(post.select("term", "doc_id"), "term").select("query_id", "doc_id").distinct()
 
 
-def _dot_parts(qweights: DataFrame, weights: DataFrame, n_buckets: int | None = None,
-               spread: DataFrame | None = None) -> DataFrame:
-    """(query_id, doc_id, part = qw * w / doc_norm) for every matching posting.
+def _dot_parts(qweights: DataFrame, weights: DataFrame, spread: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, blk, part = qw * w / doc_norm) for every matching posting.
 
     ``spread`` (term, salts): frequent terms of a shuffled join. Their postings are dealt over
     ``salts`` keys by document, and their query rows are repeated for each."""
-    keys = _keys(n_buckets)
-    w, q = weights.select(*keys, "doc_id", "nw"), qweights.drop("qtf")
+    keys = ["term"]
+    w, q = weights.select("term", "doc_id", "nw", "blk"), qweights.drop("qtf")
     if spread is not None:
         salts = F.coalesce("salts", F.lit(1))
         w = w.join(F.broadcast(spread), "term", "left").withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts)).drop("salts")
         q = q.join(F.broadcast(spread), "term", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
         keys = [*keys, "salt"]
-    return w.join(q, keys).select("query_id", "doc_id", (F.col("qw") * F.col("nw")).alias("part"))
+    return w.join(q, keys).select("query_id", "doc_id", "blk", (F.col("qw") * F.col("nw")).alias("part"))
+
+
+def _block_parts(qweights: DataFrame, blocks: DataFrame, bits: int) -> DataFrame:
+    """The same from blocked postings: a row per (query word, block) is joined, then its entries come out."""
+    rows = blocks.select("term", "blk", "offs", "nws").join(qweights.drop("qtf"), "term")
+    rows = rows.select("query_id", "blk", "qw", F.explode(F.arrays_zip("offs", "nws")).alias("e"))
+    return rows.select("query_id", doc_id_at(F.col("e.offs"), bits).alias("doc_id"), "blk", (F.col("qw") * F.col("e.nws")).alias("part"))
 
 
 def _scores(parts: DataFrame, qnorms: DataFrame) -> DataFrame:
-    """cosine = dot / (doc_norm * query_norm); a zero length gives NULL."""
-    dot = parts.groupBy("query_id", "doc_id").agg(F.sum("part").alias("dotn"))
+    """cosine = dot / (doc_norm * query_norm); a zero length gives NULL.
+    The block follows from the document; as a key it tells that no rows need to move."""
+    dot = parts.groupBy("query_id", "blk", "doc_id").agg(F.sum("part").alias("dotn"))
     return dot.join(qnorms, "query_id", "left").select(
         "query_id", "doc_id",
         F.round(F.try_divide(F.col("dotn"), F.col("qnorm")), SCORE_DIGITS).alias("score"))
@@ -152,13 +167,14 @@ class QuerySide:
         qterms = normalize_queries(queries, id_col, text_col, stopwords, synonyms, stem)
         counts = query_term_counts(qterms)
         self.index = index
-        self.n_buckets = index.n_buckets
         self.max_rows = (sizing.broadcast_rows(queries.sparkSession)
                          if max_broadcast_rows is None else max_broadcast_rows)
-        if self.n_buckets:
-            from quarry.sources.store import term_bucket
-            counts = counts.withColumn("tb", term_bucket(F.col("term"), self.n_buckets))
         self.sized = sizing.measure(counts, self.max_rows)
+        # a few words against a stored index: named in a filter, they skip the row groups of other words
+        self.words = None
+        if index.stored and self.sized.rows <= _FEW_ROWS:
+            words = self.sized.df.select("term").distinct().limit(_FEW_WORDS + 1).collect()
+            self.words = [r.term for r in words] if len(words) <= _FEW_WORDS else None
         self.query_ids = queries.select(F.col(id_col).cast("long").alias("query_id"))
         self._use(self.sized.df, self.sized.broadcast)
 
@@ -169,16 +185,22 @@ class QuerySide:
     def _use(self, counts: DataFrame, broadcast: bool) -> None:
         hint = F.broadcast if broadcast else (lambda d: d)
         self.broadcast = broadcast
-        # every kept row counts at least once; stated as a filter, it also
-        # marks the side as selective for dynamic partition pruning
-        self.qtf = hint(counts.where(F.col("qtf") > 0))
+        self.qtf = hint(counts)
         # an inner join on the unique term key cannot add rows
-        self.qweights = hint(query_weights(self.qtf, self.index.term_stats, self.n_buckets))
+        self.qweights = hint(query_weights(self.qtf, self.of_words(self.index.term_stats)))
         self.qnorms = hint(query_norms(self.qweights))
 
+    def of_words(self, df: DataFrame) -> DataFrame:
+        """The rows of the query words, where those are few."""
+        return df if self.words is None else df.where(F.col("term").isin(self.words))
+
     def parts(self) -> DataFrame:
-        """(query_id, doc_id, part) over all postings of the query terms."""
-        return _dot_parts(self.qweights, self.index.weights, self.n_buckets, None if self.broadcast else self._spread())
+        """(query_id, doc_id, blk, part) over all postings of the query terms."""
+        if not self.broadcast:
+            return _dot_parts(self.qweights, self.index.weights, self._spread())
+        if self.index.stored:
+            return _block_parts(self.qweights, self.of_words(self.index.blocks), self.index.bits)
+        return _dot_parts(self.qweights, self.index.weights)
 
     def _spread(self) -> DataFrame:
         stats = self.index.term_stats
@@ -214,7 +236,7 @@ def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> Da
     fill_list = first_nonzero.unionByName(first_zero).select(
         F.collect_list(F.struct("doc_id", (F.col("norm") > 0).alias("has_norm")))).scalar()
     fill = qs.query_ids.select("query_id", F.explode(fill_list).alias("f")).select(
-        "query_id", F.col("f.doc_id").alias("doc_id"),
+        "query_id", F.col("f.doc_id").alias("doc_id"), block_of("f.doc_id", index.bits).alias("blk"),
         F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))
     qnorms = qs.query_ids.join(qs.qnorms, "query_id", "left").select(
         "query_id", F.coalesce("qnorm", F.lit(0.0)).alias("qnorm"))
@@ -245,15 +267,22 @@ def search_status(queries: DataFrame, hits: DataFrame, id_col: str = "query_id")
         "status", F.when(F.col("n_hits") > 0, F.lit("found")).otherwise(F.lit("no_result")))
 
 
+def _documents_of(hits: DataFrame, docs: DataFrame) -> DataFrame:
+    """hits ⋈ docs on doc_id.  The hits are counted: within the broadcast bound they go to the
+    documents, which are only scanned; beyond it both are shuffled."""
+    found = sizing.measure(hits)
+    return docs.join(sizing.hinted(found.df, found), "doc_id")
+
+
 def label_hits(hits: DataFrame, docs: DataFrame, title_col: str = "title") -> DataFrame:
     """``"id : title"`` per hit (J4 join on doc_id)."""
     d = docs.select("doc_id", F.col(title_col).alias("title"))
-    return hits.join(d, "doc_id").select(
+    return _documents_of(hits, d).select(
         "query_id", "rank", "doc_id", "score",
         F.concat_ws(" : ", F.col("doc_id").cast("string"), F.col("title")).alias("label"))
 
 
 def attach_attrs(hits: DataFrame, docs: DataFrame, cols: list[str]) -> DataFrame:
     """Document attributes for each hit."""
-    return hits.join(docs.select("doc_id", *cols), "doc_id").select(
+    return _documents_of(hits, docs.select("doc_id", *cols)).select(
         "query_id", "rank", "doc_id", "score", *cols)

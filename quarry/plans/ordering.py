@@ -1,14 +1,10 @@
 """Consecutive 0-based ids in a global order without a single-task window.
 
-Rows are cut into buckets by approximate quantiles of the leading order
-column (a short list of cut points), so a bucket is a pure function of the
-row and buckets follow the global order (and a recomputed partition gets
-the same ids).  Rows are numbered inside their bucket, and each bucket adds
-the number of rows of all earlier buckets (a table with one row per bucket).
-
-A bucket is one window group, so no single value of the leading column may
-hold a large share of the rows; both uses satisfy this (catalogue order is
-unique, and a document can introduce at most its own length of new terms).
+The rows are range-partitioned and sorted by the order columns; a row's place in its partition plus
+the number of rows of all earlier partitions (a table of one row per partition) is its id.  The
+numbered rows are kept (memory, spilling to disk): a lost partition is read again from the same ranges.
+Equal rows may be dealt anyhow; no value of the leading column need be rare, since ranges go by all
+order columns.
 """
 
 from __future__ import annotations
@@ -17,31 +13,21 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# monotonically_increasing_id: the partition above, the place in it below
+_PLACE_BITS = 33
+
 
 def dense_index(df: DataFrame, order_cols: list[str], out_col: str,
-                num_buckets: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # read three times (cut points, numbering, counts): keep it once
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    lead = order_cols[0]
-    probs = [i / n for i in range(1, n)]
-    # n - 1 cut points: a bounded list, fetched to the driver and inlined
-    bounds = df.select(F.percentile_approx(F.col(lead), probs, 10000)).first()[0] if probs else None
-    if not bounds:
-        bucket = F.lit(0)
-    else:
-        cuts = F.array(*[F.lit(b) for b in sorted(set(bounds))])
-        bucket = F.size(F.filter(cuts, lambda b: b < F.col(lead)))
-    keyed = df.withColumn("__b", bucket)
-    local = keyed.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__b").orderBy(*order_cols)) - 1)
-    counts = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per bucket: this running sum needs no distribution
-    offsets = counts.select(
-        "__b",
-        F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("__off"))
-    return (local.join(F.broadcast(offsets), "__b")
-                 .withColumn(out_col, (F.coalesce("__off", F.lit(0)) + F.col("__local")).cast("long"))
-                 .drop("__b", "__local", "__off"))
+                num_partitions: int | None = None) -> DataFrame:
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    placed = (ranged.sortWithinPartitions(*order_cols).withColumn("__at", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    part = F.shiftright("__at", _PLACE_BITS).alias("__part")
+    counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
+    # one row per partition: this running sum needs no distribution
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__off"))
+    local = F.col("__at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return (placed.withColumn("__part", F.shiftright("__at", _PLACE_BITS)).join(F.broadcast(offsets), "__part")
+                  .withColumn(out_col, (F.col("__off") + local).cast("long"))
+                  .drop("__part", "__at", "__off"))

@@ -1,7 +1,7 @@
 """Size checks that gate broadcasts.
 
-A side is broadcast only after its row count is measured and found within a
-bound; beyond the bound it is returned as is and the planner shuffles (with
+A side is broadcast only after its rows and bytes are measured and found within
+bounds; beyond the bound it is returned as is and the planner shuffles (with
 AQE skew-join splitting hot keys).
 """
 
@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 # rows of a (id, term, count) side: about 60 bytes each, so ~120 MB at the
 # largest bound; the bound used is also limited by the driver's memory
 DEFAULT_BROADCAST_ROWS = 2_000_000
-MIN_BROADCAST_ROWS = 100_000
 # driver heap per broadcast row allowed (the hashed relation is built there)
 DRIVER_BYTES_PER_ROW = 4096
+# bytes of a measured side that is broadcast, at most, and its share of the driver's memory
+DEFAULT_BROADCAST_BYTES = 256 << 20
+DRIVER_SHARE = 16
 
 
 def _bytes(size: str) -> int:
@@ -27,27 +29,44 @@ def _bytes(size: str) -> int:
     return int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else int(s)
 
 
+def _driver_memory(spark) -> int:
+    return _bytes(spark.conf.get("spark.driver.memory", "1g"))
+
+
 def broadcast_rows(spark, cap: int = DEFAULT_BROADCAST_ROWS) -> int:
-    """Row bound for a measured broadcast: ``cap``, or less on a small driver."""
-    mem = _bytes(spark.conf.get("spark.driver.memory", "1g"))
-    return max(MIN_BROADCAST_ROWS, min(cap, mem // DRIVER_BYTES_PER_ROW))
+    """Row bound for a broadcast of short rows: ``cap``, or less on a small driver."""
+    return max(1, min(cap, _driver_memory(spark) // DRIVER_BYTES_PER_ROW))
+
+
+def broadcast_bytes(spark, cap: int = DEFAULT_BROADCAST_BYTES) -> int:
+    """Byte bound for a measured broadcast: ``cap``, or less on a small driver."""
+    return max(1, min(cap, _driver_memory(spark) // DRIVER_SHARE))
 
 
 @dataclass
 class Sized:
     df: DataFrame
     rows: int
+    bytes: int
     broadcast: bool
 
 
-def measure(df: DataFrame, max_rows: int | None = None) -> Sized:
-    """Persist ``df`` (so the count and later joins read the same rows once)
-    and count it.  Persisted blocks are recomputed from lineage if lost.
-    ``max_rows`` defaults to :func:`broadcast_rows` of the session."""
-    bound = broadcast_rows(df.sparkSession) if max_rows is None else max_rows
+def _row_bytes(df: DataFrame):
+    """Bytes of a row: eight for each column, and the length of texts."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    return sum(texts, F.lit(16 + 8 * len(df.columns)).cast("long"))
+
+
+def measure(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> Sized:
+    """Persist ``df`` (so the measure and later joins read the same rows once)
+    and sum its rows and bytes.  Persisted blocks are recomputed from lineage if lost.
+    The side may be broadcast within both bounds, which default to those of the session."""
+    spark = df.sparkSession
+    rows_bound = broadcast_rows(spark) if max_rows is None else max_rows
+    bytes_bound = broadcast_bytes(spark) if max_bytes is None else max_bytes
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
-    return Sized(kept, n, n <= bound)
+    n, size = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return Sized(kept, n, size, n <= rows_bound and size <= bytes_bound)
 
 
 def hinted(df: DataFrame, sized: Sized) -> DataFrame:
@@ -63,10 +82,8 @@ SMALL_INPUT_BYTES = 1 << 30
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (file sizes for a scan)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: leave the input as is
-        return None
+    plan = getattr(df, "_jdf", None)  # not there on a remote session
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def spread_small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import record_text
+from quarry.plans.ordering import dense_index
 
 RECORD_SEP = "\n.I "
 
@@ -24,6 +25,8 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(
         F.regexp_extract(rec, r"^\s*([0-9]+)", 1).cast("long").alias("rid"),
         F.regexp_replace(rec, r"^\s*[0-9]+[^\n]*\n?", "").alias("body"),
+        # place of the record: its file, the split of the file, and its turn within the task
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("turn"),
     ).where(F.col("rid").isNotNull())
 
 
@@ -62,14 +65,16 @@ def read_tagged_queries(spark: SparkSession, path: str, odd_only: bool = False)
     ``odd_only=True`` reproduces the reference's reader: every second record
     (1st, 3rd, ...) and only when a later record follows it, renumbered
     1, 2, ...; the text is the whole record body, markers and note included.
+    Records are counted in file order (several files: in order of their paths), whatever their ids.
     """
     recs = _records(spark, path)
     if not odd_only:
         return query_fields(recs)
-    last = recs.select(F.max("rid")).scalar()
-    kept = recs.where((F.col("rid") % 2 == 1) & (F.col("rid") < last))
+    numbered = dense_index(recs, ["file", "split", "turn"], "ordinal")
+    last = recs.select(F.count(F.lit(1))).scalar() - 1
+    kept = numbered.where((F.col("ordinal") % 2 == 0) & (F.col("ordinal") < last))
     return kept.select(
-        ((F.col("rid") + 1) / 2).cast("long").alias("query_id"), F.col("body").alias("text"),
+        (F.col("ordinal") / 2 + 1).cast("long").alias("query_id"), F.col("body").alias("text"),
         section(F.col("body"), ".A").alias("authors"), section(F.col("body"), ".N").alias("note"))
 
 

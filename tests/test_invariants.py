@@ -75,5 +75,5 @@ def test_pruned_search_equals_full_search(spark, docs, queries, ratio, k):
     d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
     q = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(queries)], "query_id long, text string")
     idx = I.build_index(d)
-    assert sorted(search_pruned(idx, q, k=k, common_ratio=ratio).collect()) == sorted(
+    assert sorted(search_pruned(idx, q, k=k, rare_ratio=ratio).collect()) == sorted(
         S.search(idx, q, k=k).collect())

@@ -145,20 +145,85 @@ def test_index_round_trip(spark, tmpdir_path):
     assert sorted(r.term for r in loaded.term_stats.collect()) == ["appl", "banana", "cherri"]
 
 
-def test_stored_index_prunes_term_buckets(spark, tmpdir_path):
+def explained(df) -> str:
     import contextlib
     import io
-    docs = spark.createDataFrame([(i, f"word{i} common") for i in range(40)], "doc_id long, text string")
-    save_index(I.build_index(docs), os.path.join(tmpdir_path, "idx"), n_buckets=16)
-    idx = load_index(spark, os.path.join(tmpdir_path, "idx"))
-    q = spark.createDataFrame([(1, "word7")], "query_id long, text string")
-    hits = S.search(idx, q, k=3)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        hits.explain("formatted")
-    assert "dynamicpruningexpression(tb" in buf.getvalue()
-    got = hits.collect()
-    assert [h.doc_id for h in got] == [7]
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def hundred(spark):
+    return spark.createDataFrame([(i, f"word{i} common rest{i % 7}") for i in range(100)], "doc_id long, text string")
+
+
+def test_stored_index_is_read_by_word(spark, tmpdir_path):
+    """Few query words reach the scans as a filter; the file of a shard is sorted by word."""
+    save_index(I.build_index(hundred(spark)), os.path.join(tmpdir_path, "idx"))
+    idx = load_index(spark, os.path.join(tmpdir_path, "idx"))
+    hits = S.search(idx, spark.createDataFrame([(1, "word7")], "query_id long, text string"), k=3)
+    assert explained(hits).count("PushedFilters: [IsNotNull(term), EqualTo(term,word7)]") >= 2
+    assert [h.doc_id for h in hits.collect()] == [7]
+    many = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(30)))], "query_id long, text string")
+    assert "EqualTo(term" not in explained(S.search(idx, many))
+    assert S.search(idx, many, k=50).count() == 30
+
+
+def test_files_are_shards(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "idx")
+    meta = save_index(I.build_index(hundred(spark)), path, shards=3)
+    folder = os.path.join(path, meta["folder"], "blocks")
+    assert meta["shards"] == 3 and len([f for f in os.listdir(folder) if f.endswith(".parquet")]) <= 3
+    assert meta["tables"]["blocks"]["files"] <= 3 and meta["docs"] == 100 and meta["postings"] == 300 and meta["terms"] == 108
+
+
+def test_failed_write_leaves_the_old_version(spark, tmpdir_path, monkeypatch):
+    from quarry.sources import store
+    path = os.path.join(tmpdir_path, "idx")
+    save_index(I.build_index(hundred(spark)), path)
+    q = spark.createDataFrame([(1, "word7 rest3")], "query_id long, text string")
+    before = S.search(load_index(spark, path), q).collect()
+    other = spark.createDataFrame([(1, "word7")], "doc_id long, text string")
+    monkeypatch.setattr(store._Files, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        save_index(I.build_index(other), path)
+    monkeypatch.undo()
+    assert store.versions(spark, path) == [1]
+    assert S.search(load_index(spark, path), q).collect() == before
+
+
+def test_saving_onto_the_loaded_path(spark, tmpdir_path):
+    """An index loaded from a path may be written there again; old versions can be read and dropped."""
+    from quarry.sources import store
+    path = os.path.join(tmpdir_path, "idx")
+    save_index(I.build_index(hundred(spark)), path)
+    q = spark.createDataFrame([(1, "word7 rest3"), (2, "common")], "query_id long, text string")
+    loaded = load_index(spark, path)
+    before = sorted(S.search(loaded, q).collect())
+    save_index(loaded, path)
+    assert store.versions(spark, path) == [1, 2]
+    assert sorted(S.search(loaded, q).collect()) == before  # the open index still reads its own files
+    assert sorted(S.search(load_index(spark, path), q).collect()) == before
+    assert sorted(S.search(load_index(spark, path, version=1), q).collect()) == before
+    with pytest.raises(FileExistsError):
+        store._Files(spark, path).commit(f"{path}/manifest/2.json", "{}")
+    store.drop_versions(spark, path, keep=1)
+    assert store.versions(spark, path) == [2] and sum(f.startswith("v") for f in os.listdir(path)) == 1
+    assert sorted(S.search(load_index(spark, path), q).collect()) == before
+    with pytest.raises(FileNotFoundError):
+        load_index(spark, path, version=1)
+
+
+def test_loading_runs_no_listing_of_partitions(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "idx")
+    save_index(I.build_index(hundred(spark)), path)
+    idx = load_index(spark, path)
+    assert not [f for f in idx.blocks.inputFiles() if "=" in os.path.basename(os.path.dirname(f))]
+    post = {(r.term, r.doc_id, r.tf) for r in idx.postings.collect()}
+    assert post == {(r.term, r.doc_id, r.tf) for r in I.build_index(hundred(spark)).postings.collect()}
+    w = {(r.term, r.doc_id): (round(r.w, 9), round(r.nw, 9)) for r in idx.weights.collect()}
+    assert w == {(r.term, r.doc_id): (round(r.w, 9), round(r.nw, 9)) for r in I.build_index(hundred(spark)).weights.collect()}
 
 
 def test_tagged_queries_64_vs_32(spark, tmpdir_path):
@@ -176,6 +241,41 @@ def test_tagged_queries_64_vs_32(spark, tmpdir_path):
     assert "topic5" in odd[3] and "5. note" in odd[3]
 
 
+def test_tagged_queries_every_second_record(spark, tmpdir_path):
+    """The first, third, ... record, whatever the ids are; the last one is left out."""
+    text = "".join(f".I {i}\n.W\nquery {i}\n" for i in (2, 4, 7, 9, 20))
+    p = write(os.path.join(tmpdir_path, "q.txt"), text)
+    odd = {r.query_id: r.text for r in read_tagged_queries(spark, p, odd_only=True).collect()}
+    assert {k: v.split()[-1] for k, v in odd.items()} == {1: "2", 2: "7"}
+    four = write(os.path.join(tmpdir_path, "q4.txt"), "".join(f".I {i}\n.W\nquery {i}\n" for i in (2, 4, 7, 9)))
+    assert [(r.query_id, r.text.split()[-1]) for r in read_tagged_queries(spark, four, odd_only=True).orderBy("query_id").collect()] == [(1, "2"), (2, "7")]
+
+
+def test_tagged_queries_over_several_splits(spark, tmpdir_path):
+    text = "".join(f".I {i * 3}\n.W\nquery {i} {'word ' * (i % 13)}\n" for i in range(1, 400))
+    p = write(os.path.join(tmpdir_path, "q.txt"), text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        odd = {r.query_id: int(r.text.split()[2]) for r in read_tagged_queries(spark, p, odd_only=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert odd == {k: 2 * k - 1 for k in range(1, 200)}
+
+
+def test_stored_postings_answer_lookups(spark, tmpdir_path):
+    """inverted_index and term_lookup from the blocked postings; one word reaches the scan as a filter."""
+    from quarry.operators.lookup import term_lookup
+    idx = I.build_index(hundred(spark))
+    save_index(idx, os.path.join(tmpdir_path, "idx"))
+    loaded = load_index(spark, os.path.join(tmpdir_path, "idx"))
+    assert sorted(I.inverted_index(loaded.postings, loaded.term_stats).collect()) == sorted(I.inverted_index(idx.postings, idx.term_stats).collect())
+    found = term_lookup(loaded.postings, loaded.term_stats, "rest3")
+    assert explained(found).count("EqualTo(term,rest3)") >= 2
+    assert sorted(found.collect()) == sorted(term_lookup(idx.postings, idx.term_stats, "rest3").collect())
+    assert found.count() == len([i for i in range(100) if i % 7 == 3])
+
+
 def test_clean_flow_from_csv_files(spark, tmpdir_path):
     from quarry.operators.clean import clean_catalog
     from quarry.sources.catalog import read_descriptions
