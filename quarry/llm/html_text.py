@@ -5,8 +5,9 @@ of text) with their text, the number of tags in them, how much of the text is li
 they stand in (the innermost article or main element, else the innermost sectioning element or div).
 Text in elements that are never content (scripts, navigation, asides, ...) makes no line. A class, id
 or role that marks adverts, notices, menus, comments and the like only makes its element suspect: it
-stays out unless it is around a main element, the page's articles or over half of the page's text. A
-class that merely has such a word in it ("social-policy") also stays in by its ratios, those of the
+stays out unless it is around a main element or the page's articles, or around over half of the page's
+text and then holds the headline too, merely has the word in its name, or has nine tenths of the text;
+comments, and notices and forms without the headline, never come in by their size. A class that merely has such a word in it ("social-policy") also stays in by its ratios, those of the
 page's ordinary text, or as the holder of the headline; so does a header in an article. The lines' text-to-tag ratios, bounded by twice their weighted median so that no single line
 sets the scale, are smoothed by a Gaussian, and lines over a threshold (a share of the page's spread of
 ratios) are the content cluster. A region with lines of the cluster is content as a whole, as short
@@ -35,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.shared import in_arrow
+
 # Element names and the class, id and role words that mark what is never content.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NEVER = frozenset("script style noscript template svg math head title nav aside footer button select textarea "
@@ -50,6 +53,8 @@ _MARKS = frozenset("ad ads advert adverts advertisement advertising banner bread
                    "sponsored subscribe toolbar widget".split())
 _USERS = frozenset("comment comments disqus reply respond".split())
 _HEADS = frozenset("banner header masthead".split())
+# those that size alone never makes content: forms, notices, comments and what else is longer than many an article
+_STERN = _USERS | frozenset("alert alertdialog consent cookie cookies dialog form gdpr modal newsletter notice popup search signup subscribe".split())
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 _WHOLE = ("body", "html", "article", "main")
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -61,6 +66,7 @@ class Mark:
     parent: int  # the suspect element around it, or -1
     loose: bool  # the mark is only a part of a class or id
     users: bool  # comments and the like
+    stern: bool  # comments, notices, forms
     head: bool  # a header in an article
     title: bool = False  # holds h1
     main: bool = False
@@ -146,7 +152,7 @@ class _Lines(HTMLParser):
             loose = False
         if words:
             _, _, _, article, mark = self.open[-1]
-            self.marks.append(Mark(mark, loose, not _USERS.isdisjoint(words), article >= 0 and words <= _HEADS))
+            self.marks.append(Mark(mark, loose, not _USERS.isdisjoint(words), not _STERN.isdisjoint(words), article >= 0 and words <= _HEADS))
         return bool(words)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -245,9 +251,11 @@ class _Lines(HTMLParser):
                 out.append(True)
                 continue
             content = m.main or m.article and (not free or m.loose and not m.users)
-            content = content or 2 * m.plain > sum(plain) and not (m.users and free)
+            # over half of the page's text: a wrapper if it has the headline, if the mark is a part of its name only,
+            # or if there is next to nothing outside
+            content = content or 2 * m.plain > sum(plain) and not m.users and (m.title or not m.stern and (m.loose or 10 * m.plain > 9 * sum(plain)))
             content = content or not m.users and (m.loose or m.head) and m.title
-            content = content or not m.users and m.loose and 0 < m.plain < 2 * m.dense
+            content = content or not m.stern and m.loose and 0 < m.plain < 2 * m.dense
             out.append(not content)
         return out
 
@@ -327,5 +335,5 @@ def main_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("pa
                 yield pa.record_batch([*part.columns[:-1], pa.array(text, pa.string())], [*part.schema.names[:-1], "text"])
 
     schema = T.StructType([*given.schema.fields[:-1], T.StructField("text", T.StringType())])
-    return given.mapInArrow(run, schema).select(
+    return given.transform(in_arrow, run, schema).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "text", F.length("text").cast("long").alias("n_chars"))
