@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from quarry.llm.shared import held, in_arrow
 from quarry.llm.words import RunCache, slices, spans, take_runs, text_buffers
 
 _NONE = np.int32(2**31 - 1)
@@ -87,7 +88,7 @@ class Codec:
         self.ranks, self.pairs, self.split = ranks, PairTable(ranks), regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.known: dict[str, list[int]] = {}  # match -> its ids
-        self.cache = RunCache(self._units, limit=600_000)
+        self.cache = RunCache(self._units)
 
     def encode_matches(self, matches: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(matches)
@@ -220,24 +221,13 @@ def _compact(ids: np.ndarray, hit: np.ndarray, merged: np.ndarray) -> np.ndarray
     return closed
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
-def _codec(shared, pattern: str) -> Codec:
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(shared.value, pattern)
-    return _CODECS[key]
-
-
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids): the token ids of each whole text, by the rank file at `path` (read on the driver;
     the file bounds what is broadcast)."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared, pattern)
+        codec = held(f"codec {path} {pattern}", lambda: Codec(shared.value, pattern))
         for batch in batches:
             for part in slices(batch, text, target=2 << 20):
                 flat, first = codec.encode(part.column(text))
@@ -246,7 +236,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.select(key, text).mapInArrow(_renamed(run, [key, "ids"]), schema)
+    return docs.select(key, text).transform(in_arrow, _renamed(run, [key, "ids"]), schema, f"codec {path}")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -270,7 +260,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
                 out = pa.array([data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
                 yield pa.record_batch([*batch.columns, out], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return encoded.transform(in_arrow, run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]), f"codec {path}")
 
 
 def _some_ids(batch: pa.RecordBatch, ids: str, target: int = 1 << 18) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import components, from_key, key_filter, to_key, write_shared
+from quarry.llm.shared import components, from_key, in_arrow, key_filter, to_key, write_shared
 from quarry.llm.words import hashes, mix, ngrams, signed, slices, spans, text_buffers, unsigned
 
 GROUPS = 16
@@ -205,7 +205,7 @@ def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=
         if rest is not None and rest.num_rows:
             yield done(rest)
 
-    return rows.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, schema)
+    return rows.repartition(*cell).sortWithinPartitions(*cell).transform(in_arrow, run, schema)
 
 
 def _fine(grams: np.ndarray) -> bytes:
@@ -234,7 +234,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     points = (pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b")
               .join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a"))
-    pairs = write_shared(points.mapInArrow(likely, "a long, b long"), "likely")
+    pairs = write_shared(points.transform(in_arrow, likely, "a long, b long"), "likely")
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a"))
     shared = F.size(F.array_intersect("ga", "gb")).cast("long")
@@ -288,7 +288,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
                 yield pa.record_batch([none, none, none, none, pa.array(gram), pa.array(df.astype(np.int64))], names)
 
     names = ["doc_id", "t", "node", "n", "gram", "df"]
-    found = write_shared(docs.mapInArrow(scan, "doc_id long, t long, node long, n long, gram long, df long"), "scan")
+    found = write_shared(docs.transform(in_arrow, scan, "doc_id long, t long, node long, n long, gram long, df long"), "scan")
     members = found.where("doc_id is not null").select("doc_id", "t", "node", "n")
     often = (found.where("gram is not null").groupBy("gram").agg(F.sum("df").alias("df")).where(f"df >= {small}")
              .orderBy(F.desc("df"), "gram").limit(_HOT).toArrow())  # a bounded list; any order of n-grams is exact
@@ -318,7 +318,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
                                        pa.array(columns[3], pa.list_(pa.int64()))], ["node", "n", "point", "keys"])
 
     hashed = docs.withColumn("h", F.xxhash64("doc_id"))
-    nodes = write_shared(hashed.mapInArrow(blocks, "node long, n long, point binary, keys array<long>"), "nodes")
+    nodes = write_shared(hashed.transform(in_arrow, blocks, "node long, n long, point binary, keys array<long>"), "nodes")
 
     # 3. blocks of two nodes or more
     by_key = nodes.select("node", F.explode("keys").alias("key"))
@@ -335,7 +335,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
             row = pa.array(row[good])
             yield pa.record_batch([pa.array(flat[good]), *(batch.column(c).take(row) for c in ("node", "n", "point"))], ["key", "node", "n", "point"])
 
-    rows = write_shared(nodes.mapInArrow(survivors, "key long, node long, n long, point binary"), "survivors")
+    rows = write_shared(nodes.transform(in_arrow, survivors, "key long, node long, n long, point binary"), "survivors")
     sizes = write_shared(rows.groupBy("key").agg(F.count("*").alias("m")).join(shared, "key"), "sizes")
     rows = rows.join(sizes, "key")
 
@@ -370,7 +370,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
     rows_of = (members.join(_filtered(rep_node, wanted), ["doc_id", "node"]).groupBy("doc_id", "node", "h").agg(F.min("t").alias("t")))
     few = (_filtered(hashed, need_docs).drop("h").join(rows_of, ["doc_id", "t"])
            .groupBy("doc_id", "t", "node", "h").agg(F.first("text").alias("text")))
-    sets = write_shared(few.mapInArrow(whole, "node long, n long, fine binary, grams array<long>"), "sets")
+    sets = write_shared(few.transform(in_arrow, whole, "node long, n long, fine binary, grams array<long>"), "sets")
     links = write_shared(_verified(pairs, sets, percent), "links")
     labels = write_shared(components(links), "labels")
 
@@ -402,5 +402,5 @@ def _filtered(df: DataFrame, passes, column: str = "h") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(passes(unsigned(batch.column(column).to_numpy()))))
-    return df.mapInArrow(run, df.schema)
+    return df.transform(in_arrow, run, df.schema)
 

@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.shared import write_shared
+from quarry.llm.shared import held, in_arrow, write_shared
 from quarry.llm.words import RunCache, slices, spans, take_runs, text_buffers
 
-_PIECES = 200_000  # a worker remembers the ids of so many pieces
+_PIECES = 100_000  # a worker remembers the ids of so many pieces
 #: The splitting pattern of the word-level file, as in its pre-tokenizer (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -53,7 +53,8 @@ class WordIds:
         import regex
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        # words with the text of a special token go through the whole tokenizer, which finds it
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
         self.split = regex.compile(SPLIT + r"|\n").findall
         self.safe = regex.compile(r"[\x21-\x7E\xA1-ɏ]+").fullmatch
@@ -73,7 +74,7 @@ class WordIds:
     def _encode(self, words: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
         piece, safe = self._piece, self.safe
-        plain = [w if safe(w) else "" for w in words]
+        plain = [w if safe(w) and not any(t in w for t in self.special) else "" for w in words]
         found = self.split("\n".join(plain).lower())
         now: list[int] = []
         for p in found:
@@ -104,9 +105,6 @@ class WordIds:
         return out, place
 
 
-_READERS: dict[str, WordIds] = {}
-
-
 def pieces(docs: DataFrame, path: str, length: int = 2048, end: int = 0, key: str = "doc_id", text: str = "text",
            with_ids: bool = False) -> DataFrame:
     """(key, piece, start, length, ids_crc32[, ids]): the tokenised documents, cut at `length`."""
@@ -117,9 +115,7 @@ def pieces(docs: DataFrame, path: str, length: int = 2048, end: int = 0, key: st
         schema.add("ids", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _READERS:
-            _READERS[path] = WordIds(path)
-        reader = _READERS[path]
+        reader = held(name, lambda: WordIds(path))
         for batch in batches:
             for part in slices(batch):
                 flat, place = reader.documents(*text_buffers(part.column("text")), end)
@@ -137,7 +133,8 @@ def pieces(docs: DataFrame, path: str, length: int = 2048, end: int = 0, key: st
                     columns.append(pa.ListArray.from_arrays(pa.array(np.append(low, len(flat)), pa.int32()), pa.array(flat, pa.int64())))
                 yield pa.record_batch(columns, schema.names)
 
-    return docs.mapInArrow(run, schema).withColumnRenamed("k", key)
+    name = f"word ids {path}"
+    return docs.transform(in_arrow, run, schema, name).withColumnRenamed("k", key)
 
 
 class Bins:
@@ -169,11 +166,10 @@ class Bins:
                 gaps[g].append(b)
                 mask |= 1 << g
 
-    def search(self, passes: int = 12) -> Bins:
-        """Local search until a pass changes nothing, or `passes` passes."""
-        for _ in range(passes):
-            if not self._pass():
-                break
+    def search(self) -> Bins:
+        """Local search until a pass changes nothing; every change raises the squared fill."""
+        while self._pass():
+            pass
         return self
 
     def _pass(self) -> int:
@@ -182,10 +178,16 @@ class Bins:
         one: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]  # by size: (bin, item), emptiest bin last
         two: list[list[tuple[int, int, int]]] = [[] for _ in range(length + 1)]
         for b in reversed(order):
-            for n, i in enumerate(items[b]):
+            held: dict[int, list[int]] = {}  # by size; two items of a size are enough for all its pairs
+            for i in items[b]:
                 one[size[i]].append((b, i))
-                for j in items[b][n + 1:n + 9]:
-                    two[size[i] + size[j]].append((b, i, j))
+                held.setdefault(size[i], []).append(i)
+            sizes = list(held)
+            for n, s in enumerate(sizes):
+                if len(held[s]) > 1:
+                    two[2 * s].append((b, held[s][0], held[s][1]))
+                for t in sizes[n + 1:]:
+                    two[s + t].append((b, held[s][0], held[t][0]))
         mask = [sum(1 << s for s, held in enumerate(held_by) if held) for held_by in (one, two)]
         where = {i: b for b in order for i in items[b]}
         changed = 0
@@ -197,21 +199,31 @@ class Bins:
             while span:
                 s = low + span.bit_length()
                 held = held_by[s]
+                own = []  # the taker's are passed over
                 while held:
                     b, *its = held[-1]
-                    if all(where.get(i) == b for i in its):
+                    if b == taker and where.get(its[0]) == b:
+                        own.append(held.pop())
+                    elif all(where.get(i) == b for i in its):
                         break
-                    held.pop()  # out of date
+                    else:
+                        held.pop()  # out of date
+                got = held[-1] if held else None
+                held.extend(reversed(own))
                 if not held:
                     mask[kind] &= ~(1 << s)
-                elif held[-1][0] != taker and fill[held[-1][0]] <= fill[taker]:
-                    return s, held[-1]
+                elif got is not None and fill[got[0]] <= fill[taker]:
+                    return s, got
                 span &= ~(1 << (s - low - 1))
             return None
 
         def put(i: int, b: int) -> None:
             items[where[i]].remove(i)
             fill[where[i]] -= size[i]
+            for j in {size[j]: j for j in items[b]}.values():  # its pairs there
+                if size[i] + size[j] <= length:
+                    two[size[i] + size[j]].append((b, i, j))
+                    mask[1] |= 1 << (size[i] + size[j])
             items[b].append(i)
             fill[b] += size[i]
             where[i] = b
@@ -256,7 +268,8 @@ def pack(cut: DataFrame, length: int = 2048, shard_size: int = 50_000) -> DataFr
     which must have `length` (1 to the given length) and are otherwise carried along."""
     cut = write_shared(cut.drop("sequence_id", "offset"), "pieces")
     shards = max(1, math.ceil(cut.count() / shard_size))
-    by = F.pmod(F.xxhash64(*cut.columns), F.lit(shards))
+    # by place in the written table, so that equal rows are spread too
+    by = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))
     schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import write_shared
+from quarry.llm.shared import in_arrow, write_shared
 
 WIDTH = 24  # bytes of an element: digest, length
 
@@ -181,7 +181,7 @@ def trie(seqs: DataFrame, block: int = 100_000, share: int = 1000) -> DataFrame:
     n_children, n_leaves, saved_tokens."""
     distinct = seqs.groupBy("seq").agg(F.count("*").alias("n"), F.min("conv_id").alias("conv"))
     found = (distinct.repartitionByRange("seq").sortWithinPartitions("seq")
-             .mapInArrow(_found(block), "key binary, parent binary, depth long, n long, conv long, low long, high long, bytes long"))
+             .transform(in_arrow, _found(block), "key binary, parent binary, depth long, n long, conv long, low long, high long, bytes long"))
     nodes = write_shared(found.groupBy("key", "parent", "depth", "bytes").agg(
         F.sum("n").alias("n"), F.min("conv").alias("conv"), F.min("low").alias("low"), F.max("high").alias("high")), "trie-nodes")
     children = nodes.where("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("n_children"))
@@ -270,9 +270,9 @@ def ends(seqs: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.record_batch([pa.array([_hash(s).digest() for s in batch.column("seq").to_pylist()], pa.binary()), batch.column("conv_id")], ["key", "conv_id"])
 
-    pieces = (seqs.mapInArrow(keyed, "key binary, conv_id long").repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id")
-              .mapInArrow(_joined, "key binary, place long, ids string"))
-    return (pieces.repartition("key").sortWithinPartitions("key", "place").mapInArrow(_hashed, "key binary, ends_sha256 string"))
+    pieces = (seqs.transform(in_arrow, keyed, "key binary, conv_id long").repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id")
+              .transform(in_arrow, _joined, "key binary, place long, ids string"))
+    return (pieces.repartition("key").sortWithinPartitions("key", "place").transform(in_arrow, _hashed, "key binary, ends_sha256 string"))
 
 
 def prefix_trie(rows: DataFrame, block: int = 100_000, share: int = 1000) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.shared import in_arrow
 from quarry.llm.words import hashes, ngrams, slices, spans, text_buffers
 
 FOLDS = 4
@@ -206,7 +207,7 @@ def _with_statistics(docs: DataFrame, text: str, kept: list[str]) -> DataFrame:
                 yield pa.record_batch([*(part.column(c) for c in kept), pa.array(list(x), pa.list_(pa.float64()))], [*kept, "x"])
 
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    return docs.mapInArrow(run, schema)
+    return docs.transform(in_arrow, run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, where: Column, key: str = "doc_id", text: str = "text", label: str = "quality",
@@ -237,4 +238,4 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 x = statistics(part.column("text"))
                 yield pa.record_batch([part.column("k"), pa.array(shared.value.probability(x))], ["k", "score"])
 
-    return docs.mapInArrow(run, T.StructType([docs.schema["k"], T.StructField("score", T.DoubleType())])).withColumnRenamed("k", key)
+    return docs.transform(in_arrow, run, T.StructType([docs.schema["k"], T.StructField("score", T.DoubleType())])).withColumnRenamed("k", key)

@@ -39,6 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shared import in_arrow
+
 SOLID = r"[^\x20\x09-\x0D]"
 ENDED = r"[.!?][\x20\x09-\x0D]*\z"
 LEGAL = {"su", "ua", "au"}
@@ -97,10 +99,10 @@ def plan(rows: DataFrame, ids: DataFrame | None = None, block: int = 256) -> Dat
         facts = facts.unionByName(marks, allowMissingColumns=True)
     order = ["conv_id", "turn", "digest"]
     blocks = (facts.repartitionByRange(*order).sortWithinPartitions(*order)
-              .mapInArrow(_summaries(block), "conv_id long, place long, n long, blank long, duplicate long, truncated long, illegal long, "
+              .transform(in_arrow, _summaries(block), "conv_id long, place long, n long, blank long, duplicate long, truncated long, illegal long, "
                           "first string, last string, low long, high long, distinct long, parts array<struct<s:int,t:int,cost:long,audit:string>>"))
     return (blocks.repartition("conv_id").sortWithinPartitions("conv_id", F.desc("place"))
-            .mapInArrow(_composed, "conv_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", audit string"))
+            .transform(in_arrow, _composed, "conv_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", audit string"))
 
 
 @lru_cache(None)
@@ -318,7 +320,7 @@ def repaired(rows: DataFrame, plans: DataFrame) -> DataFrame:
         schema = pa.schema([("conv_id", pa.int64()), ("position", pa.int64()), *((c, pa.string()) for c in ("edit", "role", "text"))])
         return _batched(turns(), schema, 512)
 
-    return _in_order(rows, plans).mapInArrow(run, "conv_id long, position long, edit string, role string, text string")
+    return _in_order(rows, plans).transform(in_arrow, run, "conv_id long, position long, edit string, role string, text string")
 
 
 def repair(rows: DataFrame, ids: DataFrame | None = None, block: int = 256) -> DataFrame:
@@ -341,4 +343,4 @@ def repair(rows: DataFrame, ids: DataFrame | None = None, block: int = 256) -> D
         return _batched(hashed(), _PLAN.append(pa.field("repaired_sha256", pa.string())), 256)
 
     schema = "conv_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", audit string, repaired_sha256 string"
-    return _in_order(rows, plan(rows, ids, block)).mapInArrow(run, schema)
+    return _in_order(rows, plan(rows, ids, block)).transform(in_arrow, run, schema)

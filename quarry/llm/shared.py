@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +27,55 @@ def from_key(column: str) -> Column:
     return F.nullif(F.col(column), F.lit(_NO_KEY))
 
 
+_HELD: dict[str, object] = {}
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library
+    _TRIM = None
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What a worker keeps from task to task of one operator under `name`; see `in_arrow`."""
+    if name not in _HELD:
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def _begin(keep: str) -> None:
+    for name in [n for n in _HELD if not keep or not n.startswith(keep)]:
+        del _HELD[name]
+
+
+def _end() -> None:
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _released(run: Callable, keep: str) -> Callable:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin(keep)
+        try:
+            yield from run(batches)
+        finally:
+            _end()
+
+    return task
+
+
+def in_arrow(df: DataFrame, run: Callable, schema, keep: str = "") -> DataFrame:
+    """mapInArrow, but a worker's memory goes back to the system when a task ends, and what other
+    operators hold in it goes when a task begins: idle workers share an executor's memory with others.
+    keep: how the names of what this operator holds begin."""
+    return df.mapInArrow(_released(run, keep), schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder of spark.checkpoint.dir; one of our own only in local mode where that is unset (tests)."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if folder is None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     if folder is None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-checkpoint-"))
         folder = sc.getCheckpointDir()

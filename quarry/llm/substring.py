@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.shared import KeyFilter, from_key, key_filter, to_key, write_shared
+from quarry.llm.shared import KeyFilter, from_key, in_arrow, key_filter, to_key, write_shared
 from quarry.llm.words import hashes, ngrams, signed, slices, spans, text_buffers, unsigned
 
 
@@ -69,7 +69,7 @@ def _scan(docs: DataFrame, first: KeyFilter, window: int, gram: int) -> DataFram
                 t = _Text(part, window, gram)
                 key, doc = t.gram[t.anchors], part.column("doc_id").to_numpy()[t.row[t.anchors]]
                 yield pa.record_batch([pa.array(signed(key)), pa.array(doc)], ["gram", "doc_id"])
-    return docs.mapInArrow(run, "gram long, doc_id long")
+    return docs.transform(in_arrow, run, "gram long, doc_id long")
 
 
 def _passing(batch: pa.RecordBatch, passes: KeyFilter, want: bool = True) -> pa.RecordBatch:
@@ -107,7 +107,7 @@ def _stretches(docs: DataFrame, first: KeyFilter, seeds: KeyFilter, window: int,
                                            pa.array(text[begin]), pa.array((-1 - place[begin]).astype(np.int32))], names)
 
     names = ["stretch", "doc_id", "t", "at"]
-    return docs.mapInArrow(run, "stretch long, doc_id long, t long, at int")
+    return docs.transform(in_arrow, run, "stretch long, doc_id long, t long, at int")
 
 
 def _covered(found: DataFrame, window: int) -> DataFrame:
@@ -133,7 +133,7 @@ def _covered(found: DataFrame, window: int) -> DataFrame:
             yield pa.record_batch([pa.array(doc[more]), pa.array(text[more]), pa.array(at[more]), pa.array(np.zeros(int(more.sum()), np.int32))], names)
 
     names = ["doc_id", "t", "at", "upto"]
-    return found.repartition("stretch").sortWithinPartitions("stretch", "doc_id").mapInArrow(run, "doc_id long, t long, at int, upto int")
+    return found.repartition("stretch").sortWithinPartitions("stretch", "doc_id").transform(in_arrow, run, "doc_id long, t long, at int, upto int")
 
 
 def repeats(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,8 +211,8 @@ def dedup(docs: DataFrame, window: int = 13, gram: int = 6, key: str = "doc_id",
                 yield pa.record_batch([part.column("doc_id"), pa.array(np.diff(first)), pa.array(removed), kept,
                                        *(part.column(c) for c in names)], schema.names)
 
-    clean = hashed.mapInArrow(run, schema)
-    cut = hashed.mapInArrow(to_cut, hashed.schema).drop("h").join(again, ["doc_id", "t"], "left").mapInArrow(run, schema)
+    clean = hashed.transform(in_arrow, run, schema)
+    cut = hashed.transform(in_arrow, to_cut, hashed.schema).drop("h").join(again, ["doc_id", "t"], "left").transform(in_arrow, run, schema)
     return clean.union(cut).select(from_key("doc_id").alias(key), "n_words", "n_removed", "kept",
                                    *[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)])
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.shared import write_shared
+from quarry.llm.shared import in_arrow, write_shared
 from quarry.llm.words import hashes, signed, slices, spans, text_buffers, unsigned
 
 
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, key: str = "doc_id", text: st
     empty = Model(np.empty(0, np.uint64), np.empty(0), drift, slope=0.0, offset=-math.inf)
     if not size[0] or not size[1]:
         return empty
-    counts = write_shared(known.mapInArrow(_words, "word long, fold int, toxic long, clean long")
+    counts = write_shared(known.transform(in_arrow, _words, "word long, fold int, toxic long, clean long")
                           .groupBy("word", "fold").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")), "word-counts")
     total = lambda rows: rows.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     length = _per_document(known)
@@ -235,7 +235,7 @@ def _calibrated(models: list[Model], others: list[list[Model]], known: DataFrame
                         yield pa.record_batch([part.column("toxic"), part.column("fold"), pa.array(n), pa.array(x.tolist(), pa.list_(pa.float64()))],
                                               ["toxic", "fold", "n", "x"])
 
-        return known.mapInArrow(run, "toxic int, fold int, n long, x array<double>").collect()
+        return known.transform(in_arrow, run, "toxic int, fold int, n long, x array<double>").collect()
 
     rows = [r for r in pass_over(lambda model, segments, n: max((s for _, _, s in segments), default=0.0)) if not r["toxic"]]
     for i, model in enumerate(models):
@@ -299,7 +299,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                     found[row] = [dict(zip(("first", "last", "score", "expected"), x, strict=True)) for x in held]
                 yield pa.record_batch([part.column("k"), pa.array(m.probability(evidence)), pa.array(found, kind)], ["k", "score", "passages"])
 
-    return docs.mapInArrow(run, schema).withColumnRenamed("k", key)
+    return docs.transform(in_arrow, run, schema).withColumnRenamed("k", key)
 
 
 def clean(docs: DataFrame, model: Model, text: str = "text", limit: float = 0.5) -> DataFrame:
@@ -315,4 +315,4 @@ def clean(docs: DataFrame, model: Model, text: str = "text", limit: float = 0.5)
                     evidence[row] = m.evidence(segments, words)[0]
                 yield part.filter(pa.array(m.probability(evidence) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_arrow, run, docs.schema)

@@ -2,7 +2,7 @@
 
 A word is a maximal run of bytes other than space, \\t, \\n, \\v, \\f and \\r.
 Null texts count as empty. Work arrays are bounded: texts are taken in slices
-of a few MB, and words are hashed a megabyte at a time, however long a text is.
+of a few MB, and words are hashed half a megabyte at a time, however long a text is.
 """
 
 from __future__ import annotations
@@ -16,10 +16,9 @@ import xxhash
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-_U64 = 1 << 64
-_CHUNK = 1 << 20  # bytes hashed at once
+_CHUNK = 1 << 19  # bytes hashed at once
 _LONG = 1 << 16  # longer words are hashed one by one
-_P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_P = 0x9E3779B97F4A7C15
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -36,23 +35,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base % _U64, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def _random(seed: int, n: int) -> np.ndarray:
+    """n fixed odd numbers that look random."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_P) + np.uint64(seed)) | np.uint64(1)
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_P))
-_LOWER = _BYTE.copy()
-_LOWER[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
-_TABLES: dict[str, np.ndarray] = {}
+_SEEDS = (0x51ED270B, 0xB5297A4D)
+_TABLES: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    if not _TABLES:
-        _TABLES["pow"] = _powers(_P, _CHUNK + _LONG + 1)
-        _TABLES["inv"] = _powers(pow(_P, -1, _U64), _CHUNK + _LONG + 1)
-    return _TABLES["pow"], _TABLES["inv"]
+def _tables(which: int, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each byte value, and a factor for each place in a word."""
+    if (which, lower) not in _TABLES:
+        byte = _random(_SEEDS[which], 256)
+        if lower:
+            byte = byte.copy()
+            byte[ord("A"):ord("Z") + 1] = byte[ord("a"):ord("z") + 1]
+        _TABLES[which, lower] = byte, _random(_SEEDS[which] + 1, _LONG)
+    return _TABLES[which, lower]
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,36 +94,41 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """64-bit hash of each word; `lower` folds A-Z to a-z."""
-    power, inverse = _tables()
-    table = _LOWER if lower else _BYTE
-    out = np.empty(len(starts), dtype=np.uint64)
+    """64-bit hash of each word; `lower` folds A-Z to a-z. The sum, over the word, of a number for the
+    byte times a factor for its place: factors of their own, not powers of one, so that no pair of words
+    is equal by construction; words over `_LONG` bytes by xxHash."""
+    return _hashes(data, starts, ends, lower, (0,))[0]
+
+
+def wide_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each word, as two independent hashes."""
+    return _hashes(data, starts, ends, False, (0, 1))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool, which: tuple[int, ...]) -> tuple[np.ndarray, ...]:
+    out = tuple(np.empty(len(starts), dtype=np.uint64) for _ in which)
     length = ends - starts
-    for i in np.flatnonzero(length > _LONG):
+    long = length > _LONG
+    for i in np.flatnonzero(long):
         word = data[starts[i]:ends[i]].tobytes()
-        out[i] = xxhash.xxh64_intdigest(word.lower() if lower else word)
-    at = 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _CHUNK, "right")))
-        keep = slice(at, to)
-        at = to
-        if length[keep].max() > _LONG:
-            keep = np.flatnonzero(length[keep] <= _LONG) + keep.start
-            if not len(keep):
-                continue
-            # around a long word, each word of the chunk is taken by itself
-            for i in keep:
-                seg = table[data[starts[i]:ends[i]]]
-                out[i] = (seg * power[:len(seg)]).sum(dtype=np.uint64)
-        else:
-            low = int(starts[keep][0])
-            seg = table[data[low:int(ends[keep][-1])]]
-            seg *= power[:len(seg)]
-            total = np.zeros(len(seg) + 1, dtype=np.uint64)
-            np.cumsum(seg, out=total[1:])
-            s, e = starts[keep] - low, ends[keep] - low
-            out[keep] = (total[e] - total[s]) * inverse[s]
-    return mix(out + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        for held, w in zip(out, which, strict=True):
+            held[i] = xxhash.xxh64_intdigest(word.lower() if lower else word, w)
+    rest = np.flatnonzero(~long) if long.any() else None
+    total = np.cumsum(length if rest is None else length[rest])
+    at, before, n = 0, 0, len(total)
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(total, before + _CHUNK, "right")))
+        keep = slice(at, to) if rest is None else rest[at:to]
+        size = length[keep].astype(np.int32)
+        head = np.cumsum(size, dtype=np.int32) - size
+        place = np.arange(int(total[to - 1]) - before, dtype=np.int32) - np.repeat(head, size)
+        low = int(starts[keep][0])
+        seg = data[np.repeat((starts[keep] - low), size) + place + low]
+        for held, w in zip(out, which, strict=True):
+            byte, factor = _tables(w, lower)
+            held[keep] = np.add.reduceat(byte[seg] * factor[place], head)
+        at, before = to, int(total[to - 1])
+    return tuple(mix(held + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) for held in out)
 
 
 def ngrams(words: np.ndarray, n: int) -> np.ndarray:
@@ -167,43 +172,57 @@ def take_runs(pool: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarr
 
 
 class RunCache:
-    """Token ids of byte strings, remembered by hash in flat arrays; cleared when `limit` strings are held."""
+    """Token ids of byte strings, remembered by 128 bits of hash in flat arrays; cleared when `limit`
+    strings or `most` ids are held."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list], limit: int = 1_500_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[bytes]], list], limit: int = 500_000, most: int = 8_000_000):
+        self.encode, self.limit, self.most = encode, limit, most
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.begin, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.key, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
         self.pool, self.used = np.empty(1 << 16, np.uint32), 0
 
-    def _add(self, key: np.ndarray, strings: list[bytes]) -> None:
+    def _runs(self, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) of the strings' ids, which now end the pool."""
+        runs = self.encode(strings)
+        size = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+        end = self.used + int(size.sum())
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty(max(end - len(self.pool), len(self.pool) // 2), np.uint32)])
+        self.pool[self.used:end] = np.fromiter((i for run in runs for i in run), dtype=np.uint32, count=end - self.used)
+        begin = self.used + np.cumsum(size) - size
+        self.used = end
+        return begin, size
+
+    def _add(self, key: np.ndarray, check: np.ndarray, strings: list[bytes]) -> None:
         for low in range(0, len(strings), 10_000):
-            runs = self.encode(strings[low:low + 10_000])
-            size = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-            end = self.used + int(size.sum())
-            if end > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.empty(max(end, len(self.pool)), np.uint32)])
-            self.pool[self.used:end] = np.fromiter((i for run in runs for i in run), dtype=np.uint32, count=end - self.used)
+            begin, size = self._runs(strings[low:low + 10_000])
             now = key[low:low + 10_000]
             at = np.searchsorted(self.key, now)
             self.key = np.insert(self.key, at, now)
-            self.begin = np.insert(self.begin, at, self.used + np.cumsum(size) - size)
+            self.check = np.insert(self.check, at, check[low:low + 10_000])
+            self.begin = np.insert(self.begin, at, begin)
             self.size = np.insert(self.size, at, size)
-            self.used = end
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(begin, size) in the pool of the ids of each span of data."""
-        key, where, back = np.unique(hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
+        if len(self.key) > self.limit or self.used > self.most:
+            self.clear()
+        first, second = wide_hashes(data, starts, ends)
+        key, where, back = np.unique(first, return_index=True, return_inverse=True)
+        check = second[where]
         new = self._missing(key)
         if new.any():
-            if len(self.key) + int(new.sum()) > self.limit:
-                self.clear()
-                new[:] = True
             i = where[new]
-            self._add(key[new], [data[s:e].tobytes() for s, e in zip(starts[i].tolist(), ends[i].tolist(), strict=True)])
+            self._add(key[new], check[new], [data[s:e].tobytes() for s, e in zip(starts[i].tolist(), ends[i].tolist(), strict=True)])
         at = np.searchsorted(self.key, key)
-        return self.begin[at][back], self.size[at][back]
+        begin, size = self.begin[at][back], self.size[at][back]
+        other = np.flatnonzero(self.check[at][back] != second)  # another string has the first half of the hash
+        if len(other):
+            begin[other], size[other] = self._runs([data[starts[i]:ends[i]].tobytes() for i in other.tolist()])
+        return begin, size
 
     def _missing(self, key: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))

@@ -120,7 +120,6 @@ def test_packing(docs, none):
     from quarry.llm.packing import pack, pieces
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     rows = pack(pieces(docs, path, length=256, with_ids=True), length=256).collect()
     text = {r[0]: r[1] for r in ROWS}
     for key in text:
@@ -382,3 +381,94 @@ def test_hamming(spark):
     assert {r.query_id for r in got} == set(asked[:-1])
     assert top_k(table.limit(0), table.limit(0), dims=70).collect() == []
     assert len(top_k(table.where("vec_id < 3"), table.where("vec_id = 1"), k=7, dims=70).collect()) == 3
+
+
+def test_html_large_notices_comments_and_forms():
+    """On a page without article or main, what is longer than the article does not come in for its size."""
+    from quarry.llm.html_text import extract
+    paragraph = "Some ordinary sentence of the article that goes on for a while, as they do. " * 3
+    article = "<h1>Head</h1>" + f"<p>{paragraph}</p>" * 4
+    want = "\n".join(["Head", *[paragraph.strip()] * 4])
+    long = f"<p>{'A remark that is longer than all of the article and that nobody asked for. ' * 6}</p>" * 6
+    for block in ('<div id="comments">{}</div>', '<div class="cookie-notice">{}</div>', "<form>{}</form>", '<div class="sidebar">{}</div>',
+                  '<div class="newsletter signup">{}</div>', '<div class="site-comments">{}</div>', '<div class="big-cookie-box">{}</div>'):
+        for page in (f"<div>{article}</div>{block.format(long)}", f"{block.format(long)}<div>{article}</div>"):
+            assert extract(f"<html><body>{page}</body></html>") == want, block
+    # a form around the whole page, headline included, is a wrapper
+    assert extract(f'<body><form id="all"><div>{article}</div></form></body>') == want
+
+
+def thue_morse(n, a="a", b="b"):
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word
+
+
+def test_words_that_polynomials_confuse(spark):
+    """A Thue-Morse word of 1,024 letters and its complement hash alike under any polynomial modulo 2**64."""
+    from quarry.llm.bpe import decode, encode
+    from quarry.llm.ngram_join import join
+    from quarry.llm.packing import pieces
+    from quarry.llm.substring import dedup
+    from quarry.llm.words import hashes, spans, text_buffers
+    import pyarrow as pa
+    one, two = thue_morse(1024), thue_morse(1024, "b", "a")
+    data, offsets = text_buffers(pa.array([f"{one} {two}"]))
+    starts, ends, _ = spans(data, offsets)
+    assert len(set(hashes(data, starts, ends, False).tolist())) == 2
+    rest = " ".join(f"w{i}" for i in range(20))
+    df = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, one), (4, two)], "doc_id long, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = by_key(decode(encode(df, path, public_tokenizers.PATTERN), path))
+    assert bytes(out[3].decoded).decode() == one and bytes(out[4].decoded).decode() == two
+    crc = {k: r.ids_crc32 for k, r in by_key(pieces(df, public_tokenizers.path("word_bpe_49k.json"))).items()}
+    assert crc[3] != crc[4]
+    assert {r.component_id for r in join(df.where("doc_id > 2")).collect()} == {3, 4}
+    assert by_key(dedup(df))[2].n_removed == 20
+
+
+def test_cache_tells_strings_of_one_key_apart(monkeypatch):
+    """Half of the hash may be equal: the other half is compared."""
+    from quarry.llm import words
+    from quarry.llm.words import RunCache, spans, text_buffers
+    import pyarrow as pa
+    real = words.wide_hashes
+    monkeypatch.setattr(words, "wide_hashes", lambda d, s, e: (real(d, s, e)[0] & np.uint64(1), real(d, s, e)[1]))
+    cache = RunCache(lambda strings: [list(s) for s in strings])
+    for _ in range(2):
+        data, offsets = text_buffers(pa.array(["ab c ab dd e ff g ab", "c"]))
+        starts, ends, _ = spans(data, offsets)
+        begin, size = cache(data, starts, ends)
+        assert [bytes(cache.pool[a:a + n].astype(np.uint8)) for a, n in zip(begin, size, strict=True)] == b"ab c ab dd e ff g ab c".split()
+
+
+def test_special_tokens_as_text(spark):
+    """What looks like a special token is one, as in the tokenizer's own call."""
+    from tokenizers import Tokenizer
+
+    from quarry.llm.packing import pieces
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["see <|endoftext|> here", "a<|startoftext|>b", "<|endoftext|", "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: list(r.ids) for r in pieces(df, path, with_ids=True).collect()}
+    assert got == {i: [*Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+
+
+def test_equal_rows_are_spread_over_shards(spark):
+    from quarry.llm.packing import pack, pieces
+    df = spark.createDataFrame([(None, "")] * 3000, "doc_id long, text string").repartition(4)
+    out = pack(pieces(df, public_tokenizers.path("word_bpe_49k.json")), shard_size=300)
+    sizes = [r["count"] for r in out.groupBy(F.shiftright("sequence_id", 32).alias("shard")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 450
+
+
+def test_url_filter_deep_paths(spark):
+    """Long paths and hosts are expanded no deeper than the rules go, with the same verdicts."""
+    from quarry.llm.url_filter import judge
+    rules = spark.createDataFrame([("example.com", "/a/b/c", "block"), ("É.net", "/", "block"), ("com", "/", "allow")], "host string, path string, verdict string")
+    urls = ["http://example.com/a/b/cd/" + "x/" * 3000, "http://" + "s." * 500 + "example.com/a/b/c", "http://example.com/a/b", "http://É.net/q", "http://é.net/q"]
+    got = by_key(judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules), "page_id")
+    assert [got[i].rule for i in range(5)] == ["example.com/a/b/c", "example.com/a/b/c", "com/", "É.net/", None]
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert judge(none, rules).collect() == []
