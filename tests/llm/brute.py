@@ -101,6 +101,41 @@ def katz(rows, train, discounts):
     return out, n, totals
 
 
+def good_turing(counts, k=5):
+    """Katz's discount factor for a count, from the counts of counts; where they are degenerate, absolute
+    discounting by one half, and beyond k the ratio of the next two, held between 0.9 and 0.999."""
+    n = Counter(counts)
+
+    def factor(r):
+        if r > k:
+            return min(0.999, max(0.9, (k + 2) * n[k + 2] / ((k + 1) * n[k + 1]))) if n[k + 1] else 0.999
+        whole = (k + 1) * n[k + 1] / n[1] if n[1] else 1.0
+        d = ((r + 1) * n[r + 1] / (r * n[r]) - whole) / (1 - whole) if n[r] and whole < 1 else 0.0
+        return d if 0 < d < 1 else (r - 0.5) / r
+
+    return factor
+
+
+def katz_rows(rows, train):
+    """[(tokens, known, base score, score)] of (key, text) rows, each by itself, N, and sums of P by context."""
+    texts = [[*words_of(t, lower=True), 0] for _, t in rows]
+    count, pair = Counter(), defaultdict(Counter)
+    for (k, _), t in zip(rows, texts, strict=True):
+        if train(k):
+            count.update(t)
+            for h, w in zip([1, *t], t, strict=False):
+                pair[h][w] += 1
+    n, v = sum(count.values()), len(count)
+    du, db = good_turing(count.values()), good_turing(c for x in pair.values() for c in x.values())
+    left = 1 - sum(c * du(c) for c in count.values()) / n
+    p = lambda w: count[w] * du(count[w]) / n if count[w] else left
+    alpha = {h: (1 - sum(c * db(c) for c in x.values()) / sum(x.values())) / (1 - sum(map(p, x))) for h, x in pair.items()}
+    prob = lambda h, w: pair[h][w] * db(pair[h][w]) / sum(pair[h].values()) if h in pair and pair[h][w] else alpha.get(h, 1.0) * p(w)
+    out = [(len(t), sum(count[w] > 0 for w in t), sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t),
+            sum(math.log10(prob(h, w)) for h, w in zip([1, *t], t, strict=False))) for t in texts]
+    return out, n, [sum(prob(h, w) for w in count) + prob(h, None) for h in list(pair)]
+
+
 def sha(text):
     return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
 
