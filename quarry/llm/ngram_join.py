@@ -223,22 +223,49 @@ def _fine_bound(a: bytes, b: bytes) -> int:
     return int(np.minimum(x.reshape(-1, m).sum(axis=0, dtype=np.int64), y.reshape(-1, m).sum(axis=0, dtype=np.int64)).sum())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+#: n-grams of a part of a set, about
+PART = 2048
+
+
+def _level(n: int) -> int:
+    """A set of n n-grams is cut into 2**level parts, by the top bits of their hashes."""
+    return max(0, (max(1, n) - 1).bit_length() - (PART - 1).bit_length())
+
+
+def _set_parts(sets: list[np.ndarray], nodes: list[int], percent: int) -> tuple[list, list, list, list]:
+    """(node, level, part, n-grams) of the sets, cut at their level and at those of smaller partners."""
+    out: tuple[list, list, list, list] = ([], [], [], [])
+    for node, grams in zip(nodes, sets, strict=True):
+        top = _level(len(grams))
+        for level in range(_level(-(-percent * len(grams) // 100)), top + 1):
+            # at each level the parts are those of the finest one: sums over them are the same
+            edge = np.searchsorted(grams, np.arange(1, 1 << top, dtype=np.uint64) << np.uint64(64 - top)) if top else []
+            for r, part in enumerate(np.split(grams, edge)):
+                if len(part):
+                    for to, x in zip(out, (node, level, r >> (top - level), signed(part)), strict=True):
+                        to.append(x)
+    return out
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets meet the threshold. Fine points, a sixteenth of the sets' bytes,
-    travel first; whole sets only for the pairs that these let through."""
+    travel first; sets only for the pairs that these let through, in parts of bounded size whose overlaps are summed."""
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [batch.column(c).to_pylist() for c in ("fa", "fb", "na", "nb")]
             good = [_fine_bound(a, b) >= _need(m, n, percent) for a, b, m, n in zip(*x, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(good, pa.bool_()))
 
     points = (pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b")
               .join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a"))
-    pairs = write_shared(points.transform(in_arrow, likely, "a long, b long"), "likely")
-    both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a"))
-    shared = F.size(F.array_intersect("ga", "gb")).cast("long")
-    return both.where(100 * shared >= percent * (F.size("ga") + F.size("gb") - shared)).select("a", "b")
+    pairs = write_shared(points.transform(in_arrow, likely, "a long, b long, na long, nb long"), "likely")
+    level = lambda n: F.greatest(F.lit(0), F.length(F.bin(F.col(n) - 1)) - (PART - 1).bit_length())
+    # of linked sets the smaller one's level is among those of the larger one
+    pairs = pairs.withColumn("level", F.least(level("na"), level("nb")))
+    side = lambda x: parts.select(F.col("node").alias(x), "level", "r", F.col("grams").alias(f"g{x}"))
+    both = pairs.join(side("a"), ["a", "level"]).join(side("b"), ["b", "level", "r"])
+    shared = both.groupBy("a", "b", "na", "nb").agg(F.sum(F.size(F.array_intersect("ga", "gb"))).alias("shared"))
+    return shared.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text", small: int = 64,
@@ -355,13 +382,19 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
     wanted = key_filter(pairs.select(F.xxhash64("a").alias("h")).union(pairs.select(F.xxhash64("b").alias("h")))
                         .union(large.select(F.xxhash64("node").alias("h"))).distinct(), "h")
 
+    fields = ["node", "n", "fine", "level", "r", "grams"]
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(wanted(unsigned(batch.column("h").to_numpy()))))
             for part in slices(batch):
                 found = gram_sets(part, "text", n)
+                node, level, r, grams = _set_parts(found, part.column("node").to_pylist(), percent)
+                none = pa.nulls(len(node))
                 yield pa.record_batch([part.column("node"), pa.array([len(g) for g in found], pa.int64()), pa.array([_fine(g) for g in found], pa.binary()),
-                                       pa.array(map(signed, found), pa.list_(pa.int64()))], ["node", "n", "fine", "grams"])
+                                       *(pa.nulls(len(found), t) for t in (pa.int32(), pa.int64(), pa.list_(pa.int64())))], fields)
+                yield pa.record_batch([pa.array(node, pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(level, pa.int32()),
+                                       pa.array(r, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], fields)
 
     # a node's text is a row of its document that has the node itself: a key may have other rows
     rep_node = reps.select(F.col("rep").alias("doc_id"), "node").withColumn("h", F.xxhash64("node"))
@@ -370,8 +403,9 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
     rows_of = (members.join(_filtered(rep_node, wanted), ["doc_id", "node"]).groupBy("doc_id", "node", "h").agg(F.min("t").alias("t")))
     few = (_filtered(hashed, need_docs).drop("h").join(rows_of, ["doc_id", "t"])
            .groupBy("doc_id", "t", "node", "h").agg(F.first("text").alias("text")))
-    sets = write_shared(few.transform(in_arrow, whole, "node long, n long, fine binary, grams array<long>"), "sets")
-    links = write_shared(_verified(pairs, sets, percent), "links")
+    whole_sets = write_shared(few.transform(in_arrow, whole, "node long, n long, fine binary, level int, r long, grams array<long>"), "sets")
+    sets, parts = whole_sets.where("level is null").select("node", "n", "fine"), whole_sets.where("level is not null").select("node", "level", "r", "grams")
+    links = write_shared(_verified(pairs, sets, parts, percent), "links")
     labels = write_shared(components(links), "labels")
 
     # 5. what large blocks still hold of different components
@@ -390,7 +424,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
         return (c[i] != c[j]) & (diagonal[i] | (own[i] != own[j]))
 
     more = _in_cells(left, percent, pair, ["key", "i", "j"], apart).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    extra = write_shared(_verified(more, sets, percent), "more-links")
+    extra = write_shared(_verified(more, sets, parts, percent), "more-links")
     if extra.limit(1).count():
         labels = write_shared(components(links.union(extra)), "all-labels")
 

@@ -472,3 +472,32 @@ def test_url_filter_deep_paths(spark):
     assert [got[i].rule for i in range(5)] == ["example.com/a/b/c", "example.com/a/b/c", "com/", "É.net/", None]
     none = spark.createDataFrame([], "page_id long, url string")
     assert judge(none, rules).collect() == []
+
+
+@pytest.mark.parametrize(("bucket", "at_once"), [(4_000_000, 500_000), (300, 40)])
+def test_katz_rows_of_one_id(spark, bucket, at_once):
+    """Each row is scored by its own text, repeated and null ids included; discounts are the test's own."""
+    from quarry.llm import katz
+    rows = [(k, t) for k, t, *_ in brute.awkward_docs() if t is None or len(t) < 3000]
+    rows += [(1, "a b c"), (1, "a b c"), (1, "c b a d"), (None, "x"), (None, "y z w q"), (None, "x"), (2, None), (2, ""), (2, None)]
+    keeps = lambda k: k is not None and brute.fold(k) != 1
+    want, n, totals = brute.katz_rows(rows, keeps)
+    assert all(abs(t - 1) < 1e-9 for t in totals)
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    got = katz.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), fold != 1, bucket_tokens=bucket, at_once=at_once).collect()
+    assert {r.train_tokens for r in got} == {n}
+    asked = lambda x: (str(x[0]), x[1], x[2], x[3], round(x[4], 6), round(x[5], 6))
+    assert sorted(map(asked, [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.base_score, r.score) for r in got])) == sorted(
+        map(asked, [(k, not keeps(k), *w) for (k, _), w in zip(rows, want, strict=True)]))
+
+
+def test_ngram_join_of_long_texts(spark, monkeypatch):
+    """Sets that are verified in parts, of the same and of neighbouring levels."""
+    from quarry.llm.ngram_join import PART, _level, join
+    base = [f"w{i}" for i in range(5000)]
+    texts = [base, base[:4600], [*base[:2500], "x", *base[2501:]], base[:4000], base[:2060], base[:2040], base[:1700], [f"v{i}" for i in range(4200)]]
+    assert {_level(len(t) - 3) for t in texts} == {0, 1, 2} and _level(PART) == 0 and _level(PART + 1) == 1
+    rows = [(i, " ".join(t), "en", "s", 0, "h", 1, "s", 2, "r") for i, t in enumerate(texts)]
+    for percent in (85, 80):
+        got = {k: (r.n_shingles, r.component_id) for k, r in by_key(join(spark.createDataFrame(rows, brute.SCHEMA), percent=percent)).items()}
+        assert got == brute.components(rows, 4, percent)
