@@ -77,6 +77,17 @@ def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low.sum(axis=-1) + np.where((low == _TOP).any(axis=-1), 1 << 40, 0)
 
 
+def _bounded(percent: int):
+    """Keeps the pairs (a, b) of rows whose points (n, point and pn, pp) may share enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, GROUPS).astype(np.int64) for c in ("point", "pp"))
+            good = _bound(x, y) >= _need(batch.column("n").to_numpy(), batch.column("pn").to_numpy(), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
 class Tree:
     """Packed R-tree of count vectors: pages of neighbours by size and by their widest coordinate; each
     page, and each page of pages, has its corner of maxima and its smallest and largest set size."""
@@ -262,8 +273,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, parts: DataFrame, percent: int)
     level = lambda n: F.greatest(F.lit(0), F.length(F.bin(F.col(n) - 1)) - (PART - 1).bit_length())
     # of linked sets the smaller one's level is among those of the larger one
     pairs = pairs.withColumn("level", F.least(level("na"), level("nb")))
+    pairs = pairs.withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("level")) - 1)))
+    # both sides on the same columns, so that the parts are shuffled once
     side = lambda x: parts.select(F.col("node").alias(x), "level", "r", F.col("grams").alias(f"g{x}"))
-    both = pairs.join(side("a"), ["a", "level"]).join(side("b"), ["b", "level", "r"])
+    both = pairs.join(side("a"), ["a", "level", "r"]).join(side("b"), ["b", "level", "r"])
     shared = both.groupBy("a", "b", "na", "nb").agg(F.sum(F.size(F.array_intersect("ga", "gb"))).alias("shared"))
     return shared.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
@@ -377,7 +390,10 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
     # keys of large blocks count for both nodes: a pair with some of them may be short of small ones and
     # is found in its large blocks
     near = near.where(F.col("c") >= enough).select("a", "b")
-    stars = large.where("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    pivots = large.where("node = pivot").select("key", F.col("n").alias("pn"), F.col("point").alias("pp"))
+    stars = (large.where("node != pivot").join(pivots, "key")
+             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "n", "point", "pn", "pp")
+             .transform(in_arrow, _bounded(percent), "a long, b long"))
     pairs = write_shared(near.union(stars).distinct(), "pairs")
     wanted = key_filter(pairs.select(F.xxhash64("a").alias("h")).union(pairs.select(F.xxhash64("b").alias("h")))
                         .union(large.select(F.xxhash64("node").alias("h"))).distinct(), "h")

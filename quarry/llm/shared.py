@@ -46,7 +46,8 @@ def _begin(keep: str) -> None:
         del _HELD[name]
 
 
-def _end() -> None:
+def give_back() -> None:
+    """What a worker no longer uses goes back to the system."""
     pa.default_memory_pool().release_unused()
     if _TRIM is not None:
         _TRIM(0)
@@ -58,7 +59,7 @@ def _released(run: Callable, keep: str) -> Callable:
         try:
             yield from run(batches)
         finally:
-            _end()
+            give_back()
 
     return task
 
