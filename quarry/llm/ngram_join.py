@@ -88,6 +88,15 @@ def _bounded(percent: int):
     return run
 
 
+def _enough(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, need: np.ndarray, step: int = 1 << 15) -> np.ndarray:
+    """Whether the points a[i] and b[j] may share what is needed; some thousand pairs at a time."""
+    out = np.empty(len(i), dtype=bool)
+    for low in range(0, len(i), step):
+        k = slice(low, low + step)
+        out[k] = _bound(a[i[k]], b[j[k]]) >= need[k]
+    return out
+
+
 class Tree:
     """Packed R-tree of count vectors: pages of neighbours by size and by their widest coordinate; each
     page, and each page of pages, has its corner of maxima and its smallest and largest set size."""
@@ -114,7 +123,7 @@ class Tree:
             corner, low, high = self.levels[depth]
             good = (100 * high[c] >= percent * sizes[q]) & (percent * low[c] <= 100 * sizes[q])
             q, c = q[good], c[good]
-            good = _bound(points[q], corner[c]) >= _need(sizes[q], np.maximum(low[c], -(-percent * sizes[q] // 100)), percent)
+            good = _enough(points, q, corner, c, _need(sizes[q], np.maximum(low[c], -(-percent * sizes[q] // 100)), percent))
             q, c = q[good], c[good]
             if depth:
                 below = len(self.levels[depth - 1][0])
@@ -132,7 +141,7 @@ def _cell_pairs(points, sizes, percent: int, start: np.ndarray, end: np.ndarray)
         i, j = np.triu_indices(m, 1)
         at = start[length == m]
         a, b = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-        good = _bound(points[a], points[b]) >= _need(sizes[a], sizes[b], percent)
+        good = _enough(points, a, points, b, _need(sizes[a], sizes[b], percent))
         left.append(a[good])
         right.append(b[good])
     for a, b in zip(start[length > 16].tolist(), end[length > 16].tolist(), strict=True):
@@ -208,11 +217,13 @@ def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=
             if not now.num_rows:
                 continue
             at = np.column_stack([now[c].to_numpy() for c in cell])
-            edge = np.flatnonzero((at != at[-1]).any(axis=1))
-            cut = int(edge[-1]) + 1 if len(edge) else 0
-            if cut:
-                yield done(now.slice(0, cut))
-            rest = now.slice(cut)
+            edge = np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1  # where cells begin, but for the first
+            low = 0
+            while low < (edge[-1] if len(edge) else 0):  # whole cells, some hundred rows or one cell at a time
+                to = int(edge[max(np.searchsorted(edge, low, "right"), np.searchsorted(edge, low + 512, "right") - 1)])
+                yield done(now.slice(low, to - low))
+                low = to
+            rest = now.slice(low)
         if rest is not None and rest.num_rows:
             yield done(rest)
 
@@ -270,6 +281,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, parts: DataFrame, percent: int)
     points = (pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b")
               .join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a"))
     pairs = write_shared(points.transform(in_arrow, likely, "a long, b long, na long, nb long"), "likely")
+    asked = key_filter(pairs.select(F.xxhash64("a").alias("h")).union(pairs.select(F.xxhash64("b").alias("h"))), "h")
+    parts = _filtered(parts.withColumn("h", F.xxhash64("node")), asked)
     level = lambda n: F.greatest(F.lit(0), F.length(F.bin(F.col(n) - 1)) - (PART - 1).bit_length())
     # of linked sets the smaller one's level is among those of the larger one
     pairs = pairs.withColumn("level", F.least(level("na"), level("nb")))
