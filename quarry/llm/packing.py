@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from quarry.llm.shared import held, in_arrow, write_shared
 from quarry.llm.words import RunCache, slices, spans, take_runs, text_buffers
 
-_PIECES = 100_000  # a worker remembers the ids of so many pieces
+_PIECES = 200_000  # a worker remembers the ids of so many pieces
 #: The splitting pattern of the word-level file, as in its pre-tokenizer (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -60,7 +60,7 @@ class WordIds:
         self.safe = regex.compile(r"[\x21-\x7E\xA1-ɏ]+").fullmatch
         self.letters = _byte_letters()
         self.pieces: dict[str, list[int]] = {}
-        self.cache = RunCache(lambda words: self._encode([w.decode() for w in words]))
+        self.cache = RunCache(lambda words: self._encode([w.decode() for w in words]), limit=1_500_000, most=12_000_000)
 
     def _piece(self, piece: str) -> list[int]:
         ids = self.pieces.get(piece)
