@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.blocks import block_of, doc_id_at
-from quarry.operators.index import Index
+from quarry.operators.index import Index, split_tokens
 from quarry.plans import sizing
 
 SCORE_DIGITS = 6
@@ -39,10 +39,10 @@ def augment_query(queries: DataFrame, flags: dict[str, Column], text_col: str =
 
 
 def query_tokens(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
-                 stopwords: list[str] | None = None) -> DataFrame:
+                 stopwords: list[str] | None = None, abbreviations: DataFrame | None = None) -> DataFrame:
     """(query_id, pos, tok): tokens left after stop-word removal."""
-    toks = sizing.spread_small_input(queries).select(F.col(id_col).cast("long").alias("query_id"),
-                          F.posexplode(T.tokens(F.col(text_col))).alias("pos", "tok"))
+    toks = split_tokens(sizing.spread_small_input(queries), id_col, text_col, abbreviations=abbreviations)
+    toks = toks.withColumnRenamed("doc_id", "query_id")
     return toks.where(~T.is_stopword(F.col("tok"), stopwords))
 
 
@@ -72,10 +72,10 @@ def expand_synonyms(toks: DataFrame, synonyms: DataFrame, max_rows: int | None =
 
 def normalize_queries(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                       stopwords: list[str] | None = None, synonyms: DataFrame | None = None,
-                      stem: bool | str = True) -> DataFrame:
+                      stem: bool | str = True, abbreviations: DataFrame | None = None) -> DataFrame:
     """R1 (+R2): (query_id, pos, term) — same token, stop, lower and stem
     rules as the documents."""
-    toks = query_tokens(queries, id_col, text_col, stopwords)
+    toks = query_tokens(queries, id_col, text_col, stopwords, abbreviations)
     if synonyms is not None:
         toks = expand_synonyms(toks, synonyms)
     toks = toks.select("query_id", "pos", F.lower("tok").alias("surface"))
@@ -163,8 +163,8 @@ class QuerySide:
     def __init__(self, index: Index, queries: DataFrame, id_col: str = "query_id",
                  text_col: str = "text", stopwords: list[str] | None = None,
                  synonyms: DataFrame | None = None, stem: bool | str = True,
-                 max_broadcast_rows: int | None = None):
-        qterms = normalize_queries(queries, id_col, text_col, stopwords, synonyms, stem)
+                 max_broadcast_rows: int | None = None, abbreviations: DataFrame | None = None):
+        qterms = normalize_queries(queries, id_col, text_col, stopwords, synonyms, stem, abbreviations)
         counts = query_term_counts(qterms)
         self.index = index
         self.max_rows = (sizing.broadcast_rows(queries.sparkSession)

@@ -115,6 +115,30 @@ ORACLE["tokenize"] = (
     "WITH raw AS (SELECT doc_id, " + rules.duckdb_tokens_sql("text") + " AS toks FROM documents)\n"
     "SELECT doc_id, CAST(generate_subscripts(toks, 1) - 1 AS BIGINT) AS pos, unnest(toks) AS tok FROM raw")
 
+_ABBREVIATIONS = r"""
+chunk AS (SELECT unnest(string_split_regex(text, '\s+')) AS c FROM documents),
+opened AS (SELECT regexp_extract(c, '^[(\[{<"''`]*(\p{L}(?:[\p{L}.]*\p{L})?)(\.*)', ['word', 'stops']) AS m FROM chunk),
+counted AS (SELECT lower(m.word) AS word, count(*) FILTER (m.stops = '.') AS n_stop, count(*) FILTER (m.stops <> '.') AS n_plain
+  FROM opened WHERE m.word <> '' GROUP BY 1),
+rate AS (SELECT sum(n_stop) / sum(n_stop + n_plain) AS p FROM counted),
+abbr_scored AS (SELECT word, n_stop, n_plain, length(replace(word, '.', '')) AS letters, length(word) AS l,
+  2 * (n_stop * ln(0.99 / p) + n_plain * ln((1 - 0.99) / nullif(1 - p, 0))) AS gain FROM counted, rate WHERE n_stop > 0),
+abbr AS (SELECT word, n_stop, n_plain, gain * (l - letters + 1) * exp(-(letters + n_plain * ln(letters))) AS score
+  FROM abbr_scored WHERE gain * (l - letters + 1) * exp(-(letters + n_plain * ln(letters))) >= 0.3)"""
+
+ORACLE["abbreviations"] = "WITH " + _ABBREVIATIONS + "\nSELECT word, n_stop, n_plain, round(score, 6) AS score FROM abbr"
+
+ORACLE["tokenize_learned"] = (
+    "WITH " + _ABBREVIATIONS + r""",
+cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '\s+$', ''), '([.!?])\s+', '\1' || chr(10), 'g'), chr(10)) AS ps FROM documents),
+piece AS (SELECT doc_id, len(ps) AS n, generate_subscripts(ps, 1) AS nr, unnest(ps) AS piece FROM cut),
+judged AS (SELECT *, nr < n AND lower(regexp_extract(piece, '(?:^|[^\p{L}\p{N}.])(\p{L}(?:[\p{L}.]*\p{L})?)\.\z', 1)) IN (SELECT word FROM abbr) AS goes_on
+  FROM piece),
+split AS (SELECT doc_id, nr, goes_on, """ + rules.duckdb_tokens_sql("(CASE WHEN goes_on THEN left(piece, length(piece) - 1) ELSE piece END)") + r""" AS t FROM judged),
+glued AS (SELECT doc_id, nr, CASE WHEN goes_on THEN list_concat(t[:-2], [t[-1] || '.']) ELSE t END AS t FROM split),
+placed AS (SELECT doc_id, t, coalesce(sum(len(t)) OVER (PARTITION BY doc_id ORDER BY nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM glued)
+SELECT doc_id, CAST(s + generate_subscripts(t, 1) - 1 AS BIGINT) AS pos, unnest(t) AS tok FROM placed""")
+
 ORACLE["remove_stopwords"] = (
     "WITH raw AS (SELECT doc_id, " + rules.duckdb_tokens_sql("text") + " AS toks FROM documents),\n"
     "t AS (SELECT doc_id, CAST(generate_subscripts(toks, 1) - 1 AS BIGINT) AS pos, unnest(toks) AS tok FROM raw)\n"

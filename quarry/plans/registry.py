@@ -71,6 +71,21 @@ def tokenize(spark, d):
         "doc_id", F.col("pos").cast("long").alias("pos"), "tok")
 
 
+@register("abbreviations")
+def abbreviations(spark, d):
+    from quarry.operators.abbreviations import learn_abbreviations
+    return learn_abbreviations(corpus(spark, d)).select("word", "n_stop", "n_plain", r6("score"))
+
+
+@register("tokenize_learned")
+def tokenize_learned(spark, d):
+    """Tokens with sentence breaks by the abbreviations that the corpus itself teaches."""
+    from quarry.operators.abbreviations import learn_abbreviations, tokens_of_sentences
+    docs = corpus(spark, d)
+    return tokens_of_sentences(docs, learn_abbreviations(docs)).select(
+        "doc_id", F.col("pos").cast("long").alias("pos"), "tok")
+
+
 @register("remove_stopwords")
 def remove_stopwords(spark, d):
     from quarry.functions.text import is_stopword, tokens
