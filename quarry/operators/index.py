@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators.abbreviations import tokens_of_sentences
 from quarry.operators.blocks import BLOCK_BITS, block_of, block_postings
+from quarry.operators.stems import stem_by_dictionary
 from quarry.plans import sizing
 from quarry.plans.ordering import dense_index
 
@@ -34,17 +35,21 @@ def split_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def normalized_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      stopwords: list[str] | None = None, stem: bool | str = True,
-                     keep: tuple[str, ...] = (), abbreviations: DataFrame | None = None) -> DataFrame:
+                     keep: tuple[str, ...] = (), abbreviations: DataFrame | None = None,
+                     stems: DataFrame | None = None) -> DataFrame:
     """(doc_id, pos, term) — tokenise, drop stop words (case-sensitive,
     before lower-casing), lower-case, stem.  ``pos`` is the 0-based token
     position in the text before stop words are dropped.  ``stem``: True (the
     1980 Porter rules), "nltk" (NLTK's variant) or False.  Columns of ``keep``
     stay beside them.  ``abbreviations``: a learned table of words whose stop ends no
-    sentence (operators.abbreviations); None for the default rules."""
+    sentence (operators.abbreviations); None for the default rules.  ``stems``: a stem
+    dictionary (operators.stems) to look words up in; None applies the rules to each token."""
     toks = split_tokens(docs, id_col, text_col, keep, abbreviations)
     toks = toks.where(~T.is_stopword(F.col("tok"), stopwords))
     toks = toks.select(*keep, "doc_id", "pos", F.lower("tok").alias("surface"))
-    if stem:
+    if stem and stems is not None:
+        toks = stem_by_dictionary(toks, stems, mode=stem_mode(stem))
+    elif stem:
         toks = T.stem_column(toks, "surface", "term", stem_mode(stem))
     else:
         toks = toks.withColumnRenamed("surface", "term")
@@ -164,9 +169,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stopwords: list[str] | None = None, stem: bool | str = True,
                 max_broadcast_rows: int | None = None,
                 cut_lineage: bool = False, bits: int = BLOCK_BITS,
-                abbreviations: DataFrame | None = None) -> Index:
+                abbreviations: DataFrame | None = None, stems: DataFrame | None = None) -> Index:
     """The whole offline build, as a plan: no job runs before an action
-    (``abbreviations``, a learned table, is measured first; give `search` the same one).
+    (``abbreviations``, a learned table, and ``stems``, a stem dictionary, are measured
+    first; give `search` the same abbreviations).
 
     ``cut_lineage=True`` checkpoints the postings into the session's
     checkpoint folder (``spark.checkpoint.dir``, shared by the cluster; a job),
@@ -174,7 +180,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     re-run of the tokeniser over its share of the corpus."""
     docs = docs.withColumn("doc_id", F.col(id_col).cast("long")) if id_col != "doc_id" else docs
     placed = docs.select(block_of(F.col("doc_id").cast("long"), bits).alias("blk"), "doc_id", text_col).repartition("blk")
-    terms = normalized_terms(placed, "doc_id", text_col, stopwords, stem, keep=("blk",), abbreviations=abbreviations)
+    terms = normalized_terms(placed, "doc_id", text_col, stopwords, stem, keep=("blk",), abbreviations=abbreviations, stems=stems)
     post = postings(terms, keep=("blk",))
     # statistics, weights and norms all read the postings: keep them (memory,
     # spilling to disk; lost blocks are recomputed) so the text is tokenised

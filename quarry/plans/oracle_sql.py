@@ -149,6 +149,10 @@ ORACLE["normalized_terms"] = index_only("SELECT doc_id, pos, term FROM doc_terms
 ORACLE["stem_vocabulary"] = _docs_only(
     ",\n" + stem_ctes(["dtok"]) + "\nSELECT surface, term FROM stem").replace("\n,\n", ",\n", 1)
 
+ORACLE["stem_dictionary"] = _docs_only(
+    ",\n" + stem_ctes(["dtok"]) + "\nSELECT s.surface, s.term, count(*) AS n FROM dtok t JOIN stem s ON t.surface = s.surface "
+    "GROUP BY s.surface, s.term").replace("\n,\n", ",\n", 1)
+
 ORACLE["vocabulary"] = index_only(
     ", firsts AS (SELECT term, arg_min(doc_id, doc_id * 1000000000 + pos) AS first_doc_id, "
     "min(doc_id * 1000000000 + pos) AS k FROM doc_terms GROUP BY term)\n"
@@ -157,6 +161,8 @@ ORACLE["vocabulary"] = index_only(
         "\n, firsts", ",\nfirsts", 1)
 
 ORACLE["postings"] = index_only("SELECT term, doc_id, tf FROM post")
+# a stored stem must not change a single row
+ORACLE["postings_by_dictionary"] = ORACLE["postings"]
 ORACLE["term_stats"] = index_only("SELECT term, df, cf FROM stats")
 ORACLE["term_idf"] = index_only("SELECT term, df, round(idf, 6) AS idf FROM stats")
 ORACLE["tfidf_weights"] = index_only("SELECT term, doc_id, tf, round(w, 6) AS w FROM wts")

@@ -110,6 +110,26 @@ def stem_vocabulary(spark, d):
     return stem_column(surf, "surface", "term").select("surface", "term")
 
 
+def corpus_surfaces(spark, d) -> DataFrame:
+    """(surface, n) of the corpus: lower-cased words that are no stop words."""
+    from quarry.operators.stems import surface_counts
+    return surface_counts(I.normalized_terms(corpus(spark, d), stem=False).withColumnRenamed("term", "surface"))
+
+
+@register("stem_dictionary")
+def stem_dictionary(spark, d):
+    from quarry.operators.stems import stem_dictionary
+    return stem_dictionary(corpus_surfaces(spark, d)).select("surface", "term", "n")
+
+
+@register("postings_by_dictionary")
+def postings_by_dictionary(spark, d):
+    """The postings, with stems looked up in the corpus's dictionary: the same rows as `postings`."""
+    from quarry.operators.stems import stem_dictionary
+    words = stem_dictionary(corpus_surfaces(spark, d))
+    return I.postings(I.normalized_terms(corpus(spark, d), stems=words))
+
+
 @register("vocabulary")
 def vocabulary(spark, d):
     return I.vocabulary(I.normalized_terms(corpus(spark, d))).select(
