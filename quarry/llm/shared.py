@@ -83,12 +83,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
+def write_shared(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """The frame written once as Parquet in the shared folder, and read back: lineage is cut,
-    and a lost executor costs a re-read only."""
+    and a lost executor costs a re-read only. by: columns that get a folder for each value."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quarry-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
