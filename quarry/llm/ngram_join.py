@@ -269,20 +269,20 @@ def _set_parts(sets: list[np.ndarray], nodes: list[int], percent: int) -> tuple[
     return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, parts_of, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets meet the threshold. Fine points, a sixteenth of the sets' bytes,
-    travel first; sets only for the pairs that these let through, in parts of bounded size whose overlaps are summed."""
+    travel first; sets are made for the nodes of the pairs that these let through, in parts of bounded size
+    whose overlaps are summed. parts_of: (node, level, r, grams) of the nodes that a key filter passes."""
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [batch.column(c).to_pylist() for c in ("fa", "fb", "na", "nb")]
             good = [_fine_bound(a, b) >= _need(m, n, percent) for a, b, m, n in zip(*x, strict=True)]
             yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(good, pa.bool_()))
 
-    points = (pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b")
-              .join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a"))
-    pairs = write_shared(points.transform(in_arrow, likely, "a long, b long, na long, nb long"), "likely")
-    asked = key_filter(pairs.select(F.xxhash64("a").alias("h")).union(pairs.select(F.xxhash64("b").alias("h"))), "h")
-    parts = _filtered(parts.withColumn("h", F.xxhash64("node")), asked)
+    both = (pairs.select("a", "b").join(points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b")
+            .join(points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a"))
+    pairs = write_shared(both.transform(in_arrow, likely, "a long, b long, na long, nb long"), "likely")
+    parts = parts_of(key_filter(pairs.select(F.xxhash64("a").alias("h")).union(pairs.select(F.xxhash64("b").alias("h"))), "h"))
     level = lambda n: F.greatest(F.lit(0), F.length(F.bin(F.col(n) - 1)) - (PART - 1).bit_length())
     # of linked sets the smaller one's level is among those of the larger one
     pairs = pairs.withColumn("level", F.least(level("na"), level("nb")))
@@ -357,7 +357,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
         for batch in batches:
             batch = batch.filter(pa.array(is_rep(unsigned(batch.column("h").to_numpy()))))
             for part in slices(batch):
-                columns: list[list] = [[], [], [], []]
+                columns: list[list] = [[], [], [], [], []]
                 for grams in gram_sets(part, "text", n):
                     size = len(grams)
                     if not size:
@@ -365,19 +365,17 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
                     at = np.minimum(np.searchsorted(late, grams), max(0, len(late) - 1))
                     last = late[at] == grams if len(late) else np.zeros(size, bool)
                     order = np.concatenate([grams[~last], grams[last]])[:size - -(-percent * size // 100) + 1]
-                    for column, value in zip(columns, (_node(grams) - (1 << 64) * (_node(grams) >> 63), size, _point(grams), signed(order)), strict=True):
+                    for column, value in zip(columns, (_node(grams) - (1 << 64) * (_node(grams) >> 63), size, _point(grams), signed(order), _fine(grams)), strict=True):
                         column.append(value)
                 yield pa.record_batch([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()),
-                                       pa.array(columns[3], pa.list_(pa.int64()))], ["node", "n", "point", "keys"])
+                                       pa.array(columns[3], pa.list_(pa.int64())), pa.array(columns[4], pa.binary())], ["node", "n", "point", "keys", "fine"])
 
     hashed = docs.withColumn("h", F.xxhash64("doc_id"))
-    nodes = write_shared(hashed.transform(in_arrow, blocks, "node long, n long, point binary, keys array<long>"), "nodes")
+    nodes = write_shared(hashed.transform(in_arrow, blocks, "node long, n long, point binary, keys array<long>, fine binary"), "nodes")
 
-    # 3. blocks of two nodes or more
-    by_key = nodes.select("node", F.explode("keys").alias("key"))
-    shared = write_shared(by_key.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"))
-                          .where("pivot != other").drop("other"), "blocks")
-    is_shared = key_filter(shared, "key")
+    # 3. blocks of two nodes or more: keys that two rows have, then their nodes (a node may have two rows)
+    twice = write_shared(nodes.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1").select("key"), "blocks")
+    is_shared = key_filter(twice, "key")
 
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -389,7 +387,8 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
             yield pa.record_batch([pa.array(flat[good]), *(batch.column(c).take(row) for c in ("node", "n", "point"))], ["key", "node", "n", "point"])
 
     rows = write_shared(nodes.transform(in_arrow, survivors, "key long, node long, n long, point binary"), "survivors")
-    sizes = write_shared(rows.groupBy("key").agg(F.count("*").alias("m")).join(shared, "key"), "sizes")
+    sizes = write_shared(rows.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("pivot"), F.max("node").alias("other"))
+                         .where("pivot != other").drop("other"), "sizes")
     rows = rows.join(sizes, "key")
 
     # 4. candidates: pairs of small blocks that share enough keys, and the star of each large block
@@ -411,30 +410,29 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
     wanted = key_filter(pairs.select(F.xxhash64("a").alias("h")).union(pairs.select(F.xxhash64("b").alias("h")))
                         .union(large.select(F.xxhash64("node").alias("h"))).distinct(), "h")
 
-    fields = ["node", "n", "fine", "level", "r", "grams"]
+    points = write_shared(_filtered(nodes.select("node", "n", "fine").withColumn("h", F.xxhash64("node")), wanted)
+                          .groupBy("node", "n").agg(F.first("fine").alias("fine")), "points")
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(wanted(unsigned(batch.column("h").to_numpy()))))
             for part in slices(batch):
-                found = gram_sets(part, "text", n)
-                node, level, r, grams = _set_parts(found, part.column("node").to_pylist(), percent)
-                none = pa.nulls(len(node))
-                yield pa.record_batch([part.column("node"), pa.array([len(g) for g in found], pa.int64()), pa.array([_fine(g) for g in found], pa.binary()),
-                                       *(pa.nulls(len(found), t) for t in (pa.int32(), pa.int64(), pa.list_(pa.int64())))], fields)
-                yield pa.record_batch([pa.array(node, pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(level, pa.int32()),
-                                       pa.array(r, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], fields)
-
-    # a node's text is a row of its document that has the node itself: a key may have other rows
+                node, level, r, grams = _set_parts(gram_sets(part, "text", n), part.column("node").to_pylist(), percent)
+                yield pa.record_batch([pa.array(node, pa.int64()), pa.array(level, pa.int32()), pa.array(r, pa.int64()),
+                                       pa.array(grams, pa.list_(pa.int64()))], ["node", "level", "r", "grams"])
+
     rep_node = reps.select(F.col("rep").alias("doc_id"), "node").withColumn("h", F.xxhash64("node"))
-    # texts of the nodes to verify: a filter of wanted documents first, so that few texts meet the nodes
-    need_docs = key_filter(_filtered(rep_node, wanted).select(F.xxhash64("doc_id").alias("d")), "d")
-    rows_of = (members.join(_filtered(rep_node, wanted), ["doc_id", "node"]).groupBy("doc_id", "node", "h").agg(F.min("t").alias("t")))
-    few = (_filtered(hashed, need_docs).drop("h").join(rows_of, ["doc_id", "t"])
-           .groupBy("doc_id", "t", "node", "h").agg(F.first("text").alias("text")))
-    whole_sets = write_shared(few.transform(in_arrow, whole, "node long, n long, fine binary, level int, r long, grams array<long>"), "sets")
-    sets, parts = whole_sets.where("level is null").select("node", "n", "fine"), whole_sets.where("level is not null").select("node", "level", "r", "grams")
-    links = write_shared(_verified(pairs, sets, parts, percent), "links")
+
+    def parts_of(asked) -> DataFrame:
+        """Set parts of the asked nodes, from their texts: a filter of documents first, so that few texts meet the nodes."""
+        chosen = _filtered(rep_node, asked).drop("h")
+        need_docs = key_filter(chosen.select(F.xxhash64("doc_id").alias("d")), "d")
+        # a node's text is a row of its document that has the node itself: a key may have other rows
+        rows_of = members.join(chosen, ["doc_id", "node"]).groupBy("doc_id", "node").agg(F.min("t").alias("t"))
+        texts = (_filtered(hashed, need_docs).drop("h").join(rows_of, ["doc_id", "t"])
+                 .groupBy("doc_id", "t", "node").agg(F.first("text").alias("text")).select("node", "text"))
+        return write_shared(texts, "texts").transform(in_arrow, parted, "node long, level int, r long, grams array<long>")
+
+    links = write_shared(_verified(pairs, points, parts_of, percent), "links")
     labels = write_shared(components(links), "labels")
 
     # 5. what large blocks still hold of different components
@@ -442,7 +440,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
     mixed = left.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 != c2").select("key")
     left = left.join(mixed, "key")
     heads = left.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, HEAD).alias("firsts"))
-    left = left.join(heads, "node").join(sets.select("node", "fine"), "node")
+    left = left.join(heads, "node").join(points.select("node", "fine"), "node")
     cells = F.ceil(F.col("m") / cell).cast("int")
     left = left.withColumn("own", F.pmod(F.xxhash64("node"), cells).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), cells - 1)))
@@ -453,7 +451,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
         return (c[i] != c[j]) & (diagonal[i] | (own[i] != own[j]))
 
     more = _in_cells(left, percent, pair, ["key", "i", "j"], apart).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    extra = write_shared(_verified(more, sets, parts, percent), "more-links")
+    extra = write_shared(_verified(more, points, parts_of, percent), "more-links")
     if extra.limit(1).count():
         labels = write_shared(components(links.union(extra)), "all-labels")
 
