@@ -373,9 +373,9 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
     hashed = docs.withColumn("h", F.xxhash64("doc_id"))
     nodes = write_shared(hashed.transform(in_arrow, blocks, "node long, n long, point binary, keys array<long>, fine binary"), "nodes")
 
-    # 3. blocks of two nodes or more: keys that two rows have, then their nodes (a node may have two rows)
-    twice = write_shared(nodes.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1").select("key"), "blocks")
-    is_shared = key_filter(twice, "key")
+    # 3. blocks (key, m) of two rows or more, then their rows (a node may have two, which pair with each other nowhere)
+    counts = write_shared(nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "blocks")
+    is_shared = key_filter(counts, "key")
 
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -387,23 +387,22 @@ def _grouped(docs: DataFrame, n: int, percent: int, key: str, text: str, small:
             yield pa.record_batch([pa.array(flat[good]), *(batch.column(c).take(row) for c in ("node", "n", "point"))], ["key", "node", "n", "point"])
 
     rows = write_shared(nodes.transform(in_arrow, survivors, "key long, node long, n long, point binary"), "survivors")
-    sizes = write_shared(rows.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("pivot"), F.max("node").alias("other"))
-                         .where("pivot != other").drop("other"), "sizes")
-    rows = rows.join(sizes, "key")
-
     # 4. candidates: pairs of small blocks that share enough keys, and the star of each large block
     pair = "a long, b long, na long, nb long"
     least = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
     keys_of = lambda c: c - F.ceil(percent * c / 100) + 1
     enough = F.least(keys_of(F.col("na")) - F.col("na") + least, keys_of(F.col("nb")) - F.col("nb") + least) - 1e-6
-    near = (_in_cells(rows.where(f"m <= {small}").select("key", "node", "n", "point"), percent, pair, ["key"])
+    near = (_in_cells(rows.join(counts.where(f"m <= {small}"), "key").select("key", "node", "n", "point"), percent, pair, ["key"])
             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")))
-    large = write_shared(rows.where(f"m > {small}"), "large")
+    many = counts.where(f"m > {small}")
+    large = _filtered(rows, key_filter(many, "key"), "key").join(many, "key")  # few rows travel, and those of a hot key by AQE's splits
+    large = write_shared(large, "large")
     # keys of large blocks count for both nodes: a pair with some of them may be short of small ones and
     # is found in its large blocks
     near = near.where(F.col("c") >= enough).select("a", "b")
-    pivots = large.where("node = pivot").select("key", F.col("n").alias("pn"), F.col("point").alias("pp"))
-    stars = (large.where("node != pivot").join(pivots, "key")
+    pivots = (large.groupBy("key").agg(F.min(F.struct("node", "n", "point")).alias("p"))
+              .select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.point").alias("pp")))
+    stars = (large.join(pivots, "key").where("node != pivot")
              .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "n", "point", "pn", "pp")
              .transform(in_arrow, _bounded(percent), "a long, b long"))
     pairs = write_shared(near.union(stars).distinct(), "pairs")
