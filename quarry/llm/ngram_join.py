@@ -26,6 +26,7 @@ sets are compared by 64-bit hash until verification, which compares sets of 64-b
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,6 +154,7 @@ def _cell_pairs(points, sizes, percent: int, start: np.ndarray, end: np.ndarray)
 
 def _fine_pairs(fine: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     """Which of the pairs their fine points let through; pairs are taken by the shorter point's length."""
+    fine = [zlib.decompress(p) for p in fine]
     length = np.fromiter(map(len, fine), dtype=np.int64, count=len(fine))
     full = np.fromiter((255 in p for p in fine), dtype=bool, count=len(fine))
     shorter = np.minimum(length[i], length[j])
@@ -231,14 +233,15 @@ def _in_cells(rows: DataFrame, percent: int, schema: str, cell: list[str], keep=
 
 
 def _fine(grams: np.ndarray) -> bytes:
-    """A point with about one coordinate for every two n-grams (a power of two, 64 at least), a byte each."""
-    groups = max(64, 1 << max(0, (len(grams) // 2).bit_length() - 1))
-    return np.minimum(np.bincount((grams % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8).tobytes()
+    """A point with about one coordinate for each n-gram (a power of two, 1024 at least), a byte each, compressed:
+    small counts take some two bits. In sets of a few hundred n-grams few share a coordinate, so the bound is close."""
+    groups = max(1024, 1 << max(0, len(grams).bit_length() - 1))
+    return zlib.compress(np.minimum(np.bincount((grams % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8).tobytes(), 1)
 
 
 def _fine_bound(a: bytes, b: bytes) -> int:
     """Most that two sets with these fine points can share; the longer point is folded to the shorter's groups."""
-    x, y = (np.frombuffer(p, dtype=np.uint8) for p in (a, b))
+    x, y = (np.frombuffer(zlib.decompress(p), dtype=np.uint8) for p in (a, b))
     if x.max() == 255 or y.max() == 255:  # a count that did not fit
         return 1 << 40
     m = min(len(x), len(y))
@@ -270,7 +273,7 @@ def _set_parts(sets: list[np.ndarray], nodes: list[int], percent: int) -> tuple[
 
 
 def _verified(pairs: DataFrame, points: DataFrame, parts_of, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets meet the threshold. Fine points, a sixteenth of the sets' bytes,
+    """The pairs (a, b) whose whole sets meet the threshold. Fine points, some twentieth of the sets' bytes,
     travel first; sets are made for the nodes of the pairs that these let through, in parts of bounded size
     whose overlaps are summed. parts_of: (node, level, r, grams) of the nodes that a key filter passes."""
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
