@@ -56,6 +56,11 @@ TOKEN_RULES_AFTER_PAD = [
     (r"([^' ])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ", [1, " ", 2, " "]),
 ]
 WHITESPACE = r"\s+"
+# Java renderings of single rules, equal in what they match: a look-ahead at one character rules out
+# most places before the alternatives are tried (RE2 needs no such help and has no look-ahead)
+SPARK_PATTERNS = {
+    r"([^' ])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ": r"([^' ])(?=['nN])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ",
+}
 
 # ---------------------------------------------------------------------------
 # Porter (1980) suffix rules, in the order of the paper.
@@ -81,6 +86,10 @@ PORTER_STEP4 = [
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment",
     "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 ]
+# A word that is not changed by any rule, told by its last letters: none of these ends (the last one or
+# two letters of all suffixes above and of the NLTK variant, and the mark of step 1b) and no leading "Y".
+PORTER_LAST_LETTER = "sye "
+PORTER_LAST_TWO = "ed ng al ci er li gi on or sm ti ul ic nt ou ll".split()
 # consonant pairs that step 1b reduces to one letter (all but l, s, z)
 PORTER_DOUBLE_REDUCE = ["bb", "cc", "dd", "ff", "gg", "hh", "jj", "kk", "mm",
                         "nn", "pp", "qq", "rr", "tt", "vv", "ww", "xx"]
@@ -200,8 +209,19 @@ def _strip(w: str, n: int) -> str:
 
 def _suffix_case(w: str, rules, dialect: str) -> str:
     """One Porter step: the longest matching suffix decides, even when its
-    condition then fails (the word is kept unchanged in that case)."""
+    condition then fails (the word is kept unchanged in that case).  For Spark, whose stages are
+    interpreted, long lists are looked through by the last letter first."""
     ordered = sorted(rules, key=lambda r: -len(r[0]))
+    if dialect == "spark" and len(rules) > 4:
+        last = dict.fromkeys(r[0][-1] for r in ordered)
+        groups = [(c, [r for r in ordered if r[0][-1] == c]) for c in last]
+        if len(groups) > 1:
+            return "CASE " + " ".join(f"WHEN {w} LIKE '%{c}' THEN {_suffix_branches(w, g, dialect)}"
+                                      for c, g in groups) + f" ELSE {w} END"
+    return _suffix_branches(w, ordered, dialect)
+
+
+def _suffix_branches(w: str, ordered, dialect: str) -> str:
     branches = []
     for suffix, rep, cond, *cond_strip in ordered:
         stem = _strip(w, len(suffix))
@@ -274,6 +294,13 @@ def porter_stages(dialect: str, w: str = "w", mode: str = "porter") -> list[str]
     return stages
 
 
+def unchanged(surface: str) -> str:
+    """Spark condition: no rule of either variant changes the word (false for some words that none changes)."""
+    one = ", ".join(sql_str(x) for x in PORTER_LAST_LETTER)
+    two = ", ".join(sql_str(x) for x in PORTER_LAST_TWO)
+    return f"{surface} NOT LIKE 'Y%' AND right({surface}, 1) NOT IN ({one}) AND right({surface}, 2) NOT IN ({two})"
+
+
 def irregular_case(surface: str, stemmed: str, mode: str) -> str:
     """Final choice: short words pass through; NLTK irregular forms map directly."""
     branches = [f"WHEN length({surface}) <= 2 THEN {surface}"]

@@ -16,10 +16,10 @@ def tokens(text: Column | str) -> Column:
     """ARRAY<STRING> of word and punctuation tokens, in text order."""
     s = F.col(text) if isinstance(text, str) else text
     for pat, rep in rules.TOKEN_RULES_BEFORE_PAD:
-        s = F.regexp_replace(s, pat, rules.spark_replacement(rep))
+        s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
     s = F.concat(F.lit(" "), F.regexp_replace(s, rules.WHITESPACE, " "), F.lit(" "))
     for pat, rep in rules.TOKEN_RULES_AFTER_PAD:
-        s = F.regexp_replace(s, pat, rules.spark_replacement(rep))
+        s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
     return F.array_remove(F.split(s, rules.WHITESPACE), "")
 
 
@@ -43,11 +43,12 @@ def stem_expr(src: str, mode: str = "porter") -> Column:
     previous one exactly once: the nested expression grows linearly and
     stays linear when the optimizer inlines it into pushed-down filters or
     join keys (a plain chain of projections would be copied per reference).
+    Words that end in no suffix of any step leave before the first (the steps are interpreted).
     """
     e = src
     for stage in rules.porter_stages("spark", "x", mode):
         e = f"transform(array({e}), x -> {stage})[0]"
-    return F.expr(rules.irregular_case(src, e, mode))
+    return F.expr(rules.irregular_case(src, f"CASE WHEN {rules.unchanged(src)} THEN {src} ELSE {e} END", mode))
 
 
 def stem_column(df: DataFrame, src: str, dst: str = "term", mode: str = "porter") -> DataFrame:

@@ -159,6 +159,13 @@ class Index:
     text_col: str = "text"     # not stored with the index (the corpus stays where it is)
     kept: tuple[DataFrame, ...] = ()
 
+    def prepare(self) -> Index:
+        """Make what the build keeps by one job (none if nothing is kept).  Else each place of a plan
+        that reads it starts a job of its own to make it, all at the same time, on other executors."""
+        if self.kept:
+            self.kept[-1].write.format("noop").mode("overwrite").save()
+        return self
+
     def release(self) -> None:
         """Drop what the build keeps in the cache."""
         for df in self.kept:
@@ -179,7 +186,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     so a lost executor later costs a re-read of the postings rather than a
     re-run of the tokeniser over its share of the corpus."""
     docs = docs.withColumn("doc_id", F.col(id_col).cast("long")) if id_col != "doc_id" else docs
-    placed = docs.select(block_of(F.col("doc_id").cast("long"), bits).alias("blk"), "doc_id", text_col).repartition("blk")
+    n = sizing.text_tasks(docs)
+    placed = docs.select(block_of(F.col("doc_id").cast("long"), bits).alias("blk"), "doc_id", text_col)
+    placed = placed.repartition(n, "blk") if n else placed.repartition("blk")
     terms = normalized_terms(placed, "doc_id", text_col, stopwords, stem, keep=("blk",), abbreviations=abbreviations, stems=stems)
     post = postings(terms, keep=("blk",))
     # statistics, weights and norms all read the postings: keep them (memory,
@@ -191,8 +200,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         post = post.checkpoint(eager=True)
     else:
         post = post.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = term_stats(post, collection_size(docs))
+    # read by each weight, norm and query, under other columns and filters each time
+    stats = term_stats(post, collection_size(docs)).persist(StorageLevel.MEMORY_AND_DISK)
     weights = tfidf_weights(post, stats, max_broadcast_rows, keep=("idf", "blk"))
     unit = unit_weights(weights, bits)
     return Index(docs, post.select("term", "doc_id", "tf"), stats, unit, doc_norms(docs, weights),
-                 block_postings(unit, bits), bits, text_col=text_col, kept=() if cut_lineage else (post,))
+                 block_postings(unit, bits), bits, text_col=text_col, kept=(stats,) if cut_lineage else (post, stats))

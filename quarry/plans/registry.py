@@ -34,8 +34,8 @@ def query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
-def corpus_index(spark: SparkSession, sf_dir: str) -> I.Index:
-    return I.build_index(corpus(spark, sf_dir))
+def corpus_index(spark: SparkSession, sf_dir: str, **kw) -> I.Index:
+    return I.build_index(corpus(spark, sf_dir), **kw).prepare()
 
 
 def r6(x: str):
@@ -58,7 +58,7 @@ def search_top10_pruned(spark, d):
 
 @register("search_top10_nltk")
 def search_top10_nltk(spark, d):
-    idx = I.build_index(corpus(spark, d), stem="nltk")
+    idx = corpus_index(spark, d, stem="nltk")
     return S.search(idx, query_table(spark, d), k=10, stem="nltk")
 
 

@@ -86,6 +86,32 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# file bytes of text that make one task of the text stage (about twice that as text, and as many bytes
+# again in the task's counts), and the number of tasks beyond which they grow instead
+TEXT_TASK_BYTES = 8 << 20
+MAX_TEXT_TASKS = 20_000
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables that ``df`` reads, by Catalyst; None where they are not known."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return None
+    leaves = plan.queryExecution().analyzed().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return size if size < 1 << 60 else None
+
+
+def text_tasks(df: DataFrame) -> int | None:
+    """Partitions for the text of ``df``, whole waves of the cluster's cores; None for small inputs,
+    which the session's defaults divide.  Without a number, partitions are merged to a fixed size of compressed
+    text, whose counts a task may not hold in memory, and the last wave may be nearly empty."""
+    size, cores = input_bytes(df), df.sparkSession.sparkContext.defaultParallelism
+    if size is None or size <= TEXT_TASK_BYTES * cores:
+        return None
+    return min(-(-size // (TEXT_TASK_BYTES * cores)) * cores, max(MAX_TEXT_TASKS, cores))
+
+
 def spread_small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Round-robin a small input over the cluster's cores.
 
