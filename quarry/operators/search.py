@@ -231,10 +231,10 @@ def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> Da
     """
     qs = QuerySide(index, queries, **kw)
     norms = index.doc_norms
-    first_nonzero = norms.where(F.col("norm") > 0).orderBy("doc_id").limit(k)
-    first_zero = norms.where(F.col("norm") == 0).orderBy("doc_id").limit(k)
-    fill_list = first_nonzero.unionByName(first_zero).select(
-        F.collect_list(F.struct("doc_id", (F.col("norm") > 0).alias("has_norm")))).scalar()
+    # one reading of the lengths; row_number() <= k leaves k rows of each kind per task
+    kind = Window.partitionBy("has_norm").orderBy("doc_id")
+    first = norms.select("doc_id", (F.col("norm") > 0).alias("has_norm")).withColumn("nth", F.row_number().over(kind))
+    fill_list = first.where(F.col("nth") <= k).select(F.collect_list(F.struct("doc_id", "has_norm"))).scalar()
     fill = qs.query_ids.select("query_id", F.explode(fill_list).alias("f")).select(
         "query_id", F.col("f.doc_id").alias("doc_id"), block_of("f.doc_id", index.bits).alias("blk"),
         F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))

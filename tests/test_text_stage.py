@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quarry.functions import rules
 from quarry.functions import text as T
 from quarry.operators import index as I
+from quarry.operators import search as S
 from quarry.plans import sizing
 
 
@@ -60,3 +61,15 @@ def test_prepared_index_is_made_once(spark, docs):
     plan = idx.weights._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
     assert "count(" not in plan  # the statistics are read, not counted again
     idx.release()
+
+
+def test_fill_list_reads_the_lengths_once(spark, docs):
+    empty = spark.createDataFrame([(900 + i, "the") for i in range(15)], "doc_id long, text string")
+    idx = I.build_index(docs.unionByName(empty))
+    queries = spark.createDataFrame([(1, "word7"), (2, "absent")], "query_id long, text string")
+    got = S.search_exhaustive(idx, queries, k=3)
+    whole = got._jdf.queryExecution().analyzed().toString()
+    assert "GlobalLimit" not in whole
+    assert [(r.query_id, r["rank"], r.doc_id) for r in got.orderBy("query_id", "rank").collect()] == [
+        (1, 1, 7), (1, 2, 0), (1, 3, 1), (2, 1, 0), (2, 2, 1), (2, 3, 2)]
+    idx.release()
