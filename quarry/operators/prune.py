@@ -19,6 +19,8 @@ within the bound it is broadcast, beyond it the join is shuffled.  No query is s
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,7 +97,9 @@ def search_pruned(index: Index, queries: DataFrame, k: int = 10, rare_ratio: flo
         raise ValueError("a block's documents must fit the bits of a long")
     c = S.QuerySide(index, queries, **kw)
     if not index.stored:
-        index.blocks.persist(StorageLevel.MEMORY_AND_DISK)  # read twice
+        # read twice, and only the rows of query words
+        asked = sizing.hinted(c.qtf.select("term").distinct(), c.sized)
+        c.index = replace(index, blocks=index.blocks.join(asked, "term", "left_semi").persist(StorageLevel.MEMORY_AND_DISK))
     found = sums(c, rare_ratio).persist(StorageLevel.MEMORY_AND_DISK)
     kept = sizing.measure(survivors(c, found, k, rare_ratio), c.max_rows)
     found.unpersist()

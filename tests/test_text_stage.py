@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quarry.functions import rules
 from quarry.functions import text as T
 from quarry.operators import index as I
+from quarry.operators import prune
 from quarry.operators import search as S
 from quarry.plans import sizing
 
@@ -73,3 +74,14 @@ def test_fill_list_reads_the_lengths_once(spark, docs):
     assert [(r.query_id, r["rank"], r.doc_id) for r in got.orderBy("query_id", "rank").collect()] == [
         (1, 1, 7), (1, 2, 0), (1, 3, 1), (2, 1, 0), (2, 2, 1), (2, 3, 2)]
     idx.release()
+
+
+def test_pruned_search_keeps_blocks_of_query_words_only(spark, docs, monkeypatch):
+    idx = I.build_index(docs)
+    queries = spark.createDataFrame([(1, "word7 common"), (2, "word9 running hoping")], "query_id long, text string")
+    seen, sums = [], prune.sums
+    monkeypatch.setattr(prune, "sums", lambda c, *a: seen.append(c.index.blocks) or sums(c, *a))
+    got = prune.search_pruned(idx, queries, k=5)
+    assert sorted(got.collect()) == sorted(S.search(idx, queries, k=5).collect())
+    assert {r.term for r in seen[0].select("term").distinct().collect()} == {"word7", "common", "word9", "run", "hope"}
+    idx.release()
