@@ -59,6 +59,7 @@ WHITESPACE = r"\s+"
 # Java renderings of single rules, equal in what they match: a look-ahead at one character rules out
 # most places before the alternatives are tried (RE2 needs no such help and has no look-ahead)
 SPARK_PATTERNS = {
+    r"([;@#$%&?!*()\[\]{}<>]|\.\.+|--)": r"(?=[;@#$%&?!*()\[\]{}<>.\-])([;@#$%&?!*()\[\]{}<>]|\.\.+|--)",
     r"([^' ])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ": r"([^' ])(?=['nN])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ",
 }
 
@@ -90,6 +91,9 @@ PORTER_STEP4 = [
 # two letters of all suffixes above and of the NLTK variant, and the mark of step 1b) and no leading "Y".
 PORTER_LAST_LETTER = "sye "
 PORTER_LAST_TWO = "ed ng al ci er li gi on or sm ti ul ic nt ou ll".split()
+# the last two letters of all suffixes of steps 2 to 4, those of the NLTK variant included
+PORTER_STEPS_2_TO_4_LAST_TWO = sorted({x[-2:] for x in [
+    *(a for a, _ in PORTER_STEP2 + PORTER_STEP3), *PORTER_STEP4, "bli", "fulli", "logi"]})
 # consonant pairs that step 1b reduces to one letter (all but l, s, z)
 PORTER_DOUBLE_REDUCE = ["bb", "cc", "dd", "ff", "gg", "hh", "jj", "kk", "mm",
                         "nn", "pp", "qq", "rr", "tt", "vv", "ww", "xx"]
@@ -207,6 +211,16 @@ def _strip(w: str, n: int) -> str:
     return f"left({w}, length({w}) - {n})"
 
 
+def _choose(branches, otherwise: str, dialect: str) -> str:
+    """The value of the first (condition, value) that holds.  Spark interprets the stem rules, and its CASE counts
+    the list of branches for each row, so IFs are nested there."""
+    if dialect == "spark":
+        for cond, value in reversed(branches):
+            otherwise = f"IF({cond}, {value}, {otherwise})"
+        return otherwise
+    return "CASE " + " ".join(f"WHEN {cond} THEN {value}" for cond, value in branches) + f" ELSE {otherwise} END"
+
+
 def _suffix_case(w: str, rules, dialect: str) -> str:
     """One Porter step: the longest matching suffix decides, even when its
     condition then fails (the word is kept unchanged in that case).  For Spark, whose stages are
@@ -216,8 +230,7 @@ def _suffix_case(w: str, rules, dialect: str) -> str:
         last = dict.fromkeys(r[0][-1] for r in ordered)
         groups = [(c, [r for r in ordered if r[0][-1] == c]) for c in last]
         if len(groups) > 1:
-            return "CASE " + " ".join(f"WHEN {w} LIKE '%{c}' THEN {_suffix_branches(w, g, dialect)}"
-                                      for c, g in groups) + f" ELSE {w} END"
+            return _choose([(f"{w} LIKE '%{c}'", _suffix_branches(w, g, dialect)) for c, g in groups], w, dialect)
     return _suffix_branches(w, ordered, dialect)
 
 
@@ -227,13 +240,11 @@ def _suffix_branches(w: str, ordered, dialect: str) -> str:
         stem = _strip(w, len(suffix))
         new = f"concat({stem}, {sql_str(rep)})" if rep else stem
         if cond is None:
-            branches.append(f"WHEN {w} LIKE '%{suffix}' THEN {new}")
+            branches.append((f"{w} LIKE '%{suffix}'", new))
         else:
             tested = _strip(w, cond_strip[0]) if cond_strip else stem
-            branches.append(
-                f"WHEN {w} LIKE '%{suffix}' THEN CASE WHEN {_cond(cond, tested, dialect)} "
-                f"THEN {new} ELSE {w} END")
-    return "CASE " + " ".join(branches) + f" ELSE {w} END"
+            branches.append((f"{w} LIKE '%{suffix}'", _choose([(_cond(cond, tested, dialect), new)], w, dialect)))
+    return _choose(branches, w, dialect)
 
 
 def porter_stages(dialect: str, w: str = "w", mode: str = "porter") -> list[str]:
@@ -251,32 +262,28 @@ def porter_stages(dialect: str, w: str = "w", mode: str = "porter") -> list[str]
     nltk = mode == "nltk"
     stages = []
     # mark a leading y as consonant
-    stages.append(f"CASE WHEN {w} LIKE 'y%' THEN concat('Y', substr({w}, 2)) ELSE {w} END")
+    stages.append(_choose([(f"{w} LIKE 'y%'", f"concat('Y', substr({w}, 2))")], w, dialect))
     step1a = _suffix_case(w, PORTER_STEP1A, dialect)
     if nltk:
-        step1a = (f"CASE WHEN {w} LIKE '%ies' AND length({w}) = 4 THEN concat({_strip(w, 3)}, 'ie') "
-                  f"ELSE {step1a} END")
+        step1a = _choose([(f"{w} LIKE '%ies' AND length({w}) = 4", f"concat({_strip(w, 3)}, 'ie')")], step1a, dialect)
     stages.append(step1a)
     step1b = _suffix_case(w, PORTER_STEP1B, dialect)
     if nltk:
-        step1b = (f"CASE WHEN {w} LIKE '%ied' THEN concat({_strip(w, 3)}, "
-                  f"CASE WHEN length({w}) = 4 THEN 'ie' ELSE 'i' END) ELSE {step1b} END")
+        ending = _choose([(f"length({w}) = 4", "'ie'")], "'i'", dialect)
+        step1b = _choose([(f"{w} LIKE '%ied'", f"concat({_strip(w, 3)}, {ending})")], step1b, dialect)
     stages.append(step1b)
     s = _strip(w, 1)
     add_e = " OR ".join(f"{s} LIKE '%{x}'" for x in PORTER_STEP1B_ADD_E)
     dbl = "(" + "|".join(PORTER_DOUBLE_REDUCE) + ")$"
-    stages.append(
-        f"CASE WHEN {w} NOT LIKE '% ' THEN {w} "
-        f"WHEN {add_e} THEN concat({s}, 'e') "
-        f"WHEN {_match(s, dbl, dialect)} THEN {_strip(s, 1)} "
-        f"WHEN {_cond('m=1 and *o', s, dialect, nltk)} THEN concat({s}, 'e') "
-        f"ELSE {s} END")
+    stages.append(_choose([
+        (f"{w} NOT LIKE '% '", w), (add_e, f"concat({s}, 'e')"), (_match(s, dbl, dialect), _strip(s, 1)),
+        (_cond("m=1 and *o", s, dialect, nltk), f"concat({s}, 'e')")], s, dialect))
     step1c = [(a, b, "*c and len>1") for a, b, _ in PORTER_STEP1C] if nltk else PORTER_STEP1C
     stages.append(_suffix_case(w, step1c, dialect))
     step2 = [(a, b, "m>0") for a, b in PORTER_STEP2]
     if nltk:
-        stages.append(f"CASE WHEN {w} LIKE '%alli' AND {_cond('m>0', _strip(w, 4), dialect)} "
-                      f"THEN concat({_strip(w, 4)}, 'al') ELSE {w} END")
+        stages.append(_choose([(f"{w} LIKE '%alli' AND {_cond('m>0', _strip(w, 4), dialect)}",
+                                f"concat({_strip(w, 4)}, 'al')")], w, dialect))
         step2 = [(*NLTK_STEP2_INSTEAD, "m>0") if (a, b) == NLTK_STEP2_REPLACED else (a, b, c)
                  for a, b, c in step2]
         step2 += [("fulli", "ful", "m>0"), ("logi", "log", "m>0", 3)]
@@ -285,12 +292,10 @@ def porter_stages(dialect: str, w: str = "w", mode: str = "porter") -> list[str]
     stages.append(_suffix_case(
         w, [(a, "", "m>1 and (*S or *T)" if a == "ion" else "m>1") for a in PORTER_STEP4], dialect))
     s = _strip(w, 1)
-    stages.append(
-        f"CASE WHEN {w} LIKE '%e' AND ({_cond('m>1', s, dialect)} OR "
-        f"({_cond('m=1', s, dialect)} AND NOT {_cond('*o', s, dialect, nltk)})) THEN {s} ELSE {w} END")
-    stages.append(
-        f"CASE WHEN {w} LIKE '%ll' AND {_cond('m>1', w, dialect)} THEN {_strip(w, 1)} ELSE {w} END")
-    stages.append(f"CASE WHEN {w} LIKE 'Y%' THEN concat('y', substr({w}, 2)) ELSE {w} END")
+    stages.append(_choose([(f"{w} LIKE '%e' AND ({_cond('m>1', s, dialect)} OR "
+                            f"({_cond('m=1', s, dialect)} AND NOT {_cond('*o', s, dialect, nltk)}))", s)], w, dialect))
+    stages.append(_choose([(f"{w} LIKE '%ll' AND {_cond('m>1', w, dialect)}", _strip(w, 1))], w, dialect))
+    stages.append(_choose([(f"{w} LIKE 'Y%'", f"concat('y', substr({w}, 2))")], w, dialect))
     return stages
 
 

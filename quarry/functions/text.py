@@ -19,8 +19,12 @@ def tokens(text: Column | str) -> Column:
         s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
     s = F.concat(F.lit(" "), F.regexp_replace(s, rules.WHITESPACE, " "), F.lit(" "))
     for pat, rep in rules.TOKEN_RULES_AFTER_PAD:
-        s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
-    return F.array_remove(F.split(s, rules.WHITESPACE), "")
+        if pat == '"':  # a letter for a text: no regex is needed
+            s = F.replace(s, F.lit(pat), F.lit(*rep))
+        else:
+            s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
+    # blanks are the only white space by now
+    return F.array_remove(F.split(s, " "), "")
 
 
 def default_stopwords() -> list[str]:
@@ -39,15 +43,31 @@ def is_stopword(tok: Column, stopwords: list[str] | None = None) -> Column:
 def stem_expr(src: str, mode: str = "porter") -> Column:
     """T5: Porter stem of column ``src`` (lower-case input).
 
-    Each step is a lambda over a one-element array, so every step reads the
-    previous one exactly once: the nested expression grows linearly and
+    Each step is a lambda over the value of the step before, so every step reads it
+    exactly once: the nested expression grows linearly and
     stays linear when the optimizer inlines it into pushed-down filters or
     join keys (a plain chain of projections would be copied per reference).
-    Words that end in no suffix of any step leave before the first (the steps are interpreted).
+    The steps are interpreted, so words that end in no suffix of any step leave before the first, and
+    steps whose suffixes a word does not have are passed over. The value is bound as the start of an
+    `aggregate` over one constant entry, which makes no array for each word.
     """
-    e = src
-    for stage in rules.porter_stages("spark", "x", mode):
-        e = f"transform(array({e}), x -> {stage})[0]"
+    n = len(rules.porter_stages("spark", "w", mode))
+
+    def step(k: int, w: str) -> str:
+        return rules.porter_stages("spark", w, mode)[k]
+
+    def bind(value: str, w: str, body: str) -> str:
+        return f"aggregate(array(0), {value}, ({w}, i) -> {body})"
+
+    two = ", ".join(rules.sql_str(x) for x in rules.PORTER_STEPS_2_TO_4_LAST_TWO)
+    inner = step(4, "w")  # steps 1c, 2, 3 and 4
+    for k in range(5, n - 3):
+        inner = bind(inner, "x", step(k, "x"))
+    e = bind(step(0, src), "w", f"IF(w LIKE '%s', {step(1, 'w')}, w)")
+    e = bind(e, "w", f"IF(w LIKE '%ed' OR w LIKE '%ing' OR w LIKE '% ', {bind(step(2, 'w'), 'x', step(3, 'x'))}, w)")
+    e = bind(e, "w", f"IF(w LIKE '%y' OR right(w, 2) IN ({two}), {inner}, w)")
+    e = bind(e, "w", f"IF(w LIKE '%e', {bind(step(n - 3, 'w'), 'x', step(n - 2, 'x'))}, {step(n - 2, 'w')})")
+    e = bind(e, "w", step(n - 1, "w"))
     return F.expr(rules.irregular_case(src, f"CASE WHEN {rules.unchanged(src)} THEN {src} ELSE {e} END", mode))
 
 

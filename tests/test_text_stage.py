@@ -85,3 +85,40 @@ def test_pruned_search_keeps_blocks_of_query_words_only(spark, docs, monkeypatch
     assert sorted(got.collect()) == sorted(S.search(idx, queries, k=5).collect())
     assert {r.term for r in seen[0].select("term").distinct().collect()} == {"word7", "common", "word9", "run", "hope"}
     idx.release()
+
+
+def test_stem_steps_bind_no_arrays_and_count_no_branches():
+    """What is interpreted for each word has no CASE (its branches are a list that is counted each time) and makes no array."""
+    for mode in ("porter", "nltk"):
+        assert not any("CASE" in stage for stage in rules.porter_stages("spark", "w", mode))
+        assert any("CASE" in stage for stage in rules.porter_stages("duckdb", "w", mode))
+        assert "transform(" not in str(T.stem_expr("w", mode))
+
+
+@pytest.mark.parametrize("mode", ["porter", "nltk"])
+def test_passed_over_steps_change_nothing(spark, mode):
+    """Words of one suffix on another, so that one step makes the ending of a later one."""
+    ends = ["s", "ed", "ing", "ied", "ies", "y", "e", "lle", "ll", *(a for a, _ in rules.PORTER_STEP2), *(a for a, _ in rules.PORTER_STEP3), *rules.PORTER_STEP4,
+            "fulli", "logi", "bly", "ily", "ility", "encies", "izers", "izing"]
+    words = {h + a + b for h in ("y", "yell", "tr", "hop", "gener", "é") for a in ends for b in ends}
+    df = spark.createDataFrame([(w,) for w in sorted(words)], "w string")
+    plain = "w"
+    for stage in rules.porter_stages("duckdb", "x", mode):
+        plain = f"transform(array({plain}), x -> {stage.replace('regexp_matches', 'regexp_like')})[0]"
+    assert df.where(~T.stem_expr("w", mode).eqNullSafe(F.expr(rules.irregular_case("w", plain, mode)))).collect() == []
+
+
+def test_tokens_of_odd_punctuation(spark, monkeypatch):
+    """The renderings for Spark against the rules by one regex each."""
+    import re
+    texts = ['.. ... a..b --- -- a-b -.- .-. ;;. "" " \'" (") {["a"]} "" "x', "\u00a0 a\u2003b\t\n\x0b\x0c\r c.\n\n.\n", " ", '"', "--", "é..ü--ñ;"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in df.select("text", T.tokens("text").alias("t")).collect():
+        s, space = row.text, r"[ \t\n\x0b\f\r]+"
+        part = lambda rep: lambda m: "".join((m.group(p) or "") if isinstance(p, int) else p for p in rep)
+        for pat, rep in rules.TOKEN_RULES_BEFORE_PAD:
+            s = re.sub(pat.replace(r"\s", r"[ \t\n\x0b\f\r]").replace("$)", r"(?=\n?\Z))"), part(rep), s)
+        s = " " + re.sub(space, " ", s) + " "
+        for pat, rep in rules.TOKEN_RULES_AFTER_PAD:
+            s = re.sub(pat, part(rep), s)
+        assert row.t == [x for x in re.split(space, s) if x], row.text
