@@ -63,6 +63,11 @@ SPARK_PATTERNS = {
     r"([^' ])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ": r"([^' ])(?=['nN])((?i:'ll|'re|'ve|n't|'s|'m|'d)|') ",
 }
 
+# what WHITESPACE matches in Java, one character at a time and without the blank
+SPARK_WHITE_BUT_BLANK = r"[\t-\r]"
+# every match of a rule after the padding has one of these in it: a word without any is one token
+SPARK_SPLIT_IN_WORD = r"""[:,;@#$%&?!*()\[\]{}<>"'.\-]"""
+
 # ---------------------------------------------------------------------------
 # Porter (1980) suffix rules, in the order of the paper.
 # (suffix, replacement, condition on the remaining stem)

@@ -12,18 +12,40 @@ from pyspark.sql import functions as F
 from quarry.functions import rules
 
 
+def _sentence_breaks(s: Column) -> Column:
+    for pat, rep in rules.TOKEN_RULES_BEFORE_PAD:
+        s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
+    return s
+
+
 def tokens(text: Column | str) -> Column:
     """ARRAY<STRING> of word and punctuation tokens, in text order."""
     s = F.col(text) if isinstance(text, str) else text
-    for pat, rep in rules.TOKEN_RULES_BEFORE_PAD:
-        s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
-    s = F.concat(F.lit(" "), F.regexp_replace(s, rules.WHITESPACE, " "), F.lit(" "))
+    return _padded_tokens(F.concat(F.lit(" "), F.regexp_replace(_sentence_breaks(s), rules.SPARK_WHITE_BUT_BLANK, " "), F.lit(" ")))
+
+
+def words(text: Column | str) -> Column:
+    """ARRAY<STRING> of what white space separates once sentence ends are marked, with empty strings
+    between white space.  ``tokens(text)`` is the ``word_tokens`` of these words in order: after the padding,
+    a rule looks at one word and the blanks at its ends only."""
+    s = F.col(text) if isinstance(text, str) else text
+    return F.split(F.regexp_replace(_sentence_breaks(s), rules.SPARK_WHITE_BUT_BLANK, " "), " ")
+
+
+def word_tokens(word: Column | str) -> Column:
+    """ARRAY<STRING> of the tokens of one of the ``words``; a word without a letter of any rule is its own token."""
+    w = F.col(word) if isinstance(word, str) else word
+    padded = _padded_tokens(F.concat(F.lit(" "), w, F.lit(" ")))
+    return F.when(w.rlike(rules.SPARK_SPLIT_IN_WORD), padded).otherwise(F.array(w))
+
+
+def _padded_tokens(s: Column) -> Column:
     for pat, rep in rules.TOKEN_RULES_AFTER_PAD:
         if pat == '"':  # a letter for a text: no regex is needed
             s = F.replace(s, F.lit(pat), F.lit(*rep))
         else:
             s = F.regexp_replace(s, rules.SPARK_PATTERNS.get(pat, pat), rules.spark_replacement(rep))
-    # blanks are the only white space by now
+    # blanks are the only white space by now; no rule tells one from several
     return F.array_remove(F.split(s, " "), "")
 
 

@@ -77,6 +77,13 @@ def postings(terms: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return terms.groupBy("term", "doc_id", *keep).agg(F.count(F.lit(1)).cast("long").alias("tf"))
 
 
+def surfaces(docs: DataFrame, text_col: str = "text", stopwords: list[str] | None = None) -> DataFrame:
+    """(surface): the distinct lower-cased tokens that are no stop words, by way of the distinct words."""
+    found = docs.select(F.explode(T.words(F.col(text_col))).alias("word")).where(F.col("word") != "").distinct()
+    toks = found.select(F.explode(T.word_tokens("word")).alias("tok")).where(~T.is_stopword(F.col("tok"), stopwords))
+    return toks.select(F.lower("tok").alias("surface")).distinct()
+
+
 def collection_size(docs: DataFrame) -> Column:
     """N as a scalar subquery (counts documents with no terms too)."""
     return docs.select(F.count(F.lit(1)).cast("double")).scalar()
@@ -128,6 +135,11 @@ def doc_norms(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id") -> Da
         "doc_id", F.coalesce("norm", F.lit(0.0)).alias("norm"))
 
 
+def block_lengths(weights: DataFrame) -> DataFrame:
+    """(blk, doc_id, norm) of each document with terms, by partial sums: no weight moves for it."""
+    return weights.groupBy("blk", "doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+
+
 def unit_weights(weights: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     """(term, doc_id, tf, idf, w, nw, blk) with nw = w / |document| (NULL for a zero length), so a
     query scores by one join and one sum.  The weights are hashed by block of documents; the
@@ -157,6 +169,8 @@ class Index:
     bits: int = BLOCK_BITS
     stored: bool = False   # the blocks are a table, bucketed by block and sorted by term
     text_col: str = "text"     # not stored with the index (the corpus stays where it is)
+    placed: DataFrame | None = None   # of an index not stored: the postings with blk, hashed by it
+    lengths: DataFrame | None = None  # of an index not stored: blk, doc_id, norm of each document with terms
     kept: tuple[DataFrame, ...] = ()
 
     def prepare(self) -> Index:
@@ -205,4 +219,4 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     weights = tfidf_weights(post, stats, max_broadcast_rows, keep=("idf", "blk"))
     unit = unit_weights(weights, bits)
     return Index(docs, post.select("term", "doc_id", "tf"), stats, unit, doc_norms(docs, weights),
-                 block_postings(unit, bits), bits, text_col=text_col, kept=(stats,) if cut_lineage else (post, stats))
+                 block_postings(unit, bits), bits, text_col=text_col, placed=post, lengths=block_lengths(weights), kept=(stats,) if cut_lineage else (post, stats))

@@ -103,11 +103,8 @@ def normalized_terms(spark, d):
 
 @register("stem_vocabulary")
 def stem_vocabulary(spark, d):
-    from quarry.functions.text import is_stopword, stem_column, tokens
-    docs = corpus(spark, d)
-    t = docs.select(F.explode(tokens(F.col("text"))).alias("tok")).where(~is_stopword(F.col("tok")))
-    surf = t.select(F.lower("tok").alias("surface")).distinct()
-    return stem_column(surf, "surface", "term").select("surface", "term")
+    from quarry.functions.text import stem_column
+    return stem_column(I.surfaces(corpus(spark, d)), "surface", "term").select("surface", "term")
 
 
 def corpus_surfaces(spark, d) -> DataFrame:
