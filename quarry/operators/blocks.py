@@ -17,8 +17,12 @@ BLOCKS_DDL = ("blk BIGINT, term STRING, idf DOUBLE, n INT, first_id BIGINT, last
               "offs ARRAY<INT>, tfs ARRAY<BIGINT>, nws ARRAY<DOUBLE>, maxnw DOUBLE")
 
 
+# the block of rows without an id (no id lies there: a block number has at most 64 - bits bits)
+NO_BLOCK = -(1 << 63)
+
+
 def block_of(doc_id: Column | str, bits: int = BLOCK_BITS) -> Column:
-    return F.shiftright(doc_id, bits)
+    return F.coalesce(F.shiftright(doc_id, bits), F.lit(NO_BLOCK))
 
 
 def block_postings(weights: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:

@@ -103,4 +103,4 @@ def search_pruned(index: Index, queries: DataFrame, k: int = 10, rare_ratio: flo
     found = sums(c, rare_ratio).persist(StorageLevel.MEMORY_AND_DISK)
     kept = sizing.measure(survivors(c, found, k, rare_ratio), c.max_rows)
     found.unpersist()
-    return S.rank_top_k(S._scores(scored_parts(c, sizing.hinted(kept.df, kept)), c.qnorms), k)
+    return S.rank_top_k(S._scores(S._dots(scored_parts(c, sizing.hinted(kept.df, kept))), c.qnorms), k)

@@ -134,11 +134,30 @@ def _block_parts(qweights: DataFrame, blocks: DataFrame, bits: int) -> DataFrame
     return rows.select("query_id", doc_id_at(F.col("e.offs"), bits).alias("doc_id"), "blk", (F.col("qw") * F.col("e.nws")).alias("part"))
 
 
-def _scores(parts: DataFrame, qnorms: DataFrame) -> DataFrame:
-    """cosine = dot / (doc_norm * query_norm); a zero length gives NULL.
-    The block follows from the document; as a key it tells that no rows need to move."""
-    dot = parts.groupBy("query_id", "blk", "doc_id").agg(F.sum("part").alias("dotn"))
-    return dot.join(qnorms, "query_id", "left").select(
+def _dots(parts: DataFrame) -> DataFrame:
+    """(query_id, blk, doc_id, dotn).  The block follows from the document; as a key it tells that no rows need to move."""
+    return parts.groupBy("query_id", "blk", "doc_id").agg(F.sum("part").alias("dotn"))
+
+
+def _placed_parts(qtf: DataFrame, stats: DataFrame, placed: DataFrame) -> DataFrame:
+    """(query_id, doc_id, blk, part = qw * w): the postings of query words only, where they are kept."""
+    words = F.broadcast(qtf.join(stats.select("term", "idf"), "term"))
+    part = (F.col("qtf") * F.col("idf")) * (F.col("tf") * F.col("idf"))
+    return placed.select("term", "doc_id", "tf", "blk").join(words, "term").select("query_id", "doc_id", "blk", part.alias("part"))
+
+
+def _over_lengths(dots: DataFrame, lengths: DataFrame) -> DataFrame:
+    """dots / |document|.  The block is the only key, as both sides are hashed by it and the dots stay where
+    they are; it has few documents, one of which is the right one."""
+    n = lengths.select(F.col("blk").alias("__blk"), F.col("doc_id").alias("__doc"), "norm").hint("shuffle_hash")
+    same = (F.col("doc_id") - F.col("__doc") == 0) | (F.col("doc_id").isNull() & F.col("__doc").isNull())
+    return dots.join(n, (F.col("blk") == F.col("__blk")) & same, "left").select(
+        "query_id", "blk", "doc_id", F.try_divide("dotn", "norm").alias("dotn"))
+
+
+def _scores(dots: DataFrame, qnorms: DataFrame) -> DataFrame:
+    """cosine = dot / (doc_norm * query_norm); a zero length gives NULL."""
+    return dots.join(qnorms, "query_id", "left").select(
         "query_id", "doc_id",
         F.round(F.try_divide(F.col("dotn"), F.col("qnorm")), SCORE_DIGITS).alias("score"))
 
@@ -202,6 +221,16 @@ class QuerySide:
             return _block_parts(self.qweights, self.of_words(self.index.blocks), self.index.bits)
         return _dot_parts(self.qweights, self.index.weights)
 
+    def dots(self, fill: DataFrame | None = None) -> DataFrame:
+        """(query_id, blk, doc_id, dotn = dot / |document|) of every candidate, and of rows of ``fill``,
+        whose part is 0.  A broadcast query side meets the kept postings of an index that is not stored: only
+        postings of query words are weighted, and lengths divide the sums."""
+        with_fill = (lambda p: p) if fill is None else (lambda p: p.unionByName(fill))
+        if not self.broadcast or self.index.placed is None:
+            return _dots(with_fill(self.parts()))
+        parts = _placed_parts(self.qtf, self.of_words(self.index.term_stats), self.index.placed)
+        return _over_lengths(_dots(with_fill(parts)), self.index.lengths)
+
     def _spread(self) -> DataFrame:
         stats = self.index.term_stats
         h = max(1, -(-(stats.agg(F.sum("df")).first()[0] or 0) // self.max_rows))
@@ -210,7 +239,7 @@ class QuerySide:
 
 def cosine_scores(index: Index, qs: QuerySide) -> DataFrame:
     """(query_id, doc_id, score) for every candidate document."""
-    return _scores(qs.parts(), qs.qnorms)
+    return _scores(qs.dots(), qs.qnorms)
 
 
 def search(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
@@ -218,7 +247,7 @@ def search(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
     (query_id, rank, doc_id, score).  A query without an indexed term has
     no rows (R10)."""
     qs = QuerySide(index, queries, **kw)
-    return rank_top_k(_scores(qs.parts(), qs.qnorms), k)
+    return rank_top_k(cosine_scores(index, qs), k)
 
 
 def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> DataFrame:
@@ -240,7 +269,7 @@ def search_exhaustive(index: Index, queries: DataFrame, k: int = 10, **kw) -> Da
         F.when(F.col("f.has_norm"), F.lit(0.0)).alias("part"))
     qnorms = qs.query_ids.join(qs.qnorms, "query_id", "left").select(
         "query_id", F.coalesce("qnorm", F.lit(0.0)).alias("qnorm"))
-    return rank_top_k(_scores(qs.parts().unionByName(fill), qnorms), k)
+    return rank_top_k(_scores(qs.dots(fill), qnorms), k)
 
 
 def search_eval(index: Index, queries: DataFrame, **kw) -> DataFrame:
